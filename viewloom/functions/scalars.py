@@ -69,7 +69,7 @@ def digits_only(col: Column) -> Column:
 
 def split_ids(col: Column) -> Column:
     """Ids of a ``a;b;c`` list without blank entries."""
-    return F.filter(F.transform(F.split(col, ";"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(col, ";"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def csv_row(*cols: Column) -> Column:

@@ -88,7 +88,7 @@ def fill_lists(
         taken = F.concat(F.col(have), F.array(*[F.col(c) for c in exclude])) if exclude else F.col(have)
         free = F.filter("pool", lambda x: ~F.array_contains(taken, x[item]))
     lacking = F.greatest(F.lit(k) - F.size(have), F.lit(0))
-    empty = F.filter("pool", lambda x: F.lit(False))
+    empty = F.array().cast(decks.schema["pool"].dataType)
     filled = F.coalesce(F.slice(free, F.lit(1), lacking), empty)
     return joined.withColumn("fill", filled).drop("_deck", "pool")
 

@@ -94,7 +94,7 @@ TEXTS = {
                CASE WHEN p_partkey % 29 = 0 THEN 'null' ELSE p_type END AS genre,
                CASE WHEN p_partkey % 11 = 0 THEN '' WHEN p_partkey % 13 = 0 THEN '无'
                     WHEN p_partkey % 17 = 0 THEN NULL
-                    ELSE '201' || CAST(3 + p_partkey % 3 AS STRING) || '-'
+                    ELSE '201' || CAST(3 + CAST(floor(p_partkey / 3) AS BIGINT) % 3 AS STRING) || '-'
                          || lpad(CAST(1 + p_partkey % 12 AS STRING), 2, '0') || '-'
                          || lpad(CAST(1 + p_partkey % 28 AS STRING), 2, '0') || ' 00:00:00' END AS create_time,
                CASE WHEN p_size % 10 = 0 THEN '' WHEN p_size % 7 = 0 THEN 'NULL'
@@ -107,7 +107,7 @@ TEXTS = {
         FROM {part}
         UNION ALL
         SELECT catalog_id, 'Series ' || CAST(catalog_id % 40 AS STRING), 'G' || CAST(catalog_id % 3 AS STRING),
-               '201' || CAST(3 + catalog_id % 3 AS STRING) || '-0' || CAST(1 + catalog_id % 9 AS STRING) || '-15',
+               '201' || CAST(3 + CAST(floor(catalog_id / 3) AS BIGINT) % 3 AS STRING) || '-0' || CAST(1 + catalog_id % 9 AS STRING) || '-15',
                'C1', '1',
                CASE WHEN catalog_id % 3 = 0 THEN '10046284' ELSE '102' END,
                CASE WHEN catalog_id % 2 = 0 THEN NULL ELSE '201' END, '0', '0'
