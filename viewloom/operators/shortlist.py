@@ -24,6 +24,12 @@ from viewloom.functions.scalars import draw_order
 from viewloom.operators.ranking import top_k
 
 _TITLE = "_title"
+_ORDER = "_order"
+
+
+def newest_first(day: Column) -> Column:
+    """Ascending sort key that puts the latest date first and unknown dates last."""
+    return F.coalesce(-F.unix_date(day), F.lit(2147483647))
 
 
 def _with_title(items: DataFrame, item: str, title: str | None) -> DataFrame:
@@ -33,14 +39,11 @@ def _with_title(items: DataFrame, item: str, title: str | None) -> DataFrame:
     return items.withColumn(_TITLE, named)
 
 
-def shortlist(
-    items: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, item: str, title: str | None
-) -> DataFrame:
+def shortlist(items: DataFrame, keys: Sequence[str], order: Sequence[str], k: int, titled: bool) -> DataFrame:
     """The rows of every group that can be among the first k for some target."""
-    rows = _with_title(items, item, title)
-    if title is not None:
-        rows = top_k(rows, [*keys, _TITLE], order, k, "_nth").drop("_nth")
-    return top_k(rows, keys, order, 2 * k, "_pos")
+    ascending = [F.asc(c) for c in order]
+    rows = top_k(items, [*keys, _TITLE], ascending, k, "_pos") if titled else items
+    return top_k(rows, keys, ascending, 2 * k, "_pos")
 
 
 def _as_arrays(listed: DataFrame, keys: Sequence[str], fields: Sequence[str], name: str) -> DataFrame:
@@ -49,24 +52,18 @@ def _as_arrays(listed: DataFrame, keys: Sequence[str], fields: Sequence[str], na
     return listed.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias(name))
 
 
-def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Keys match, and NULL matches NULL."""
+def _attach(targets: DataFrame, arrays: DataFrame, keys: Sequence[str], name: str, how: str) -> DataFrame:
+    """Join the arrays to the targets; NULL keys match NULL."""
+    side = arrays.select(*[F.col(c).alias(f"_r_{c}") for c in keys], name)
     test = F.lit(True)
     for key in keys:
-        test = test & left[key].eqNullSafe(right[f"_r_{key}"])
-    return test
-
-
-def _attach(
-    targets: DataFrame, arrays: DataFrame, keys: Sequence[str], names: Sequence[str], how: str
-) -> DataFrame:
-    side = arrays.select(*[F.col(c).alias(f"_r_{c}") for c in keys], *names)
-    return targets.join(side, _same_keys(targets, side, keys), how).drop(*[f"_r_{c}" for c in keys])
+        test = test & targets[key].eqNullSafe(side[f"_r_{key}"])
+    return targets.join(side, test, how).drop(*[f"_r_{c}" for c in keys])
 
 
-def _eligible(rows: Column, item: str, fields_title: str = _TITLE) -> Column:
+def _eligible(rows: Column, item: str) -> Column:
     """Rows with another id and another title than the target's."""
-    return F.filter(rows, lambda x: (x[item] != F.col(item)) & (x[fields_title] != F.col(_TITLE)))
+    return F.filter(rows, lambda x: (x[item] != F.col(item)) & (x[_TITLE] != F.col(_TITLE)))
 
 
 def _first_of_each_title(rows: Column) -> Column:
@@ -74,11 +71,20 @@ def _first_of_each_title(rows: Column) -> Column:
     return F.filter(rows, lambda x, i: F.array_position(titles, x[_TITLE]) == i + 1)
 
 
+def _sorted_by(rows: Column, key, fields: Sequence[str]) -> Column:
+    """Rows in ascending order of ``key(row)``."""
+    return F.array_sort(
+        F.transform(rows, lambda x: F.struct(key(x).alias("_key"), *[x[f].alias(f) for f in fields]))
+    )
+
+
 def _numbered(df: DataFrame, rows: Column, out: Sequence[str], fields: Sequence[str]) -> DataFrame:
-    """Long form: one row per list entry with its rank and the entry's fields."""
-    return df.select(*out, F.posexplode(rows).alias("_at", "_rec")).select(
+    """Long form: one row per list entry with its rank, the length of its list and the entry's fields."""
+    listed = df.select(*out, rows.alias("_rows"))
+    return listed.select(*out, F.size("_rows").alias("rec_count"), F.posexplode("_rows").alias("_at", "_rec")).select(
         *out,
         (F.col("_at") + 1).alias("rank"),
+        "rec_count",
         *[F.col(f"_rec.{f}").alias(f"rec_{f}") for f in fields],
     )
 
@@ -92,22 +98,17 @@ def recommend_by_order(
     item: str = "content_id",
     title: str | None = "title",
     fields: Sequence[str] = (),
-    more_than: int | None = None,
     unique_titles: bool = True,
 ) -> DataFrame:
     """The first k eligible items of the target's group, repeated titles removed without refill.
 
-    ``more_than`` keeps only targets with more eligible items than that.
+    ``order`` is a list of ascending sort keys that ends with the id.
     """
-    reach = max(k, 0 if more_than is None else more_than + 1)
     carried = [item, *fields]
-    listed = shortlist(items, keys, order, reach, item, title)
-    arrays = _as_arrays(listed, keys, carried, "_rows")
-    found = _attach(_with_title(targets, item, title), arrays, keys, ["_rows"], "inner")
-    found = found.withColumn("_rows", F.slice(_eligible(F.col("_rows"), item), 1, reach))
-    if more_than is not None:
-        found = found.where(F.size("_rows") > more_than)
-    found = found.withColumn("_rows", F.slice("_rows", 1, k))
+    sortable = _with_title(items, item, title).withColumn(_ORDER, F.struct(*order))
+    listed = shortlist(sortable, keys, [_ORDER], k, title is not None)
+    found = _attach(_with_title(targets, item, title), _as_arrays(listed, keys, carried, "_rows"), keys, "_rows", "inner")
+    found = found.withColumn("_rows", F.slice(_eligible(F.col("_rows"), item), 1, k))
     rows = _first_of_each_title(F.col("_rows")) if unique_titles else F.col("_rows")
     return _numbered(found, rows, targets.columns, carried)
 
@@ -125,7 +126,7 @@ def recommend_by_draw(
     deck_chars: int = 1,
     unique_titles: bool = True,
 ) -> DataFrame:
-    """A random list per target where its group offers k eligible items, the ordered list elsewhere.
+    """A random list per target where its group offers k eligible items, all of them in order elsewhere.
 
     Items are dealt by hash into 16 ** deck_chars decks. A target draws from one deck, also
     chosen by hash, and then from the rest of its group, both in hash order; the k drawn items
@@ -133,47 +134,35 @@ def recommend_by_draw(
     a large group over tasks.
     """
     carried = [item, *fields]
-    deck = F.substring(draw_order(f"{seed}|deck", F.col(item)), 1, deck_chars)
-    dealt = items.withColumn("_deck", deck).withColumn("_draw", draw_order(seed, F.col(item)))
-    by_draw = [F.col("_draw"), F.col(item)]
-    in_deck = shortlist(dealt, [*keys, "_deck"], by_draw, k, item, title)
-    # The group's head is made of the heads of its decks, by the same argument as above.
-    in_group = shortlist(in_deck.drop("_pos", _TITLE), keys, by_draw, k, item, title)
-    ordered = shortlist(items, keys, order, k, item, title)
-
-    dealt_fields = [*carried, "_deck"]
-    heads = _attach(
-        _as_arrays(in_group, keys, dealt_fields, "_group"),
-        _as_arrays(ordered, keys, carried, "_ordered"),
-        keys,
-        ["_ordered"],
-        "inner",
+    dealt = (
+        _with_title(items, item, title)
+        .withColumn(_ORDER, F.struct(*order))
+        .withColumn("_deck", F.substring(draw_order(f"{seed}|deck", F.col(item)), 1, deck_chars))
+        .withColumn("_draw", draw_order(seed, F.col(item)))
     )
+    by_draw = ["_draw", item]
     deck_keys = [*keys, "_deck"]
-    decks = _as_arrays(in_deck, deck_keys, dealt_fields, "_own")
+    in_deck = shortlist(dealt, deck_keys, by_draw, k, title is not None)
+    # The group's head is made of the heads of its decks, by the same argument as above.
+    in_group = shortlist(in_deck, keys, by_draw, k, title is not None)
 
+    kept = [_ORDER, "_deck", *carried]
     seat = F.substring(draw_order(f"{seed}|seat", F.col(item)), 1, deck_chars)
     found = _with_title(targets, item, title).withColumn("_deck", seat)
-    found = _attach(found, heads, keys, ["_group", "_ordered"], "inner")
-    found = _attach(found, decks, deck_keys, ["_own"], "left")
+    found = _attach(found, _as_arrays(in_group, keys, kept, "_group"), keys, "_group", "inner")
+    found = _attach(found, _as_arrays(in_deck, deck_keys, kept, "_own"), deck_keys, "_own", "left")
 
     own = F.coalesce(_eligible(F.col("_own"), item), F.slice("_group", 1, 0))
     rest = F.filter(_eligible(F.col("_group"), item), lambda x: x["_deck"] != F.col("_deck"))
-    drawn = F.slice(F.concat(own, rest), 1, k)
-    shuffled = F.array_sort(
-        F.transform(
-            F.col("_drawn"),
-            lambda x: F.struct(
-                draw_order(seed, F.col(item), x[item]).alias("_draw"),
-                *[x[f].alias(f) for f in [_TITLE, *carried]],
-            ),
-        )
-    )
-    plain = F.transform(
-        F.slice(_eligible(F.col("_ordered"), item), 1, k),
-        lambda x: F.struct(F.lit("").alias("_draw"), *[x[f].alias(f) for f in [_TITLE, *carried]]),
-    )
-    found = found.withColumn("_drawn", drawn)
-    found = found.withColumn("_rows", F.when(F.size("_drawn") >= k, shuffled).otherwise(plain))
-    rows = _first_of_each_title(F.col("_rows")) if unique_titles else F.col("_rows")
+    found = found.withColumn("_drawn", F.slice(F.concat(own, rest), 1, k))
+    shown = [_TITLE, *carried]
+    shuffled = _sorted_by(F.col("_drawn"), lambda x: draw_order(seed, F.col(item), x[item]), shown)
+    # With fewer than k eligible items, all of them are in hand.
+    ordered = _sorted_by(F.col("_drawn"), lambda x: x[_ORDER], shown)
+
+    def entries(rows: Column) -> Column:
+        plain = F.transform(rows, lambda x: F.struct(*[x[f].alias(f) for f in shown]))
+        return _first_of_each_title(plain) if unique_titles else plain
+
+    rows = F.when(F.size("_drawn") >= k, entries(shuffled)).otherwise(entries(ordered))
     return _numbered(found, rows, targets.columns, carried)

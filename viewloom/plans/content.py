@@ -13,8 +13,8 @@ from viewloom.functions.payloads import item_payload, list_key
 from viewloom.functions.scalars import blank_to_null, day_of, draw_order, first_code
 from viewloom.operators import fill
 from viewloom.operators.ranking import at_least, id_lists, top_k, top_k_if_more
-from viewloom.operators.shortlist import recommend_by_draw, recommend_by_order
-from viewloom.sinks.lists import longer_than, one_list_per_key, to_episodes
+from viewloom.operators.shortlist import newest_first, recommend_by_draw, recommend_by_order
+from viewloom.sinks.lists import one_list_per_key, to_episodes
 
 FILM_KEYS = ["level1_id", "genre", "series_type", "level2_id"]
 FILM_KEYS_COARSE = ["level1_id", "genre", "series_type"]
@@ -48,13 +48,13 @@ def _recommend(
 ) -> DataFrame:
     """Newest first, or a draw when a seed is given; only the recommended side must be recent."""
     recent = rows.where(is_.newer_than(F.col("day"), as_of, years)) if years is not None else rows
-    order = [F.desc_nulls_last("day"), F.asc("content_id")]
+    order = [newest_first(F.col("day")), F.col("content_id")]
     if seed is None:
         return recommend_by_order(rows, recent, keys, order, k, fields=["title", "day"])
     return recommend_by_draw(rows, recent, keys, order, k, seed, fields=["title", "day"])
 
 
-def films_same_country(
+def related(
     rows: DataFrame,
     as_of: dt.date | str,
     k: int = 15,
@@ -62,40 +62,35 @@ def films_same_country(
     seed: int | None = None,
     keys: Sequence[str] = FILM_KEYS,
 ) -> DataFrame:
-    """Films with date and country, among films of the same country."""
-    films = _not_school(rows).where(
-        (F.col("series_type") != "1") & is_.has_date_and_country(F.col("day"), F.col("country"))
+    """Films and series among their like, in one pass.
+
+    Films with date and country go with films of the same country, films that lack one of them
+    with each other, and series with series: ``same_country`` is NULL for the last two, and the
+    type is one of the keys.
+    """
+    complete = (F.col("series_type") != "1") & is_.has_date_and_country(F.col("day"), F.col("country"))
+    placed = rows.where(F.col("level1_id") != is_.SCHOOL_LEVEL).withColumn(
+        "same_country", F.when(complete, F.col("country"))
     )
-    by = [*keys, "country"]
-    return _recommend(_group(films, by), by, as_of, k, years, seed)
+    by = [*keys, "same_country"]
+    return _recommend(_group(placed, by), by, as_of, k, years, seed)
 
 
-def films_missing_attributes(
-    rows: DataFrame,
-    as_of: dt.date | str,
-    k: int = 15,
-    years: int | None = 2,
-    seed: int | None = None,
-    keys: Sequence[str] = FILM_KEYS,
-) -> DataFrame:
+def films_same_country(rows: DataFrame, as_of: dt.date | str, **options) -> DataFrame:
+    """Films with date and country, among films of the same country."""
+    chosen = (F.col("series_type") != "1") & is_.has_date_and_country(F.col("day"), F.col("country"))
+    return related(rows.where(chosen), as_of, **options)
+
+
+def films_missing_attributes(rows: DataFrame, as_of: dt.date | str, **options) -> DataFrame:
     """Films without date or country, among their like."""
-    films = _not_school(rows).where(
-        (F.col("series_type") != "1") & is_.lacks_date_or_country(F.col("day"), F.col("country"))
-    )
-    return _recommend(_group(films, keys), keys, as_of, k, years, seed)
+    chosen = (F.col("series_type") != "1") & is_.lacks_date_or_country(F.col("day"), F.col("country"))
+    return related(rows.where(chosen), as_of, **options)
 
 
-def series_lists(
-    rows: DataFrame,
-    as_of: dt.date | str,
-    k: int = 15,
-    years: int | None = 2,
-    seed: int | None = None,
-    keys: Sequence[str] = FILM_KEYS,
-) -> DataFrame:
+def series_lists(rows: DataFrame, as_of: dt.date | str, **options) -> DataFrame:
     """Series among series."""
-    series = _not_school(rows).where(F.col("series_type") == "1")
-    return _recommend(_group(series, keys), keys, as_of, k, years, seed)
+    return related(rows.where(F.col("series_type") == "1"), as_of, **options)
 
 
 def school_lists(
@@ -111,10 +106,6 @@ def school_lists(
     return _recommend(_group(lessons, SCHOOL_KEYS), SCHOOL_KEYS, as_of, k, years, seed)
 
 
-def _not_school(rows: DataFrame) -> DataFrame:
-    return rows.where(F.col("level1_id") != is_.SCHOOL_LEVEL)
-
-
 def box_lists(
     content: DataFrame,
     series: DataFrame,
@@ -136,20 +127,33 @@ def box_lists(
     (seed=None), years=None, ``school`` and no gate; the one in between years=5 and ``school``.
     """
     rows = attributes(content, root)
-    films = films_same_country(rows, as_of, k, years, seed, keys).unionByName(
-        films_missing_attributes(rows, as_of, k, years, seed, keys), allowMissingColumns=True
-    )
-    lists = [(films, film_more_than)]
+    by = ["_step", "content_id", "level1_id", "level2_id", "genre", "series_type"]
+    fields = [*by[1:], "same_country", "rank", "rec_count", "rec_content_id", "rec_title"]
+    lists = _owned(related(rows, as_of, k, years, seed, keys), series, fields)
+    # Jobs publish in this order, and the last list that passes its gate stays.
+    step = F.when(F.col("series_type") == "1", 2).when(F.col("same_country").isNull(), 1).otherwise(0)
+    lists = lists.withColumn("_step", step)
     if school:
-        lists.append((school_lists(rows, as_of, k, years, seed), film_more_than))
-    fields = ["content_id", "level1_id", "level2_id", "genre", "series_type", "rank", "rec_content_id", "rec_title"]
-    published = [_keyed(_fields(part, fields).withColumn("owner_id", F.col("content_id")), key_by_type, gate) for part, gate in lists]
-    told = to_episodes(_fields(series_lists(rows, as_of, k, years, seed, keys), fields), series)
-    published.append(_keyed(told, key_by_type, series_more_than))
-    result = published[0]
-    for part in published[1:]:
-        result = result.unionByName(part)
-    return result
+        taught = _fields(school_lists(rows, as_of, k, years, seed), fields)
+        lists = lists.unionByName(
+            taught.withColumn("owner_id", F.col("content_id")).withColumn("_step", F.lit(3))
+        )
+    gate = F.when(F.col("_step") == 2, series_more_than).otherwise(film_more_than)
+    kind = F.col("series_type") if key_by_type else F.lit("0")
+    keyed = lists.where(F.col("rec_count") > gate).withColumn(
+        "list_key", list_key(F.col("owner_id"), "5", F.col("level1_id"), kind)
+    )
+    payload = item_payload(F.col("rec_content_id"), F.col("rank"), F.col("rec_title"))
+    return one_list_per_key(keyed, by).select(
+        "list_key", "owner_id", "rank", "rec_content_id", "rec_title", payload.alias("payload")
+    )
+
+
+def _owned(lists: DataFrame, series: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """Films own their lists; a series and its episodes own the series' list."""
+    kept = _fields(lists, fields)
+    films = kept.where(F.col("series_type") != "1").withColumn("owner_id", F.col("content_id"))
+    return films.unionByName(to_episodes(kept.where(F.col("series_type") == "1"), series))
 
 
 def _fields(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -157,31 +161,14 @@ def _fields(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(n) if n in known else F.lit(None).cast("string").alias(n) for n in names])
 
 
-def _keyed(lists: DataFrame, key_by_type: bool, more_than: int) -> DataFrame:
-    last = F.col("series_type") if key_by_type else F.lit("0")
-    keyed = lists.withColumn("list_key", list_key(F.col("owner_id"), "5", F.col("level1_id"), last))
-    chosen = one_list_per_key(keyed, ["content_id", "level2_id", "genre", "series_type"])
-    payload = item_payload(F.col("rec_content_id"), F.col("rank"), F.col("rec_title"))
-    return longer_than(chosen, more_than).select(
-        "list_key", "owner_id", "rank", "rec_content_id", "rec_title", payload.alias("payload")
-    )
-
-
 def text_lists(
     content: DataFrame, series: DataFrame, as_of: dt.date | str, k: int = 15, years: int = 2, seed: int | None = 42
 ) -> DataFrame:
     """(owner_id, items): films, series and their episodes with ``#``-joined ids."""
     rows = attributes(content)
-    keep = ["owner_id", "content_id", *FILM_KEYS, "country", "rank", "rec_content_id"]
-
-    def owned(part: DataFrame) -> DataFrame:
-        return _fields(part.withColumn("owner_id", F.col("content_id")), keep)
-
-    films = owned(films_missing_attributes(rows, as_of, k, years, seed)).unionByName(
-        owned(films_same_country(rows, as_of, k, years, seed))
-    )
-    told = _fields(to_episodes(series_lists(rows, as_of, k, years, seed), series), keep)
-    return id_lists(films.unionByName(told), keep[:-2], "rec_content_id").select("owner_id", "items")
+    group = ["content_id", *FILM_KEYS, "same_country"]
+    lists = _owned(related(rows, as_of, k, years, seed), series, [*group, "rank", "rec_content_id"])
+    return id_lists(lists, ["owner_id", *group], "rec_content_id").select("owner_id", "items")
 
 
 def ott_lists(elements: DataFrame, k: int = 15, minimum: int = 100) -> DataFrame:
@@ -211,7 +198,7 @@ def _ott_pairs(rows: DataFrame, k: int) -> DataFrame:
     items = rows.groupBy(*keys, "movie_id").agg(F.max("movie_name").alias("movie_name"))
     targets = rows.select(*keys, "movie_id", "catalog_id").distinct()
     listed = recommend_by_order(
-        targets, items, keys, [F.asc("movie_id")], k, item="movie_id", title=None, fields=["movie_name"]
+        targets, items, keys, [F.col("movie_id")], k, item="movie_id", title=None, fields=["movie_name"]
     )
     return listed.select("movie_id", "catalog_id", "type_id", "rank", "rec_movie_id", "rec_movie_name")
 
@@ -227,7 +214,7 @@ def cinema_lists(members: DataFrame, names: DataFrame, k: int = 20, more_than: i
         rows,
         rows,
         ["catalog_id"],
-        [F.asc("content_id")],
+        [F.col("content_id")],
         k,
         seed,
         title="content_name",
@@ -276,7 +263,7 @@ def web_lists(catalog: DataFrame, elements: DataFrame, k: int = 20, more_than: i
     rows = catalog.where(is_.valid_ids(*[F.col(c) for c in ids])).select(*ids).distinct()
     reach = max(k, more_than + 1)
     listed = recommend_by_order(
-        rows, rows, ["level1_id", "level2_id"], [F.asc("movie_id")], reach, item="movie_id", title=None
+        rows, rows, ["level1_id", "level2_id"], [F.col("movie_id")], reach, item="movie_id", title=None
     )
     merged = listed.select("level1_id", "movie_id", "rec_movie_id").distinct()
     chosen = top_k_if_more(merged, ["level1_id", "movie_id"], [F.asc("rec_movie_id")], k, more_than)

@@ -9,6 +9,7 @@ from viewloom.functions.predicates import valid_ids
 from viewloom.functions.scalars import completion_bin
 from viewloom.operators import cooccurrence as co
 from viewloom.operators.counts import series_progress, share_histogram
+from viewloom.session import cut_lineage
 
 
 def as_ids(df: DataFrame, *columns: str, max_length: int | None = None) -> DataFrame:
@@ -21,7 +22,8 @@ def as_ids(df: DataFrame, *columns: str, max_length: int | None = None) -> DataF
 
 def item_similarity(ratings: DataFrame, virtual_count: float = 10.0, prior: float = 0.0) -> DataFrame:
     """Correlation, shrunk correlation, cosine and Jaccard of all co-rated item pairs."""
-    rated = co.with_rater_counts(co.unique_ratings(ratings))
+    # Written once: the counts per item, the counts per user and both sides of the pairs read it.
+    rated = cut_lineage(co.unique_ratings(ratings))
     return co.similarities(co.pair_moments(rated), virtual_count, prior)
 
 

@@ -9,17 +9,16 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from viewloom.functions.scalars import split_ids
 from viewloom.session import cut_lineage
 
 
-def longer_than(lists: DataFrame, more_than: int, key: str | Sequence[str] = "list_key") -> DataFrame:
+def longer_than(lists: DataFrame, more_than: int | Column, key: str = "list_key") -> DataFrame:
     """Lists with more than ``more_than`` rows."""
-    keys = [key] if isinstance(key, str) else list(key)
-    counted = lists.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    counted = lists.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(key)))
     return counted.where(F.col("_n") > more_than).drop("_n")
 
 

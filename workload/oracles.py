@@ -371,7 +371,6 @@ ORACLES["content_random_sample"] = _pair_query(WITH_COUNTRY, [*FILM_KEYS, "count
 
 _OWNERS = """SELECT DISTINCT catalog_id AS content_id, catalog_id AS owner_id FROM part_members
 UNION SELECT catalog_id, content_id FROM part_members"""
-_FOUND = "SELECT content_id, level1_id, level2_id, genre, series_type, rank, rec_content_id, rec_title FROM"
 
 
 def _box_lists(
@@ -392,33 +391,34 @@ def _box_lists(
         "taught": _related(SCHOOL, SCHOOL_KEYS, k, since, draw),
     }
     kind = "series_type" if by_type else "'0'"
-    key = f"owner_id || '_5_' || level1_id || '_' || {kind}"
-    sources = {
-        "films": (f"{_FOUND} same UNION ALL {_FOUND} lacking", film_more_than),
-        "series": (f"{_FOUND} told", series_more_than),
-    }
+    steps = [("same", film_more_than), ("lacking", film_more_than), ("told", series_more_than)]
     if school:
-        sources["lessons"] = (f"{_FOUND} taught", film_more_than)
+        steps.append(("taught", film_more_than))
     else:
         del parts["taught"]
-    texts, selects = dict(parts), []
-    texts["owners"] = _OWNERS
-    for name, (text, gate) in sources.items():
-        texts[name] = text
-        owned = (
-            f"(SELECT s.*, owner_id FROM {name} s JOIN owners o ON s.content_id = o.content_id)"
-            if name == "series"
-            else f"(SELECT *, content_id AS owner_id FROM {name})"
-        )
-        texts[f"{name}_keyed"] = f"""SELECT *, {key} AS list_key, dense_rank() OVER (PARTITION BY {key}
-       ORDER BY content_id DESC, level2_id DESC NULLS LAST, genre DESC NULLS LAST, series_type DESC) AS nth
-FROM {owned} x"""
+    selects = []
+    for step, (name, gate) in enumerate(steps):
+        owned = f"{name} s JOIN owners o ON s.content_id = o.content_id" if name == "told" else f"{name} s"
+        owner = "owner_id" if name == "told" else "s.content_id"
         selects.append(
-            f"""SELECT list_key, owner_id, CAST(rank AS INT) AS rank, rec_content_id, rec_title,
-       {_item_json('rec_content_id', 'rank', 'rec_title')} AS payload
-FROM (SELECT *, count(*) OVER (PARTITION BY list_key) AS n FROM {name}_keyed WHERE nth = 1) y WHERE n > {gate}"""
+            f"""SELECT * FROM (SELECT {step} AS step, {owner} AS owner_id, s.content_id, level1_id, level2_id, genre,
+       series_type, rank, rec_content_id, rec_title, count(*) OVER (PARTITION BY {owner}, s.content_id, level1_id,
+       level2_id, genre, series_type) AS n FROM {owned}) x WHERE n > {gate}"""
         )
-    return _with("content", "part_members", attrs=attrs, **texts) + "\nUNION ALL\n".join(selects)
+    key = f"owner_id || '_5_' || level1_id || '_' || {kind}"
+    return _with(
+        "content",
+        "part_members",
+        attrs=attrs,
+        **parts,
+        owners=_OWNERS,
+        gated="\nUNION ALL\n".join(selects),
+        keyed=f"""SELECT *, {key} AS list_key, dense_rank() OVER (PARTITION BY {key} ORDER BY step DESC, content_id DESC,
+       level1_id DESC, level2_id DESC NULLS LAST, genre DESC NULLS LAST, series_type DESC) AS nth FROM gated""",
+    ) + f"""
+SELECT list_key, owner_id, CAST(rank AS INT) AS rank, rec_content_id, rec_title,
+       {_item_json('rec_content_id', 'rank', 'rec_title')} AS payload
+FROM keyed WHERE nth = 1"""
 
 
 ORACLES["content_box_lists"] = _box_lists(15, TWO_YEARS, 42)
