@@ -15,7 +15,7 @@ is the one the pairs would give. The kept rows travel as one array per group to
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,22 +66,29 @@ def _eligible(rows: Column, item: str) -> Column:
     return F.filter(rows, lambda x: (x[item] != F.col(item)) & (x[_TITLE] != F.col(_TITLE)))
 
 
-def _first_of_each_title(rows: Column) -> Column:
-    titles = F.transform(rows, lambda x: x[_TITLE])
-    return F.filter(rows, lambda x, i: F.array_position(titles, x[_TITLE]) == i + 1)
+def _with_entries(df: DataFrame, rows: Column, unique_titles: bool) -> DataFrame:
+    """Column ``_rows``: the list, each title once when asked.
+
+    Every step is a column of its own, so that no lambda evaluates an earlier step per element.
+    """
+    if not unique_titles:
+        return df.withColumn("_rows", rows)
+    listed = df.withColumn("_listed", rows).withColumn("_titles", F.transform("_listed", lambda x: x[_TITLE]))
+    first = F.filter("_listed", lambda x, i: F.array_position("_titles", x[_TITLE]) == i + 1)
+    return listed.withColumn("_rows", first)
 
 
-def _sorted_by(rows: Column, key, fields: Sequence[str]) -> Column:
+def _sorted_by(rows: Column, key: Callable[[Column], Column], fields: Sequence[str]) -> Column:
     """Rows in ascending order of ``key(row)``."""
-    return F.array_sort(
-        F.transform(rows, lambda x: F.struct(key(x).alias("_key"), *[x[f].alias(f) for f in fields]))
-    )
+    keyed = F.transform(rows, lambda x: F.struct(key(x).alias("_key"), *[x[f].alias(f) for f in fields]))
+    return F.transform(F.array_sort(keyed), lambda x: F.struct(*[x[f].alias(f) for f in fields]))
 
 
-def _numbered(df: DataFrame, rows: Column, out: Sequence[str], fields: Sequence[str]) -> DataFrame:
-    """Long form: one row per list entry with its rank, the length of its list and the entry's fields."""
-    listed = df.select(*out, rows.alias("_rows"))
-    return listed.select(*out, F.size("_rows").alias("rec_count"), F.posexplode("_rows").alias("_at", "_rec")).select(
+def _numbered(df: DataFrame, out: Sequence[str], fields: Sequence[str]) -> DataFrame:
+    """Long form of ``_rows``: one row per entry with its rank, the length of its list and its fields."""
+    # The outer form keeps Spark from adding a size test that would evaluate the list twice.
+    listed = df.select(*out, F.size("_rows").alias("rec_count"), F.posexplode_outer("_rows").alias("_at", "_rec"))
+    return listed.where(F.col("_at").isNotNull()).select(
         *out,
         (F.col("_at") + 1).alias("rank"),
         "rec_count",
@@ -108,9 +115,8 @@ def recommend_by_order(
     sortable = _with_title(items, item, title).withColumn(_ORDER, F.struct(*order))
     listed = shortlist(sortable, keys, [_ORDER], k, title is not None)
     found = _attach(_with_title(targets, item, title), _as_arrays(listed, keys, carried, "_rows"), keys, "_rows", "inner")
-    found = found.withColumn("_rows", F.slice(_eligible(F.col("_rows"), item), 1, k))
-    rows = _first_of_each_title(F.col("_rows")) if unique_titles else F.col("_rows")
-    return _numbered(found, rows, targets.columns, carried)
+    found = _with_entries(found, F.slice(_eligible(F.col("_rows"), item), 1, k), unique_titles)
+    return _numbered(found, targets.columns, carried)
 
 
 def recommend_by_draw(
@@ -129,9 +135,10 @@ def recommend_by_draw(
     """A random list per target where its group offers k eligible items, all of them in order elsewhere.
 
     Items are dealt by hash into 16 ** deck_chars decks. A target draws from one deck, also
-    chosen by hash, and then from the rest of its group, both in hash order; the k drawn items
-    are shuffled for the target. Decks are what makes lists of one group differ, and they split
-    a large group over tasks.
+    chosen by hash, and then from the rest of its group, both in hash order. The k drawn items
+    are put in the order of another stretch of their hashes, where it starts depends on the
+    target. Decks are what makes lists of one group differ, and they split a large group over
+    tasks.
     """
     carried = [item, *fields]
     dealt = (
@@ -146,9 +153,13 @@ def recommend_by_draw(
     # The group's head is made of the heads of its decks, by the same argument as above.
     in_group = shortlist(in_deck, keys, by_draw, k, title is not None)
 
-    kept = [_ORDER, "_deck", *carried]
-    seat = F.substring(draw_order(f"{seed}|seat", F.col(item)), 1, deck_chars)
-    found = _with_title(targets, item, title).withColumn("_deck", seat)
+    kept = [_ORDER, "_deck", "_draw", *carried]
+    found = (
+        _with_title(targets, item, title)
+        .withColumn("_seat", draw_order(f"{seed}|seat", F.col(item)))
+        .withColumn("_deck", F.substring("_seat", 1, deck_chars))
+        .withColumn("_turn", F.instr(F.lit("0123456789abcdef"), F.substring("_seat", 32, 1)))
+    )
     found = _attach(found, _as_arrays(in_group, keys, kept, "_group"), keys, "_group", "inner")
     found = _attach(found, _as_arrays(in_deck, deck_keys, kept, "_own"), deck_keys, "_own", "left")
 
@@ -156,13 +167,8 @@ def recommend_by_draw(
     rest = F.filter(_eligible(F.col("_group"), item), lambda x: x["_deck"] != F.col("_deck"))
     found = found.withColumn("_drawn", F.slice(F.concat(own, rest), 1, k))
     shown = [_TITLE, *carried]
-    shuffled = _sorted_by(F.col("_drawn"), lambda x: draw_order(seed, F.col(item), x[item]), shown)
+    shuffled = _sorted_by(F.col("_drawn"), lambda x: F.substring(x["_draw"], F.col("_turn"), F.lit(16)), shown)
     # With fewer than k eligible items, all of them are in hand.
     ordered = _sorted_by(F.col("_drawn"), lambda x: x[_ORDER], shown)
-
-    def entries(rows: Column) -> Column:
-        plain = F.transform(rows, lambda x: F.struct(*[x[f].alias(f) for f in shown]))
-        return _first_of_each_title(plain) if unique_titles else plain
-
-    rows = F.when(F.size("_drawn") >= k, entries(shuffled)).otherwise(entries(ordered))
-    return _numbered(found, rows, targets.columns, carried)
+    rows = F.when(F.size("_drawn") >= k, shuffled).otherwise(ordered)
+    return _numbered(_with_entries(found, rows, unique_titles), targets.columns, carried)

@@ -332,10 +332,12 @@ def _related(where: str, keys: Sequence[str], k: int, since: str | None, draw: i
     if draw is None:
         pick = f"SELECT *, row_number() OVER (PARTITION BY {owner} ORDER BY {by_day}) AS p FROM pairs"
     else:
-        seat = _hash(f"'{draw}'", "'seat'", "t_content_id", length=1)
-        deck = _hash(f"'{draw}'", "'deck'", "rec_content_id", length=1)
-        order = f"CASE WHEN {seat} = {deck} THEN 0 ELSE 1 END, {_hash(f'{chr(39)}{draw}{chr(39)}', 'rec_content_id')}"
-        shuffle = _hash(f"'{draw}'", "t_content_id", "rec_content_id")
+        quoted = f"'{draw}'"
+        seat = _hash(quoted, "'seat'", "t_content_id", length=1)
+        deck = _hash(quoted, "'deck'", "rec_content_id", length=1)
+        order = f"CASE WHEN {seat} = {deck} THEN 0 ELSE 1 END, {_hash(quoted, 'rec_content_id')}"
+        turn = f"""strpos('0123456789abcdef', right({_hash(quoted, "'seat'", "t_content_id")}, 1))"""
+        shuffle = f"""substr({_hash(quoted, "rec_content_id")}, {turn}, 16)"""
         pick = f"""SELECT * EXCLUDE (q, n, d), CASE WHEN n >= {k}
        THEN row_number() OVER (PARTITION BY {owner}, q <= {k} ORDER BY {shuffle}) + CASE WHEN q <= {k} THEN 0 ELSE {k} END
        ELSE d END AS p
