@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from viewloom.operators.columns import computed
 from viewloom.operators.fill import fill_lists
 from viewloom.sources.logs import as_date
 
@@ -132,7 +133,7 @@ def minute_objects(grid: DataFrame, live: DataFrame, decks: DataFrame, target: i
     channels = live.groupBy("minute", "category").agg(F.array_sort(F.collect_list(entry)).alias("_live"))
     joined = grid.join(channels, ["minute", "category"], "left")
     none = F.array().cast("array<string>")
-    listed = joined.withColumn("channels", F.coalesce(F.transform("_live", lambda x: x["channel_id"]), none))
+    listed = computed(joined, "channels", F.coalesce(F.transform("_live", lambda x: x["channel_id"]), none))
     filled = fill_lists(
         listed,
         decks,

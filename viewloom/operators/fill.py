@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewloom.functions.scalars import draw_order
+from viewloom.operators.columns import computed
 from viewloom.operators.ranking import top_k
 
 
@@ -85,12 +86,12 @@ def fill_lists(
     if other_ids:
         free = F.col("pool")
     else:
-        taken = F.concat(F.col(have), F.array(*[F.col(c) for c in exclude])) if exclude else F.col(have)
-        free = F.filter("pool", lambda x: ~F.array_contains(taken, x[item]))
+        joined = computed(joined, "_taken", F.concat(F.col(have), F.array(*[F.col(c) for c in exclude]).cast(lists.schema[have].dataType)))
+        free = F.filter("pool", lambda x: ~F.array_contains("_taken", x[item]))
     lacking = F.greatest(F.lit(k) - F.size(have), F.lit(0))
     empty = F.array().cast(decks.schema["pool"].dataType)
     filled = F.coalesce(F.slice(free, F.lit(1), lacking), empty)
-    return joined.withColumn("fill", filled).drop("_deck", "pool")
+    return computed(joined, "fill", filled).drop("_deck", "_taken", "pool")
 
 
 def expand_best(
@@ -115,7 +116,7 @@ def expand_best(
     ids = F.transform("films", lambda x: x["content_id"])
     unseen = F.slice(F.filter(ids, lambda x: ~F.array_contains("seen", x)), 1, k)
     none = F.array().cast("array<bigint>")
-    listed = listed.withColumn("_list", F.coalesce(unseen, none))
+    listed = computed(listed, "_list", F.coalesce(unseen, none))
     filled = fill_lists(listed, decks, ["user_id"], "_list", k, seed, "content_id", deck_chars=deck_chars)
     rows = F.concat(
         F.transform("_list", lambda x: F.struct(x.alias("item_id"), F.lit("catalog").alias("source"))),

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewloom.functions.scalars import draw_order
+from viewloom.operators.columns import computed
 from viewloom.operators.ranking import top_k
 
 _TITLE = "_title"
@@ -52,13 +53,18 @@ def _as_arrays(listed: DataFrame, keys: Sequence[str], fields: Sequence[str], na
     return listed.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias(name))
 
 
-def _attach(targets: DataFrame, arrays: DataFrame, keys: Sequence[str], name: str, how: str) -> DataFrame:
-    """Join the arrays to the targets; NULL keys match NULL."""
+def _attach(targets: DataFrame, arrays: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Join the arrays to the targets; NULL keys match NULL.
+
+    The join is an outer one so that the targets are always the side that streams: the arrays
+    are broadcast when Spark finds them small, and otherwise a hot group's targets can be split.
+    Targets without an array drop out with the empty lists.
+    """
     side = arrays.select(*[F.col(c).alias(f"_r_{c}") for c in keys], name)
     test = F.lit(True)
     for key in keys:
         test = test & targets[key].eqNullSafe(side[f"_r_{key}"])
-    return targets.join(side, test, how).drop(*[f"_r_{c}" for c in keys])
+    return targets.join(side, test, "left").drop(*[f"_r_{c}" for c in keys])
 
 
 def _eligible(rows: Column, item: str) -> Column:
@@ -67,15 +73,13 @@ def _eligible(rows: Column, item: str) -> Column:
 
 
 def _with_entries(df: DataFrame, rows: Column, unique_titles: bool) -> DataFrame:
-    """Column ``_rows``: the list, each title once when asked.
-
-    Every step is a column of its own, so that no lambda evaluates an earlier step per element.
-    """
+    """Column ``_entries``: the list, each title once when asked."""
     if not unique_titles:
-        return df.withColumn("_rows", rows)
-    listed = df.withColumn("_listed", rows).withColumn("_titles", F.transform("_listed", lambda x: x[_TITLE]))
+        return computed(df, "_entries", rows)
+    listed = computed(df, "_listed", rows)
+    listed = computed(listed, "_titles", F.transform("_listed", lambda x: x[_TITLE]))
     first = F.filter("_listed", lambda x, i: F.array_position("_titles", x[_TITLE]) == i + 1)
-    return listed.withColumn("_rows", first)
+    return computed(listed, "_entries", first)
 
 
 def _sorted_by(rows: Column, key: Callable[[Column], Column], fields: Sequence[str]) -> Column:
@@ -85,10 +89,9 @@ def _sorted_by(rows: Column, key: Callable[[Column], Column], fields: Sequence[s
 
 
 def _numbered(df: DataFrame, out: Sequence[str], fields: Sequence[str]) -> DataFrame:
-    """Long form of ``_rows``: one row per entry with its rank, the length of its list and its fields."""
-    # The outer form keeps Spark from adding a size test that would evaluate the list twice.
-    listed = df.select(*out, F.size("_rows").alias("rec_count"), F.posexplode_outer("_rows").alias("_at", "_rec"))
-    return listed.where(F.col("_at").isNotNull()).select(
+    """Long form of ``_entries``: one row per entry with its rank, the length of its list and its fields."""
+    listed = df.select(*out, F.size("_entries").alias("rec_count"), F.posexplode("_entries").alias("_at", "_rec"))
+    return listed.select(
         *out,
         (F.col("_at") + 1).alias("rank"),
         "rec_count",
@@ -114,7 +117,7 @@ def recommend_by_order(
     carried = [item, *fields]
     sortable = _with_title(items, item, title).withColumn(_ORDER, F.struct(*order))
     listed = shortlist(sortable, keys, [_ORDER], k, title is not None)
-    found = _attach(_with_title(targets, item, title), _as_arrays(listed, keys, carried, "_rows"), keys, "_rows", "inner")
+    found = _attach(_with_title(targets, item, title), _as_arrays(listed, keys, carried, "_rows"), keys, "_rows")
     found = _with_entries(found, F.slice(_eligible(F.col("_rows"), item), 1, k), unique_titles)
     return _numbered(found, targets.columns, carried)
 
@@ -160,12 +163,12 @@ def recommend_by_draw(
         .withColumn("_deck", F.substring("_seat", 1, deck_chars))
         .withColumn("_turn", F.instr(F.lit("0123456789abcdef"), F.substring("_seat", 32, 1)))
     )
-    found = _attach(found, _as_arrays(in_group, keys, kept, "_group"), keys, "_group", "inner")
-    found = _attach(found, _as_arrays(in_deck, deck_keys, kept, "_own"), deck_keys, "_own", "left")
+    found = _attach(found, _as_arrays(in_group, keys, kept, "_group"), keys, "_group")
+    found = _attach(found, _as_arrays(in_deck, deck_keys, kept, "_own"), deck_keys, "_own")
 
     own = F.coalesce(_eligible(F.col("_own"), item), F.slice("_group", 1, 0))
     rest = F.filter(_eligible(F.col("_group"), item), lambda x: x["_deck"] != F.col("_deck"))
-    found = found.withColumn("_drawn", F.slice(F.concat(own, rest), 1, k))
+    found = computed(found, "_drawn", F.slice(F.concat(own, rest), 1, k))
     shown = [_TITLE, *carried]
     shuffled = _sorted_by(F.col("_drawn"), lambda x: F.substring(x["_draw"], F.col("_turn"), F.lit(16)), shown)
     # With fewer than k eligible items, all of them are in hand.

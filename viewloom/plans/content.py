@@ -12,9 +12,10 @@ from viewloom.functions import predicates as is_
 from viewloom.functions.payloads import item_payload, list_key
 from viewloom.functions.scalars import blank_to_null, day_of, draw_order, first_code
 from viewloom.operators import fill
+from viewloom.operators.columns import computed
 from viewloom.operators.ranking import at_least, id_lists, top_k, top_k_if_more
 from viewloom.operators.shortlist import newest_first, recommend_by_draw, recommend_by_order
-from viewloom.sinks.lists import one_list_per_key, to_episodes
+from viewloom.sinks.lists import episode_owners, one_list_per_key
 
 FILM_KEYS = ["level1_id", "genre", "series_type", "level2_id"]
 FILM_KEYS_COARSE = ["level1_id", "genre", "series_type"]
@@ -44,14 +45,31 @@ def _group(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _recommend(
-    rows: DataFrame, keys: Sequence[str], as_of: dt.date | str, k: int, years: int | None, seed: int | None
+    rows: DataFrame,
+    keys: Sequence[str],
+    as_of: dt.date | str,
+    k: int,
+    years: int | None,
+    seed: int | None,
+    series: DataFrame | None = None,
 ) -> DataFrame:
-    """Newest first, or a draw when a seed is given; only the recommended side must be recent."""
+    """Newest first, or a draw when a seed is given; only the recommended side must be recent.
+
+    With ``series``, the ids that own each list are attached to the targets, in ``owners``.
+    """
+    targets = rows if series is None else _with_owners(rows, series)
     recent = rows.where(is_.newer_than(F.col("day"), as_of, years)) if years is not None else rows
     order = [newest_first(F.col("day")), F.col("content_id")]
     if seed is None:
-        return recommend_by_order(rows, recent, keys, order, k, fields=["title", "day"])
-    return recommend_by_draw(rows, recent, keys, order, k, seed, fields=["title", "day"])
+        return recommend_by_order(targets, recent, keys, order, k, fields=["title", "day"])
+    return recommend_by_draw(targets, recent, keys, order, k, seed, fields=["title", "day"])
+
+
+def _with_owners(rows: DataFrame, series: DataFrame) -> DataFrame:
+    """A film owns its list; a series' list belongs to the series and its episodes, if it has any."""
+    joined = rows.join(episode_owners(series), "content_id", "left")
+    own = F.when(F.col("series_type") != "1", F.array("content_id"))
+    return joined.withColumn("owners", F.coalesce(own, F.col("owners")))
 
 
 def related(
@@ -61,6 +79,7 @@ def related(
     years: int | None = 2,
     seed: int | None = None,
     keys: Sequence[str] = FILM_KEYS,
+    series: DataFrame | None = None,
 ) -> DataFrame:
     """Films and series among their like, in one pass.
 
@@ -73,7 +92,7 @@ def related(
         "same_country", F.when(complete, F.col("country"))
     )
     by = [*keys, "same_country"]
-    return _recommend(_group(placed, by), by, as_of, k, years, seed)
+    return _recommend(_group(placed, by), by, as_of, k, years, seed, series)
 
 
 def films_same_country(rows: DataFrame, as_of: dt.date | str, **options) -> DataFrame:
@@ -129,7 +148,7 @@ def box_lists(
     rows = attributes(content, root)
     by = ["_step", "content_id", "level1_id", "level2_id", "genre", "series_type"]
     fields = [*by[1:], "same_country", "rank", "rec_count", "rec_content_id", "rec_title"]
-    lists = _owned(related(rows, as_of, k, years, seed, keys), series, fields)
+    lists = _owned(related(rows, as_of, k, years, seed, keys, series), fields)
     # Jobs publish in this order, and the last list that passes its gate stays.
     step = F.when(F.col("series_type") == "1", 2).when(F.col("same_country").isNull(), 1).otherwise(0)
     lists = lists.withColumn("_step", step)
@@ -149,11 +168,9 @@ def box_lists(
     )
 
 
-def _owned(lists: DataFrame, series: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Films own their lists; a series and its episodes own the series' list."""
-    kept = _fields(lists, fields)
-    films = kept.where(F.col("series_type") != "1").withColumn("owner_id", F.col("content_id"))
-    return films.unionByName(to_episodes(kept.where(F.col("series_type") == "1"), series))
+def _owned(lists: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """One copy of each list per owner (column ``owner_id``)."""
+    return _fields(lists, [*fields, "owners"]).withColumn("owner_id", F.explode("owners")).drop("owners")
 
 
 def _fields(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -167,7 +184,7 @@ def text_lists(
     """(owner_id, items): films, series and their episodes with ``#``-joined ids."""
     rows = attributes(content)
     group = ["content_id", *FILM_KEYS, "same_country"]
-    lists = _owned(related(rows, as_of, k, years, seed), series, [*group, "rank", "rec_content_id"])
+    lists = _owned(related(rows, as_of, k, years, seed, series=series), [*group, "rank", "rec_content_id"])
     return id_lists(lists, ["owner_id", *group], "rec_content_id").select("owner_id", "items")
 
 
@@ -229,8 +246,8 @@ def cinema_lists(members: DataFrame, names: DataFrame, k: int = 20, more_than: i
         chosen.groupBy("content_id")
         .agg(F.array_sort(F.collect_list(entry)).alias("_recs"))
         .where(F.size("_recs") > more_than)
-        .withColumn("_ids", F.transform("_recs", lambda x: x["rec_content_id"]))
     )
+    lists = computed(lists, "_ids", F.transform("_recs", lambda x: x["rec_content_id"]))
     decks = fill.pool_decks(members.select("content_id"), "content_id", 2 * k, seed)
     filled = fill.fill_lists(
         lists, decks, ["content_id"], "_ids", k, seed, "content_id", exclude=["content_id"]

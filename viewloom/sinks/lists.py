@@ -39,16 +39,23 @@ def replace_unless_shorter(previous: DataFrame, new: DataFrame, key: str = "list
     return judged.where(F.col("_take") == F.col("_new")).drop("_take", "_new")
 
 
-def to_episodes(lists: DataFrame, series: DataFrame, item: str = "content_id") -> DataFrame:
+def episode_owners(series: DataFrame) -> DataFrame:
+    """(content_id, owners): the series id and its episodes, one row per series."""
+    episodes = F.transform(split_ids(F.col("sort_index")), lambda x: x.try_cast("bigint"))
+    owners = F.array_compact(F.array_union(F.array(F.col("content_id")), episodes))
+    listed = series.where(F.col("sort_index").isNotNull())
+    return listed.groupBy("content_id").agg(F.max("sort_index").alias("sort_index")).select(
+        "content_id", owners.alias("owners")
+    )
+
+
+def to_episodes(lists: DataFrame, series: DataFrame) -> DataFrame:
     """Every series' rows under the series id and under each of its episodes (column ``owner_id``).
 
-    ``series`` has the series id in ``item`` and its episodes in ``sort_index``; lists of ids it
-    does not name are dropped.
+    ``series`` has content_id and its episodes in ``sort_index``; lists of other ids are dropped.
     """
-    episodes = F.transform(split_ids(F.col("sort_index")), lambda x: x.try_cast("bigint"))
-    owners = F.array_compact(F.array_union(F.array(F.col(item)), episodes))
-    named = series.where(F.col("sort_index").isNotNull()).select(item, F.explode(owners).alias("owner_id"))
-    return lists.join(named.distinct(), item)
+    owned = lists.join(episode_owners(series), "content_id")
+    return owned.withColumn("owner_id", F.explode("owners")).drop("owners")
 
 
 def write_lists(lists: DataFrame, path: str, run_date: dt.date | str) -> None:
