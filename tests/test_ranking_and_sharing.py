@@ -30,6 +30,13 @@ def test_top_k_limits_groups_before_the_shuffle(spark):
     assert text.index("Final") < text.index("Exchange hashpartitioning(g") < text.index("Partial")
 
 
+def test_long_lists_are_salted_exactly(spark):
+    df = spark.range(5000).select((F.col("id") % 2).alias("g"), F.xxhash64("id").alias("v"), "id")
+    want = df.where("g = 0").orderBy("v").limit(1200).collect()
+    rows = ranking.top_k(df, ["g"], [F.asc("v")], 1200).where("g = 0").orderBy("rank").collect()
+    assert [(r["rank"], r["id"]) for r in rows] == [(i + 1, r["id"]) for i, r in enumerate(want)]
+
+
 def test_only_groups_with_more(spark):
     df = spark.createDataFrame([("a", i) for i in range(5)] + [("b", i) for i in range(3)], "g string, id int")
     rows = ranking.top_k_if_more(df, ["g"], [F.asc("id")], 2, 3).collect()

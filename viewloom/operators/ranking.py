@@ -1,8 +1,9 @@
 """Ranked lists.
 
 ``row_number() <= k`` is planned with a group limit on both sides of the shuffle: every task
-forwards at most k rows per group, so a group may hold any share of the rows. Windows without
-such a limit are only put on lists that are already cut to k.
+forwards at most k rows per group, so a group may hold any share of the rows. Spark does so for
+k below 1,000; longer lists are first cut per salt of the group, with the same result. Windows
+without such a limit are only put on lists that are already cut to k.
 """
 
 from __future__ import annotations
@@ -13,10 +14,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Spark limits groups before the shuffle up to this k; beyond it groups are salted.
+GROUP_LIMIT = 1000
+SALTS = 64
+
+
 def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str = "rank") -> DataFrame:
     """The first ``k`` rows of every group, or of all rows without keys, with their position from 1."""
     if not keys:
         df = df.orderBy(*order).limit(k)
+    elif k >= GROUP_LIMIT:
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+        w = Window.partitionBy(*keys, "_salt").orderBy(*order)
+        df = salted.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= k).drop("_salt", rank)
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= k)
 

@@ -35,6 +35,22 @@ def build_session(
     return builder.getOrCreate()
 
 
+def cluster_conf(shuffle_bytes: int, cores: int, task_bytes: int = 128 << 20) -> dict[str, str]:
+    """Partition counts for a job that shuffles about ``shuffle_bytes`` on ``cores`` cores.
+
+    Every core gets work and no task more than ``task_bytes``; adaptive execution merges what
+    turns out smaller.
+    """
+    partitions = max(2 * cores, -(-shuffle_bytes // task_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(2 * task_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes),
+        # A split hot key pays off although a later step may have to shuffle again.
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's shared checkpoint folder; only a local session gets one of its own."""
     sc = spark.sparkContext
@@ -47,7 +63,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         shared = tempfile.mkdtemp(prefix="viewloom-checkpoint-")
     sc.setCheckpointDir(shared)
-    return shared
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -58,10 +58,10 @@ TEXTS = {
         SELECT user_id, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS item_id,
                CAST(floor(value) AS DOUBLE) AS rating
         FROM {events}""",
-    # Odd-sized parts are episodes of a series of up to eight neighbours.
+    # Parts of three types are episodes of a series of up to eight neighbours.
     "part_members": """
         SELECT 10000000 + CAST(floor(p_partkey / 8) AS BIGINT) AS catalog_id, p_partkey AS content_id
-        FROM {part} WHERE p_size % 2 = 1""",
+        FROM {part} WHERE p_type IN ('ECONOMY', 'SMALL', 'LARGE')""",
     "part_films": """
         SELECT p_partkey AS content_id, p_name AS content_name, CAST(p_size AS STRING) AS genre
         FROM {part}""",
@@ -124,7 +124,7 @@ TEXTS = {
         SELECT 10001000 + p_size AS catalog_id, p_partkey AS content_id, p_partkey AS position FROM {part}
         UNION ALL
         SELECT 10002000 + CAST(floor(p_partkey / 40) AS BIGINT), p_partkey, p_partkey + 5
-        FROM {part} WHERE p_partkey % 10 = 0""",
+        FROM {part} WHERE p_type = 'PROMO'""",
     "web_catalog": """
         SELECT CAST(p_partkey % 3 AS STRING) AS level1_id,
                CASE WHEN p_size % 10 = 9 THEN 'x' ELSE CAST(p_size % 10 AS STRING) END AS level2_id,
@@ -132,13 +132,13 @@ TEXTS = {
         FROM {part}
         UNION ALL
         SELECT CAST(p_partkey % 3 AS STRING), '77', CAST(p_partkey AS STRING)
-        FROM {part} WHERE p_partkey % 100 < 15""",
+        FROM {part} WHERE p_size < 8""",
     "web_elements": """
         SELECT CAST(p_partkey AS STRING) AS movie_id,
                CASE WHEN p_size % 8 = 0 THEN 'none' ELSE CAST(p_size AS STRING) END AS resource_code
         FROM {part}
         UNION ALL
-        SELECT CAST(p_partkey AS STRING), '9' FROM {part} WHERE p_size % 4 = 1""",
+        SELECT CAST(p_partkey AS STRING), '9' FROM {part} WHERE p_type = 'LARGE'""",
     "districts": "SELECT c_custkey AS user_id, c_nationkey AS district FROM {customer}",
     # Regions hold nations, nations hold customers; regions 0 to 2 lie below root 9.
     "tree_edges": """
