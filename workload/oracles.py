@@ -269,24 +269,29 @@ SELECT 'Topcontentlist_3_' || catalog_id || '_0' AS list_key, CAST(rank AS INT)
        {_item_json('content_id', 'views', 'movie_name', 'rank')} AS payload
 FROM ranked WHERE rank <= 20"""
 
-ORACLES["topn_by_district"] = _with(
-    "customer_plays",
-    "districts",
-    "relation",
-    "part_members",
-    episodes=PART_EPISODES,
-    views="""SELECT district, coalesce(series_id, CAST(p.content_id AS BIGINT)) AS item_id,
+def _district(order: str) -> str:
+    return _with(
+        "customer_plays",
+        "districts",
+        "relation",
+        "part_members",
+        episodes=PART_EPISODES,
+        views="""SELECT district, coalesce(series_id, CAST(p.content_id AS BIGINT)) AS item_id,
        CASE WHEN series_id IS NULL THEN 0 ELSE 1 END AS series_type,
        CAST(count(*) AS DOUBLE) / coalesce(n_episodes, 1) AS views
 FROM customer_plays p JOIN districts d ON CAST(p.user_id AS BIGINT) = d.user_id
 LEFT JOIN episodes e ON CAST(p.content_id AS BIGINT) = e.content_id GROUP BY 1, 2, 3, n_episodes""",
-    ranked="""SELECT v.*, content_name, level1_id, row_number() OVER (PARTITION BY district, v.series_type, level1_id
-       ORDER BY views DESC, item_id) AS rank
+        ranked=f"""SELECT v.*, content_name, level1_id, row_number() OVER (PARTITION BY district, v.series_type, level1_id
+       ORDER BY {order} DESC, item_id) AS rank
 FROM views v JOIN relation r ON v.item_id = r.content_id""",
-) + """
-SELECT district || '_5_' || series_type || '_' || level1_id AS list_key, CAST(rank AS INT) AS rank, item_id,
-       content_name, round(views, 9) AS views
-FROM ranked WHERE rank <= 15"""
+    )
+
+
+_DISTRICT_KEY = "district || '_5_' || series_type || '_' || level1_id AS list_key, CAST(rank AS INT) AS rank, item_id"
+ORACLES["topn_by_district"] = _district("views") + f"""
+SELECT {_DISTRICT_KEY}, content_name, round(views, 9) AS views FROM ranked WHERE rank <= 15"""
+ORACLES["topn_by_district_whole_views"] = _district("floor(views)") + f"""
+SELECT {_DISTRICT_KEY} FROM ranked WHERE rank <= 15"""
 
 ORACLES["dedupe_names_keep_rank_gap"] = """
 SELECT p_brand, CAST(rank AS INT) AS rank, p_partkey, p_name FROM (
@@ -375,6 +380,13 @@ _OWNERS = """SELECT DISTINCT catalog_id AS content_id, catalog_id AS owner_id FR
 UNION SELECT catalog_id, content_id FROM part_members"""
 
 
+ORACLES["series_lists_for_episodes"] = _with(
+    "content", "part_members", attrs=_ATTRS, told=_related(SERIES, FILM_KEYS, 6, TWO_YEARS), owners=_OWNERS
+) + """
+SELECT owner_id, s.content_id, level1_id, CAST(rank AS INT) AS rank, rec_content_id
+FROM told s JOIN owners o ON s.content_id = o.content_id"""
+
+
 def _box_lists(
     k: int,
     since: str | None,

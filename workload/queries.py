@@ -14,7 +14,7 @@ from viewloom.operators import airtime, fill, hierarchy
 from viewloom.operators import counts as cnt
 from viewloom.operators.ranking import drop_repeated_names, top_k
 from viewloom.plans import behavior, content, live, newest, popularity, reports
-from viewloom.sinks.lists import longer_than, replace_unless_shorter
+from viewloom.sinks.lists import longer_than, replace_unless_shorter, to_episodes
 from viewloom.sources.logs import in_timestamp_window
 from viewloom.sources.metadata import catalog_members, episode_map, film_names, level_rows, relate_content
 from workload import standins as st
@@ -241,6 +241,19 @@ def topn_by_district(spark, sf):
     return lists.select("list_key", "rank", "item_id", "content_name", F.round("views", 9).alias("views"))
 
 
+@query
+def topn_by_district_whole_views(spark, sf):
+    """Ordered by whole views only."""
+    lists = popularity.district_top(
+        frame(spark, sf, "customer_plays"),
+        frame(spark, sf, "districts"),
+        episode_map(_part_catalog(spark, sf)),
+        frame(spark, sf, "relation"),
+        truncate=True,
+    )
+    return lists.select("list_key", "rank", "item_id")
+
+
 @query
 def dedupe_names_keep_rank_gap(spark, sf):
     parts = table(spark, sf, "part").select("p_brand", "p_partkey", "p_name", "p_retailprice")
@@ -286,6 +299,13 @@ def content_random_sample(spark, sf):
     return _pair_columns(content.films_same_country(_attributes(spark, sf), AS_OF, k=6, seed=42))
 
 
+@query
+def series_lists_for_episodes(spark, sf):
+    lists = content.series_lists(_attributes(spark, sf), AS_OF, k=6)
+    owned = to_episodes(lists.select("content_id", "level1_id", "rank", "rec_content_id"), _series(spark, sf))
+    return owned.select("owner_id", "content_id", "level1_id", "rank", "rec_content_id")
+
+
 @query
 def content_box_lists(spark, sf):
     return content.box_lists(frame(spark, sf, "content"), _series(spark, sf), AS_OF)
