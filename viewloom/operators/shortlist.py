@@ -166,9 +166,11 @@ def recommend_by_draw(
     found = _attach(found, _as_arrays(in_group, keys, kept, "_group"), keys, "_group")
     found = _attach(found, _as_arrays(in_deck, deck_keys, kept, "_own"), deck_keys, "_own")
 
-    own = F.coalesce(_eligible(F.col("_own"), item), F.slice("_group", 1, 0))
+    # A deck with k eligible items settles the list; otherwise the group completes it.
+    found = computed(found, "_mine", F.slice(F.coalesce(_eligible(F.col("_own"), item), F.slice("_group", 1, 0)), 1, k))
     rest = F.filter(_eligible(F.col("_group"), item), lambda x: x["_deck"] != F.col("_deck"))
-    found = computed(found, "_drawn", F.slice(F.concat(own, rest), 1, k))
+    completed = F.slice(F.concat("_mine", rest), 1, k)
+    found = computed(found, "_drawn", F.when(F.size("_mine") >= k, F.col("_mine")).otherwise(completed))
     shown = [_TITLE, *carried]
     shuffled = _sorted_by(F.col("_drawn"), lambda x: F.substring(x["_draw"], F.col("_turn"), F.lit(16)), shown)
     # With fewer than k eligible items, all of them are in hand.
