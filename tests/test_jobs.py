@@ -121,12 +121,14 @@ def test_content_branches(spark):
         (7, "h", "g", "无", "C", "0", "102", None, "0", "0"),  # no date
         (8, "i", "null", "2015-08-01", "C", "0", "102", None, "0", "0"),  # no genre
         (9, "j", "g", "2015-08-01", "C", "0", "10001059", "1", "0", "0"),  # school
+        (10, "k", "h", "2015-08-01", "C", None, None, None, "0", "0"),  # no type, no level
+        (11, "l", "h", "2015-08-02", "C", None, None, None, "0", "0"),
     ]
     attrs = content.attributes(spark.createDataFrame(rows, CONTENT))
     got = {}
     for r in content.related(attrs, "2016-01-01").collect():
         got.setdefault(r["content_id"], []).append((r["rank"], r["rec_content_id"]))
-    assert {k: [i for _, i in sorted(v)] for k, v in got.items()} == {1: [2], 2: [3], 3: [2], 4: [3, 2], 7: [6]}
+    assert {k: [i for _, i in sorted(v)] for k, v in got.items()} == {1: [2], 2: [3], 3: [2], 4: [3, 2], 7: [6], 10: [11], 11: [10]}
 
 
 def test_series_lists_reach_episodes(spark):

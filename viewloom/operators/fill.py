@@ -77,16 +77,18 @@ def fill_lists(
 ) -> DataFrame:
     """Array column ``fill``: pool rows that bring the id array ``have`` up to ``k`` entries.
 
-    ``decks`` has a size fixed by its parameters, so it is broadcast. Ids in ``have`` and in the
-    ``exclude`` columns are not used, unless ``have`` lists ids of another kind than the pool's.
+    The decks of one pool have a size fixed by their parameters and are broadcast; with a pool per
+    ``group`` Spark checks the size itself. Ids in ``have`` and in the ``exclude`` columns are not
+    used, unless ``have`` lists ids of another kind than the pool's.
     """
     seats = [F.col(c) for c in seat_by]
     seated = lists.withColumn("_deck", deck_of(seed, *seats, deck_chars=deck_chars))
-    joined = seated.join(F.broadcast(decks), [*group, "_deck"], "left")
+    joined = seated.join(decks if group else F.broadcast(decks), [*group, "_deck"], "left")
     if other_ids:
         free = F.col("pool")
     else:
-        joined = computed(joined, "_taken", F.concat(F.col(have), F.array(*[F.col(c) for c in exclude]).cast(lists.schema[have].dataType)))
+        others = F.array(*[F.col(c) for c in exclude]).cast(lists.schema[have].dataType)
+        joined = computed(joined, "_taken", F.concat(F.col(have), others))
         free = F.filter("pool", lambda x: ~F.array_contains("_taken", x[item]))
     lacking = F.greatest(F.lit(k) - F.size(have), F.lit(0))
     empty = F.array().cast(decks.schema["pool"].dataType)

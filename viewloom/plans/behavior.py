@@ -23,7 +23,8 @@ def box_counts(
 ) -> DataFrame:
     """(user_id, item_id, plays) of one product, inside a catalogue subtree when one is given."""
     chosen = plays if product is None else plays.where(is_.product_is(F.col("product_key"), product))
-    counted = counts.play_counts(as_ids(chosen, "user_id", "content_id", max_length=max_length), "user_id", "content_id")
+    known = as_ids(chosen, "user_id", "content_id", max_length=max_length)
+    counted = counts.play_counts(known, "user_id", "content_id")
     if members is not None:
         counted = counts.within(counted, members)
     return counts.series_or_self(counted, episodes, "user_id")
@@ -65,7 +66,9 @@ def sample_counts(counted: DataFrame, n: int = 100) -> DataFrame:
     return counted.orderBy("user_id", "item_id").limit(n)
 
 
-def rerank_lists(counted: DataFrame, k: int, key_suffix: str, names: DataFrame | None = None, more_than: int = 0, **settings) -> DataFrame:
+def rerank_lists(
+    counted: DataFrame, k: int, key_suffix: str, names: DataFrame | None = None, more_than: int = 0, **settings
+) -> DataFrame:
     """(list_key, rank, user_id, item_id, score, payload): each user's items by predicted score.
 
     ``key_suffix`` follows the user in the key: ``5_10046284_0`` on set-top boxes, ``3_0`` on OTT.

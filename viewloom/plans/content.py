@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewloom.functions import predicates as is_
@@ -39,6 +39,15 @@ def attributes(content: DataFrame, root: str | None = None) -> DataFrame:
     ).where(F.col("genre").isNotNull())
 
 
+def _is_series() -> Column:
+    """An unknown type counts as film."""
+    return F.col("series_type").eqNullSafe("1")
+
+
+def _complete_film() -> Column:
+    return ~_is_series() & is_.has_date_and_country(F.col("day"), F.col("country"))
+
+
 def _group(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per content and group, with its latest date."""
     return rows.groupBy(*keys, "content_id", "title").agg(F.max("day").alias("day"))
@@ -68,7 +77,7 @@ def _recommend(
 def _with_owners(rows: DataFrame, series: DataFrame) -> DataFrame:
     """A film owns its list; a series' list belongs to the series and its episodes, if it has any."""
     joined = rows.join(episode_owners(series), "content_id", "left")
-    own = F.when(F.col("series_type") != "1", F.array("content_id"))
+    own = F.when(~_is_series(), F.array("content_id"))
     return joined.withColumn("owners", F.coalesce(own, F.col("owners")))
 
 
@@ -87,9 +96,8 @@ def related(
     with each other, and series with series: ``same_country`` is NULL for the last two, and the
     type is one of the keys.
     """
-    complete = (F.col("series_type") != "1") & is_.has_date_and_country(F.col("day"), F.col("country"))
-    placed = rows.where(F.col("level1_id") != is_.SCHOOL_LEVEL).withColumn(
-        "same_country", F.when(complete, F.col("country"))
+    placed = rows.where(~F.col("level1_id").eqNullSafe(is_.SCHOOL_LEVEL)).withColumn(
+        "same_country", F.when(_complete_film(), F.col("country"))
     )
     by = [*keys, "same_country"]
     return _recommend(_group(placed, by), by, as_of, k, years, seed, series)
@@ -97,19 +105,18 @@ def related(
 
 def films_same_country(rows: DataFrame, as_of: dt.date | str, **options) -> DataFrame:
     """Films with date and country, among films of the same country."""
-    chosen = (F.col("series_type") != "1") & is_.has_date_and_country(F.col("day"), F.col("country"))
-    return related(rows.where(chosen), as_of, **options)
+    return related(rows.where(_complete_film()), as_of, **options)
 
 
 def films_missing_attributes(rows: DataFrame, as_of: dt.date | str, **options) -> DataFrame:
     """Films without date or country, among their like."""
-    chosen = (F.col("series_type") != "1") & is_.lacks_date_or_country(F.col("day"), F.col("country"))
+    chosen = ~_is_series() & is_.lacks_date_or_country(F.col("day"), F.col("country"))
     return related(rows.where(chosen), as_of, **options)
 
 
 def series_lists(rows: DataFrame, as_of: dt.date | str, **options) -> DataFrame:
     """Series among series."""
-    return related(rows.where(F.col("series_type") == "1"), as_of, **options)
+    return related(rows.where(_is_series()), as_of, **options)
 
 
 def school_lists(
@@ -150,7 +157,7 @@ def box_lists(
     fields = [*by[1:], "same_country", "rank", "rec_count", "rec_content_id", "rec_title"]
     lists = _owned(related(rows, as_of, k, years, seed, keys, series), fields)
     # Jobs publish in this order, and the last list that passes its gate stays.
-    step = F.when(F.col("series_type") == "1", 2).when(F.col("same_country").isNull(), 1).otherwise(0)
+    step = F.when(_is_series(), 2).when(F.col("same_country").isNull(), 1).otherwise(0)
     lists = lists.withColumn("_step", step)
     if school:
         taught = _fields(school_lists(rows, as_of, k, years, seed), fields)
@@ -199,25 +206,18 @@ def ott_lists(elements: DataFrame, k: int = 15, minimum: int = 100) -> DataFrame
         "drama_type_id", blank_to_null(F.col("drama_type_id"))
     )
     rows = at_least(typed.where(F.col("drama_type_id").isNotNull()), minimum)
-    plain = rows.where(F.col("type_id") != is_.OTT_SCHOOL_TYPE).withColumn(
-        "_code", first_code(F.col("drama_type_id"))
-    )
-    school = rows.where(F.col("type_id") == is_.OTT_SCHOOL_TYPE).withColumn("_code", F.col("catalog_id").cast("string"))
-    parts = [_ott_pairs(part, k) for part in (plain, school)]
-    lists = parts[0].unionByName(parts[1])
-    return lists.withColumn("list_key", list_key(F.col("movie_id"), "3", "0", F.col("catalog_id"))).withColumn(
-        "payload", item_payload(F.col("rec_movie_id"), F.col("rank"), F.col("rec_movie_name"))
-    )
-
-
-def _ott_pairs(rows: DataFrame, k: int) -> DataFrame:
-    keys = ["type_id", "_code"]
+    is_school = F.col("type_id") == is_.OTT_SCHOOL_TYPE
+    code = F.when(is_school, F.col("catalog_id").cast("string")).otherwise(first_code(F.col("drama_type_id")))
+    keys = ["type_id", "code"]
+    rows = rows.withColumn("code", code)
     items = rows.groupBy(*keys, "movie_id").agg(F.max("movie_name").alias("movie_name"))
     targets = rows.select(*keys, "movie_id", "catalog_id").distinct()
-    listed = recommend_by_order(
+    lists = recommend_by_order(
         targets, items, keys, [F.col("movie_id")], k, item="movie_id", title=None, fields=["movie_name"]
     )
-    return listed.select("movie_id", "catalog_id", "type_id", "rank", "rec_movie_id", "rec_movie_name")
+    return lists.withColumn("list_key", list_key(F.col("movie_id"), "3", "0", F.col("catalog_id"))).withColumn(
+        "payload", item_payload(F.col("rec_movie_id"), F.col("rank"), F.col("rec_movie_name"))
+    )
 
 
 def cinema_lists(members: DataFrame, names: DataFrame, k: int = 20, more_than: int = 2, seed: int = 42) -> DataFrame:
@@ -255,7 +255,9 @@ def cinema_lists(members: DataFrame, names: DataFrame, k: int = 20, more_than: i
     own = F.transform(
         "_recs",
         lambda x: F.struct(
-            x["rec_content_id"].alias("rec_content_id"), x["rec_name"].alias("rec_name"), F.lit("catalog").alias("source")
+            x["rec_content_id"].alias("rec_content_id"),
+            x["rec_name"].alias("rec_name"),
+            F.lit("catalog").alias("source"),
         ),
     )
     extra = F.transform(

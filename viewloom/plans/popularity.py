@@ -51,13 +51,8 @@ def cinema_top(plays: DataFrame, films: DataFrame, k: int = 20, product: str | N
     """Cinema films by plays."""
     users_known = plays.where(is_.valid_ids(F.col("user_id")))
     counted = _counted(users_known, product).join(films, "content_id")
-    ranked = top_k_if_more(
-        counted.select(F.col("content_id").alias("item_id"), F.col("content_name").alias("item_name"), F.col("plays").alias("views")),
-        [],
-        _by_views("item_id"),
-        k,
-        k,
-    )
+    views = counted.withColumnsRenamed({"content_id": "item_id", "content_name": "item_name", "plays": "views"})
+    ranked = top_k_if_more(views, [], _by_views("item_id"), k, k)
     root = is_.CINEMA_CATALOG
     return (
         drop_repeated_names(ranked, [], "item_name")

@@ -541,7 +541,8 @@ def cinema_expand(spark, sf):
 
 def _user_items(spark, sf, low, high):
     """Played items of a span of days as lists, newest day excluded."""
-    plays = reports.as_ids(_event_plays(spark, sf, high).where(~in_timestamp_window(F.col("ts"), EVENTS_AS_OF, low)), "user_id", "content_id")
+    span = _event_plays(spark, sf, high).where(~in_timestamp_window(F.col("ts"), EVENTS_AS_OF, low))
+    plays = reports.as_ids(span, "user_id", "content_id")
     counted = cnt.play_counts(plays, "user_id", "content_id")
     ranked = top_k(counted, ["user_id"], [F.desc("plays"), F.asc("content_id")], 15)
     return ranked.select(F.col("user_id").alias("list_key"), "rank", "content_id")
@@ -568,9 +569,8 @@ def payload_item(spark, sf):
 @query
 def payload_top_list(spark, sf):
     parts = table(spark, sf, "part")
-    payload = top_list_payload(
-        F.col("p_partkey"), F.col("p_size"), F.col("p_name"), F.col("p_type"), F.when(F.col("p_size") > 9, F.col("p_brand"))
-    )
+    parent = F.when(F.col("p_size") > 9, F.col("p_brand"))
+    payload = top_list_payload(F.col("p_partkey"), F.col("p_size"), F.col("p_name"), F.col("p_type"), parent)
     return parts.select("p_partkey", payload.alias("payload"))
 
 
