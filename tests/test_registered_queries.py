@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.check_oracles import compare, connect
+from workload.oracles import ORACLES
+from workload.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -37,6 +38,11 @@ def test_plan_pairs_no_rows_without_keys(spark, name):
     assert "NestedLoopJoin" not in plan
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     rows = entry.entry(spark)
     assert rows.columns == ["item1", "item2", "corr", "reg_corr", "cos_sim", "jaccard"]
