@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewloom.llm import decontaminate, linededup
+from viewloom.llm import bagminhash, decontaminate, linededup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +46,14 @@ FROM docs JOIN marked USING (r) GROUP BY docs.r, docs.doc_id
 """
 
 
+@query
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signatures are random, so SQL has no form of it; tests hold it against all pairs."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = bagminhash.near_duplicates(docs, size=5, similarity=0.8, bands=21, rows=6)
+    return found.select("doc_id", "class_id", "text_id", "n_units")
+
+
 @query
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
