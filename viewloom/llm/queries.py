@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewloom.llm import bagminhash, decontaminate, linededup
+from viewloom.llm import bagminhash, decontaminate, langid, linecrf, linededup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +22,16 @@ def query(function):
     return function
 
 
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A trained model, so without SQL; tests measure its held-out accuracy."""
+    held = langid.held_out(F.col("doc_id"), 4, 2)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held.alias("held_out"))
+    model = langid.train(docs.where(~F.col("held_out")), "text", "lang", F.col("doc_id").cast("string"))
+    scored = langid.predict(docs.select("doc_id", "text", "held_out"), model)
+    return scored.select("doc_id", "held_out", "lang_pred", "score")
+
+
 @query
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -54,6 +64,16 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "text_id", "n_units")
 
 
+@query
+def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A trained model, so without SQL; tests measure its held-out accuracy."""
+    held = langid.held_out(F.col("doc_id"), 3, 1)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held.alias("held_out"))
+    labels = table(spark, sf_dir, "labels").where(~held).select("doc_id", "quality")
+    model = linecrf.train(docs.where(~F.col("held_out")), labels)
+    return linecrf.score(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
 @query
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
