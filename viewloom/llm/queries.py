@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewloom.llm import bagminhash, decontaminate, langid, linecrf, linededup
+from viewloom.llm import bagminhash, decontaminate, langid, linecrf, linededup, mixing, tokencount
+from viewloom.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +33,21 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def vocabulary(name: str = "byte_bpe_50k.tiktoken") -> tuple[str, str]:
+    """Path and pattern of a public tokenizer that is installed beside the library."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name), public_tokenizers.PATTERN
+
+
+@query
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoding has no SQL form; tests count with the encoder itself."""
+    docs = table(spark, sf_dir, "documents").select("text")
+    counted = tokencount.with_token_count(docs, *vocabulary()).select("n_tokens")
+    return tokencount.with_suffix_sums(cut_lineage(tokencount.length_histogram(counted)))
+
+
 @query
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -56,6 +72,22 @@ FROM docs JOIN marked USING (r) GROUP BY docs.r, docs.doc_id
 """
 
 
+@query
+def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mixture(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op7_source_mix"] = (
+    "WITH "
+    + mixing.mixture_sql("documents").strip()
+    + f"""
+SELECT doc_id, size, source_size, target, size * (certain + CASE WHEN drawn THEN 1 ELSE 0 END) AS taken
+FROM round_{mixing.ROUNDS - 1}
+"""
+)
+
+
 @query
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signatures are random, so SQL has no form of it; tests hold it against all pairs."""
