@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewloom.llm import bagminhash, decontaminate, langid, linecrf, linededup, mixing, tokencount
+from viewloom.llm import bagminhash, decontaminate, langid, linecrf, linededup, mixing, secretscan, tokencount
 from viewloom.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,13 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.with_suffix_sums(cut_lineage(tokencount.length_histogram(counted)))
 
 
+@query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secretscan.scan(docs, rate=0.01)
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random")
+
+
 @query
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
