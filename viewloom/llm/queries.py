@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewloom.llm import bagminhash, decontaminate, langid, linecrf, linededup, mixing, secretscan, tokencount
+from viewloom.llm import bagminhash, decontaminate, langid, linecrf, linededup, mixing, permindex, pseudonyms, secretscan, tokencount
 from viewloom.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,13 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.with_suffix_sums(cut_lineage(tokencount.length_histogram(counted)))
 
 
+@query
+def op3_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An approximate search, so without SQL; tests measure its recall against brute force."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return permindex.nearest(vectors, F.pmod("vec_id", F.lit(50)) == 0, k=5)
+
+
 @query
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -55,6 +62,15 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random")
 
 
+@query
+def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A keyed permutation; tests undo it and hold its rules against a plain version. The key is a setting."""
+    key = spark.conf.get("spark.viewloom.pseudonyms.key", "a key for tests only")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = pseudonyms.pseudonymise(docs, key)
+    return done.select("doc_id", "text", *[f"n_{kind}" for kind in pseudonyms.KINDS])
+
+
 @query
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
