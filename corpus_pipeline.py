@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewloom.llm import bagminhash, decontaminate, langid, linecrf, linededup, mixing
+from viewloom.llm.frames import TEXT, own, packed
 from viewloom.session import cut_lineage
 
 
@@ -19,17 +20,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     held = langid.held_out(F.col("doc_id"), 3, 1)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held).select("doc_id", "quality")
     model = linecrf.train(docs.where(~held), labels)
-    row = F.struct(*[F.col(c) for c in docs.columns]).alias("_row")
-    return linecrf.score(docs.select(row, "text"), model).where("predicted = 1").select("_row.*")
+    rows = packed(docs, "text")
+    kept = linecrf.score(rows, model, text=TEXT).where("predicted = 1")
+    return kept.select(*[own(c, "text").alias(c) for c in docs.columns])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that stand in ten documents or more. A null text stays null."""
-    row = F.struct(*[F.col(c) for c in docs.columns]).alias("_row")
-    kept = linededup.drop_repeated_lines(docs.select("doc_id", "text", row), min_docs=10, min_length=1)
-    text = F.when(F.col("text").isNull(), F.lit(None).cast("string")).otherwise(F.col("kept_text"))
-    changed = {"text": text, "n_chars": F.when(F.col("n_dropped") > 0, F.length("kept_text").cast("bigint")).otherwise(F.col("_row.n_chars"))}
-    return kept.select(*[changed.get(c, F.col(f"_row.{c}")).alias(c) for c in docs.columns])
+    kept = linededup.drop_repeated_lines(packed(docs, "text"), text=TEXT, min_docs=10, min_length=1)
+    changed = {
+        "text": F.when(F.col(TEXT).isNull(), F.lit(None).cast("string")).otherwise(F.col("kept_text")),
+        "n_chars": F.when(F.col("n_dropped") > 0, F.length("kept_text").cast("bigint")).otherwise(own("n_chars", "text")),
+    }
+    return kept.select(*[changed.get(c, own(c, "text")).alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from viewloom.llm.frames import TEXT, own, packed, unpacked
 from viewloom.llm.textbytes import Texts, text_blocks, window_hashes, words_of
 from viewloom.session import cut_lineage
 
@@ -156,21 +157,22 @@ def contamination(
     scans = [
         _scanner(spark, windows.where(F.pmod("slice_hash", F.lit(slices)) == s).collect()) for s in range(slices)
     ]
+    rows = packed(docs, text)
     if slices == 1:
-        scanned = docs.withColumn("_scan", scans[0](F.col(text)))
+        scanned = rows.withColumn("_scan", scans[0](F.col(TEXT)))
     else:
         # The rows of one text agree, so hits go by the text's fingerprint and not by the row.
-        prints = [F.xxhash64(F.col(text)).alias("_a"), F.xxhash64(F.lit(1), F.col(text)).alias("_b")]
+        prints = [F.xxhash64(F.col(TEXT)).alias("_a"), F.xxhash64(F.lit(1), F.col(TEXT)).alias("_b")]
         passes = None
         for scan in scans:
-            part = docs.select(*prints, scan(F.col(text)).alias("_scan")).where(F.size("_scan.items") > 0)
+            part = rows.select(*prints, scan(F.col(TEXT)).alias("_scan")).where(F.size("_scan.items") > 0)
             passes = part if passes is None else passes.unionByName(part)
         pairs = F.arrays_zip(F.col("_scan.at").alias("at"), F.col("_scan.length").alias("length"))
         hits = passes.groupBy("_a", "_b").agg(
             F.collect_set(pairs).alias("_pairs"), F.array_distinct(F.flatten(F.collect_set("_scan.items"))).alias("_items")
         )
         merged = hits.select("_a", "_b", "_items", F.explode(F.array(_merged(F.flatten("_pairs")))).alias("_spans"))
-        joined = docs.select("*", *prints, scans[0](F.col(text))["n_words"].alias("_n")).join(merged, ["_a", "_b"], "left")
+        joined = rows.select("*", *prints, scans[0](F.col(TEXT))["n_words"].alias("_n")).join(merged, ["_a", "_b"], "left")
         none = F.array().cast("array<int>")
         scanned = joined.withColumn(
             "_scan",
@@ -180,25 +182,26 @@ def contamination(
                 F.coalesce(F.col("_spans.length"), none).alias("length"),
                 F.array_sort(F.coalesce("_items", F.array().cast("array<string>"))).alias("items"),
             ),
-        ).drop("_a", "_b", "_n", "_spans", "_items")
+        )
     hit = F.aggregate("_scan.length", F.lit(0).cast("bigint"), lambda total, x: total + x)
-    counted = scanned.withColumns(
-        {
-            "n_words": F.col("_scan.n_words"),
-            "n_hit": hit,
-            "n_items": F.size("_scan.items").cast("bigint"),
-            "items": F.col("_scan.items"),
-            "items_sha256": _joined(F.col("_scan.items")),
-            "hit_spans": F.arrays_zip(F.col("_scan.at").alias("at"), F.col("_scan.length").alias("length")),
-        }
-    ).drop("_scan")
-    return counted.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
-
-
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    scanned = scanned.withColumn("_hit", hit)
+    results = {
+        "n_words": F.col("_scan.n_words"),
+        "n_hit": F.col("_hit"),
+        "n_items": F.size("_scan.items").cast("bigint"),
+        "items": F.col("_scan.items"),
+        "items_sha256": _joined(F.col("_scan.items")),
+        "hit_spans": F.arrays_zip(F.col("_scan.at").alias("at"), F.col("_scan.length").alias("length")),
+        "contaminated": (F.col("_hit") > 0) & (20 * F.col("_hit") >= F.col("_scan.n_words")),
+    }
+    return unpacked(scanned, docs, text, results)
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The documents of ``docs`` that are not contaminated, with their own columns only."""
-    marked = contamination(docs.withColumn("_row", F.struct(*[F.col(c) for c in docs.columns])), benchmark, **options)
-    return marked.where(~F.col("contaminated")).select("_row.*")
+    rows = packed(docs, text)
+    marked = contamination(rows, benchmark, text=TEXT, **options).where(~F.col("contaminated"))
+    return marked.select(*[own(c, text).alias(c) for c in docs.columns])
 
 
 def _cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
@@ -219,8 +222,6 @@ def _cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
 
 def without_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """All documents, with every hit word cut out of their texts and all else left as it is."""
-    marked = contamination(docs.withColumn("_row", F.struct(*[F.col(c) for c in docs.columns])), benchmark, text=text, **options)
-    cut = F.when(F.col("n_hit") > 0, F.arrow_udf(_cut, "string")(F.col(text), F.col("hit_spans"))).otherwise(F.col(text))
-    return marked.select("_row", cut.alias("_cut")).select(
-        *[F.col("_cut").alias(c) if c == text else F.col(f"_row.{c}") for c in docs.columns]
-    )
+    marked = contamination(packed(docs, text), benchmark, text=TEXT, **options)
+    cut = F.when(F.col("n_hit") > 0, F.arrow_udf(_cut, "string")(F.col(TEXT), F.col("hit_spans"))).otherwise(F.col(TEXT))
+    return marked.select(*[cut.alias(c) if c == text else own(c, text).alias(c) for c in docs.columns])

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from viewloom.llm.frames import TEXT, packed, unpacked
 from viewloom.llm.textbytes import BLANK, LINE_FEED, LOWER, SYMBOL, Texts, mix, runs, spans_hash, text_blocks
 from viewloom.operators.ranking import top_k
 
@@ -275,5 +276,5 @@ def score(docs: DataFrame, model: Chain | float | None, text: str = "text") -> D
                 out.append(chain.calibrated(raw_quality(chain, *line_features(block))))
             yield pa.array(np.concatenate(out))
 
-    scored = docs.withColumn("score", F.arrow_udf(rate, "double").asNondeterministic()(F.col(text)))
-    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    scored = packed(docs, text).withColumn("_score", F.arrow_udf(rate, "double").asNondeterministic()(F.col(TEXT)))
+    return unpacked(scored, docs, text, {"score": F.col("_score"), "predicted": (F.col("_score") >= 0.5).cast("int")})

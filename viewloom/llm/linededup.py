@@ -23,11 +23,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from viewloom.llm.frames import OWN, TEXT, own, packed, unpacked
 from viewloom.llm.textbytes import BLANK, LINE_FEED, LOWER, SYMBOL, Texts, mix, spans_hash, text_blocks
 from viewloom.session import cut_lineage
 
 PIECES = 64
 PROBES = 3
+SALTS = 32
 STRIPPED = b" \t\n\x0b\x0c\r"
 
 
@@ -176,24 +178,27 @@ def _drop_lines(texts: pa.Array, drops: pa.Array) -> pa.Array:
     return pa.array(out, RESULT)
 
 
-def frequent_lines(docs: DataFrame, text: str, min_docs: int, min_length: int, filter_bits: int) -> DataFrame:
-    """(_doc, _text, print): which confirmed lines stand in which texts.
+def _row_key() -> list:
+    """Two fingerprints of a packed row that don't depend on how often it is read."""
+    whole = F.coalesce(F.col(TEXT), F.lit(""))
+    return [F.xxhash64(F.to_json(F.col(OWN)), whole).alias("_doc"), F.xxhash64(F.lit(1), whole).alias("_text")]
 
-    _doc and _text are fingerprints of the row and of its text: equal rows have equal lines.
-    """
-    packed = twice_filter(docs, text, min_length, filter_bits)
-    suspects = _suspects(docs.sparkSession, packed, min_length, filter_bits)
-    rows = docs.select(*_row_key(docs, text), F.explode(suspects(F.col(text))).alias("print"))
-    rows = cut_lineage(rows)
-    # Counting combines before the shuffle, so a hot line is a few rows per task.
-    frequent = rows.groupBy("print").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_docs).select("print")
-    return rows.join(frequent, "print")
 
+def _suspect_rows(rows: DataFrame, min_length: int, bits: int, *more) -> DataFrame:
+    """(_doc, _text, print, more...): the suspected lines of every row, written once."""
+    packed_filter = twice_filter(rows, TEXT, min_length, bits)
+    suspects = _suspects(rows.sparkSession, packed_filter, min_length, bits)
+    return cut_lineage(rows.select(*_row_key(), *more, F.explode(suspects(F.col(TEXT))).alias("print")))
 
-def _row_key(docs: DataFrame, text: str) -> list:
-    """Two fingerprints of a row that don't depend on how often it is read."""
-    row = F.to_json(F.struct(*[F.col(c) for c in docs.columns if c != text] or [F.lit(0)]))
-    return [F.xxhash64(row, F.col(text)).alias("_doc"), F.xxhash64(F.lit(1), F.col(text)).alias("_text")]
+
+def _without(docs: DataFrame, rows: DataFrame, text: str, drops: DataFrame) -> DataFrame:
+    """Texts without the lines of ``drops`` (_doc, _text, print), which may repeat."""
+    per_row = drops.groupBy("_doc", "_text").agg(F.collect_set("print").alias("_drop"))
+    joined = rows.select("*", *_row_key()).join(per_row, ["_doc", "_text"], "left")
+    drop = F.arrow_udf(_drop_lines, "struct<n_lines: bigint, n_dropped: bigint, kept: string>").asNondeterministic()
+    done = joined.withColumn("_done", drop(F.col(TEXT), F.col("_drop")))
+    results = {"n_lines": F.col("_done.n_lines"), "n_dropped": F.col("_done.n_dropped"), "kept_text": F.col("_done.kept")}
+    return unpacked(done, docs, text, results)
 
 
 def drop_repeated_lines(
@@ -212,31 +217,26 @@ def drop_repeated_lines(
     """
     if min_docs < 2:
         raise ValueError("a repeated line stands in two documents at least")
-    found = frequent_lines(docs, text, min_docs, min_length, filter_bits)
-    per_row = found.groupBy("_doc", "_text").agg(F.collect_set("print").alias("_drop"))
-    keyed = docs.select("*", *_row_key(docs, text))
-    joined = keyed.join(per_row, ["_doc", "_text"], "left")
-    done = joined.withColumn("_done", F.arrow_udf(_drop_lines, _ddl()).asNondeterministic()(F.col(text), F.col("_drop")))
-    out = {"n_lines": F.col("_done.n_lines"), "n_dropped": F.col("_done.n_dropped"), "kept_text": F.col("_done.kept")}
-    return done.withColumns(out).drop("_done", "_drop", "_doc", "_text")
+    rows = packed(docs, text)
+    found = _suspect_rows(rows, min_length, filter_bits)
+    # Counting combines before the shuffle, so a hot line is a few rows per task.
+    frequent = found.groupBy("print").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("print")
+    # Each confirmed line meets its documents in SALTS places, for a hot one stands in many of them.
+    salted = frequent.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    drops = found.withColumn("salt", F.pmod("_doc", F.lit(SALTS)).cast("int")).join(salted, ["print", "salt"])
+    return _without(docs, rows, text, drops)
 
 
 def keep_first_lines(docs: DataFrame, order: str, text: str = "text", min_length: int = 1, filter_bits: int = 1 << 26) -> DataFrame:
-    """``docs`` with kept_text: a line that stands in several documents stays in the first by ``order``.
+    """``docs`` with n_lines, n_dropped and kept_text: a line of several documents stays in the first by ``order``.
 
-    Within a document its occurrences stay together. Ties go to the smaller row fingerprint.
+    Within a document its occurrences stay together. Nulls of ``order`` come first, ties go to the smaller row
+    fingerprint, and equal rows count as one document.
     """
-    packed = twice_filter(docs, text, min_length, filter_bits)
-    suspects = _suspects(docs.sparkSession, packed, min_length, filter_bits)
-    at = F.struct(F.col(order), *_row_key(docs, text))
-    rows = cut_lineage(docs.select(at.alias("_at"), F.explode(suspects(F.col(text))).alias("print")))
-    first = rows.groupBy("print").agg(F.min("_at").alias("_first"))
-    later = rows.join(first, "print").where(F.col("_at") != F.col("_first"))
-    per_row = later.groupBy(F.col("_at._doc").alias("_doc"), F.col("_at._text").alias("_text")).agg(F.collect_set("print").alias("_drop"))
-    joined = docs.select("*", *_row_key(docs, text)).join(per_row, ["_doc", "_text"], "left")
-    done = joined.withColumn("_done", F.arrow_udf(_drop_lines, _ddl()).asNondeterministic()(F.col(text), F.col("_drop")))
-    return done.withColumn("kept_text", F.col("_done.kept")).drop("_done", "_drop", "_doc", "_text")
-
-
-def _ddl() -> str:
-    return "struct<n_lines: bigint, n_dropped: bigint, kept: string>"
+    rows = packed(docs, text)
+    found = _suspect_rows(rows, min_length, filter_bits, own(order, text).alias("at"))
+    place = F.struct("at", "_doc", "_text")
+    first = found.groupBy("print").agg(F.min(place).alias("first"))
+    salted = first.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    met = found.withColumn("salt", F.pmod("_doc", F.lit(SALTS)).cast("int")).join(salted, ["print", "salt"])
+    return _without(docs, rows, text, met.where(~place.eqNullSafe(F.col("first"))))

@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from viewloom.llm.frames import TEXT, packed, unpacked
 from viewloom.operators.columns import computed
 
 MARK, MARK_STAND_IN = "\u0001", "\u0002"
@@ -31,7 +32,7 @@ ROUNDS = 10
 WALKS = 12
 
 _EDGE, _END = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
-_EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+_EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 _IBAN = _EDGE + r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?" + _END
 _IP = r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z])(?!\.[0-9])"
 _YEAR_FIRST = r"(?<![0-9A-Za-z.-])(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}(?![0-9A-Za-z-])"
@@ -274,18 +275,18 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", inverse: bool =
     """
     if not key:
         raise ValueError("pseudonyms need a key")
-    marked = F.regexp_replace(F.translate(F.col(text), MARK, MARK_STAND_IN), PATTERN, f"{MARK}$0{MARK}")
-    pieces = computed(docs, "_pieces", F.split(marked, MARK, -1))
+    marked = F.regexp_replace(F.translate(F.col(TEXT), MARK, MARK_STAND_IN), PATTERN, f"{MARK}$0{MARK}")
+    pieces = computed(packed(docs, text), "_pieces", F.split(marked, MARK, -1))
 
     def piece(x: Column, i: Column) -> Column:
         plain = F.struct(F.lit(None).cast("string").alias("kind"), x.alias("value"))
         return F.when(F.pmod(i, F.lit(2)) == 1, pseudonym(x, key, inverse)).otherwise(plain)
 
     done = computed(pieces, "_done", F.transform("_pieces", piece))
-    out = done.withColumn(text, F.array_join(F.transform("_done", lambda x: x["value"]), ""))
+    results = {text: F.array_join(F.transform("_done", lambda x: x["value"]), "")}
     for kind in KINDS:
-        out = out.withColumn(f"n_{kind}", _count(F.col("_done"), kind))
-    return out.drop("_pieces", "_done")
+        results[f"n_{kind}"] = _count(F.col("_done"), kind)
+    return unpacked(done, docs, text, results)
 
 
 def _count(done: Column, kind: str) -> Column:

@@ -100,7 +100,7 @@ def _tests(token: Column, alphabet: str, excess: float, change_random: float, ch
         kinds = F.translate(folded, alphabet, "".join("1" if c in "aeiou" else "0" for c in alphabet))
     else:
         kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(folded, "[a-z]", "a"), "[A-Z]", "A"), "[0-9]", "0")
-    changes = F.size(F.filter(F.split(kinds, ""), lambda c, i: (i > 0) & (c != F.substring(kinds, i, F.lit(1))))).cast("double")
+    changes = (F.length(F.regexp_replace(kinds, r"(.)\1+", "$1")) - 1).cast("double")  # one symbol per run
     side = 1 if change_random > change_text else -1
     runs_text = side * (changes - (n - 1) * change_text) / F.sqrt((n - 1) * change_text * (1 - change_text))
     runs_even = (changes - (n - 1) * change_random) / F.sqrt((n - 1) * change_random * (1 - change_random))
