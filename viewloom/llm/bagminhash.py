@@ -11,10 +11,11 @@ of its bag are surely hit, so a bag of n words costs O(n + m log m) and not n ti
 Documents of equal texts are one class. Signatures of the classes are cut into bands; classes that
 share a band's bucket are candidates:
 
-1. every class is compared with the smallest class of each of its buckets, which is linear in the size
-   of a bucket, and verified links are put together to components;
-2. where a bucket still holds several components, the pairs between them are compared as well. Pairs
-   within a component can't change the result and are never formed.
+1. every class is compared with one class of each of its buckets, the one that shares most buckets with
+   others. That is linear in the size of a bucket. Verified links are put together to components;
+2. where a bucket still holds several components, its members are compared across components, in chunks of a
+   bounded size, by tasks that hold the bags of two chunks. A task returns the links that join components, less
+   than it has members; pairs as such are never written.
 
 So every pair of classes that shares a bucket is either compared exactly or already in one component.
 """
@@ -33,6 +34,8 @@ from viewloom.llm.textbytes import Texts, mix, spans_hash, text_blocks, window_h
 from viewloom.session import cut_lineage
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+#: Bounds of a chunk of a bucket: 16 MB of units, and members that are looped over.
+CHUNK_UNITS, CHUNK_MEMBERS = 2_000_000, 2048
 
 
 def shingles(texts: Texts, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -158,8 +161,17 @@ def _keys(docs: DataFrame, text: str) -> list:
     return [prints.alias("_class"), F.xxhash64(row).alias("_row")]
 
 
+def _bags_of(docs: DataFrame, classes: DataFrame, nodes: DataFrame, text: str, size: int) -> DataFrame:
+    """(_class, bag): the units of one text of every class in ``nodes``."""
+    # One row of every class: copies differ in _row, which deals a class of many copies out evenly.
+    wanted = classes.join(nodes, "_class", "left_semi").select("_class", F.col("_first._row").alias("_row"))
+    texts = docs.select(F.col(text).alias("_text"), *_keys(docs, text)).join(wanted, ["_class", "_row"])
+    bagged = texts.dropDuplicates(["_class"]).select("_class", _bagger(size)(F.col("_text")).alias("bag"))
+    return cut_lineage(bagged)
+
+
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, text: str, size: int, similarity: float) -> DataFrame:
-    """The pairs (left, right) of classes whose bags are similar enough, with the similarity."""
+    """The pairs (left, right) of classes whose bags are similar enough."""
     sizes = classes.select(F.col("_class").alias("_c"), "n_units")
     sized = (
         pairs.join(sizes.select(F.col("_c").alias("left"), F.col("n_units").alias("nl")), "left")
@@ -168,18 +180,91 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, text: str,
     )
     sized = cut_lineage(sized)
     nodes = sized.select(F.col("left").alias("_class")).union(sized.select(F.col("right").alias("_class"))).distinct()
-    # One row of every class: copies differ in _row, which deals a class of many copies out evenly.
-    wanted = classes.join(nodes, "_class", "left_semi").select("_class", F.col("_first._row").alias("_row"))
-    texts = docs.select(F.col(text).alias("_text"), *_keys(docs, text)).join(wanted, ["_class", "_row"])
-    bagged = texts.dropDuplicates(["_class"]).select("_class", _bagger(size)(F.col("_text")).alias("bag"))
-    bagged = cut_lineage(bagged)
+    bagged = _bags_of(docs, classes, nodes, text, size)
     both = sized.join(bagged.select(F.col("_class").alias("left"), F.col("bag").alias("lb")), "left").join(
         bagged.select(F.col("_class").alias("right"), F.col("bag").alias("rb")), "right"
     )
     overlap = F.size(F.array_intersect("lb", "rb"))
-    return both.select("left", "right", (overlap / (F.col("nl") + F.col("nr") - overlap)).alias("similarity")).where(
-        F.col("similarity") >= similarity
+    return both.where(overlap / (F.col("nl") + F.col("nr") - overlap) >= similarity).select("left", "right")
+
+
+def joining_links(groups: np.ndarray, parts: np.ndarray, chunks: np.ndarray, offsets: np.ndarray, values: np.ndarray, similarity: float):
+    """Pairs (i, j) of similar members that join different parts, as few as connect the same.
+
+    Member i has the part ``parts[i]`` and the units values[offsets[i]:offsets[i + 1]]. Members of one chunk are
+    compared here only if there is one chunk.
+    """
+    numbers = np.unique(values, return_inverse=True)[1]
+    flags = np.zeros(len(values) + 1, bool)
+    sizes = np.diff(offsets)
+    label = parts.copy()
+    across = len({*chunks.tolist()}) > 1
+    for i in range(len(groups)):
+        other = (label != label[i]) & (np.minimum(sizes, sizes[i]) >= similarity * np.maximum(sizes, sizes[i]))
+        if across:
+            other &= chunks > chunks[i]
+        else:
+            other[: i + 1] = False
+        at = np.flatnonzero(other)
+        if not len(at):
+            continue
+        own = numbers[offsets[i] : offsets[i + 1]]
+        flags[own] = True
+        # Units of the members asked for, one after the other.
+        picked = np.repeat(offsets[at], sizes[at]) + np.arange(sizes[at].sum()) - np.repeat(np.cumsum(sizes[at]) - sizes[at], sizes[at])
+        overlap = np.add.reduceat(flags[numbers[picked]].astype(np.int64), np.cumsum(sizes[at]) - sizes[at])
+        flags[own] = False
+        for j in at[overlap / (sizes[i] + sizes[at] - overlap) >= similarity]:
+            if label[j] != label[i]:
+                label[label == label[j]] = label[i]
+                yield i, int(j)
+
+
+def _linker(similarity: float):
+    def link(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        classes = table.column("_class").to_pylist()
+        order = sorted(range(len(classes)), key=lambda i: (classes[i]["x"], classes[i]["y"]))
+        table = table.take(order)
+        classes = [classes[i] for i in order]
+        names = [(p["x"], p["y"]) for p in table.column("part").to_pylist()]
+        number = {p: i for i, p in enumerate(dict.fromkeys(names))}
+        lists = table.column("bag").combine_chunks()
+        offsets = np.asarray(lists.offsets, np.int64)
+        values = np.asarray(lists.values)[offsets[0] : offsets[-1]]
+        pairs = joining_links(
+            np.arange(len(classes)),
+            np.array([number[p] for p in names]),
+            table.column("chunk").to_numpy(),
+            offsets - offsets[0],
+            values,
+            similarity,
+        )
+        found = [(classes[i], classes[j]) for i, j in pairs]
+        kind = pa.struct([("x", pa.int64()), ("y", pa.int64())])
+        return pa.table({"left": pa.array([a for a, _ in found], kind), "right": pa.array([b for _, b in found], kind)})
+
+    return link
+
+
+def _across(docs: DataFrame, classes: DataFrame, known: DataFrame, text: str, size: int, similarity: float) -> DataFrame:
+    """Links (left, right) that join the parts of a bucket; ``known``: band, hash, _class, part, n_units."""
+    bucket = ["band", "hash"]
+    spread = known.groupBy(*bucket).agg(
+        F.min("part").alias("low"),
+        F.max("part").alias("high"),
+        F.greatest(F.ceil(F.sum("n_units") / CHUNK_UNITS), F.ceil(F.count(F.lit(1)) / CHUNK_MEMBERS)).cast("int").alias("chunks"),
     )
+    rest = known.join(spread.where("low < high").drop("low", "high"), bucket)
+    chunk = F.pmod(F.xxhash64("_class"), F.col("chunks")).cast("int")
+    # Every pair of chunks is a task; a bucket of one chunk is one.
+    dealt = rest.withColumn("chunk", chunk).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    dealt = dealt.withColumn("low", F.least("chunk", "with")).withColumn("high", F.greatest("chunk", "with"))
+    dealt = cut_lineage(dealt.select(*bucket, "low", "high", "chunk", "_class", "part"))
+    bagged = _bags_of(docs, classes, dealt.select("_class").distinct(), text, size)
+    pair = "struct<x: bigint, y: bigint>"
+    grouped = dealt.join(bagged, "_class").groupBy(*bucket, "low", "high")
+    return grouped.applyInArrow(_linker(similarity), f"left {pair}, right {pair}")
 
 
 def near_duplicates(
@@ -204,29 +289,23 @@ def near_duplicates(
     first = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")).alias("_first")
     classes = cut_lineage(table.groupBy("_class").agg(first, F.first("n_units").alias("n_units"), F.first("bands").alias("bands")))
 
-    banded = classes.select("_class", F.posexplode("bands").alias("band", "hash"))
+    banded = classes.select("_class", "n_units", F.posexplode("bands").alias("band", "hash"))
     bucket = ["band", "hash"]
-    heads = banded.groupBy(*bucket).agg(F.min("_class").alias("head"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    shared = cut_lineage(banded.join(heads.drop("members"), bucket))
-    stars = shared.where(F.col("_class") != F.col("head")).select(F.col("_class").alias("left"), F.col("head").alias("right")).distinct()
-    stars = cut_lineage(stars)
-    links = cut_lineage(_verified(docs, classes, stars, text, size, similarity))
+    counts = banded.groupBy(*bucket).agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    shared = cut_lineage(banded.join(counts, bucket))
+    # The class that shares most buckets with others stands for its buckets.
+    shares = shared.groupBy("_class").agg(F.sum("members").alias("shares"))
+    heads = shared.join(shares, "_class").groupBy(*bucket).agg(F.max(F.struct("shares", "_class")).alias("head"))
+    stars = shared.join(heads, bucket).select(F.col("_class").alias("left"), F.col("head._class").alias("right")).where("left != right")
+    links = cut_lineage(_verified(docs, classes, cut_lineage(stars.distinct()), text, size, similarity))
     labels = components(links)
 
     # Buckets that hold several components after the first step.
-    known = shared.drop("head").join(labels.withColumnRenamed("node", "_class"), "_class", "left")
-    known = cut_lineage(known.select(*bucket, "_class", F.coalesce("label", "_class").alias("part")))
-    mixed = known.groupBy(*bucket).agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select(*bucket)
-    rest = known.join(mixed, bucket)
-    left = rest.select(*bucket, F.col("_class").alias("left"), F.col("part").alias("lp"))
-    right = rest.select(*bucket, F.col("_class").alias("right"), F.col("part").alias("rp"))
-    pairs = left.join(right, bucket).where(F.col("lp") < F.col("rp")).select("left", "right").distinct()
-    tested = stars.union(stars.select(F.col("right").alias("left"), F.col("left").alias("right")))
-    pairs = cut_lineage(pairs.join(tested, ["left", "right"], "left_anti"))
-    if pairs.limit(1).count():
-        more = cut_lineage(_verified(docs, classes, pairs, text, size, similarity))
-        if more.limit(1).count():
-            labels = components(links.union(more))
+    known = shared.drop("members").join(labels.withColumnRenamed("node", "_class"), "_class", "left")
+    known = cut_lineage(known.select(*bucket, "_class", "n_units", F.coalesce("label", "_class").alias("part")))
+    more = cut_lineage(_across(docs, classes, known, text, size, similarity))
+    if more.limit(1).count():
+        labels = components(links.union(more))
 
     placed = classes.join(labels.withColumnRenamed("node", "_class"), "_class", "left").withColumn("_part", F.coalesce("label", "_class"))
     heads = placed.groupBy("_part").agg(F.min("_first").alias("_head"))
