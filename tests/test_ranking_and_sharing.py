@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 
 import pytest
@@ -120,11 +121,12 @@ def test_drawn_lists_equal_all_pairs(spark, seed, k):
     got = collected(recommend_by_draw(df, df, ["g"], order, k, 9))
     want = {}
     for t in rows:
-        seat = md5("9|seat", t[0])
-        pool = sorted(eligible(rows, t), key=lambda r: (md5("9|deck", r[0])[0] != seat[0], md5(9, r[0])))[:k]
+        decks = max(1, math.ceil(sum(r[1] == t[1] for r in rows) / (4 * k)))
+        seat = int(md5("9|seat", t[0])[:8], 16) % decks
+        home = {r[0]: int(md5("9|deck", r[0])[:8], 16) % decks == seat for r in rows}
+        pool = sorted(eligible(rows, t), key=lambda r: (not home[r[0]], md5(9, t[0], r[0]) if home[r[0]] else md5(9, r[0])))[:k]
         if len(pool) >= k:
-            turn = int(seat[-1], 16)
-            pool.sort(key=lambda r: md5(9, r[0])[turn : turn + 16])
+            pool.sort(key=lambda r: md5(9, t[0], r[0]))
         else:
             pool.sort(key=by_day)
         want[t[0]] = first_titles(pool)
@@ -135,7 +137,24 @@ def test_draws_differ_within_a_group(spark):
     df = spark.range(400).select(F.col("id").alias("content_id"), F.lit("g").alias("g"), F.lit(None).cast("string").alias("title"))
     got = collected(recommend_by_draw(df, df, ["g"], [F.col("content_id")], 5, 1))
     assert all(len(ids) == 5 and t not in ids for t, ids in got.items())
-    assert len({tuple(ids) for ids in got.values()}) > 50
+    assert len({tuple(ids) for ids in got.values()}) > 390
+
+
+def test_every_item_of_a_large_group_is_listed(spark):
+    n = 20_000
+    df = spark.range(n).select(F.col("id").alias("content_id"), F.lit("g").alias("g"), F.lit(None).cast("string").alias("title"))
+    rows = recommend_by_draw(df, df, ["g"], [F.col("content_id")], 15, 1)
+    lists = rows.groupBy("content_id").agg(F.sort_array(F.collect_set("rec_content_id")).alias("ids"))
+    assert lists.select("ids").distinct().count() > 0.9 * n
+    assert rows.select("rec_content_id").distinct().count() == n
+
+
+def test_fills_use_most_of_a_large_pool(spark):
+    pool = spark.range(50_000).toDF("p")
+    lists = spark.range(20_000).select(F.col("id").alias("t"), F.array().cast("array<bigint>").alias("ids"))
+    decks = fill.pool_decks(pool, "p", 20, 5)
+    used = fill.fill_lists(lists, decks, ["t"], "ids", 20, 5, "p").select(F.explode("fill.p").alias("p"))
+    assert used.distinct().count() > 45_000
 
 
 @pytest.mark.parametrize("pool_size", [0, 3, 10, 300])
@@ -151,9 +170,11 @@ def test_fill_equals_brute_force(spark, pool_size):
         for r in fill.fill_lists(df, decks, ["t"], "ids", k, 5, "p", exclude=["t"]).collect()
     }
     for t, ids in lists:
-        seat = md5("5|seat", t)[0]
+        decks_ = max(1, math.ceil(len(pool) / (4 * k)))
+        seat = int(md5("5|seat", t)[:8], 16) % decks_
+        home = {p: int(md5("5|deck", p)[:8], 16) % decks_ == seat for p in pool}
         free = [p for p in pool if p not in ids and p != t]
-        free.sort(key=lambda p: (md5("5|deck", p)[0] != seat, md5(5, p)))
+        free.sort(key=lambda p: (not home[p], md5(5, t, p) if home[p] else md5(5, p)))
         assert got[t] == free[: k - len(ids)]
 
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from viewloom.operators import hierarchy
@@ -28,8 +29,16 @@ def test_daily_logs(spark, tmp_path):
     read = logs.read_daily_logs(spark, str(tmp_path), "vsp_vod", "2024-01-03", 5)
     assert read.columns == ["content_id", "user_id", "product_key"]
     assert [tuple(r) for r in as_ids(read, "user_id", "content_id").collect()] == [(1, 2, "k")]
-    empty = logs.read_daily_logs(spark, str(tmp_path), "ott_play", "2030-01-01", 2)
+    empty = logs.read_daily_logs(spark, str(tmp_path), "ott_play", "2030-01-01", 2, allow_empty=True)
     assert empty.count() == 0
+    with pytest.raises(AnalysisException):
+        logs.read_daily_logs(spark, str(tmp_path), "ott_play", "2030-01-01", 2)
+
+
+def test_quotes_are_part_of_a_field(spark, tmp_path):
+    write_day(tmp_path, "20240101", ['a,b,"c,d,e,78,89,prod,x'])
+    read = logs.read_daily_logs(spark, str(tmp_path), "vsp_vod", "2024-01-02", 1).first()
+    assert tuple(read) == ("78", "89", "prod")
 
 
 def test_log_positions(spark, tmp_path):

@@ -14,9 +14,8 @@ FREE_VOD_PRODUCT = "ahyuvzq53adjct"
 CINEMA_PRODUCT = "ahqhse8x8yr8ex"
 FREE_VOD_ROOT = "10046284"
 CINEMA_CATALOG = "10001719"
-CINEMA_ROOT = "10001648"
+CINEMA_PARENT = "10046284"
 SCHOOL_LEVEL = "10001059"
-EXCLUDED_TOP_LEVEL = "10019864"
 OTT_SCHOOL_TYPE = "21"
 OTT_SERIES_TYPE = "2"
 PLAY_VOD = "1"

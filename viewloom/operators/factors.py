@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 from viewloom.operators.ranking import top_k
 from viewloom.session import cut_lineage
 
-MAX_INT = 2147483647
-
-
 def dense_index(ids: DataFrame, column: str, index: str, buckets: int = 1024) -> DataFrame:
     """(column, index): consecutive numbers from 0 for the distinct ids.
 
@@ -30,33 +27,25 @@ def dense_index(ids: DataFrame, column: str, index: str, buckets: int = 1024) ->
     )
 
 
-def _int_ids(counts: DataFrame) -> DataFrame:
-    """Add the int ids the solver needs; ids that already fit are used as they are."""
-    low, high = counts.agg(
-        F.least(F.min("user_id"), F.min("item_id")), F.greatest(F.max("user_id"), F.max("item_id"))
-    ).first()
-    if low is None or (low >= -MAX_INT and high <= MAX_INT):
-        return counts.withColumn("_user", F.col("user_id").cast("int")).withColumn(
-            "_item", F.col("item_id").cast("int")
-        )
+def with_int_ids(counts: DataFrame) -> DataFrame:
+    """Add the int ids the solver needs, numbered densely, so that no id changes another's scores by its size."""
     users = dense_index(counts, "user_id", "_user")
     items = dense_index(counts, "item_id", "_item")
     return cut_lineage(counts.join(items, "item_id").join(users, "user_id"))
 
 
-def solver_blocks(parallelism: int) -> int:
-    return min(max(5, parallelism), 512)
-
-
 def fit(
     rated: DataFrame,
     rank: int = 15,
     iterations: int = 10,
     regularization: float = 1.0,
-    blocks: int | None = None,
+    blocks: int = 5,
     seed: int = 42,
 ) -> ALSModel:
-    blocks = blocks or solver_blocks(rated.sparkSession.sparkContext.defaultParallelism)
+    """Train on user and item numbers. ``blocks`` is fixed, for the scores depend on it: raise it with the data.
+
+    A task holds all ratings of its block, so memory must do for the users of the most rated item.
+    """
     solver = ALS(
         rank=rank,
         maxIter=iterations,
@@ -78,7 +67,7 @@ def rerank_played(counts: DataFrame, k: int, **settings) -> DataFrame:
 
     ``counts`` has user_id, item_id, plays. Only observed pairs are scored.
     """
-    rated = _int_ids(cut_lineage(counts.select("user_id", "item_id", "plays")))
+    rated = with_int_ids(cut_lineage(counts.select("user_id", "item_id", "plays")))
     model = fit(rated, **settings)
     scored = model.transform(rated).select("user_id", "item_id", F.col("prediction").alias("score"))
     return top_k(scored, ["user_id"], [F.desc("score"), F.asc("item_id")], k)

@@ -1,25 +1,25 @@
 """Filling short lists from a pool.
 
 A pool is one group shared by all lists, so it is never paired with them. Its ids are dealt by
-hash into 16 ** deck_chars decks; of each deck only the first rows in hash order are kept,
-followed by the first rows of the whole pool. A list reads the row of one deck, so it meets a
-bounded array that is enough to fill it whatever it already holds.
+hash into decks, as many as give a deck DECK_LISTS times the ids a list may need; a deck's rows are
+followed by the first rows of the whole pool. A list reads the row of one deck in an order of its own, so it
+meets a bounded array that is enough to fill it whatever it already holds, and every id of the pool is in
+some list's reach.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewloom.functions.scalars import draw_order
+from viewloom.functions.scalars import deck_count, draw_deck, draw_order
 from viewloom.operators.columns import computed
 from viewloom.operators.ranking import top_k
 
-
-def deck_of(seed: int | str, *ids: Column, deck_chars: int = 1) -> Column:
-    return F.substring(draw_order(f"{seed}|seat", *ids), 1, deck_chars)
+#: Lists that a deck offers the needed ids of, on average.
+DECK_LISTS = 2
 
 
 def pool_decks(
@@ -29,36 +29,30 @@ def pool_decks(
     seed: int | str,
     group: Sequence[str] = (),
     fields: Sequence[str] = (),
-    deck_chars: int = 1,
 ) -> DataFrame:
-    """(group..., _deck, pool): per deck its first ``needed`` ids, then the pool's first ones.
+    """(group..., _deck, _decks, pool): a deck's ids, then the pool's first ones; _decks is their number.
 
-    ``needed`` must cover the ids a list may already hold plus the ids it lacks. The table has
-    16 ** deck_chars rows per group and 2 * needed ids in each.
+    ``needed`` must cover the ids a list may already hold plus the ids it lacks. A row has about
+    (DECK_LISTS + 1) * needed ids.
     """
     keep = [item, *fields]
-    draw = draw_order(seed, F.col(item))
-    deck = F.substring(draw_order(f"{seed}|deck", F.col(item)), 1, deck_chars)
-    dealt = (
-        pool.where(F.col(item).isNotNull())
-        .select(*group, *keep)
-        .dropDuplicates([*group, item])
-        .withColumn("_deck", deck)
-        .withColumn("_draw", draw)
+    ids = pool.where(F.col(item).isNotNull()).select(*group, *keep).dropDuplicates([*group, item])
+    sizes = ids.groupBy(*group).agg(deck_count(F.count(F.lit(1)), DECK_LISTS * needed).alias("_decks"))
+    # Without groups the number is one value, read as a subquery.
+    numbered = ids.join(sizes, list(group)) if group else ids.withColumn("_decks", sizes.scalar())
+    dealt = numbered.withColumn("_deck", draw_deck(seed, "deck", F.col("_decks"), F.col(item))).withColumn(
+        "_draw", draw_order(seed, F.col(item))
     )
-    order = [F.col("_draw"), F.col(item)]
-    heads = top_k(dealt, [*group, "_deck"], order, needed, "_pos")
-    overall = top_k(heads, list(group), order, needed, "_pos")
+    overall = top_k(dealt, list(group), [F.col("_draw"), F.col(item)], needed, "_pos")
 
     row = F.struct("_draw", *keep, F.col("_deck").alias("home"))
-    own = heads.groupBy(*group, "_deck").agg(F.array_sort(F.collect_list(row)).alias("_own"))
-    rest = overall.groupBy(*group).agg(F.array_sort(F.collect_list(row)).alias("_all"))
-    digits = [F.lit(f"{i:0{deck_chars}x}") for i in range(16**deck_chars)]
-    seats = rest.withColumn("_deck", F.explode(F.array(*digits)))
+    own = dealt.groupBy(*group, "_deck").agg(F.array_sort(F.collect_list(row)).alias("_own"))
+    rest = overall.groupBy(*group).agg(F.array_sort(F.collect_list(row)).alias("_all"), F.first("_decks").alias("_decks"))
+    seats = rest.withColumn("_deck", F.explode(F.sequence(F.lit(0), F.col("_decks") - 1)))
     joined = seats.join(own, [*group, "_deck"], "left")
     others = F.filter("_all", lambda x: x["home"] != F.col("_deck"))
     return joined.select(
-        *group, "_deck", F.concat(F.coalesce("_own", F.slice("_all", 1, 0)), others).alias("pool")
+        *group, "_deck", "_decks", F.concat(F.coalesce("_own", F.slice("_all", 1, 0)), others).alias("pool")
     )
 
 
@@ -72,32 +66,43 @@ def fill_lists(
     item: str,
     exclude: Sequence[str] = (),
     group: Sequence[str] = (),
-    deck_chars: int = 1,
     other_ids: bool = False,
 ) -> DataFrame:
     """Array column ``fill``: pool rows that bring the id array ``have`` up to ``k`` entries.
 
-    The decks of one pool have a size fixed by their parameters and are broadcast; with a pool per
-    ``group`` Spark checks the size itself. Ids in ``have`` and in the ``exclude`` columns are not
+    No side carries a hint: Spark checks the size of the decks. A list takes its own deck in the order of a hash of
+    list and id, and the pool's first ids after it. Ids in ``have`` and in the ``exclude`` columns are not
     used, unless ``have`` lists ids of another kind than the pool's.
     """
     seats = [F.col(c) for c in seat_by]
-    seated = lists.withColumn("_deck", deck_of(seed, *seats, deck_chars=deck_chars))
-    joined = seated.join(decks if group else F.broadcast(decks), [*group, "_deck"], "left")
+    sizes = decks.groupBy(*group).agg(F.max("_decks").alias("_decks"))
+    counted = lists.join(sizes, list(group), "left") if group else lists.withColumn("_decks", sizes.scalar())
+    seated = counted.withColumn("_deck", draw_deck(seed, "seat", F.col("_decks"), *seats))
+    joined = seated.join(decks.drop("_decks"), [*group, "_deck"], "left")
     if other_ids:
         free = F.col("pool")
     else:
         others = F.array(*[F.col(c) for c in exclude]).cast(lists.schema[have].dataType)
         joined = computed(joined, "_taken", F.concat(F.col(have), others))
         free = F.filter("pool", lambda x: ~F.array_contains("_taken", x[item]))
+    names = [f.name for f in decks.schema["pool"].dataType.elementType.fields]
+    turned = F.transform(
+        free,
+        lambda x: F.struct(
+            (x["home"] != F.col("_deck")).alias("_later"),
+            F.when(x["home"] == F.col("_deck"), draw_order(seed, *seats, x[item])).otherwise(x["_draw"]).alias("_key"),
+            *[x[name].alias(name) for name in names],
+        ),
+    )
+    ordered = F.transform(F.array_sort(turned), lambda x: F.struct(*[x[name].alias(name) for name in names]))
     lacking = F.greatest(F.lit(k) - F.size(have), F.lit(0))
     empty = F.array().cast(decks.schema["pool"].dataType)
-    filled = F.coalesce(F.slice(free, F.lit(1), lacking), empty)
-    return computed(joined, "fill", filled).drop("_deck", "_taken", "pool")
+    filled = F.coalesce(F.slice(ordered, F.lit(1), lacking), empty)
+    return computed(joined, "fill", filled).drop("_deck", "_decks", "_taken", "pool")
 
 
 def expand_best(
-    played: DataFrame, members: DataFrame, decks: DataFrame, k: int, seed: int | str, deck_chars: int = 1
+    played: DataFrame, members: DataFrame, decks: DataFrame, k: int, seed: int | str
 ) -> DataFrame:
     """(user_id, rank, item_id, source) from each user's best item.
 
@@ -119,7 +124,7 @@ def expand_best(
     unseen = F.slice(F.filter(ids, lambda x: ~F.array_contains("seen", x)), 1, k)
     none = F.array().cast("array<bigint>")
     listed = computed(listed, "_list", F.coalesce(unseen, none))
-    filled = fill_lists(listed, decks, ["user_id"], "_list", k, seed, "content_id", deck_chars=deck_chars)
+    filled = fill_lists(listed, decks, ["user_id"], "_list", k, seed, "content_id")
     rows = F.concat(
         F.transform("_list", lambda x: F.struct(x.alias("item_id"), F.lit("catalog").alias("source"))),
         F.transform("fill", lambda x: F.struct(x["content_id"].alias("item_id"), F.lit("pool").alias("source"))),

@@ -70,10 +70,11 @@ def with_optional_grain(df: DataFrame, column: str) -> DataFrame:
 def at_least(df: DataFrame, more_than: int) -> DataFrame:
     """All rows when there are more than ``more_than`` of them, none otherwise.
 
-    The check reads no more rows than it has to see.
+    The check is a subquery of one row that reads no more rows than it has to see; nothing runs before
+    the query itself does.
     """
-    enough = df.limit(more_than + 1).count() > more_than
-    return df if enough else df.limit(0)
+    enough = df.limit(more_than + 1).agg(F.count(F.lit(1)) > more_than)
+    return df.where(enough.scalar())
 
 
 def id_lists(ranked: DataFrame, keys: Sequence[str], item: str, rank: str = "rank") -> DataFrame:

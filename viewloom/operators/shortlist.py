@@ -20,12 +20,14 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewloom.functions.scalars import draw_order
+from viewloom.functions.scalars import deck_count, draw_deck, draw_order
 from viewloom.operators.columns import computed
 from viewloom.operators.ranking import top_k
 
 _TITLE = "_title"
 _ORDER = "_order"
+#: Lists that a deck offers the items of, on average.
+DECK_LISTS = 4
 
 
 def newest_first(day: Column) -> Column:
@@ -82,10 +84,13 @@ def _with_entries(df: DataFrame, rows: Column, unique_titles: bool) -> DataFrame
     return computed(listed, "_entries", first)
 
 
+def _keyed(rows: Column, key: Callable[[Column], Column], fields: Sequence[str]) -> Column:
+    return F.transform(rows, lambda x: F.struct(key(x).alias("_key"), *[x[f].alias(f) for f in fields]))
+
+
 def _sorted_by(rows: Column, key: Callable[[Column], Column], fields: Sequence[str]) -> Column:
     """Rows in ascending order of ``key(row)``."""
-    keyed = F.transform(rows, lambda x: F.struct(key(x).alias("_key"), *[x[f].alias(f) for f in fields]))
-    return F.transform(F.array_sort(keyed), lambda x: F.struct(*[x[f].alias(f) for f in fields]))
+    return F.transform(F.array_sort(_keyed(rows, key, fields)), lambda x: F.struct(*[x[f].alias(f) for f in fields]))
 
 
 def _numbered(df: DataFrame, out: Sequence[str], fields: Sequence[str]) -> DataFrame:
@@ -132,47 +137,42 @@ def recommend_by_draw(
     item: str = "content_id",
     title: str | None = "title",
     fields: Sequence[str] = (),
-    deck_chars: int = 1,
     unique_titles: bool = True,
 ) -> DataFrame:
     """A random list per target where its group offers k eligible items, all of them in order elsewhere.
 
-    Items are dealt by hash into 16 ** deck_chars decks. A target draws from one deck, also
-    chosen by hash, and then from the rest of its group, both in hash order. The k drawn items
-    are put in the order of another stretch of their hashes, where it starts depends on the
-    target. Decks are what makes lists of one group differ, and they split a large group over
-    tasks.
+    Items are dealt by hash into as many decks as give DECK_LISTS * k items to each, so a group of any size
+    is in reach and split over tasks. A target draws from one deck, also chosen by hash, in the
+    order of a hash of target and item; where the deck is short, the group's first items in the order of their
+    own hashes complete the draw.
     """
     carried = [item, *fields]
-    dealt = (
-        _with_title(items, item, title)
-        .withColumn(_ORDER, F.struct(*order))
-        .withColumn("_deck", F.substring(draw_order(f"{seed}|deck", F.col(item)), 1, deck_chars))
-        .withColumn("_draw", draw_order(seed, F.col(item)))
+    sizes = items.groupBy(*keys).agg(deck_count(F.count(F.lit(1)), DECK_LISTS * k).alias("_decks"))
+    dealt = _attach(_with_title(items, item, title).withColumn(_ORDER, F.struct(*order)), sizes, keys, "_decks")
+    dealt = dealt.withColumn("_deck", draw_deck(seed, "deck", F.col("_decks"), F.col(item))).withColumn(
+        "_draw", draw_order(seed, F.col(item))
     )
-    by_draw = ["_draw", item]
-    deck_keys = [*keys, "_deck"]
-    in_deck = shortlist(dealt, deck_keys, by_draw, k, title is not None)
-    # The group's head is made of the heads of its decks, by the same argument as above.
-    in_group = shortlist(in_deck, keys, by_draw, k, title is not None)
-
     kept = [_ORDER, "_deck", "_draw", *carried]
-    found = (
-        _with_title(targets, item, title)
-        .withColumn("_seat", draw_order(f"{seed}|seat", F.col(item)))
-        .withColumn("_deck", F.substring("_seat", 1, deck_chars))
-        .withColumn("_turn", F.instr(F.lit("0123456789abcdef"), F.substring("_seat", 32, 1)))
-    )
+    row = F.struct(_TITLE, *kept)
+    in_deck = dealt.groupBy(*keys, "_deck").agg(F.collect_list(row).alias("_own"))
+    # First rows of the group for the decks that are short, by the argument above.
+    in_group = shortlist(dealt, keys, ["_draw", item], k, title is not None)
+
+    seat = draw_deck(seed, "seat", F.col("_decks"), F.col(item))
+    found = _attach(_with_title(targets, item, title), sizes, keys, "_decks").withColumn("_deck", seat)
     found = _attach(found, _as_arrays(in_group, keys, kept, "_group"), keys, "_group")
-    found = _attach(found, _as_arrays(in_deck, deck_keys, kept, "_own"), deck_keys, "_own")
+    found = _attach(found, in_deck, [*keys, "_deck"], "_own")
 
-    # A deck with k eligible items settles the list; otherwise the group completes it.
-    found = computed(found, "_mine", F.slice(F.coalesce(_eligible(F.col("_own"), item), F.slice("_group", 1, 0)), 1, k))
-    rest = F.filter(_eligible(F.col("_group"), item), lambda x: x["_deck"] != F.col("_deck"))
-    completed = F.slice(F.concat("_mine", rest), 1, k)
-    found = computed(found, "_drawn", F.when(F.size("_mine") >= k, F.col("_mine")).otherwise(completed))
     shown = [_TITLE, *carried]
-    shuffled = _sorted_by(F.col("_drawn"), lambda x: F.substring(x["_draw"], F.col("_turn"), F.lit(16)), shown)
+    own = _keyed(_eligible(F.col("_own"), item), lambda x: draw_order(seed, F.col(item), x[item]), [*shown, _ORDER])
+    found = computed(found, "_mine", F.slice(F.coalesce(F.array_sort(own), F.slice(own, 1, 0)), 1, k))
+    rest = F.filter(_eligible(F.col("_group"), item), lambda x: x["_deck"] != F.col("_deck"))
+    more = _keyed(rest, lambda x: draw_order(seed, F.col(item), x[item]), [*shown, _ORDER])
+    none = F.array().cast(found.schema["_mine"].dataType)
+    mine = F.coalesce(F.col("_mine"), none)
+    completed = F.slice(F.concat(mine, F.coalesce(more, none)), 1, k)
+    found = computed(found, "_drawn", F.when(F.size(mine) >= k, mine).otherwise(completed))
+    shuffled = _sorted_by(F.col("_drawn"), lambda x: x["_key"], shown)
     # With fewer than k eligible items, all of them are in hand.
     ordered = _sorted_by(F.col("_drawn"), lambda x: x[_ORDER], shown)
     rows = F.when(F.size("_drawn") >= k, shuffled).otherwise(ordered)

@@ -20,10 +20,8 @@ def _lists(
         raise ValueError(f"limit_scope must be 'all' or 'type', not {limit_scope!r}")
     by_type = ["series_type"] if limit_scope == "type" else []
     order = [F.desc_nulls_last("newest"), F.asc(item)]
-    parts = []
-    for part, k in ((F.col("level_id") == OVERALL, overall), (F.col("level_id") != OVERALL, per_level)):
-        parts.append(top_k(rows.where(part), ["level_id", *by_type], order, k))
-    limited = parts[0].unionByName(parts[1])
+    limit = F.when(F.col("level_id") == OVERALL, overall).otherwise(per_level)
+    limited = top_k(rows, ["level_id", *by_type], order, max(overall, per_level)).where(F.col("rank") <= limit)
     lists = renumber(limited, ["level_id", "series_type"], order)
     return lists.withColumn(
         "list_key", list_key("Newcontentlist", platform, F.col("level_id"), F.col("series_type"))

@@ -53,12 +53,11 @@ def cinema_top(plays: DataFrame, films: DataFrame, k: int = 20, product: str | N
     counted = _counted(users_known, product).join(films, "content_id")
     views = counted.withColumnsRenamed({"content_id": "item_id", "content_name": "item_name", "plays": "views"})
     ranked = top_k_if_more(views, [], _by_views("item_id"), k, k)
-    root = is_.CINEMA_CATALOG
     return (
         drop_repeated_names(ranked, [], "item_name")
-        .withColumn("list_key", list_key("Topcontentlist", "5", root))
+        .withColumn("list_key", list_key("Topcontentlist", "5", is_.CINEMA_CATALOG))
         .withColumn(
-            "payload", top_list_payload(F.col("item_id"), F.col("rank"), F.col("item_name"), parent_id=F.lit(root))
+            "payload", top_list_payload(F.col("item_id"), F.col("rank"), F.col("item_name"), parent_id=F.lit(is_.CINEMA_PARENT))
         )
     )
 

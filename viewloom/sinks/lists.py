@@ -40,13 +40,13 @@ def replace_unless_shorter(previous: DataFrame, new: DataFrame, key: str = "list
 
 
 def episode_owners(series: DataFrame) -> DataFrame:
-    """(content_id, owners): the series id and its episodes, one row per series."""
+    """(content_id, owners): the series id and the episodes of all its ``sort_index`` lists, one row per series."""
     episodes = F.transform(split_ids(F.col("sort_index")), lambda x: x.try_cast("bigint"))
-    owners = F.array_compact(F.array_union(F.array(F.col("content_id")), episodes))
-    listed = series.where(F.col("sort_index").isNotNull())
-    return listed.groupBy("content_id").agg(F.max("sort_index").alias("sort_index")).select(
-        "content_id", owners.alias("owners")
-    )
+    listed = series.where(F.col("sort_index").isNotNull()).select("content_id", episodes.alias("episodes"))
+    # A list stands for a few rows of one series, not for a share of the data.
+    together = listed.groupBy("content_id").agg(F.sort_array(F.collect_set("episodes")).alias("lists"))
+    owners = F.array_compact(F.array_union(F.array(F.col("content_id")), F.flatten("lists")))
+    return together.select("content_id", owners.alias("owners"))
 
 
 def to_episodes(lists: DataFrame, series: DataFrame) -> DataFrame:

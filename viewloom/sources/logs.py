@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from viewloom.sources.schemas import COMPLETION, LOG_LAYOUTS, RATINGS, log_schema
+from viewloom.sources.schemas import COMPLETION, LOG_LAYOUTS, RATINGS
 
 
 def as_date(value: dt.date | str) -> dt.date:
@@ -37,30 +39,55 @@ def in_timestamp_window(ts: Column, as_of: dt.date | str, span: int) -> Column:
     return (ts >= lower) & (ts < upper)
 
 
+def split_lines(lines: DataFrame, positions: dict[str, int], separator: str = ",") -> DataFrame:
+    """Text columns of the fields at ``positions``; ``lines`` has the column ``value``.
+
+    A line is cut at every separator; quotes have no meaning. Fields that a line lacks are NULL.
+    """
+    fields = F.split("value", re.escape(separator), -1)
+    return lines.select(*[F.get(fields, F.lit(at)).alias(name) for name, at in positions.items()])
+
+
+def log_lines(lines: DataFrame, layout: str) -> DataFrame:
+    """The columns of a daily log of the given layout."""
+    return split_lines(lines, LOG_LAYOUTS[layout])
+
+
+def rating_lines(lines: DataFrame) -> DataFrame:
+    """``user::item::rating::...``; further fields are ignored, a rating that is no number is NULL."""
+    return _typed(split_lines(lines, {name: i for i, name in enumerate(RATINGS.names)}, "::"), RATINGS)
+
+
+def completion_lines(lines: DataFrame) -> DataFrame:
+    """Earlier written completion rows."""
+    return _typed(split_lines(lines, {name: i for i, name in enumerate(COMPLETION.names)}), COMPLETION)
+
+
+def _typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    return rows.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def read_daily_logs(
-    spark: SparkSession, folder: str, layout: str, as_of: dt.date | str, span: int
+    spark: SparkSession, folder: str, layout: str, as_of: dt.date | str, span: int, allow_empty: bool = False
 ) -> DataFrame:
     """Read ``yyyyMMdd.csv`` files of the window; days without a file are skipped.
 
-    Lines with too few fields give NULL ids, which the id predicates drop.
+    Lines with too few fields give NULL ids, which the id predicates drop. A window without any file is
+    an error, for the folder may be wrong, unless ``allow_empty`` is set.
     """
-    schema = log_schema(layout)
     days = ",".join(day.strftime("%Y%m%d") for day in window_days(as_of, span))
-    reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
     try:
-        lines = reader.csv(f"{folder}/{{{days}}}.csv")
+        lines = spark.read.text(f"{folder}/{{{days}}}.csv")
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if not allow_empty or error.getCondition() != "PATH_NOT_FOUND":
             raise
-        lines = spark.createDataFrame([], schema)
-    return lines.select(*LOG_LAYOUTS[layout])
+        lines = spark.createDataFrame([], "value string")
+    return log_lines(lines, layout)
 
 
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:
-    """``user::item::rating::...`` text; further fields are ignored."""
-    return spark.read.schema(RATINGS).option("sep", "::").csv(path)
+    return rating_lines(spark.read.text(path))
 
 
 def read_completion(spark: SparkSession, path: str) -> DataFrame:
-    """Earlier written completion rows."""
-    return spark.read.schema(COMPLETION).csv(path)
+    return completion_lines(spark.read.text(path))

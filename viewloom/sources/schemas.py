@@ -28,11 +28,3 @@ COMPLETION = T.StructType(
         T.StructField("ratio", T.DoubleType()),
     ]
 )
-
-
-def log_schema(layout: str) -> T.StructType:
-    """Text columns up to the last position the layout needs."""
-    names = {pos: name for name, pos in LOG_LAYOUTS[layout].items()}
-    return T.StructType(
-        [T.StructField(names.get(i, f"_unused{i}"), T.StringType()) for i in range(max(names) + 1)]
-    )

@@ -254,7 +254,7 @@ FROM part_plays p JOIN films f ON CAST(p.content_id AS BIGINT) = f.content_id WH
     listed="SELECT *, row_number() OVER (PARTITION BY content_name ORDER BY rank) AS nth FROM ranked WHERE rank <= 20 AND n > 20",
 ) + f"""
 SELECT 'Topcontentlist_5_10001719' AS list_key, CAST(rank AS INT) AS rank, content_id AS item_id, views,
-       {_top_json('content_id', 'rank', 'content_name', "''", "'10001719'")} AS payload
+       {_top_json('content_id', 'rank', 'content_name', "''", "'10046284'")} AS payload
 FROM listed WHERE nth = 1"""
 
 ORACLES["topn_per_catalog"] = _with(
@@ -327,6 +327,15 @@ def _hash(*parts: str, length: int | None = None) -> str:
     return text if length is None else f"substr({text}, 1, {length})"
 
 
+def _deck(seed: str, use: str, decks: str, *ids: str) -> str:
+    """The number of a deck out of ``decks``, by a hash."""
+    return f"""CAST('0x' || {_hash(seed, f"'{use}'", *ids, length=8)} AS BIGINT) % {decks}"""
+
+
+def _decks(rows: str, size: int) -> str:
+    return f"greatest(CAST(ceil({rows} / {size}.0) AS BIGINT), 1)"
+
+
 def _related(where: str, keys: Sequence[str], k: int, since: str | None, draw: int | None = None) -> str:
     """Recommendations of the rows that satisfy ``where``: newest first, or drawn with a seed."""
     owner = "t_content_id, t_title, " + ", ".join(f"t_{key}" for key in keys)
@@ -338,11 +347,10 @@ def _related(where: str, keys: Sequence[str], k: int, since: str | None, draw: i
         pick = f"SELECT *, row_number() OVER (PARTITION BY {owner} ORDER BY {by_day}) AS p FROM pairs"
     else:
         quoted = f"'{draw}'"
-        seat = _hash(quoted, "'seat'", "t_content_id", length=1)
-        deck = _hash(quoted, "'deck'", "rec_content_id", length=1)
-        order = f"CASE WHEN {seat} = {deck} THEN 0 ELSE 1 END, {_hash(quoted, 'rec_content_id')}"
-        turn = f"""strpos('0123456789abcdef', right({_hash(quoted, "'seat'", "t_content_id")}, 1))"""
-        shuffle = f"""substr({_hash(quoted, "rec_content_id")}, {turn}, 16)"""
+        near = f"{_deck(quoted, 'seat', 'decks', 't_content_id')} = {_deck(quoted, 'deck', 'decks', 'rec_content_id')}"
+        turn = _hash(quoted, "t_content_id", "rec_content_id")
+        order = f"CASE WHEN {near} THEN 0 ELSE 1 END, CASE WHEN {near} THEN {turn} ELSE {_hash(quoted, 'rec_content_id')} END"
+        shuffle = turn
         pick = f"""SELECT * EXCLUDE (q, n, d), CASE WHEN n >= {k}
        THEN row_number() OVER (PARTITION BY {owner}, q <= {k} ORDER BY {shuffle}) + CASE WHEN q <= {k} THEN 0 ELSE {k} END
        ELSE d END AS p
@@ -350,13 +358,16 @@ FROM (SELECT *, row_number() OVER (PARTITION BY {owner} ORDER BY {order}) AS q,
              row_number() OVER (PARTITION BY {owner} ORDER BY {by_day}) AS d,
              count(*) OVER (PARTITION BY {owner}) AS n FROM pairs) x"""
     missing = "".join(f", NULL AS {c}" for c in extra)
+    # Decks are sized by the group as it can be recommended.
+    group_rows = f"count(*) FILTER (WHERE {recent.replace('r.', '')}) OVER (PARTITION BY {', '.join(keys)})"
     return f"""SELECT t_content_id AS content_id, {', '.join(f't_{key} AS {key}' for key in keys)}{missing},
        row_number() OVER (PARTITION BY {owner} ORDER BY p) AS rank, rec_content_id, rec_title, rec_day
 FROM (
   SELECT *, row_number() OVER (PARTITION BY {owner}, rec_title ORDER BY p) AS nth
   FROM (WITH g AS (SELECT {', '.join(keys)}, content_id, title, max(day) AS day FROM attrs WHERE {where} GROUP BY ALL),
-             pairs AS (SELECT {target}, r.content_id AS rec_content_id, r.title AS rec_title, r.day AS rec_day
-                       FROM g t JOIN g r ON {_same(keys)} AND t.content_id <> r.content_id AND t.title <> r.title
+             sized AS (SELECT *, {_decks(group_rows, 4 * k)} AS decks FROM g),
+             pairs AS (SELECT {target}, t.decks, r.content_id AS rec_content_id, r.title AS rec_title, r.day AS rec_day
+                       FROM sized t JOIN sized r ON {_same(keys)} AND t.content_id <> r.content_id AND t.title <> r.title
                        WHERE {recent})
         {pick}) f
   WHERE p <= {k}) d
@@ -483,17 +494,22 @@ ORACLES["content_first_code_pairs"] = _ott(False)
 ORACLES["content_school_pairs"] = _ott(True)
 
 # A film draws up to 20 from every catalogue it is in, keeps 20 of them and fills up from all films.
-_CINEMA_PICK = f"""SELECT *, row_number() OVER (PARTITION BY catalog_id, t
-       ORDER BY CASE WHEN {_hash("'42'", "'seat'", 't', length=1)} = {_hash("'42'", "'deck'", 'r', length=1)} THEN 0 ELSE 1 END,
-                {_hash("'42'", 'r')}) AS q,
-       count(*) OVER (PARTITION BY catalog_id, t) AS n
+def _draw_order(seed: str, decks: str, target: Sequence[str], item: str) -> str:
+    """Items of the target's deck by a hash of both, then the others by their own hash."""
+    near = f"{_deck(seed, 'seat', decks, *target)} = {_deck(seed, 'deck', decks, item)}"
+    own, other = _hash(seed, *target, item), _hash(seed, item)
+    return f"CASE WHEN {near} THEN 0 ELSE 1 END, CASE WHEN {near} THEN {own} ELSE {other} END, {item}"
+
+
+_CINEMA_PICK = f"""SELECT *, row_number() OVER (PARTITION BY catalog_id, t ORDER BY {_draw_order("'42'", 'decks', ['t'], 'r')}) AS q
 FROM pairs"""
 _WITH_CINEMA = _with(
     "cinema_members",
     "part_films",
-    named="""SELECT DISTINCT catalog_id, m.content_id, content_name
-FROM cinema_members m LEFT JOIN part_films f ON m.content_id = f.content_id""",
-    pairs="""SELECT a.catalog_id, a.content_id AS t, b.content_id AS r FROM named a JOIN named b
+    named=f"""SELECT *, {_decks('count(*) OVER (PARTITION BY catalog_id)', 80)} AS decks
+FROM (SELECT DISTINCT catalog_id, m.content_id, content_name
+FROM cinema_members m LEFT JOIN part_films f ON m.content_id = f.content_id)""",
+    pairs="""SELECT a.catalog_id, a.decks, a.content_id AS t, b.content_id AS r FROM named a JOIN named b
 ON a.catalog_id = b.catalog_id AND a.content_id <> b.content_id AND a.content_name <> b.content_name""",
     picked=_CINEMA_PICK,
     merged="SELECT DISTINCT t, r FROM picked WHERE q <= 20",
@@ -504,10 +520,7 @@ ON a.catalog_id = b.catalog_id AND a.content_id <> b.content_id AND a.content_na
 ORACLES["content_catalog_pairs"] = _WITH_CINEMA + """
 SELECT t AS content_id, CAST(rank AS INT) AS rank, r AS rec_content_id FROM own"""
 
-_FILL_ORDER = (
-    f"""CASE WHEN {_hash("'42'", "'seat'", 't', length=1)} = {_hash("'42'", "'deck'", 'r', length=1)} THEN 0 ELSE 1 END, """
-    f"""{_hash("'42'", 'r')}, r"""
-)
+_FILL_ORDER = _draw_order("'42'", _decks("(SELECT count(*) FROM pool)", 80), ["o.t"], "p.r")
 ORACLES["backfill_to_k"] = _WITH_CINEMA + f""",
 pool AS (SELECT DISTINCT content_id AS r FROM cinema_members),
 open_lists AS (SELECT DISTINCT t, n FROM own WHERE n < 20),
@@ -591,9 +604,12 @@ _CLOCK = "SELECT CAST(m AS INT) AS minute, TIMESTAMP '2024-01-15' + to_minutes(m
 
 ORACLES["minute_grid"] = _with(
     "schedule_rows",
-    started="SELECT DISTINCT CAST(hour(start_time) * 60 + minute(start_time) AS INT) AS minute FROM schedule_rows",
+    clock=_CLOCK,
     categories=_CATEGORIES,
-) + f"SELECT minute, {_LABEL} AS label, category FROM started JOIN categories ON TRUE"
+    started="""SELECT CAST(hour(start_time) * 60 + minute(start_time) AS INT) AS minute, count(*) AS starts
+FROM schedule_rows GROUP BY 1""",
+) + f"""SELECT c.minute, {_LABEL.replace('minute', 'c.minute')} AS label, category, coalesce(starts, 0) AS starts
+FROM clock c JOIN categories ON TRUE LEFT JOIN started s ON c.minute = s.minute"""
 
 
 def _live(distinct: bool) -> dict[str, str]:
@@ -651,27 +667,24 @@ ORACLES["filler_choices_catalogue"] = _with("programme_catalogue") + _choices(CA
 
 
 def _minute_lists(library: str, tests: dict[str, str], target: int, distinct: bool) -> str:
-    seat = _hash("'42'", "'seat'", "minute", "category", length=1)
-    # Ranks of the fillers depend on the seat only, of which there are sixteen.
-    seats = " UNION ALL ".join(f"SELECT '{i:x}' AS seat" for i in range(16))
     return _with(
         "schedule_rows",
         "audience",
         library,
         **_live(distinct),
         categories=_CATEGORIES,
-        grid=f"SELECT minute, category, {seat} AS seat FROM clock JOIN categories ON TRUE",
+        grid="SELECT minute, category FROM clock JOIN categories ON TRUE",
         pool=_choices(tests, library, "media_id, name"),
-        seats=seats,
-        drawn=f"""SELECT category, seat, media_id, name, row_number() OVER (PARTITION BY category, seat
-       ORDER BY CASE WHEN seat = {_hash("'42'", "'deck'", 'media_id', length=1)} THEN 0 ELSE 1 END,
-                {_hash("'42'", 'media_id')}, media_id) AS p FROM pool JOIN seats ON TRUE""",
         channels="""SELECT minute, category, count(*) AS n_live,
        string_agg('"' || channel_id || '"', ',' ORDER BY rank) AS names FROM live GROUP BY 1, 2""",
         sized="""SELECT g.*, coalesce(n_live, 0) AS n_live, coalesce(names, '') AS names
 FROM grid g LEFT JOIN channels c ON g.minute = c.minute AND g.category = c.category""",
-        fillers=f"""SELECT minute, s.category, string_agg('{{"media_id":' || media_id || ',"name":"' || name || '"}}', ',' ORDER BY p) AS vods
-FROM sized s JOIN drawn d ON s.category = d.category AND s.seat = d.seat AND p <= {target} - n_live GROUP BY 1, 2""",
+        dealt=f"SELECT *, {_decks('count(*) OVER (PARTITION BY category)', 2 * target)} AS decks FROM pool",
+        drawn=f"""SELECT s.minute, s.category, n_live, media_id, name, row_number() OVER (PARTITION BY s.minute, s.category
+       ORDER BY {_draw_order("'42'", 'd.decks', ['s.minute', 's.category'], 'd.media_id')}) AS p
+FROM sized s JOIN dealt d ON s.category = d.category WHERE n_live < {target}""",
+        fillers=f"""SELECT minute, category, string_agg('{{"media_id":' || media_id || ',"name":"' || name || '"}}', ',' ORDER BY p) AS vods
+FROM drawn WHERE p <= {target} - n_live GROUP BY 1, 2""",
     ) + f"""
 SELECT {_LABEL.replace('minute', 's.minute')} || '_' || s.category AS list_key, CAST(n_live AS INT) AS n_live,
        '{{"rec_livelist":[' || names || '],"rec_vodlist":[' || coalesce(vods, '') || ']}}' AS payload
@@ -720,8 +733,8 @@ WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.user_id = u.user_id AND s.item_id
     sized="SELECT u.user_id AS t, count(r) AS n FROM users u LEFT JOIN own o ON u.user_id = o.user_id GROUP BY 1",
     pool="SELECT DISTINCT content_id AS r FROM cinema_members",
     fills=f"""SELECT t, p.r, n + row_number() OVER (PARTITION BY t ORDER BY {_FILL_ORDER}) AS rank
-FROM sized JOIN pool p ON TRUE
-WHERE n < 20 AND NOT EXISTS (SELECT 1 FROM own o WHERE o.user_id = t AND o.r = p.r)""",
+FROM sized o JOIN pool p ON TRUE
+WHERE n < 20 AND NOT EXISTS (SELECT 1 FROM own w WHERE w.user_id = t AND w.r = p.r)""",
 ) + """
 SELECT user_id, CAST(rank AS INT) AS rank, r AS item_id, 'catalog' AS source FROM own
 UNION ALL SELECT t, CAST(rank AS INT), r, 'pool' FROM fills WHERE rank <= 20"""
@@ -765,7 +778,25 @@ SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC,
     heads="SELECT DISTINCT o_custkey AS t, n FROM own",
     pool="SELECT DISTINCT o_orderkey AS r FROM orders WHERE o_orderpriority = '1-URGENT'",
     placed=f"""SELECT t, n, r, row_number() OVER (PARTITION BY t ORDER BY
-       CASE WHEN {_hash("'7'", "'seat'", 't', length=1)} = deck THEN 0 ELSE 1 END, draw, r) AS p
-FROM heads JOIN (SELECT r, {_hash("'7'", "'deck'", 'r', length=1)} AS deck, {_hash("'7'", 'r')} AS draw FROM pool) q ON TRUE
+       {_draw_order("'7'", _decks('(SELECT count(*) FROM pool)', 24), ['t'], 'q.r')}) AS p
+FROM heads JOIN pool q ON TRUE
 WHERE NOT EXISTS (SELECT 1 FROM own o WHERE o.o_custkey = t AND o.o_orderkey = q.r)""",
 ) + "SELECT t AS o_custkey, r AS o_orderkey FROM placed WHERE p <= 6 - n"
+
+_LOG_LINES = """SELECT CASE WHEN event_id % 7 = 0 THEN array_to_string(f[1:6], ',') ELSE array_to_string(f, ',') END AS value
+FROM (SELECT event_id, [CAST(event_id AS VARCHAR), CASE WHEN event_id % 5 = 0 THEN '"' ELSE '' END || event_type, 'x', CAST(user_id AS VARCHAR),
+  '1', CAST(event_id % 97 AS VARCHAR), CAST(user_id AS VARCHAR), 'prod', '', 'a b', '"q"', CAST(user_id + 1 AS VARCHAR), 'end'] AS f FROM events)"""
+
+
+def _log_columns(**positions: int) -> str:
+    fields = ", ".join(f"f[{at + 1}] AS {name}" for name, at in positions.items())
+    return f"SELECT {fields} FROM (SELECT string_split(value, ',') AS f FROM ({_LOG_LINES}))"
+
+
+ORACLES["log_lines_xor"] = _log_columns(content_id=0, watch_seconds=5, user_id=11)
+ORACLES["log_lines_vsp"] = _log_columns(content_id=5, user_id=6, product_key=7)
+ORACLES["log_lines_ott"] = _log_columns(content_id=3, flag4=4, play_type=5, user_id=7)
+ORACLES["rating_lines"] = """SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(event_id AS VARCHAR) AS item_id, round(value, 6) AS rating
+FROM events"""
+ORACLES["completion_lines"] = """SELECT user_id, event_id AS series_id, CAST(10 AS BIGINT) AS total, event_id % 10 AS watched, CAST(0.5 AS DOUBLE) AS ratio
+FROM events"""

@@ -15,6 +15,7 @@ from viewloom.operators import counts as cnt
 from viewloom.operators.ranking import drop_repeated_names, top_k
 from viewloom.plans import behavior, content, live, newest, popularity, reports
 from viewloom.sinks.lists import longer_than, replace_unless_shorter, to_episodes
+from viewloom.sources import logs
 from viewloom.sources.logs import in_timestamp_window
 from viewloom.sources.metadata import catalog_members, episode_map, film_names, level_rows, relate_content
 from workload import standins as st
@@ -410,14 +411,57 @@ EXCLUDED = ["ch3", "ch7"]
 TYPES = airtime.PROGRAM_TYPES
 
 
+def _log_lines(spark, sf):
+    """Log lines from events: some with a quote, some cut short, some with a field too many."""
+    events = table(spark, sf, "events")
+    quoted = F.when(F.col("event_id") % 5 == 0, F.concat(F.lit('"'), "event_type")).otherwise(F.col("event_type"))
+    fields = [F.col("event_id"), quoted, F.lit("x"), F.col("user_id"), F.lit("1"), F.col("event_id") % 97, F.col("user_id"),
+              F.lit("prod"), F.lit(""), F.lit("a b"), F.lit('"q"'), F.col("user_id") + 1, F.lit("end")]
+    texts = [f.cast("string") for f in fields]
+    whole = F.concat_ws(",", *texts)
+    return events.select(
+        F.when(F.col("event_id") % 7 == 0, F.concat_ws(",", *texts[:6])).otherwise(whole).alias("value")
+    )
+
+
+@query
+def log_lines_xor(spark, sf):
+    return logs.log_lines(_log_lines(spark, sf), "xor_vod")
+
+
+@query
+def log_lines_vsp(spark, sf):
+    return logs.log_lines(_log_lines(spark, sf), "vsp_vod")
+
+
+@query
+def log_lines_ott(spark, sf):
+    return logs.log_lines(_log_lines(spark, sf), "ott_play")
+
+
+@query
+def rating_lines(spark, sf):
+    lines = table(spark, sf, "events").select(F.concat_ws("::", "user_id", "event_id", "value", F.lit("9")).alias("value"))
+    return logs.rating_lines(lines).select("user_id", "item_id", F.round("rating", 6).alias("rating"))
+
+
+@query
+def completion_lines(spark, sf):
+    lines = table(spark, sf, "events").select(
+        F.concat_ws(",", "user_id", "event_id", F.lit("10"), F.col("event_id") % 10, F.lit("0.5")).alias("value")
+    )
+    return logs.completion_lines(lines)
+
+
 @query
 def minute_grid(spark, sf):
-    """Keys of the minutes in which anything starts."""
+    """Every minute and category, with how many programmes start in the minute."""
     started = frame(spark, sf, "schedule_rows").select(
         (F.hour("start_time") * 60 + F.minute("start_time")).alias("minute")
     )
-    grid = airtime.minute_grid(spark).join(started.distinct(), "minute", "left_semi")
-    return grid.select("minute", airtime.minute_label(F.col("minute")).alias("label"), "category")
+    starts = started.groupBy("minute").agg(F.count(F.lit(1)).alias("starts"))
+    grid = airtime.minute_grid(spark).join(starts, "minute", "left").withColumn("starts", F.coalesce("starts", F.lit(0)))
+    return grid.select("minute", airtime.minute_label(F.col("minute")).alias("label"), "category", "starts")
 
 
 @query
