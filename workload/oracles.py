@@ -716,6 +716,38 @@ WHERE CAST(user_id AS BIGINT) IN (SELECT content_id - 100000 FROM reached) GROUP
 
 # Expansion and publishing
 
+def _list_facts(counts: str, k: int, suffix: str, more_than: int = 0) -> str:
+    """The same facts from the counts alone: a list has the user's items, k of them at most."""
+    return f"""
+, sizes AS (SELECT user_id, count(*) AS n, string_agg(item_id, '#' ORDER BY item_id) AS ids FROM ({counts}) x GROUP BY 1)
+SELECT user_id || '_{suffix}' AS list_key, least(n, {k}) AS listed, least(n, {k}) AS last_rank, least(n, {k}) AS different,
+  CASE WHEN n < {k} THEN ids END AS items
+FROM sizes WHERE least(n, {k}) > {more_than}"""
+
+
+_PLAIN = "SELECT user_id, content_id AS item_id, plays FROM counts"
+ORACLES["als_rerank_facts"] = _with(
+    "event_plays", "event_members", episodes=EVENT_EPISODES, counts=_counts(f"{_FREE} AND {_window(90)}")
+) + _list_facts(_ROLLED, 20, "5_10046284_0", 10)
+ORACLES["als_rerank_older_facts"] = _with(
+    "event_plays", "event_members", episodes=EVENT_EPISODES, counts=_counts(f"{_FREE} AND {_window(90)}")
+) + _list_facts(_ROLLED, 20, "5_10046284_0")
+ORACLES["als_rerank_ott_facts"] = _with(
+    "event_plays", counts=_counts(f"play_type = '1' AND flag4 <> '' AND {_window(90)}")
+) + _list_facts(_PLAIN, 15, "3_0")
+ORACLES["als_list_facts"] = _with(
+    "event_plays", "event_members", episodes=EVENT_EPISODES, counts=_counts(_window(90))
+) + f"""
+SELECT user_id, least(n, 15) AS listed, CASE WHEN n < 15 THEN ids END AS items
+FROM (SELECT user_id, count(*) AS n, string_agg(item_id, '#' ORDER BY item_id) AS ids FROM ({_ROLLED}) x GROUP BY 1)"""
+ORACLES["als_customers_facts"] = _with(
+    "customer_plays", "part_members", episodes=PART_EPISODES, counts=_counts("TRUE", "customer_plays")
+) + _list_facts(_ROLLED, 20, "5_10046284_0")
+ORACLES["cinema_rerank_facts"] = _with("customer_plays", counts=_counts(_CINEMA, "customer_plays")) + """
+SELECT DISTINCT user_id || '_5_10001719_0' AS list_key, CAST(20 AS BIGINT) AS listed, CAST(20 AS BIGINT) AS last_rank, CAST(20 AS BIGINT) AS different
+FROM counts"""
+
+
 ORACLES["cinema_expand"] = _with(
     "customer_plays",
     "cinema_members",

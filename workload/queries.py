@@ -572,6 +572,59 @@ def cinema_rerank(spark, sf):
     )
 
 
+def _list_facts(lists, k):
+    """What a list holds whatever the scores are: length, last rank, and all items of a list shorter than k."""
+    facts = lists.groupBy("list_key").agg(
+        F.count(F.lit(1)).alias("listed"),
+        F.max("rank").cast("bigint").alias("last_rank"),
+        F.countDistinct("item_id").alias("different"),
+        F.sort_array(F.collect_list("item_id")).alias("ids"),
+    )
+    whole = F.concat_ws("#", F.transform("ids", lambda x: x.cast("string")))
+    return facts.select("list_key", "listed", "last_rank", "different", F.when(F.col("listed") < k, whole).alias("items"))
+
+
+@query
+def als_rerank_facts(spark, sf):
+    return _list_facts(als_rerank(spark, sf), 20)
+
+
+@query
+def als_rerank_older_facts(spark, sf):
+    """The earlier form: no length rule for ids, no subtree, no gate."""
+    episodes = episode_map(_event_catalog(spark, sf))
+    counted = behavior.box_counts_unfiltered(_event_plays(spark, sf, 90), episodes)
+    return _list_facts(behavior.rerank_lists(counted, 20, "5_10046284_0"), 20)
+
+
+@query
+def als_rerank_ott_facts(spark, sf):
+    return _list_facts(als_rerank_ott(spark, sf), 15)
+
+
+@query
+def als_list_facts(spark, sf):
+    """Users of the text lists, how many items a list has, and all of them where there are fewer than 15."""
+    ids = F.transform(F.split("items", "#"), lambda x: x.cast("bigint"))
+    listed = als_list(spark, sf).select("user_id", F.size(ids).cast("bigint").alias("listed"), F.sort_array(ids).alias("ids"))
+    whole = F.concat_ws("#", F.transform("ids", lambda x: x.cast("string")))
+    return listed.select("user_id", "listed", F.when(F.col("listed") < 15, whole).alias("items"))
+
+
+@query
+def als_customers_facts(spark, sf):
+    return _list_facts(als_customers(spark, sf), 20)
+
+
+@query
+def cinema_rerank_facts(spark, sf):
+    """Every user has k ranks, no item twice, and what the user ranked never comes from the catalogue."""
+    lists = cinema_rerank(spark, sf).groupBy("list_key").agg(
+        F.count(F.lit(1)).alias("listed"), F.max("rank").cast("bigint").alias("last_rank"), F.countDistinct("item_id").alias("different")
+    )
+    return lists.select("list_key", "listed", "last_rank", "different")
+
+
 @query
 def cinema_expand(spark, sf):
     """The expansion alone, on items ranked by plays."""
