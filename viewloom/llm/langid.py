@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from viewloom.llm.frames import TEXT, packed, unpacked
 from viewloom.llm.textbytes import Texts, mix, text_blocks
 from viewloom.operators.ranking import top_k
 
@@ -41,35 +42,35 @@ def letter_table() -> np.ndarray:
     return _letters[0]
 
 
-def ngrams(texts: Texts, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Feature numbers of all n-grams in the order of their texts, and the bounds of the texts."""
+def counted(texts: Texts, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(features, counts) of each text's n-grams; none for a text without a letter."""
     points = letter_table()[np.frombuffer(texts.data.tobytes().decode().encode("utf-32-le"), np.uint32)]
     heads = np.concatenate(([0], np.cumsum((texts.data & 0xC0) != 0x80)))
-    starts = heads[texts.starts]
     kept = points != 0
     kept[1:] |= points[:-1] != 0  # one border after each word, the next word begins there too
     at = np.flatnonzero(kept)
-    x = np.concatenate((np.zeros(2, np.uint64), points[at].astype(np.uint64), np.zeros(2, np.uint64)))
-    owner = np.searchsorted(starts, at, "right") - 1
-    a, b, c = x[1:-3], x[2:-2], x[3:-1]
-    inner = b != 0
-    keys = np.stack((b, a << np.uint64(21) | b | np.uint64(1 << 62), a << np.uint64(42) | b << np.uint64(21) | c | np.uint64(1 << 63)))
-    last = inner & (c == 0)
-    ends = b[last] << np.uint64(21) | np.uint64(1 << 62)
-    numbers = np.concatenate((keys[:, inner].reshape(-1), ends))
-    owners = np.concatenate((np.tile(owner[inner], 3), owner[last]))
-    features = (mix(numbers) >> np.uint64(64 - (size - 1).bit_length())).astype(np.int64)
-    order = np.argsort(owners, kind="stable")
-    return features[order], np.searchsorted(owners[order], np.arange(len(texts) + 1))
-
-
-def counted(texts: Texts, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(features, counts) of each text; none for a text without a letter."""
-    features, bounds = ngrams(texts, size)
-    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        counts = np.bincount(features[a:b], minlength=size)
-        at = np.flatnonzero(counts)
-        yield at, counts[at]
+    x = np.zeros(len(at) + 2, np.uint64)
+    x[1:-1] = points[at]
+    inner = np.flatnonzero(x[1:-1]) + 1
+    a, b, c = x[inner - 1], x[inner], x[inner + 1]
+    shift = np.uint64(64 - (size - 1).bit_length())
+    b21 = b << np.uint64(21)
+    grams = np.empty((3, len(inner)), np.int64)
+    grams[0] = mix(b) >> shift
+    grams[1] = mix(a << np.uint64(42) | b21 | np.uint64(1 << 63)) >> shift  # with the letter or border before
+    grams[2] = mix((a << np.uint64(42) | b21 | c) + np.uint64(1)) >> shift
+    last = np.flatnonzero(c == 0)
+    ends = (mix(b21[last] | np.uint64(1 << 63)) >> shift).astype(np.int64)
+    owners = heads[texts.starts], heads[texts.ends]
+    places = at[inner - 1]
+    first, to = np.searchsorted(places, owners[0]), np.searchsorted(places, owners[1])
+    first_end, to_end = np.searchsorted(last, first), np.searchsorted(last, to)
+    for i in range(len(texts)):
+        counts = np.bincount(grams[:, first[i] : to[i]].reshape(-1), minlength=size)
+        if first_end[i] < to_end[i]:
+            np.add.at(counts, ends[first_end[i] : to_end[i]], 1)
+        found = np.flatnonzero(counts != 0)
+        yield found, counts[found]
 
 
 @dataclass
@@ -266,8 +267,9 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
                         out.append({"lang": UNKNOWN, "score": 0.0})
             yield pa.array(out, kind)
 
-    scored = docs.withColumn("_p", F.arrow_udf(score, "struct<lang: string, score: double>").asNondeterministic()(F.col(text)))
-    return scored.withColumns({"lang_pred": F.col("_p.lang"), "score": F.col("_p.score")}).drop("_p")
+    predicted = F.arrow_udf(score, "struct<lang: string, score: double>").asNondeterministic()
+    scored = packed(docs, text).withColumn("_p", predicted(F.col(TEXT)))
+    return unpacked(scored, docs, text, {"lang_pred": F.col("_p.lang"), "score": F.col("_p.score")})
 
 
 def held_out(key: Column, folds: int, fold: int) -> Column:
