@@ -14,6 +14,8 @@ from viewloom.llm import bagminhash, decontaminate, langid, linecrf, linededup,
 from viewloom.llm.frames import TEXT, own, packed
 from viewloom.session import cut_lineage
 
+ORDER = "_order"
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line classifier, learnt from two thirds of the labels, takes for good ones."""
@@ -26,8 +28,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that stand in ten documents or more. A null text stays null."""
-    kept = linededup.drop_repeated_lines(packed(docs, "text"), text=TEXT, min_docs=10, min_length=1)
+    """All documents, without the lines that stand in ten documents or more. A null text stays null.
+
+    Lines that make up half of a document or more stay in the first such document by doc_id, so that one member
+    of each group of copies keeps its text for near_dedup.
+    """
+    rows = packed(docs, "text").withColumn(ORDER, own("doc_id", "text"))
+    kept = linededup.drop_common_lines(rows, ORDER, text=TEXT, min_docs=10, min_length=1)
     changed = {
         "text": F.when(F.col(TEXT).isNull(), F.lit(None).cast("string")).otherwise(F.col("kept_text")),
         "n_chars": F.when(F.col("n_dropped") > 0, F.length("kept_text").cast("bigint")).otherwise(own("n_chars", "text")),

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import collections
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tests.llm.conftest import FOLDER, write_tables
 from tests.llm.test_operators import BLANKS, components_of, lower, words
@@ -46,6 +48,22 @@ def test_stages_on_their_own_input(spark, documents):
     assert mixed.count() == mixed.select("doc_id", "copy").distinct().count()
 
 
+def test_a_group_of_copies_keeps_one_whole_text(spark, documents):
+    whole = "the first line of a copy\nits second line\n\nand its third"
+    near = "one line of near copies that is long\nand another one that is long"
+    rows = [(100 + i, whole) for i in range(20)] + [(200 + i, f"{near}\nown {i}") for i in range(12)]
+    rows += [(i, f"all rights reserved\nsomething longer that only document {i} has") for i in range(15)] + [(300, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("a"), "n_chars": F.length("text").cast("long")})
+    stages = dict(corpus_pipeline.STAGES)
+    lined = cut_lineage(stages["line_dedup"](spark, df.select(*documents.columns).repartition(4), FOLDER))
+    got = {r.doc_id: r.text for r in lined.collect()}
+    assert [i for i, t in got.items() if t == whole] == [100] and all((got[i] or "").strip() == "" for i in range(101, 120))
+    assert got[200] == f"{near}\nown 0" and got[211] == "own 11" and got[300] is None
+    assert all(got[i] == f"something longer that only document {i} has" for i in range(15))
+    one = stages["near_dedup"](spark, lined, FOLDER).collect()
+    assert [r.doc_id for r in one if r.text == whole] == [100]
+
+
 def test_run_on_edge_cases_and_nothing(spark, edges, tmp_path):
     folder = write_tables(spark, str(tmp_path / "edges"), edges.select("doc_id", "text", "lang", "source", "n_chars"))
     assert set(corpus_pipeline.run(spark, folder).columns) == {"doc_id", "text", "lang", "source", "n_chars", "copy"}

@@ -136,8 +136,11 @@ def _pieces(seen: list[np.ndarray], twice: list[np.ndarray], bits: int) -> Itera
             )
 
 
-def _suspects(spark, packed: np.ndarray, min_length: int, bits: int):
-    """UDF: the fingerprints of a text's suspected lines, each once."""
+SHARED = pa.struct([("print", pa.binary()), ("share", pa.float64())])
+
+
+def _suspects(spark, packed: np.ndarray, min_length: int, bits: int, shares: bool = False):
+    """UDF: the fingerprints of a text's suspected lines, each once; with ``shares``, and what share of its characters they hold."""
     shared = spark.sparkContext.broadcast(packed)
 
     def suspects(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -150,13 +153,21 @@ def _suspects(spark, packed: np.ndarray, min_length: int, bits: int):
                 hit = (shared.value[where >> 3] >> (7 - (where & 7)).astype(np.uint8)) & 1
                 at = at[hit.reshape(PROBES, -1).all(axis=0)] if len(at) else at
                 owners = np.searchsorted(lines.bounds, at, "right") - 1
-                found: list[set] = [set() for _ in range(len(block))]
+                found: list[dict] = [{} for _ in range(len(block))]
+                lengths = _lengths(lines)
                 for i, owner in zip(at, owners, strict=True):
-                    found[owner].add(fingerprint(lines.key(i)))
-                out += [sorted(x) for x in found]
-            yield pa.array(out, pa.list_(pa.binary()))
+                    key = fingerprint(lines.key(i))
+                    found[owner][key] = found[owner].get(key, 0) + int(lengths[i])
+                if shares:
+                    ends = np.concatenate(([0], np.cumsum(lengths)))
+                    totals = ends[lines.bounds[1:]] - ends[lines.bounds[:-1]]
+                    out += [[{"print": k, "share": n / total} for k, n in sorted(x.items())] for x, total in zip(found, totals.tolist(), strict=True)]
+                else:
+                    out += [sorted(x) for x in found]
+            yield pa.array(out, pa.list_(SHARED if shares else pa.binary()))
 
-    return F.arrow_udf(suspects, "array<binary>").asNondeterministic()
+    kind = "array<struct<print: binary, share: double>>" if shares else "array<binary>"
+    return F.arrow_udf(suspects, kind).asNondeterministic()
 
 
 RESULT = pa.struct([("n_lines", pa.int64()), ("n_dropped", pa.int64()), ("kept", pa.string())])
@@ -191,6 +202,12 @@ def _suspect_rows(rows: DataFrame, min_length: int, bits: int, *more) -> DataFra
     return cut_lineage(rows.select(*_row_key(), *more, F.explode(suspects(F.col(TEXT))).alias("print")))
 
 
+def _met(found: DataFrame, lines: DataFrame, how: str = "inner") -> DataFrame:
+    """``found`` with the columns of ``lines`` (one row per print), each in SALTS places, for a hot line stands in many documents."""
+    salted = lines.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return found.withColumn("salt", F.pmod("_doc", F.lit(SALTS)).cast("int")).join(salted, ["print", "salt"], how).drop("salt")
+
+
 def _without(docs: DataFrame, rows: DataFrame, text: str, drops: DataFrame) -> DataFrame:
     """Texts without the lines of ``drops`` (_doc, _text, print), which may repeat."""
     per_row = drops.groupBy("_doc", "_text").agg(F.collect_set("print").alias("_drop"))
@@ -240,3 +257,36 @@ def keep_first_lines(docs: DataFrame, order: str, text: str = "text", min_length
     salted = first.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     met = found.withColumn("salt", F.pmod("_doc", F.lit(SALTS)).cast("int")).join(salted, ["print", "salt"])
     return _without(docs, rows, text, met.where(~place.eqNullSafe(F.col("first"))))
+
+
+def drop_common_lines(
+    docs: DataFrame,
+    order: str,
+    text: str = "text",
+    min_docs: int = 10,
+    min_length: int = 1,
+    copied: float = 0.5,
+    filter_bits: int = 1 << 26,
+) -> DataFrame:
+    """Like ``drop_repeated_lines``, but what copied documents are made of stays once.
+
+    A document is a copy if lines of at least ``min_docs`` documents hold the share ``copied`` of its characters or
+    more. A line that stands in copies stays in the first of them by ``order`` (nulls first, ties go to the smaller
+    row fingerprint; equal rows all keep it) and goes from all other documents. A line that stands in no copy loses
+    all its occurrences.
+    """
+    if min_docs < 2:
+        raise ValueError("a repeated line stands in two documents at least")
+    rows = packed(docs, text)
+    packed_filter = twice_filter(rows, TEXT, min_length, filter_bits)
+    suspects = _suspects(rows.sparkSession, packed_filter, min_length, filter_bits, shares=True)
+    lines = rows.select(*_row_key(), own(order, text).alias("at"), F.explode(suspects(F.col(TEXT))).alias("line"))
+    found = cut_lineage(lines.select("_doc", "_text", "at", "line.print", "line.share"))
+    frequent = found.groupBy("print").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("print")
+    met = cut_lineage(_met(found, frequent))
+    of_row = met.groupBy("_doc", "_text").agg(F.min("at").alias("at"), F.collect_set(F.struct("print", "share")).alias("lines"))
+    held = F.aggregate(F.col("lines.share"), F.lit(0.0), lambda total, x: total + x)
+    place = F.struct("at", "_doc", "_text")
+    copies = of_row.where(held >= copied).select(place.alias("place"), F.explode("lines.print").alias("print"))
+    first = copies.groupBy("print").agg(F.min("place").alias("first"))
+    return _without(docs, rows, text, _met(met, first, "left").where(~place.eqNullSafe(F.col("first"))))
