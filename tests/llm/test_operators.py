@@ -309,6 +309,22 @@ def test_order_sampling_follows_the_propensities(spark):
     assert n[True] + n[False] == 1000 and n[True] > 1.6 * n[False]
 
 
+@pytest.mark.parametrize("key", [7, None])
+@pytest.mark.parametrize("equal", [True, False])
+def test_rows_of_one_key_are_drawn_one_by_one(spark, key, equal):
+    # a third of source a has one key; its target is a quarter of all words
+    rows = [(key if i % 3 == 0 else 1000 + i, "a", "w " * 9 + ("x" if equal and i % 3 == 0 else f"x{i}")) for i in range(900)]
+    rows += [(5000 + i, "b", "w " * 10) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(4)
+    got = mixing.mixture(df, weights=(1, 3)).cache()
+    taken, target, tied, n = got.where("source = 'a'").agg(
+        F.sum("taken"), F.max("target"), F.sum(F.when(F.col("doc_id").eqNullSafe(F.lit(key).cast("bigint")), F.col("taken"))), F.count("size")
+    ).first()
+    assert target == 4500 and taken == 4500 and n == 900
+    assert 1000 < tied < 2000  # a third of what is taken
+    assert got.exceptAll(mixing.mixture(df.repartition(3), weights=(1, 3))).count() == 0
+
+
 # 8 near duplicates
 
 

@@ -75,6 +75,39 @@ def _drawn(nth: int) -> Column:
     return (F.col("size") > 0) & (F.col("size") <= F.col(f"left_{nth}")) & F.coalesce(past | here, F.lit(False))
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` (print, part and more) with ``nth``: equal prints numbered from 1, each part by itself and then part after part."""
+    counts = rows.groupBy("print", "part").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("print").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("print", "part", F.coalesce(before, F.lit(0)).alias("offset"))
+    within = F.row_number().over(Window.partitionBy("print", "part").orderBy(F.lit(0)))
+    return rows.withColumn("nth", within).join(offsets, ["print", "part"]).withColumn("nth", F.col("nth") + F.col("offset"))
+
+
+def _placed(sized: DataFrame, seed: int) -> DataFrame:
+    """``sized`` (_doc, source, key, size, weight) with ``odds``: every row has its own place in its source.
+
+    A key that stands once in its source gives the place itself. Rows that share theirs get places of their own by
+    the key, a fingerprint of the row and, for equal rows, a number; which of the equal rows has which number
+    makes no difference.
+    """
+
+    def odds(*ids: Column) -> Column:
+        u = random_unit(seed, *ids)
+        return u / (1 - u) / F.col("weight")
+
+    shared = cut_lineage(sized.groupBy("source", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("source", "key"))
+    columns = ["_doc", "source", "size"]
+    if shared.isEmpty():
+        return sized.select(*columns, odds(F.col("key")).alias("odds"))
+    s = shared.select(F.col("source").alias("_s"), F.col("key").alias("_k"))
+    same = sized["source"].eqNullSafe(s["_s"]) & (sized["key"] == s["_k"])
+    alone = sized.join(s, same, "left_anti").select(*columns, odds(F.col("key")).alias("odds"))
+    whole = F.md5(F.concat_ws("|", F.to_json("_doc"), F.coalesce("source", F.lit("")), "key"))
+    tied = cut_lineage(sized.withColumn("part", F.spark_partition_id()).join(s, same, "left_semi").withColumn("print", whole))
+    return alone.unionByName(_numbered(tied).select(*columns, odds(F.col("key"), F.col("print"), F.col("nth")).alias("odds")))
+
+
 def _any_drawn(rounds: int) -> Column:
     out = F.lit(False)
     for nth in range(rounds):
@@ -137,20 +170,20 @@ def mixture(
     Sources in code point order, null last, get ``weights`` in turn and share ``budget`` times all words; a target
     is at most ``max_repeats`` times its source. ``propensity`` (positive) makes documents of one source
     unequally likely. Documents without words are not drawn: they get the certain copies, of no words.
-    Rows of one key and source rank alike and are drawn together. Columns of ``docs`` with the names
+    Rows that share key and source are drawn one by one, each by a place of its own. Columns of ``docs`` with the names
     of results are replaced.
     """
-    sized = docs.withColumn("size", word_count(F.col(text)))
-    u = random_unit(seed, F.col(key))
-    odds = u / (1 - u)
-    if propensity is not None:
-        odds = odds / F.greatest(propensity.cast("double"), F.lit(1e-9))
-    ranked = sized.select(F.col(source).alias("source"), "size", odds.alias("odds"))
+    sized = docs.select(
+        F.struct(*[F.col(c) for c in docs.columns]).alias("_doc"),
+        F.col(source).alias("source"),
+        F.coalesce(F.col(key).cast("string"), F.lit("")).alias("key"),
+        word_count(F.col(text)).alias("size"),
+        (F.lit(1.0) if propensity is None else F.greatest(propensity.cast("double"), F.lit(1e-9))).alias("weight"),
+    )
     bucket = F.least(F.floor(BUCKETS * (F.col("odds") / (1 + F.col("odds")))), F.lit(BUCKETS - 1)).cast("int")
-    rows = cut_lineage(ranked.withColumn("bucket", bucket))
+    full = _placed(sized, seed).withColumn("bucket", bucket)
+    rows = cut_lineage(full.drop("_doc"))
     state = draw(rows, source_targets(rows, "source", weights, budget, max_repeats))
-    row = F.struct(*[F.col(c) for c in docs.columns]).alias("_doc")
-    full = sized.select(row, F.col(source).alias("source"), "size", odds.alias("odds")).withColumn("bucket", bucket)
     copies = F.col("certain") + _any_drawn(ROUNDS).cast("bigint")
     placed = _to_source(full, state).select("_doc", "size", "source_size", "target", copies.alias("copies"))
     own = [F.col("_doc").getField(c).alias(c) for c in docs.columns if c not in ("size", "source_size", "target", "copies", "taken")]
