@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewloom.llm import bagminhash, decontaminate, langid, linecrf, linededup, mixing, permindex, pseudonyms, secretscan, tokencount
+from viewloom.llm import bagminhash, decontaminate, langid, linecrf, linededup, mixing, permindex, pseudonyms, secretscan, tokenalign, tokencount, whitening
 from viewloom.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -173,3 +173,21 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
 FROM docs LEFT JOIN hits USING (r) LEFT JOIN held USING (r)
 """
+
+
+@query
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoding has no SQL form; tests align with the tokenizers themselves, token by token."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces, _ = vocabulary("piece_bpe_32k.model")
+    aligned = tokenalign.align(docs, *vocabulary("byte_bpe_50k.json"), pieces)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    aligned = cut_lineage(aligned.withColumn("groups_sha256", digest).drop("groups"))
+    done = tokenalign.with_link_counts(aligned, ("groups_sha256",)).withColumnRenamed("key", "doc_id")
+    return done.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A decomposition has no SQL form; tests hold it against the covariance's own eigenvectors."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=32)
