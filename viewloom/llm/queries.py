@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewloom.llm import bagminhash, decontaminate, langid, linecrf, linededup, mixing, permindex, pseudonyms, secretscan, tokenalign, tokencount, whitening
+from viewloom.llm import bagminhash, countjoin, decontaminate, langid, linecrf, linededup, mixing, permindex, pseudonyms, secretscan, tokenalign, tokencount, whitening
 from viewloom.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -191,3 +191,10 @@ def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A decomposition has no SQL form; tests hold it against the covariance's own eigenvectors."""
     return whitening.whiten(table(spark, sf_dir, "embeddings"), components=32)
+
+
+@query
+def op13_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of links have no practical SQL form on whole tables; tests hold them against all pairs."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return countjoin.linked_components(docs, size=4, percent=85)
