@@ -208,13 +208,19 @@ def test_live_lists_and_filler(spark):
     for r in sorted(lists, key=lambda r: r["rank"]):
         got.setdefault(r["category"], []).append(r["channel_id"])
     assert got == {"all": ["b", "a", "e"], "电影": ["b", "a"]}
-    fillers = spark.createDataFrame([("all", i) for i in range(40)] + [("电影", i) for i in range(3)], "category string, media_id bigint")
+    fillers = spark.createDataFrame(
+        [("all", i, f"n{i}", i % 7, None) for i in range(40)] + [("电影", i, None, 1, "p") for i in range(3)],
+        "category string, media_id bigint, name string, ind int, image string",
+    )
     objects = live.minute_lists(schedule, audience, fillers, "2024-01-15", target=4).collect()
     assert len(objects) == 1440 * 9
     found = {r["list_key"]: json.loads(r["payload"]) for r in objects}
     assert len(found["1000_all"]["rec_vodlist"]) == 1 and len(found["0000_all"]["rec_vodlist"]) == 4
     assert found["1000_电影"]["rec_livelist"] == ["b", "a"] and len(found["1000_电影"]["rec_vodlist"]) == 2
     assert found["0000_体育"] == {"rec_livelist": [], "rec_vodlist": []}
+    shown = found["1000_all"]["rec_vodlist"][0]
+    assert list(shown) == ["name_cn", "mediaid", "index", "p_pic"]
+    assert shown == {"name_cn": f"n{shown['mediaid']}", "mediaid": shown["mediaid"], "index": str(int(shown["mediaid"]) % 7), "p_pic": ""}
 
 
 def test_district_and_catalog_lists(spark):

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _text(col: Column | None) -> Column:
+def text_or_empty(col: Column | None) -> Column:
     """Every field is text, unknown ones are empty (NULL would drop the field)."""
     if col is None:
         return F.lit("")
@@ -14,7 +14,7 @@ def _text(col: Column | None) -> Column:
 
 
 def _object(**fields: Column | None) -> Column:
-    return F.to_json(F.struct(*[_text(col).alias(name) for name, col in fields.items()]))
+    return F.to_json(F.struct(*[text_or_empty(col).alias(name) for name, col in fields.items()]))
 
 
 def item_payload(

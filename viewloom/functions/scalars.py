@@ -82,11 +82,6 @@ def draw_order(seed: int | str, *cols: Column) -> Column:
     return F.md5(F.concat_ws("|", *parts))
 
 
-def draw_deck(seed: int | str, use: str, decks: Column, *cols: Column) -> Column:
-    """One of ``decks`` decks, by a hash of the ids; ``use`` tells where items lie from where targets sit."""
-    return F.pmod(F.conv(F.substring(draw_order(f"{seed}|{use}", *cols), 1, 8), 16, 10).cast("bigint"), decks)
-
-
-def deck_count(rows: Column, deck_rows: int) -> Column:
-    """As many decks as give ``deck_rows`` rows to each on average, one at least."""
-    return F.greatest(F.ceil(rows / F.lit(deck_rows)), F.lit(1)).cast("bigint")
+def draw_number(seed: int | str, *cols: Column) -> Column:
+    """A reproducible random number of 60 bits."""
+    return F.conv(F.substring(draw_order(seed, *cols), 1, 15), 16, 10).cast("bigint")

@@ -1,7 +1,7 @@
 """Live television by the minute.
 
-Programmes are turned into the minutes they cover and joined on equal minutes; a programme
-covers at most the 1,440 minutes of the day, so the rows stay within a fixed factor.
+Programmes are intervals of seconds of the day and moments are points in them (``spans``), so a programme is a few
+rows however long it is.
 """
 
 from __future__ import annotations
@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from viewloom.operators.columns import computed
-from viewloom.operators.fill import fill_lists
+from viewloom.operators.fill import Pool, fill_lists
+from viewloom.operators.spans import join_points
 from viewloom.sources.logs import as_date
 
 MINUTES = 1440
@@ -60,25 +61,28 @@ def minute_grid(spark: SparkSession, categories: Sequence[str] = (ALL, *PROGRAM_
     )
 
 
-def on_air_minutes(schedule: DataFrame, day: dt.date | str, keep: Sequence[str]) -> DataFrame:
-    """One row per programme and minute of ``day`` with start <= minute < end."""
+def second_of(ts: Column, day: dt.date | str) -> Column:
+    """The first whole second of ``day`` that isn't before ``ts``; negative on earlier days."""
     midnight = F.expr(f"TIMESTAMP_NTZ '{as_date(day)} 00:00:00'")
+    return F.ceil(F.timestamp_diff("MICROSECOND", midnight, ts.cast("timestamp_ntz")) / 1000000).cast("bigint")
 
-    def first_minute_from(ts: Column) -> Column:
-        micros = F.timestamp_diff("MICROSECOND", midnight, ts.cast("timestamp_ntz"))
-        return F.ceil(micros / 60000000).cast("int")
 
-    first = F.greatest(first_minute_from(F.col("start_time")), F.lit(0))
-    last = F.least(first_minute_from(F.col("end_time")) - 1, F.lit(MINUTES - 1))
+def on_air(schedule: DataFrame, moments: DataFrame, day: dt.date | str, keep: Sequence[str], at: str = "second") -> DataFrame:
+    """Every row of ``moments`` with every programme on air then: start <= moment < end.
+
+    ``moments`` has the second of ``day`` in the column ``at``; ``keep`` are the columns kept of a programme.
+    """
     end_of_day = F.expr(f"TIMESTAMP_NTZ '{as_date(day) + dt.timedelta(days=1)} 00:00:00'")
-    return (
-        schedule.where((F.col("start_time") < end_of_day) & (F.col("end_time") > midnight))
-        .select(*keep, first.alias("_first"), last.alias("_last"))
-        .select(
-            *keep,
-            F.explode(F.when(F.col("_first") <= F.col("_last"), F.sequence("_first", "_last"))).alias("minute"),
-        )
-    )
+    midnight = F.expr(f"TIMESTAMP_NTZ '{as_date(day)} 00:00:00'")
+    shown = schedule.where((F.col("start_time") < end_of_day) & (F.col("end_time") > midnight))
+    spans = shown.select(*keep, second_of(F.col("start_time"), day).alias("_from"), second_of(F.col("end_time"), day).alias("_to"))
+    return join_points(spans, moments, "_from", "_to", at).drop("_from", "_to")
+
+
+def on_air_minutes(schedule: DataFrame, day: dt.date | str, keep: Sequence[str]) -> DataFrame:
+    """One row per programme and minute of ``day`` with start <= minute < end."""
+    minutes = schedule.sparkSession.range(MINUTES).select(F.col("id").cast("int").alias("minute"), (F.col("id") * 60).alias("second"))
+    return on_air(schedule, minutes, day, keep).drop("second")
 
 
 def listable(schedule: DataFrame, excluded: Sequence[str] = EXCLUDED_CHANNELS) -> DataFrame:
@@ -96,7 +100,7 @@ def ratings_of(audience: DataFrame, day: dt.date | str, minute_time: str | None
     )
 
 
-def live_lists(
+def rated_channels(
     schedule: DataFrame,
     audience: DataFrame,
     as_of: dt.date | str,
@@ -104,7 +108,7 @@ def live_lists(
     excluded: Sequence[str] = EXCLUDED_CHANNELS,
     distinct: bool = True,
 ) -> DataFrame:
-    """(minute, category, channel_id, tv_rating, rank): channels on air, best audience of a week ago first."""
+    """(minute, category, channel_id, tv_rating): channels on air and their audience of a week ago."""
     day = as_date(as_of)
     shown = listable(schedule, excluded)
     minutes = on_air_minutes(shown, day, ["channel_id", "service_id", "program_type"])
@@ -119,32 +123,32 @@ def live_lists(
         "tv_rating",
         F.explode(F.array_compact(F.array(F.lit(ALL), own))).alias("category"),
     )
-    if distinct:
-        by_category = by_category.groupBy("minute", "category", "channel_id").agg(
-            F.max("tv_rating").alias("tv_rating")
-        )
+    if not distinct:
+        return by_category.select("minute", "category", "channel_id", "tv_rating")
+    return by_category.groupBy("minute", "category", "channel_id").agg(F.max("tv_rating").alias("tv_rating"))
+
+
+def live_lists(schedule: DataFrame, audience: DataFrame, as_of: dt.date | str, *settings, **options) -> DataFrame:
+    """``rated_channels`` with rank: the best audience first, unrated channels last."""
     order = Window.partitionBy("minute", "category").orderBy(F.desc_nulls_last("tv_rating"), F.asc("channel_id"))
-    return by_category.withColumn("rank", F.row_number().over(order))
+    rated = rated_channels(schedule, audience, as_of, *settings, **options)
+    return rated.withColumn("rank", F.row_number().over(order))
 
 
-def minute_objects(grid: DataFrame, live: DataFrame, decks: DataFrame, target: int, seed: int | str) -> DataFrame:
-    """(minute, category, n_live, channels, vods): live channels and the filler that brings them to ``target``."""
-    entry = F.struct("rank", "channel_id")
-    channels = live.groupBy("minute", "category").agg(F.array_sort(F.collect_list(entry)).alias("_live"))
+def minute_objects(grid: DataFrame, rated: DataFrame, pool: Pool, target: int, seed: int | str) -> DataFrame:
+    """(minute, category, n_live, channels, vods): channels on air, best first, and the filler that brings them to ``target``.
+
+    ``rated`` is the result of ``rated_channels``. An object holds every channel of its minute, so that is what a task collects.
+    """
+    # Numbers sort by falling rating, unrated channels after all.
+    entry = F.struct(F.col("tv_rating").isNull().alias("unrated"), (-F.col("tv_rating")).alias("turn"), "channel_id")
+    channels = rated.groupBy("minute", "category").agg(F.array_sort(F.collect_list(entry)).alias("_live"))
     joined = grid.join(channels, ["minute", "category"], "left")
     none = F.array().cast("array<string>")
-    listed = computed(joined, "channels", F.coalesce(F.transform("_live", lambda x: x["channel_id"]), none))
-    filled = fill_lists(
-        listed,
-        decks,
-        ["minute", "category"],
-        "channels",
-        target,
-        seed,
-        "media_id",
-        group=["category"],
-        other_ids=True,
+    listed = joined.select(
+        "minute", "category", F.coalesce(F.transform("_live", lambda x: x["channel_id"]), none).alias("channels")
     )
+    filled = fill_lists(listed, pool, ["minute", "category"], "channels", target, seed, other_ids=True)
     return filled.select(
         "minute", "category", F.size("channels").alias("n_live"), "channels", F.col("fill").alias("vods")
     )
@@ -157,6 +161,20 @@ def _has(column: str, *words: str) -> Column:
     return test
 
 
+# The fields of a published filler and the library columns they show.
+FILM_LIBRARY_FIELDS = {"name_cn": "name", "mediaid": "media_id", "index": "ind", "p_pic": "image"}
+CATALOGUE_FIELDS = {
+    "categoryCode": "category_code",
+    "categoryItemCode": "category_item_code",
+    "categoryName": "category_name",
+    "pCode": "media_id",
+    "pType": "ptype",
+    "pName": "name",
+    "type": "type",
+    "bigImage1": "big_image",
+}
+
+
 def film_library_fillers() -> dict[str, Column]:
     """Filler choice per category in the film library (mtype, tags, plots, adword)."""
     kind, variety = F.col("mtype"), F.col("mtype") == "variety"

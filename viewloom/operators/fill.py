@@ -1,133 +1,124 @@
-"""Filling short lists from a pool.
+"""Filling short lists from a pool, and lists that follow a catalogue.
 
-A pool is one group shared by all lists, so it is never paired with them. Its ids are dealt by
-hash into decks, as many as give a deck DECK_LISTS times the ids a list may need; a deck's rows are
-followed by the first rows of the whole pool. A list reads the row of one deck in an order of its own, so it
-meets a bounded array that is enough to fill it whatever it already holds, and every id of the pool is in
-some list's reach.
+A pool is one group shared by all lists, so it is never paired with them. Its ids are numbered once; a list draws
+as many positions as it lacks, and as many more as it has ids that the draw may hit. So every list is a draw over
+the whole pool, of any size, at a cost that depends on the length of lists alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from viewloom.functions.scalars import deck_count, draw_deck, draw_order
+from viewloom.functions.scalars import draw_order
 from viewloom.operators.columns import computed
+from viewloom.operators.positions import AT, drawn_positions, intervals, numbered
 from viewloom.operators.ranking import top_k
+from viewloom.session import cut_lineage
 
-#: Lists that a deck offers the needed ids of, on average.
-DECK_LISTS = 2
 
+@dataclass(frozen=True)
+class Pool:
+    """Numbered ids (group..., item, fields..., _at); one row per group and id."""
 
-def pool_decks(
-    pool: DataFrame,
-    item: str,
-    needed: int,
-    seed: int | str,
-    group: Sequence[str] = (),
-    fields: Sequence[str] = (),
-) -> DataFrame:
-    """(group..., _deck, _decks, pool): a deck's ids, then the pool's first ones; _decks is their number.
+    rows: DataFrame
+    item: str
+    group: Sequence[str] = ()
+    fields: Sequence[str] = field(default=())
 
-    ``needed`` must cover the ids a list may already hold plus the ids it lacks. A row has about
-    (DECK_LISTS + 1) * needed ids.
-    """
-    keep = [item, *fields]
-    ids = pool.where(F.col(item).isNotNull()).select(*group, *keep).dropDuplicates([*group, item])
-    sizes = ids.groupBy(*group).agg(deck_count(F.count(F.lit(1)), DECK_LISTS * needed).alias("_decks"))
-    # Without groups the number is one value, read as a subquery.
-    numbered = ids.join(sizes, list(group)) if group else ids.withColumn("_decks", sizes.scalar())
-    dealt = numbered.withColumn("_deck", draw_deck(seed, "deck", F.col("_decks"), F.col(item))).withColumn(
-        "_draw", draw_order(seed, F.col(item))
-    )
-    overall = top_k(dealt, list(group), [F.col("_draw"), F.col(item)], needed, "_pos")
-
-    row = F.struct("_draw", *keep, F.col("_deck").alias("home"))
-    own = dealt.groupBy(*group, "_deck").agg(F.array_sort(F.collect_list(row)).alias("_own"))
-    rest = overall.groupBy(*group).agg(F.array_sort(F.collect_list(row)).alias("_all"), F.first("_decks").alias("_decks"))
-    seats = rest.withColumn("_deck", F.explode(F.sequence(F.lit(0), F.col("_decks") - 1)))
-    joined = seats.join(own, [*group, "_deck"], "left")
-    others = F.filter("_all", lambda x: x["home"] != F.col("_deck"))
-    return joined.select(
-        *group, "_deck", "_decks", F.concat(F.coalesce("_own", F.slice("_all", 1, 0)), others).alias("pool")
-    )
+
+def pool_of(pool: DataFrame, item: str, group: Sequence[str] = (), fields: Sequence[str] = ()) -> Pool:
+    """The different ids of ``pool``, numbered; of repeated ids the row with the least fields stays."""
+    ids = pool.where(F.col(item).isNotNull()).select(*group, item, *fields)
+    if fields:
+        ids = ids.groupBy(*group, item).agg(F.min(F.struct(*fields)).alias("_f")).select(*group, item, "_f.*")
+    else:
+        ids = ids.distinct()
+    return Pool(numbered(ids, [*group, item]), item, tuple(group), tuple(fields))
 
 
 def fill_lists(
     lists: DataFrame,
-    decks: DataFrame,
+    pool: Pool,
     seat_by: Sequence[str],
     have: str,
     k: int,
     seed: int | str,
-    item: str,
     exclude: Sequence[str] = (),
-    group: Sequence[str] = (),
     other_ids: bool = False,
 ) -> DataFrame:
     """Array column ``fill``: pool rows that bring the id array ``have`` up to ``k`` entries.
 
-    No side carries a hint: Spark checks the size of the decks. A list takes its own deck in the order of a hash of
-    list and id, and the pool's first ids after it. Ids in ``have`` and in the ``exclude`` columns are not
-    used, unless ``have`` lists ids of another kind than the pool's.
+    ``seat_by`` tells lists apart and isn't null. Ids in ``have`` and in the ``exclude`` columns are not used, unless ``have``
+    lists ids of another kind than the pool's. The free ids are equally likely, in the order of a hash of list and id;
+    a pool with fewer of them gives all. The lists are written once.
     """
     seats = [F.col(c) for c in seat_by]
-    sizes = decks.groupBy(*group).agg(F.max("_decks").alias("_decks"))
-    counted = lists.join(sizes, list(group), "left") if group else lists.withColumn("_decks", sizes.scalar())
-    seated = counted.withColumn("_deck", draw_deck(seed, "seat", F.col("_decks"), *seats))
-    joined = seated.join(decks.drop("_decks"), [*group, "_deck"], "left")
-    if other_ids:
-        free = F.col("pool")
+    if pool.group:
+        placed = lists.join(intervals(pool.rows, pool.group, "_first", "_size"), list(pool.group), "left")
     else:
+        size = pool.rows.agg(F.count(F.lit(1)).alias("_size"))
+        placed = lists.withColumns({"_first": F.lit(0), "_size": size.scalar()})
+    lacking = F.greatest(F.lit(k) - F.size(have), F.lit(0))
+    barred = F.lit(0) if other_ids else F.size(have) + F.lit(len(exclude))
+    drawn = drawn_positions(F.coalesce("_size", F.lit(0)), F.when(lacking > 0, lacking + barred).otherwise(0), seed, *seats)
+    placed = cut_lineage(placed.withColumn("_draws", drawn))
+
+    each = placed.select(*seat_by, F.explode("_draws").alias("_draw"), "_first").select(*seat_by, (F.col("_first") + F.col("_draw")).alias(AT))
+    shown = [pool.item, *pool.fields]
+    told = pool.rows.select(AT, F.struct(*[F.col(c) for c in shown]).alias("_row"))
+    turn = draw_order(seed, *seats, F.col("_row")[pool.item])
+    found = each.join(told, AT).groupBy(*seat_by).agg(F.array_sort(F.collect_list(F.struct(turn.alias("turn"), "_row"))).alias("_turned"))
+    joined = placed.drop("_first", "_size", "_draws").join(found, list(seat_by), "left")
+    rows = F.transform("_turned", lambda x: x["_row"])
+    if not other_ids:
         others = F.array(*[F.col(c) for c in exclude]).cast(lists.schema[have].dataType)
         joined = computed(joined, "_taken", F.concat(F.col(have), others))
-        free = F.filter("pool", lambda x: ~F.array_contains("_taken", x[item]))
-    names = [f.name for f in decks.schema["pool"].dataType.elementType.fields]
-    turned = F.transform(
-        free,
-        lambda x: F.struct(
-            (x["home"] != F.col("_deck")).alias("_later"),
-            F.when(x["home"] == F.col("_deck"), draw_order(seed, *seats, x[item])).otherwise(x["_draw"]).alias("_key"),
-            *[x[name].alias(name) for name in names],
-        ),
-    )
-    ordered = F.transform(F.array_sort(turned), lambda x: F.struct(*[x[name].alias(name) for name in names]))
-    lacking = F.greatest(F.lit(k) - F.size(have), F.lit(0))
-    empty = F.array().cast(decks.schema["pool"].dataType)
-    filled = F.coalesce(F.slice(ordered, F.lit(1), lacking), empty)
-    return computed(joined, "fill", filled).drop("_deck", "_decks", "_taken", "pool")
+        rows = F.filter(rows, lambda x: ~F.array_contains("_taken", x[pool.item]))
+    joined = computed(joined, "fill", F.slice(rows, F.lit(1), lacking))
+    none = F.array().cast(joined.schema["fill"].dataType)
+    return joined.withColumn("fill", F.coalesce("fill", none)).drop("_taken", "_turned")
 
 
-def expand_best(
-    played: DataFrame, members: DataFrame, decks: DataFrame, k: int, seed: int | str
-) -> DataFrame:
-    """(user_id, rank, item_id, source) from each user's best item.
+def unseen_of_best(played: DataFrame, members: DataFrame, k: int) -> DataFrame:
+    """(user_id, rank, item_id): the first k films of the catalogue of a user's rank-1 item that the user hasn't ranked.
 
-    The catalogue of the rank-1 item is followed in its own order, skipping the user's ranked
-    items, and the pool fills the rest. At most k ids can be skipped, so the first 2k films of
-    a catalogue are enough.
+    The catalogue is followed in its own order. A user walks as many films as k and the ranked ones that lie in this catalogue,
+    however many those are. Users whose best item is in no catalogue have no row.
     """
-    users = played.groupBy("user_id").agg(
-        F.min_by("item_id", "rank").alias("best"), F.collect_set("item_id").alias("seen")
-    )
-    ordered = members.groupBy("catalog_id", "content_id").agg(F.min("position").alias("position"))
-    heads = top_k(ordered, ["catalog_id"], [F.asc("position"), F.asc("content_id")], 2 * k, "_pos")
-    films = heads.groupBy("catalog_id").agg(
-        F.array_sort(F.collect_list(F.struct("_pos", "content_id"))).alias("films")
-    )
-    home = members.groupBy(F.col("content_id").alias("best")).agg(F.max("catalog_id").alias("catalog_id"))
-    listed = users.join(home, "best", "left").join(films, "catalog_id", "left")
-    ids = F.transform("films", lambda x: x["content_id"])
-    unseen = F.slice(F.filter(ids, lambda x: ~F.array_contains("seen", x)), 1, k)
+    films = members.groupBy("catalog_id", "content_id").agg(F.min("position").alias("position"))
+    placed = numbered(films, ["catalog_id", "position", "content_id"])
+    best = played.groupBy("user_id").agg(F.min_by("item_id", "rank").alias("content_id"))
+    home = members.groupBy("content_id").agg(F.max("catalog_id").alias("catalog_id"))
+    users = best.join(home, "content_id").select("user_id", "catalog_id")
+    seen = played.select("user_id", F.col("item_id").alias("content_id")).distinct().join(users, "user_id")
+    seen = cut_lineage(seen.join(placed.select("catalog_id", "content_id", AT), ["catalog_id", "content_id"]).select("user_id", AT))
+    met = seen.groupBy("user_id").agg(F.count(F.lit(1)).alias("_met"))
+    sized = users.join(intervals(placed, ["catalog_id"], "_first", "_size"), "catalog_id").join(met, "user_id", "left")
+    steps = F.least(F.col("_size"), F.lit(k) + F.coalesce("_met", F.lit(0)))
+    walk = sized.select("user_id", F.explode(F.sequence(F.col("_first"), F.col("_first") + steps - 1)).alias(AT))
+    free = walk.join(seen, ["user_id", AT], "left_anti")
+    listed = top_k(free, ["user_id"], [F.asc(AT)], k)
+    return listed.join(placed.select(AT, F.col("content_id").alias("item_id")), AT).select("user_id", "rank", "item_id")
+
+
+def expand_best(played: DataFrame, members: DataFrame, pool: Pool, k: int, seed: int | str) -> DataFrame:
+    """(user_id, rank, item_id, source): ``unseen_of_best``, and the pool fills the rest up to k.
+
+    ``played`` has user_id, item_id, rank; the ranked items of a user may be any number.
+    """
+    own = unseen_of_best(played, members, k)
+    arrays = own.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("rank", "item_id"))).alias("_own"))
+    users = played.select("user_id").distinct().join(arrays, "user_id", "left")
     none = F.array().cast("array<bigint>")
-    listed = computed(listed, "_list", F.coalesce(unseen, none))
-    filled = fill_lists(listed, decks, ["user_id"], "_list", k, seed, "content_id")
+    listed = users.select("user_id", F.coalesce(F.transform("_own", lambda x: x["item_id"]), none).alias("_list"))
+    filled = fill_lists(listed, pool, ["user_id"], "_list", k, seed)
     rows = F.concat(
         F.transform("_list", lambda x: F.struct(x.alias("item_id"), F.lit("catalog").alias("source"))),
-        F.transform("fill", lambda x: F.struct(x["content_id"].alias("item_id"), F.lit("pool").alias("source"))),
+        F.transform("fill", lambda x: F.struct(x[pool.item].alias("item_id"), F.lit("pool").alias("source"))),
     )
     return filled.select("user_id", F.posexplode(rows).alias("_at", "_row")).select(
         "user_id", (F.col("_at") + 1).alias("rank"), "_row.item_id", "_row.source"

@@ -15,19 +15,18 @@ is the one the pairs would give. The kept rows travel as one array per group to
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from viewloom.functions.scalars import deck_count, draw_deck, draw_order
+from viewloom.functions.scalars import draw_order
 from viewloom.operators.columns import computed
+from viewloom.operators.positions import AT, drawn_positions, intervals, numbered
 from viewloom.operators.ranking import top_k
 
 _TITLE = "_title"
 _ORDER = "_order"
-#: Lists that a deck offers the items of, on average.
-DECK_LISTS = 4
 
 
 def newest_first(day: Column) -> Column:
@@ -55,14 +54,14 @@ def _as_arrays(listed: DataFrame, keys: Sequence[str], fields: Sequence[str], na
     return listed.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias(name))
 
 
-def _attach(targets: DataFrame, arrays: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """Join the arrays to the targets; NULL keys match NULL.
+def _attach(targets: DataFrame, arrays: DataFrame, keys: Sequence[str], *names: str) -> DataFrame:
+    """Join the columns ``names`` of a group to its targets; NULL keys match NULL.
 
     The join is an outer one so that the targets are always the side that streams: the arrays
     are broadcast when Spark finds them small, and otherwise a hot group's targets can be split.
     Targets without an array drop out with the empty lists.
     """
-    side = arrays.select(*[F.col(c).alias(f"_r_{c}") for c in keys], name)
+    side = arrays.select(*[F.col(c).alias(f"_r_{c}") for c in keys], *names)
     test = F.lit(True)
     for key in keys:
         test = test & targets[key].eqNullSafe(side[f"_r_{key}"])
@@ -84,15 +83,6 @@ def _with_entries(df: DataFrame, rows: Column, unique_titles: bool) -> DataFrame
     return computed(listed, "_entries", first)
 
 
-def _keyed(rows: Column, key: Callable[[Column], Column], fields: Sequence[str]) -> Column:
-    return F.transform(rows, lambda x: F.struct(key(x).alias("_key"), *[x[f].alias(f) for f in fields]))
-
-
-def _sorted_by(rows: Column, key: Callable[[Column], Column], fields: Sequence[str]) -> Column:
-    """Rows in ascending order of ``key(row)``."""
-    return F.transform(F.array_sort(_keyed(rows, key, fields)), lambda x: F.struct(*[x[f].alias(f) for f in fields]))
-
-
 def _numbered(df: DataFrame, out: Sequence[str], fields: Sequence[str]) -> DataFrame:
     """Long form of ``_entries``: one row per entry with its rank, the length of its list and its fields."""
     listed = df.select(*out, F.size("_entries").alias("rec_count"), F.posexplode("_entries").alias("_at", "_rec"))
@@ -139,41 +129,40 @@ def recommend_by_draw(
     fields: Sequence[str] = (),
     unique_titles: bool = True,
 ) -> DataFrame:
-    """A random list per target where its group offers k eligible items, all of them in order elsewhere.
+    """k eligible items drawn at random from the target's whole group, or all of them in order where there are fewer.
 
-    Items are dealt by hash into as many decks as give DECK_LISTS * k items to each, so a group of any size
-    is in reach and split over tasks. A target draws from one deck, also chosen by hash, in the
-    order of a hash of target and item; where the deck is short, the group's first items in the order of their
-    own hashes complete the draw.
+    Every set of k eligible items is equally likely, whatever the size of the group. Items are numbered by group and
+    title, so the items of the target's own title are an interval of its group, which the draw leaves out. An item that
+    has the target's id under other titles is drawn in addition and dropped. The list is in the order of a hash of target
+    and item. ``targets`` has one row per group, id and title.
     """
     carried = [item, *fields]
-    sizes = items.groupBy(*keys).agg(deck_count(F.count(F.lit(1)), DECK_LISTS * k).alias("_decks"))
-    dealt = _attach(_with_title(items, item, title).withColumn(_ORDER, F.struct(*order)), sizes, keys, "_decks")
-    dealt = dealt.withColumn("_deck", draw_deck(seed, "deck", F.col("_decks"), F.col(item))).withColumn(
-        "_draw", draw_order(seed, F.col(item))
-    )
-    kept = [_ORDER, "_deck", "_draw", *carried]
-    row = F.struct(_TITLE, *kept)
-    in_deck = dealt.groupBy(*keys, "_deck").agg(F.collect_list(row).alias("_own"))
-    # First rows of the group for the decks that are short, by the argument above.
-    in_group = shortlist(dealt, keys, ["_draw", item], k, title is not None)
-
-    seat = draw_deck(seed, "seat", F.col("_decks"), F.col(item))
-    found = _attach(_with_title(targets, item, title), sizes, keys, "_decks").withColumn("_deck", seat)
-    found = _attach(found, _as_arrays(in_group, keys, kept, "_group"), keys, "_group")
-    found = _attach(found, in_deck, [*keys, "_deck"], "_own")
-
-    shown = [_TITLE, *carried]
-    own = _keyed(_eligible(F.col("_own"), item), lambda x: draw_order(seed, F.col(item), x[item]), [*shown, _ORDER])
-    found = computed(found, "_mine", F.slice(F.coalesce(F.array_sort(own), F.slice(own, 1, 0)), 1, k))
-    rest = F.filter(_eligible(F.col("_group"), item), lambda x: x["_deck"] != F.col("_deck"))
-    more = _keyed(rest, lambda x: draw_order(seed, F.col(item), x[item]), [*shown, _ORDER])
-    none = F.array().cast(found.schema["_mine"].dataType)
-    mine = F.coalesce(F.col("_mine"), none)
-    completed = F.slice(F.concat(mine, F.coalesce(more, none)), 1, k)
-    found = computed(found, "_drawn", F.when(F.size(mine) >= k, mine).otherwise(completed))
-    shuffled = _sorted_by(F.col("_drawn"), lambda x: x["_key"], shown)
-    # With fewer than k eligible items, all of them are in hand.
-    ordered = _sorted_by(F.col("_drawn"), lambda x: x[_ORDER], shown)
-    rows = F.when(F.size("_drawn") >= k, shuffled).otherwise(ordered)
-    return _numbered(_with_entries(found, rows, unique_titles), targets.columns, carried)
+    titled = _with_title(items, item, title).withColumn(_ORDER, F.struct(*order)).withColumn("_print", F.md5(_TITLE))
+    placed = numbered(titled.select(*keys, "_print", _TITLE, _ORDER, *carried), [*keys, "_print", _TITLE, item])
+
+    found = _with_title(targets, item, title)
+    found = _attach(found, intervals(placed, keys, "_first", "_size"), keys, "_first", "_size")
+    found = _attach(found, intervals(placed, [*keys, _TITLE], "_own_first", "_own"), [*keys, _TITLE], "_own_first", "_own")
+    # An id has a title or a few.
+    names = placed.groupBy(*keys, item).agg(F.collect_set(_TITLE).alias("_names"))
+    found = _attach(found, names, [*keys, item], "_names")
+    own = F.coalesce("_own", F.lit(0))
+    twins = F.coalesce(F.size(F.array_remove("_names", F.col(_TITLE))), F.lit(0))
+    free = F.col("_size") - own
+    found = computed(found.where("_size IS NOT NULL"), "_draws", drawn_positions(free, k + twins, seed, F.col(item)))
+    there = F.coalesce(F.col("_own_first") - F.col("_first"), F.lit(0))
+    each = found.select(*targets.columns, _TITLE, (free - twins >= k).alias("_full"), "_first", there.alias("_there"), own.alias("_own"), F.explode("_draws").alias("_draw"))
+    at = F.col("_first") + F.col("_draw") + F.when(F.col("_draw") >= F.col("_there"), F.col("_own")).otherwise(0)
+    each = each.select(*targets.columns, _TITLE, "_full", at.alias(AT))
+
+    told = placed.select(AT, F.col(_TITLE).alias("_rec_title"), _ORDER, *[F.col(c).alias(f"rec_{c}") for c in carried])
+    listed = each.join(told, AT).where(F.col(f"rec_{item}") != F.col(item))
+    turn = F.when(F.col("_full"), draw_order(seed, F.col(item), F.col(f"rec_{item}")))
+    one = Window.partitionBy(*keys, item, _TITLE)
+    listed = listed.withColumn("rank", F.row_number().over(one.orderBy(turn, _ORDER))).where(F.col("rank") <= k)
+    if unique_titles:
+        nth = F.row_number().over(Window.partitionBy(*keys, item, _TITLE, "_rec_title").orderBy("rank"))
+        listed = listed.withColumn("_nth", nth).where("_nth = 1")
+        listed = listed.withColumn("rank", F.row_number().over(one.orderBy("rank")))
+    counted = listed.withColumn("rec_count", F.count(F.lit(1)).over(one).cast("int"))
+    return counted.select(*targets.columns, "rank", "rec_count", *[f"rec_{c}" for c in carried])

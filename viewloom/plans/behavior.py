@@ -97,8 +97,7 @@ def rerank_text(counted: DataFrame, k: int = 15, **settings) -> DataFrame:
 
 def cinema_lists(ranked: DataFrame, members: DataFrame, k: int = 20, seed: int = 42) -> DataFrame:
     """Each user's best film opens its catalogue; the pool of all catalogues fills up to k."""
-    decks = fill.pool_decks(members.select("content_id"), "content_id", 2 * k, seed)
-    return fill.expand_best(ranked, members, decks, k, seed)
+    return fill.expand_best(ranked, members, fill.pool_of(members, "content_id"), k, seed)
 
 
 def cinema_rerank(plays: DataFrame, members: DataFrame, k: int = 20, seed: int = 42, **settings) -> DataFrame:

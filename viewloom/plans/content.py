@@ -12,7 +12,6 @@ from viewloom.functions import predicates as is_
 from viewloom.functions.payloads import item_payload, list_key
 from viewloom.functions.scalars import blank_to_null, day_of, draw_order, first_code
 from viewloom.operators import fill
-from viewloom.operators.columns import computed
 from viewloom.operators.ranking import at_least, id_lists, top_k, top_k_if_more
 from viewloom.operators.shortlist import newest_first, recommend_by_draw, recommend_by_order
 from viewloom.sinks.lists import episode_owners, one_list_per_key
@@ -220,11 +219,11 @@ def ott_lists(elements: DataFrame, k: int = 15, minimum: int = 100) -> DataFrame
     )
 
 
-def cinema_lists(members: DataFrame, names: DataFrame, k: int = 20, more_than: int = 2, seed: int = 42) -> DataFrame:
-    """(content_id, rank, rec_content_id, rec_name, source): films of the same catalogues, filled from all.
+def cinema_relatives(members: DataFrame, names: DataFrame, k: int = 20, more_than: int = 2, seed: int = 42) -> DataFrame:
+    """(content_id, rank, rec_content_id, rec_name): films of the same catalogues, for lists of more than ``more_than``.
 
     ``members`` has catalog_id, content_id; ``names`` content_id, content_name. A film in several
-    catalogues draws from all of them; lists longer than ``more_than`` are filled up to k.
+    catalogues draws from all of them.
     """
     rows = members.select("catalog_id", "content_id").distinct().join(names, "content_id", "left")
     drawn = recommend_by_draw(
@@ -240,18 +239,18 @@ def cinema_lists(members: DataFrame, names: DataFrame, k: int = 20, more_than: i
     )
     merged = drawn.groupBy("content_id", "rec_content_id").agg(F.max("rec_content_name").alias("rec_name"))
     order = [draw_order(seed, F.col("content_id"), F.col("rec_content_id")), F.asc("rec_content_id")]
-    chosen = top_k(merged, ["content_id"], order, k)
+    chosen = top_k_if_more(merged, ["content_id"], order, k, more_than)
+    return chosen.select("content_id", "rank", "rec_content_id", "rec_name")
+
+
+def cinema_lists(members: DataFrame, names: DataFrame, k: int = 20, more_than: int = 2, seed: int = 42) -> DataFrame:
+    """(content_id, rank, rec_content_id, rec_name, source): ``cinema_relatives``, filled up to k from all films."""
     entry = F.struct("rank", "rec_content_id", "rec_name")
-    lists = (
-        chosen.groupBy("content_id")
-        .agg(F.array_sort(F.collect_list(entry)).alias("_recs"))
-        .where(F.size("_recs") > more_than)
-    )
-    lists = computed(lists, "_ids", F.transform("_recs", lambda x: x["rec_content_id"]))
-    decks = fill.pool_decks(members.select("content_id"), "content_id", 2 * k, seed)
-    filled = fill.fill_lists(
-        lists, decks, ["content_id"], "_ids", k, seed, "content_id", exclude=["content_id"]
-    )
+    related_ = cinema_relatives(members, names, k, more_than, seed)
+    lists = related_.groupBy("content_id").agg(F.array_sort(F.collect_list(entry)).alias("_recs"))
+    lists = lists.withColumn("_ids", F.transform("_recs", lambda x: x["rec_content_id"]))
+    pool = fill.pool_of(members, "content_id")
+    filled = fill.fill_lists(lists, pool, ["content_id"], "_ids", k, seed, exclude=["content_id"])
     own = F.transform(
         "_recs",
         lambda x: F.struct(

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewloom.functions.payloads import channel_payload, list_key, live_payload
+from viewloom.functions.payloads import channel_payload, list_key, live_payload, text_or_empty
 from viewloom.operators import airtime, fill
 from viewloom.operators.ranking import top_k
 from viewloom.sources.logs import as_date
@@ -35,23 +35,24 @@ def minute_lists(
     audience: DataFrame,
     fillers: DataFrame,
     as_of: dt.date | str,
+    fields: Mapping[str, str] = airtime.FILM_LIBRARY_FIELDS,
     target: int = LIST_SIZE,
     seed: int = 42,
     program_types: Sequence[str] = airtime.PROGRAM_TYPES,
     excluded: Sequence[str] = airtime.EXCLUDED_CHANNELS,
-    fields: Sequence[str] = (),
     distinct: bool = True,
 ) -> DataFrame:
     """(list_key, minute, category, n_live, channels, vods, payload) for each minute and category of the day.
 
-    ``fillers`` has category, media_id and ``fields``; short live lists get as many of them as
-    they lack, live lists are never cut.
+    ``fillers`` has category, media_id and the columns that ``fields`` names for the texts of a published filler; short
+    live lists get as many fillers as they lack, live lists are never cut.
     """
     grid = airtime.minute_grid(schedule.sparkSession, [airtime.ALL, *program_types])
-    live = airtime.live_lists(schedule, audience, as_of, program_types, excluded, distinct)
-    decks = fill.pool_decks(fillers, "media_id", target, seed, group=["category"], fields=list(fields))
-    objects = airtime.minute_objects(grid, live, decks, target, seed)
-    shown = F.transform("vods", lambda v: F.struct(*[v[f].alias(f) for f in ["media_id", *fields]]))
+    rated = airtime.rated_channels(schedule, audience, as_of, program_types, excluded, distinct)
+    columns = [c for c in dict.fromkeys(fields.values()) if c != "media_id"]
+    pool = fill.pool_of(fillers, "media_id", ["category"], columns)
+    objects = airtime.minute_objects(grid, rated, pool, target, seed)
+    shown = F.transform("vods", lambda v: F.struct(*[text_or_empty(v[column]).alias(name) for name, column in fields.items()]))
     label = airtime.minute_label(F.col("minute"))
     return (
         objects.withColumn("vods", shown)

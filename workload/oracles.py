@@ -327,13 +327,43 @@ def _hash(*parts: str, length: int | None = None) -> str:
     return text if length is None else f"substr({text}, 1, {length})"
 
 
-def _deck(seed: str, use: str, decks: str, *ids: str) -> str:
-    """The number of a deck out of ``decks``, by a hash."""
-    return f"""CAST('0x' || {_hash(seed, f"'{use}'", *ids, length=8)} AS BIGINT) % {decks}"""
-
-
-def _decks(rows: str, size: int) -> str:
-    return f"greatest(CAST(ceil({rows} / {size}.0) AS BIGINT), 1)"
+def _number(*parts: str) -> str:
+    """A number of 60 bits, by a hash."""
+    return f"CAST('0x' || {_hash(*parts, length=15)} AS BIGINT)"
+
+
+def _positions(n: str, m: str, *seed: str) -> str:
+    """``m`` different numbers below ``n``: for j from n - m on, a number up to j, or j if that is taken."""
+    m = f"least({m}, {n})"
+    drawn = f"{_number(*seed, 'i')} % ({n} - {m} + i + 1)"
+    steps = f"list_transform(range({m}), lambda i: CASE WHEN i = 0 THEN [{drawn}] ELSE [{n} - {m} + i, {drawn}] END)"
+    take = "list_append(taken, CASE WHEN list_contains(taken, x[2]) THEN x[1] ELSE x[2] END)"
+    return f"CASE WHEN {m} > 0 THEN list_reduce({steps}, lambda taken, x: {take}) ELSE [] END"
+
+
+def _drawn_pairs(items: str, targets: str, keys: Sequence[str], k: int, seed: str, title: str, shown: Sequence[str]) -> str:
+    """Pairs (t_..., rec_...) that draws choose, and whether the target's group offers ``k`` items (``whole``).
+
+    Items of a group are numbered by title; a draw leaves out the numbers of the target's title.
+    """
+    by = ", ".join(keys)
+    name = f"coalesce('=' || {title}, '#' || content_id)"
+    target = ", ".join(f"t.{c} AS t_{c}" for c in ["content_id", title, *keys])
+    return f"""SELECT {target}, r.content_id AS rec_content_id, {', '.join(f'r.{c} AS rec_{c}' for c in shown)}, whole
+FROM (WITH named AS (SELECT *, {name} AS name FROM ({items}) i),
+           placed AS (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY md5(name), name, content_id) - 1 AS place FROM named),
+           groups AS (SELECT {by}, count(*) AS n FROM placed GROUP BY ALL),
+           titles AS (SELECT {by}, name, min(place) AS low, count(*) AS own FROM placed GROUP BY ALL),
+           ids AS (SELECT {by}, content_id, list(name) AS names FROM placed GROUP BY ALL),
+           asked AS (SELECT t.*, n - coalesce(own, 0) AS free, coalesce(low, 0) AS low, coalesce(own, 0) AS own,
+                            coalesce(len(list_filter(names, lambda x: x <> t.name)), 0) AS twins
+                     FROM (SELECT *, {name} AS name FROM ({targets}) q) t JOIN groups r ON {_same(keys)}
+                     LEFT JOIN titles s ON {_same(keys).replace('r.', 's.')} AND t.name = s.name
+                     LEFT JOIN ids u ON {_same(keys).replace('r.', 'u.')} AND t.content_id = u.content_id)
+      SELECT *, free - twins >= {k} AS whole, unnest({_positions('free', f'({k} + twins)', seed, 'content_id')}) AS drawn FROM asked) t
+JOIN (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY md5(name), name, content_id) - 1 AS place
+      FROM (SELECT *, {name} AS name FROM ({items}) i) j) r
+ON {_same(keys)} AND r.place = t.drawn + CASE WHEN t.drawn >= t.low THEN t.own ELSE 0 END AND r.content_id <> t.content_id"""
 
 
 def _related(where: str, keys: Sequence[str], k: int, since: str | None, draw: int | None = None) -> str:
@@ -342,34 +372,22 @@ def _related(where: str, keys: Sequence[str], k: int, since: str | None, draw: i
     recent = f"r.day > DATE '{since}'" if since else "TRUE"
     target = ", ".join(f"t.{c} AS t_{c}" for c in ["content_id", "title", *keys])
     extra = [c for c in ["level1_id", "level2_id", "genre", "series_type"] if c not in keys]
-    by_day = "rec_day DESC NULLS LAST, rec_content_id"
+    order = "rec_day DESC NULLS LAST, rec_content_id"
     if draw is None:
-        pick = f"SELECT *, row_number() OVER (PARTITION BY {owner} ORDER BY {by_day}) AS p FROM pairs"
+        pairs = f"""SELECT {target}, r.content_id AS rec_content_id, r.title AS rec_title, r.day AS rec_day
+FROM g t JOIN g r ON {_same(keys)} AND t.content_id <> r.content_id AND t.title <> r.title WHERE {recent}"""
     else:
-        quoted = f"'{draw}'"
-        near = f"{_deck(quoted, 'seat', 'decks', 't_content_id')} = {_deck(quoted, 'deck', 'decks', 'rec_content_id')}"
-        turn = _hash(quoted, "t_content_id", "rec_content_id")
-        order = f"CASE WHEN {near} THEN 0 ELSE 1 END, CASE WHEN {near} THEN {turn} ELSE {_hash(quoted, 'rec_content_id')} END"
-        shuffle = turn
-        pick = f"""SELECT * EXCLUDE (q, n, d), CASE WHEN n >= {k}
-       THEN row_number() OVER (PARTITION BY {owner}, q <= {k} ORDER BY {shuffle}) + CASE WHEN q <= {k} THEN 0 ELSE {k} END
-       ELSE d END AS p
-FROM (SELECT *, row_number() OVER (PARTITION BY {owner} ORDER BY {order}) AS q,
-             row_number() OVER (PARTITION BY {owner} ORDER BY {by_day}) AS d,
-             count(*) OVER (PARTITION BY {owner}) AS n FROM pairs) x"""
+        pairs = _drawn_pairs(f"SELECT * FROM g r WHERE {recent}", "SELECT * FROM g", keys, k, f"'{draw}'", "title", ["title", "day"])
+        turn = _hash(f"'{draw}'", "t_content_id", "rec_content_id")
+        order = f"CASE WHEN whole THEN {turn} END, {order}"
     missing = "".join(f", NULL AS {c}" for c in extra)
-    # Decks are sized by the group as it can be recommended.
-    group_rows = f"count(*) FILTER (WHERE {recent.replace('r.', '')}) OVER (PARTITION BY {', '.join(keys)})"
     return f"""SELECT t_content_id AS content_id, {', '.join(f't_{key} AS {key}' for key in keys)}{missing},
        row_number() OVER (PARTITION BY {owner} ORDER BY p) AS rank, rec_content_id, rec_title, rec_day
 FROM (
   SELECT *, row_number() OVER (PARTITION BY {owner}, rec_title ORDER BY p) AS nth
   FROM (WITH g AS (SELECT {', '.join(keys)}, content_id, title, max(day) AS day FROM attrs WHERE {where} GROUP BY ALL),
-             sized AS (SELECT *, {_decks(group_rows, 4 * k)} AS decks FROM g),
-             pairs AS (SELECT {target}, t.decks, r.content_id AS rec_content_id, r.title AS rec_title, r.day AS rec_day
-                       FROM sized t JOIN sized r ON {_same(keys)} AND t.content_id <> r.content_id AND t.title <> r.title
-                       WHERE {recent})
-        {pick}) f
+             pairs AS ({pairs})
+        SELECT *, row_number() OVER (PARTITION BY {owner} ORDER BY {order}) AS p FROM pairs) f
   WHERE p <= {k}) d
 WHERE nth = 1"""
 
@@ -494,25 +512,15 @@ ORACLES["content_first_code_pairs"] = _ott(False)
 ORACLES["content_school_pairs"] = _ott(True)
 
 # A film draws up to 20 from every catalogue it is in, keeps 20 of them and fills up from all films.
-def _draw_order(seed: str, decks: str, target: Sequence[str], item: str) -> str:
-    """Items of the target's deck by a hash of both, then the others by their own hash."""
-    near = f"{_deck(seed, 'seat', decks, *target)} = {_deck(seed, 'deck', decks, item)}"
-    own, other = _hash(seed, *target, item), _hash(seed, item)
-    return f"CASE WHEN {near} THEN 0 ELSE 1 END, CASE WHEN {near} THEN {own} ELSE {other} END, {item}"
-
-
-_CINEMA_PICK = f"""SELECT *, row_number() OVER (PARTITION BY catalog_id, t ORDER BY {_draw_order("'42'", 'decks', ['t'], 'r')}) AS q
-FROM pairs"""
 _WITH_CINEMA = _with(
     "cinema_members",
     "part_films",
-    named=f"""SELECT *, {_decks('count(*) OVER (PARTITION BY catalog_id)', 80)} AS decks
-FROM (SELECT DISTINCT catalog_id, m.content_id, content_name
-FROM cinema_members m LEFT JOIN part_films f ON m.content_id = f.content_id)""",
-    pairs="""SELECT a.catalog_id, a.decks, a.content_id AS t, b.content_id AS r FROM named a JOIN named b
-ON a.catalog_id = b.catalog_id AND a.content_id <> b.content_id AND a.content_name <> b.content_name""",
-    picked=_CINEMA_PICK,
-    merged="SELECT DISTINCT t, r FROM picked WHERE q <= 20",
+    named="""SELECT DISTINCT catalog_id, m.content_id, content_name
+FROM cinema_members m LEFT JOIN part_films f ON m.content_id = f.content_id""",
+    pairs=_drawn_pairs("SELECT * FROM named", "SELECT * FROM named", ["catalog_id"], 20, "'42'", "content_name", ["content_name"]),
+    picked=f"""SELECT *, row_number() OVER (PARTITION BY t_catalog_id, t_content_id
+ORDER BY CASE WHEN whole THEN {_hash("'42'", 't_content_id', 'rec_content_id')} END, rec_content_id) AS q FROM pairs""",
+    merged="SELECT DISTINCT t_content_id AS t, rec_content_id AS r FROM picked WHERE q <= 20",
     ranked=f"""SELECT *, row_number() OVER (PARTITION BY t ORDER BY {_hash("'42'", 't', 'r')}, r) AS rank FROM merged""",
     lists="SELECT t, r, rank, count(*) OVER (PARTITION BY t) AS n FROM ranked WHERE rank <= 20",
     own="SELECT t, r, rank, n FROM lists WHERE n > 2",
@@ -520,16 +528,25 @@ ON a.catalog_id = b.catalog_id AND a.content_id <> b.content_id AND a.content_na
 ORACLES["content_catalog_pairs"] = _WITH_CINEMA + """
 SELECT t AS content_id, CAST(rank AS INT) AS rank, r AS rec_content_id FROM own"""
 
-_FILL_ORDER = _draw_order("'42'", _decks("(SELECT count(*) FROM pool)", 80), ["o.t"], "p.r")
+
+def _fills(k: int, barred: str, seed: str, lists: str, own: str) -> str:
+    """(t, n, r, place) of the pool ids drawn for ``lists`` (t, n), without those in ``own`` (t, r); ``pool`` has r.
+
+    A list draws what it lacks and as many more as it has ids that the draw may hit (``barred``).
+    """
+    return f"""SELECT t, n, r, row_number() OVER (PARTITION BY t ORDER BY {_hash(seed, 't', 'r')}, r) AS place
+FROM (SELECT t, n, unnest({_positions('size', f'({k} - n + {barred})', seed, 't')}) AS drawn
+      FROM ({lists}) l, (SELECT count(*) AS size FROM pool) c WHERE n < {k}) e
+JOIN (SELECT r, row_number() OVER (ORDER BY r) - 1 AS at FROM pool) p ON p.at = e.drawn
+WHERE NOT EXISTS (SELECT 1 FROM ({own}) w WHERE w.t = e.t AND w.r = p.r)"""
+
+
 ORACLES["backfill_to_k"] = _WITH_CINEMA + f""",
 pool AS (SELECT DISTINCT content_id AS r FROM cinema_members),
-open_lists AS (SELECT DISTINCT t, n FROM own WHERE n < 20),
-fills AS (SELECT o.t, p.r, n, n + row_number() OVER (PARTITION BY o.t ORDER BY {_FILL_ORDER}) AS rank
-  FROM open_lists o JOIN pool p ON p.r <> o.t
-  WHERE NOT EXISTS (SELECT 1 FROM own w WHERE w.t = o.t AND w.r = p.r))
+fills AS ({_fills(20, 'n + 1', "'42'", 'SELECT DISTINCT t, n FROM own', 'SELECT t, r FROM own UNION ALL SELECT DISTINCT t, t FROM own')})
 SELECT t AS content_id, CAST(rank AS INT) AS rank, r AS rec_content_id, 'catalog' AS source FROM own
 UNION ALL
-SELECT t, CAST(rank AS INT), r, 'pool' FROM fills WHERE rank <= 20"""
+SELECT t, CAST(n + place AS INT), r, 'pool' FROM fills WHERE n + place <= 20"""
 
 ORACLES["web_two_level_pairs"] = _with(
     "web_catalog",
@@ -639,6 +656,7 @@ def _choices(tests: dict[str, str], library: str, fields: str = "media_id") -> s
     return " UNION ALL ".join(f"SELECT '{c}' AS category, {fields} FROM {library} WHERE {t}" for c, t in tests.items())
 
 
+# The rules of fillers, as in the library.
 _SPORT = " AND ".join(f"tags NOT LIKE '%{w}%'" for w in ["爱情", "纪实", "恐怖", "惊悚"])
 LIBRARY_TESTS = {
     "电视剧": "mtype = 'tv'",
@@ -666,7 +684,13 @@ ORACLES["filler_choices"] = _with("film_library") + _choices(LIBRARY_TESTS, "fil
 ORACLES["filler_choices_catalogue"] = _with("programme_catalogue") + _choices(CATALOGUE_TESTS, "programme_catalogue")
 
 
-def _minute_lists(library: str, tests: dict[str, str], target: int, distinct: bool) -> str:
+def _fields_json(fields: dict[str, str]) -> str:
+    texts = [f"""'"{name}":"' || coalesce(CAST({column} AS VARCHAR), '') || '"'""" for name, column in fields.items()]
+    return "'{' || " + " || ',' || ".join(texts) + " || '}'"
+
+
+def _minute_lists(library: str, tests: dict[str, str], target: int, distinct: bool, fields: dict[str, str]) -> str:
+    columns = ", ".join(fields.values())
     return _with(
         "schedule_rows",
         "audience",
@@ -674,25 +698,50 @@ def _minute_lists(library: str, tests: dict[str, str], target: int, distinct: bo
         **_live(distinct),
         categories=_CATEGORIES,
         grid="SELECT minute, category FROM clock JOIN categories ON TRUE",
-        pool=_choices(tests, library, "media_id, name"),
+        pool=_choices(tests, library, columns),
         channels="""SELECT minute, category, count(*) AS n_live,
        string_agg('"' || channel_id || '"', ',' ORDER BY rank) AS names FROM live GROUP BY 1, 2""",
         sized="""SELECT g.*, coalesce(n_live, 0) AS n_live, coalesce(names, '') AS names
 FROM grid g LEFT JOIN channels c ON g.minute = c.minute AND g.category = c.category""",
-        dealt=f"SELECT *, {_decks('count(*) OVER (PARTITION BY category)', 2 * target)} AS decks FROM pool",
-        drawn=f"""SELECT s.minute, s.category, n_live, media_id, name, row_number() OVER (PARTITION BY s.minute, s.category
-       ORDER BY {_draw_order("'42'", 'd.decks', ['s.minute', 's.category'], 'd.media_id')}) AS p
-FROM sized s JOIN dealt d ON s.category = d.category WHERE n_live < {target}""",
-        fillers=f"""SELECT minute, category, string_agg('{{"media_id":' || media_id || ',"name":"' || name || '"}}', ',' ORDER BY p) AS vods
-FROM drawn WHERE p <= {target} - n_live GROUP BY 1, 2""",
+        numbered="""SELECT *, row_number() OVER (PARTITION BY category ORDER BY media_id) - 1 AS place,
+       count(*) OVER (PARTITION BY category) AS size FROM pool""",
+        drawn=f"""SELECT minute, category, n_live, unnest({_positions('size', f'({target} - n_live)', "'42'", 'minute', 'category')}) AS place
+FROM sized JOIN (SELECT DISTINCT category, size FROM numbered) p USING (category) WHERE n_live < {target}""",
+        fillers=f"""SELECT minute, category, string_agg({_fields_json(fields)}, ','
+       ORDER BY {_hash("'42'", 'minute', 'category', 'media_id')}) AS vods
+FROM drawn JOIN numbered USING (category, place) GROUP BY 1, 2""",
     ) + f"""
 SELECT {_LABEL.replace('minute', 's.minute')} || '_' || s.category AS list_key, CAST(n_live AS INT) AS n_live,
        '{{"rec_livelist":[' || names || '],"rec_vodlist":[' || coalesce(vods, '') || ']}}' AS payload
 FROM sized s LEFT JOIN fillers f ON s.minute = f.minute AND s.category = f.category"""
 
 
-ORACLES["live_minute_lists"] = _minute_lists("film_library", LIBRARY_TESTS, 18, True)
-ORACLES["live_minute_lists_catalogue"] = _minute_lists("programme_catalogue", CATALOGUE_TESTS, 6, False)
+# The published fields of fillers, as in the library.
+ORACLES["live_minute_lists"] = _minute_lists(
+    "film_library", LIBRARY_TESTS, 18, True, {"name_cn": "name", "mediaid": "media_id", "index": "ind", "p_pic": "image"}
+)
+ORACLES["live_minute_lists_catalogue"] = _minute_lists(
+    "programme_catalogue",
+    CATALOGUE_TESTS,
+    6,
+    False,
+    {
+        "categoryCode": "category_code",
+        "categoryItemCode": "category_item_code",
+        "categoryName": "category_name",
+        "pCode": "media_id",
+        "pType": "ptype",
+        "pName": "name",
+        "type": "type",
+        "bigImage1": "big_image",
+    },
+)
+
+ORACLES["channels_on_air_at_events"] = _with("schedule_rows") + """
+SELECT event_id, count(s.channel_id) AS channels, count(DISTINCT program_type) AS types
+FROM events e JOIN schedule_rows s ON start_time <= date_trunc('second', e.ts) AND start_time + to_minutes(minutes) > date_trunc('second', e.ts)
+WHERE CAST(e.ts AS DATE) = DATE '2024-01-15' AND channel_id NOT IN ('ch3', 'ch7') AND wiki_title <> '广告'
+GROUP BY 1"""
 
 # Trees
 
@@ -764,12 +813,10 @@ WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.user_id = u.user_id AND s.item_id
     own="SELECT * FROM unseen WHERE rank <= 20",
     sized="SELECT u.user_id AS t, count(r) AS n FROM users u LEFT JOIN own o ON u.user_id = o.user_id GROUP BY 1",
     pool="SELECT DISTINCT content_id AS r FROM cinema_members",
-    fills=f"""SELECT t, p.r, n + row_number() OVER (PARTITION BY t ORDER BY {_FILL_ORDER}) AS rank
-FROM sized o JOIN pool p ON TRUE
-WHERE n < 20 AND NOT EXISTS (SELECT 1 FROM own w WHERE w.user_id = t AND w.r = p.r)""",
+    fills=_fills(20, "n", "'42'", "SELECT * FROM sized", "SELECT user_id AS t, r FROM own"),
 ) + """
 SELECT user_id, CAST(rank AS INT) AS rank, r AS item_id, 'catalog' AS source FROM own
-UNION ALL SELECT t, CAST(rank AS INT), r, 'pool' FROM fills WHERE rank <= 20"""
+UNION ALL SELECT t, CAST(n + place AS INT), r, 'pool' FROM fills WHERE n + place <= 20"""
 
 
 def _user_items(low: int, high: int) -> str:
@@ -809,11 +856,8 @@ ORACLES["pool_fill"] = _with(
 SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS p FROM orders) x WHERE p <= 3""",
     heads="SELECT DISTINCT o_custkey AS t, n FROM own",
     pool="SELECT DISTINCT o_orderkey AS r FROM orders WHERE o_orderpriority = '1-URGENT'",
-    placed=f"""SELECT t, n, r, row_number() OVER (PARTITION BY t ORDER BY
-       {_draw_order("'7'", _decks('(SELECT count(*) FROM pool)', 24), ['t'], 'q.r')}) AS p
-FROM heads JOIN pool q ON TRUE
-WHERE NOT EXISTS (SELECT 1 FROM own o WHERE o.o_custkey = t AND o.o_orderkey = q.r)""",
-) + "SELECT t AS o_custkey, r AS o_orderkey FROM placed WHERE p <= 6 - n"
+    placed=_fills(6, "n", "'7'", "SELECT * FROM heads", "SELECT o_custkey AS t, o_orderkey AS r FROM own"),
+) + "SELECT t AS o_custkey, r AS o_orderkey FROM placed WHERE place <= 6 - n"
 
 _LOG_LINES = """SELECT CASE WHEN event_id % 7 = 0 THEN array_to_string(f[1:6], ',') ELSE array_to_string(f, ',') END AS value
 FROM (SELECT event_id, [CAST(event_id AS VARCHAR), CASE WHEN event_id % 5 = 0 THEN '"' ELSE '' END || event_type, 'x', CAST(user_id AS VARCHAR),

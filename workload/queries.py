@@ -366,8 +366,8 @@ def _part_names(spark, sf):
 
 @query
 def content_catalog_pairs(spark, sf):
-    lists = content.cinema_lists(frame(spark, sf, "cinema_members"), _part_names(spark, sf))
-    return lists.where("source = 'catalog'").select("content_id", "rank", "rec_content_id")
+    lists = content.cinema_relatives(frame(spark, sf, "cinema_members"), _part_names(spark, sf))
+    return lists.select("content_id", "rank", "rec_content_id")
 
 
 @query
@@ -484,28 +484,37 @@ def filler_choices_catalogue(spark, sf):
     return airtime.filler_pool(library, airtime.catalogue_fillers(), ["media_id"])
 
 
-def _minute_lists(spark, sf, fillers, target, **options):
+def _minute_lists(spark, sf, fillers, fields, target, **options):
     lists = live.minute_lists(
-        st.schedule(spark, sf), frame(spark, sf, "audience"), fillers, LIVE_DAY, target,
-        excluded=EXCLUDED, fields=["name"], **options,
+        st.schedule(spark, sf), frame(spark, sf, "audience"), fillers, LIVE_DAY, fields, target, excluded=EXCLUDED, **options
     )
     return lists.select("list_key", "n_live", "payload")
 
 
 @query
 def live_minute_lists(spark, sf):
-    fillers = airtime.filler_pool(
-        frame(spark, sf, "film_library"), airtime.film_library_fillers(), ["media_id", "name"]
-    )
-    return _minute_lists(spark, sf, fillers, 18)
+    fields = airtime.FILM_LIBRARY_FIELDS
+    fillers = airtime.filler_pool(frame(spark, sf, "film_library"), airtime.film_library_fillers(), list(fields.values()))
+    return _minute_lists(spark, sf, fillers, fields, 18)
 
 
 @query
 def live_minute_lists_catalogue(spark, sf):
-    fillers = airtime.filler_pool(
-        frame(spark, sf, "programme_catalogue"), airtime.catalogue_fillers(), ["media_id", "name"]
+    fields = airtime.CATALOGUE_FIELDS
+    fillers = airtime.filler_pool(frame(spark, sf, "programme_catalogue"), airtime.catalogue_fillers(), list(fields.values()))
+    return _minute_lists(spark, sf, fillers, fields, 6, distinct=False)
+
+
+@query
+def channels_on_air_at_events(spark, sf):
+    """How many channels, and programmes of how many types, are on air in the second of every event of the day."""
+    day = table(spark, sf, "events").where(F.col("ts").cast("date") == F.lit(LIVE_DAY).cast("date"))
+    moments = day.select("event_id", airtime.second_of(F.date_trunc("second", "ts"), LIVE_DAY).alias("second"))
+    shown = airtime.listable(st.schedule(spark, sf), EXCLUDED)
+    found = airtime.on_air(shown, moments, LIVE_DAY, ["channel_id", "program_type"])
+    return found.groupBy("event_id").agg(
+        F.count("channel_id").alias("channels"), F.countDistinct("program_type").alias("types")
     )
-    return _minute_lists(spark, sf, fillers, 6, distinct=False)
 
 
 # Trees
@@ -690,6 +699,5 @@ def pool_fill(spark, sf):
     )
     lists = own.groupBy("o_custkey").agg(F.sort_array(F.collect_list("o_orderkey")).alias("ids"))
     pool = orders.where("o_orderpriority = '1-URGENT'").select("o_orderkey")
-    decks = fill.pool_decks(pool, "o_orderkey", 12, 7)
-    filled = fill.fill_lists(lists, decks, ["o_custkey"], "ids", 6, 7, "o_orderkey")
+    filled = fill.fill_lists(lists, fill.pool_of(pool, "o_orderkey"), ["o_custkey"], "ids", 6, 7)
     return filled.select("o_custkey", F.explode("fill").alias("_f")).select("o_custkey", "_f.o_orderkey")

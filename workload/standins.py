@@ -172,7 +172,8 @@ TEXTS = {
                'pic' || CAST(user_id % 7 AS STRING) AS channel_image
         FROM {events}""",
     "film_library": """
-        SELECT p_partkey AS media_id, p_name AS name,
+        SELECT p_partkey AS media_id, p_name AS name, p_size AS ind,
+               CASE WHEN p_size % 4 <> 0 THEN 'pic' || CAST(p_partkey % 9 AS STRING) END AS image,
                CASE p_type WHEN 'ECONOMY' THEN 'tv' WHEN 'SMALL' THEN 'movie' WHEN 'LARGE' THEN 'cartoon'
                     WHEN 'PROMO' THEN 'variety' WHEN 'STANDARD' THEN 'variety' ELSE 'other' END AS mtype,
                CASE p_size % 7 WHEN 0 THEN '运动' WHEN 1 THEN '爱情' WHEN 2 THEN '纪实' WHEN 3 THEN '纪实 真人秀'
@@ -181,7 +182,8 @@ TEXTS = {
                CASE WHEN p_size % 6 = 0 THEN '股市' ELSE '' END AS adword
         FROM {part}""",
     "programme_catalogue": """
-        SELECT p_partkey AS media_id, p_name AS name, p_size % 3 AS type,
+        SELECT p_partkey AS media_id, p_name AS name, p_size % 3 AS type, 'c' || CAST(p_size % 9 AS STRING) AS category_code,
+               CASE WHEN p_size % 9 <> 2 THEN p_brand END AS category_name,
                CASE p_type WHEN 'ECONOMY' THEN '电视剧' WHEN 'SMALL' THEN '电影' WHEN 'LARGE' THEN '少儿'
                     WHEN 'PROMO' THEN '纪实' WHEN 'STANDARD' THEN '体育'
                     ELSE CASE WHEN p_size % 2 = 0 THEN '财经' ELSE '娱乐' END END AS ptype,
