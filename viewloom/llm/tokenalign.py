@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from viewloom.session import cut_lineage
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Longer texts are encoded in parts, cut at single blanks between letters, which no token of either kind spans.
 PART = 200_000
 CUT = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
