@@ -841,6 +841,26 @@ WHERE n.c >= coalesce(o.c, 0)""",
 SELECT * FROM new WHERE list_key IN (SELECT list_key FROM taken)
 UNION ALL SELECT * FROM old WHERE list_key NOT IN (SELECT list_key FROM taken)"""
 
+_TWO_WINDOWS = dict(old=_user_items(5, 10), new=_user_items(0, 5))
+ORACLES["publish_lists"] = _with(
+    "event_plays",
+    **_TWO_WINDOWS,
+    first="SELECT *, count(*) OVER (PARTITION BY list_key) AS n FROM old QUALIFY n > 3",
+    second="SELECT *, count(*) OVER (PARTITION BY list_key) AS n FROM new QUALIFY n > 3",
+    taken="""SELECT DISTINCT s.list_key FROM second s LEFT JOIN first f ON s.list_key = f.list_key WHERE s.n >= coalesce(f.n, 0)""",
+) + """
+SELECT list_key, rank, content_id FROM second WHERE list_key IN (SELECT list_key FROM taken)
+UNION ALL SELECT list_key, rank, content_id FROM first WHERE list_key NOT IN (SELECT list_key FROM taken)"""
+
+ORACLES["publish_to_stores"] = _with(
+    "event_plays",
+    **_TWO_WINDOWS,
+    second="SELECT *, count(*) OVER (PARTITION BY list_key) AS n FROM new QUALIFY n > 5",
+    kept="""SELECT list_key, rank, content_id FROM second
+UNION ALL SELECT * FROM old WHERE list_key NOT IN (SELECT list_key FROM second)""",
+) + """
+SELECT CAST(list_key AS VARCHAR) AS list_key, rank, content_id, store FROM kept, (SELECT unnest([0, 1]) AS store) s"""
+
 ORACLES["payload_item"] = f"SELECT p_partkey, {_item_json('p_partkey', 'p_size', 'p_name')} AS payload FROM part"
 ORACLES["payload_top_list"] = (
     "SELECT p_partkey, "

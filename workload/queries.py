@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,10 @@ from viewloom.operators import airtime, fill, hierarchy
 from viewloom.operators import counts as cnt
 from viewloom.operators.ranking import drop_repeated_names, top_k
 from viewloom.plans import behavior, content, live, newest, popularity, reports
+from viewloom.session import ensure_checkpoint_dir
 from viewloom.sinks.lists import longer_than, replace_unless_shorter, to_episodes
+from viewloom.sinks.outside import publish_to, read_store
+from viewloom.sinks.versions import ListStore
 from viewloom.sources import logs
 from viewloom.sources.logs import in_timestamp_window
 from viewloom.sources.metadata import catalog_members, episode_map, film_names, level_rows, relate_content
@@ -664,6 +668,31 @@ def publish_not_shrinking(spark, sf):
     return replace_unless_shorter(_user_items(spark, sf, 5, 10), _user_items(spark, sf, 0, 5))
 
 
+def _new_folder(spark):
+    """A folder of this run beside the session's checkpoints."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/published-{uuid.uuid4().hex}"
+
+
+@query
+def publish_lists(spark, sf):
+    """Two windows published one after the other: lists of more than three rows, none replaced by a shorter one."""
+    store = ListStore(spark, _new_folder(spark), ranges=8)
+    store.publish(_user_items(spark, sf, 5, 10), "older", more_than=3)
+    store.publish(_user_items(spark, sf, 0, 5), "newer", more_than=3, keep_longer=True)
+    return store.read()
+
+
+@query
+def publish_to_stores(spark, sf):
+    """Two windows written to two stores; the second replaces the lists of its keys."""
+    folder = _new_folder(spark).removeprefix("file:")
+    roots = [f"{folder}/{name}" for name in ("first", "second")]
+    publish_to(_user_items(spark, sf, 5, 10), roots, "older")
+    publish_to(longer_than(_user_items(spark, sf, 0, 5), 5), roots, "newer")
+    kept = [read_store(spark, root, "rank int, content_id bigint", roots).withColumn("store", F.lit(i)) for i, root in enumerate(roots)]
+    return kept[0].unionAll(kept[1])
+
+
 @query
 def payload_item(spark, sf):
     parts = table(spark, sf, "part")
