@@ -34,6 +34,21 @@ def with_int_ids(counts: DataFrame) -> DataFrame:
     return cut_lineage(counts.join(items, "item_id").join(users, "user_id"))
 
 
+def check_blocks(rated: DataFrame, blocks: int, most: int) -> None:
+    """An error if a block holds more than ``most`` ratings, before any executor is lost to it.
+
+    A block holds the ratings of whole users or items, so the largest is at least the most rated one and at least the average.
+    """
+    total = rated.count()
+    for column in ("_user", "_item"):
+        row = rated.groupBy(column).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()
+        largest = max(row[0] or 0, -(-total // blocks))
+        if (row[0] or 0) > most:
+            raise ValueError(f"one {column[1:]} has {row[0]} ratings, more than the {most} that a task may hold")
+        if largest > most:
+            raise ValueError(f"a block would hold {largest} ratings, more than {most}: use {-(-total // most)} blocks at least")
+
+
 def fit(
     rated: DataFrame,
     rank: int = 15,
@@ -41,11 +56,14 @@ def fit(
     regularization: float = 1.0,
     blocks: int = 5,
     seed: int = 42,
+    block_ratings: int = 100_000_000,
 ) -> ALSModel:
     """Train on user and item numbers. ``blocks`` is fixed, for the scores depend on it: raise it with the data.
 
-    A task holds all ratings of its block, so memory must do for the users of the most rated item.
+    A task holds all ratings of its block, about 16 bytes each, and the factors they meet. ``block_ratings`` bounds
+    them: 100 million take about 1.6 GB. Beyond it training is an error.
     """
+    check_blocks(rated, blocks, block_ratings)
     solver = ALS(
         rank=rank,
         maxIter=iterations,

@@ -63,6 +63,47 @@ class Folder:
         self._fs.delete(self._at(name), True)
 
 
+class Versions:
+    """Numbered manifests in a folder; a new one appears by one rename, and only if nobody was faster."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.folder = Folder(spark, path)
+
+    def numbers(self) -> list[int]:
+        return [int(n[1:-5]) for n in self.folder.names("manifests") if n.startswith("v") and n.endswith(".json")]
+
+    def read(self, version: int | None = None) -> dict | None:
+        """A manifest, the newest unless a version is given; None before the first."""
+        there = self.numbers()
+        if version is not None and version not in there:
+            raise ValueError(f"there is no version {version}")
+        if not there:
+            return None
+        return json.loads(self.folder.read(f"manifests/{_name(max(there) if version is None else version)}"))
+
+    def switch(self, version: int, manifest: dict) -> None:
+        temporary = f"manifests/.{uuid.uuid4().hex}"
+        self.folder.write(temporary, json.dumps(manifest))
+        try:
+            self.folder.rename(temporary, f"manifests/{_name(version)}")
+        except Exception:
+            self.folder.delete(temporary)
+            raise
+
+    def keep(self, newest: int, named) -> None:
+        """Forget all but the newest versions, and the folders of ``data`` that ``named(manifest)`` doesn't name for any of them."""
+        kept = sorted(self.numbers())[-max(1, newest) :]
+        folders = {path.split("/")[1] for v in kept for path in named(self.read(v))}
+        for version in set(self.numbers()) - set(kept):
+            self.folder.delete(f"manifests/{_name(version)}")
+        for name in self.folder.names("data"):
+            if name not in folders:
+                self.folder.delete(f"data/{name}")
+        for name in self.folder.names("manifests"):
+            if name.startswith(".") and not name.endswith(".crc"):
+                self.folder.delete(f"manifests/{name}")
+
+
 @dataclass
 class Manifest:
     """A version: the folder of every range that has lists, and the runs that made it, the newest last."""
@@ -82,19 +123,16 @@ class ListStore:
 
     def __init__(self, spark: SparkSession, path: str, ranges: int = 64, key: str = "list_key"):
         self.spark, self.ranges, self.key = spark, ranges, key
-        self.folder = Folder(spark, path)
+        self.store = Versions(spark, path)
+        self.folder = self.store.folder
 
     def versions(self) -> list[int]:
-        return [int(n[1:-5]) for n in self.folder.names("manifests") if n.startswith("v") and n.endswith(".json")]
+        return self.store.numbers()
 
     def manifest(self, version: int | None = None) -> Manifest:
         """A version, the newest unless one is given; an empty one before the first publication."""
-        there = self.versions()
-        if version is None:
-            version = max(there, default=0)
-        elif version not in there:
-            raise ValueError(f"there is no version {version}")
-        return Manifest(**json.loads(self.folder.read(f"manifests/{_name(version)}"))) if version else Manifest(ranges=self.ranges)
+        found = self.store.read(version)
+        return Manifest(**found) if found else Manifest(ranges=self.ranges)
 
     def read(self, version: int | None = None) -> DataFrame:
         """All lists of a version."""
@@ -144,26 +182,11 @@ class ListStore:
         return now.version + 1
 
     def _switch(self, manifest: Manifest) -> None:
-        temporary = f"manifests/.{uuid.uuid4().hex}"
-        self.folder.write(temporary, json.dumps(manifest.__dict__))
-        try:
-            self.folder.rename(temporary, f"manifests/{_name(manifest.version)}")
-        except Exception:
-            self.folder.delete(temporary)
-            raise
+        self.store.switch(manifest.version, manifest.__dict__)
 
     def clean(self, keep: int = 2) -> None:
         """Forget all but the newest ``keep`` versions, and files that none of those names. Not during a publication."""
-        kept = sorted(self.versions())[-max(1, keep) :]
-        named = {f.split("/")[1] for v in kept for f in self.manifest(v).folders.values()}
-        for version in set(self.versions()) - set(kept):
-            self.folder.delete(f"manifests/{_name(version)}")
-        for name in self.folder.names("data"):
-            if name not in named:
-                self.folder.delete(f"data/{name}")
-        for name in self.folder.names("manifests"):
-            if name.startswith(".") and not name.endswith(".crc"):
-                self.folder.delete(f"manifests/{name}")
+        self.store.keep(keep, lambda manifest: manifest["folders"].values())
 
 
 def _name(version: int) -> str:

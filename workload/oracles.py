@@ -763,21 +763,42 @@ ORACLES["subtree_customer_plays"] = _REACHED + f""", customer_plays AS ({duck('c
 SELECT CAST(user_id AS BIGINT) AS user_id, count(*) AS plays FROM customer_plays
 WHERE CAST(user_id AS BIGINT) IN (SELECT content_id - 100000 FROM reached) GROUP BY 1"""
 
+ORACLES["deep_subtree_members"] = f"""WITH RECURSIVE edges AS ({duck('deep_edges')}), reached AS (
+  SELECT content_id FROM edges WHERE catalog_id IN (5, 19) AND catalog_id <> content_id
+  UNION SELECT e.content_id FROM edges e JOIN reached r ON e.catalog_id = r.content_id)
+SELECT DISTINCT content_id FROM reached"""
+
+# Kept up to date by days
+
+ORACLES["rolling_counts"] = _with("event_plays") + f"""
+SELECT CAST(content_id AS BIGINT) AS content_id, count(*) AS plays FROM event_plays
+WHERE {_digits('content_id')} AND {_window(10)} AND CAST(ts AS DATE) <> DATE '2024-01-25' GROUP BY 1"""
+
+ORACLES["series_completion_bitmaps"] = _with("event_plays", "event_members", episodes=EVENT_EPISODES) + f"""
+SELECT CAST(user_id AS BIGINT) AS user_id, series_id, CAST(max(n_episodes) AS BIGINT) AS total,
+       count(DISTINCT e.content_id) AS watched, round(count(DISTINCT e.content_id) / CAST(max(n_episodes) AS DOUBLE), 9) AS ratio
+FROM event_plays p JOIN episodes e ON p.content_id = CAST(e.content_id AS VARCHAR) WHERE {_digits('user_id', 'p.content_id')} GROUP BY 1, 2"""
+
+ORACLES["itemcf_in_steps"] = _similarity("rated_plays")
+
 # Expansion and publishing
 
-def _list_facts(counts: str, k: int, suffix: str, more_than: int = 0) -> str:
-    """The same facts from the counts alone: a list has the user's items, k of them at most."""
+def _list_facts(counts: str, k: int, suffix: str, more_than: int = 0, names: str = "SELECT NULL AS content_id, NULL AS content_name") -> str:
+    """The same facts from the counts alone: a list has the user's items, k of them at most, named or with a blank."""
+    payload = _item_json("item_id", "''", "coalesce(content_name, ' ')")
     return f"""
-, sizes AS (SELECT user_id, count(*) AS n, string_agg(item_id, '#' ORDER BY item_id) AS ids FROM ({counts}) x GROUP BY 1)
+, named AS (SELECT user_id, item_id, {payload} AS payload FROM ({counts}) x LEFT JOIN ({names}) y ON item_id = content_id),
+sizes AS (SELECT user_id, count(*) AS n, string_agg(item_id, '#' ORDER BY item_id) AS ids,
+                 string_agg(payload, '#' ORDER BY item_id) AS payloads FROM named GROUP BY 1)
 SELECT user_id || '_{suffix}' AS list_key, least(n, {k}) AS listed, least(n, {k}) AS last_rank, least(n, {k}) AS different,
-  CASE WHEN n < {k} THEN ids END AS items
+  CAST(0 AS BIGINT) AS wrong, CASE WHEN n < {k} THEN ids END AS items, CASE WHEN n < {k} THEN payloads END AS payloads
 FROM sizes WHERE least(n, {k}) > {more_than}"""
 
 
 _PLAIN = "SELECT user_id, content_id AS item_id, plays FROM counts"
 ORACLES["als_rerank_facts"] = _with(
-    "event_plays", "event_members", episodes=EVENT_EPISODES, counts=_counts(f"{_FREE} AND {_window(90)}")
-) + _list_facts(_ROLLED, 20, "5_10046284_0", 10)
+    "event_plays", "event_members", "event_films", episodes=EVENT_EPISODES, counts=_counts(f"{_FREE} AND {_window(90)}")
+) + _list_facts(_ROLLED, 20, "5_10046284_0", 10, "SELECT content_id, min(content_name) AS content_name FROM event_films GROUP BY 1")
 ORACLES["als_rerank_older_facts"] = _with(
     "event_plays", "event_members", episodes=EVENT_EPISODES, counts=_counts(f"{_FREE} AND {_window(90)}")
 ) + _list_facts(_ROLLED, 20, "5_10046284_0")
@@ -793,7 +814,8 @@ ORACLES["als_customers_facts"] = _with(
     "customer_plays", "part_members", episodes=PART_EPISODES, counts=_counts("TRUE", "customer_plays")
 ) + _list_facts(_ROLLED, 20, "5_10046284_0")
 ORACLES["cinema_rerank_facts"] = _with("customer_plays", counts=_counts(_CINEMA, "customer_plays")) + """
-SELECT DISTINCT user_id || '_5_10001719_0' AS list_key, CAST(20 AS BIGINT) AS listed, CAST(20 AS BIGINT) AS last_rank, CAST(20 AS BIGINT) AS different
+SELECT DISTINCT user_id || '_5_10001719_0' AS list_key, CAST(20 AS BIGINT) AS listed, CAST(20 AS BIGINT) AS last_rank, CAST(20 AS BIGINT) AS different,
+  CAST(0 AS BIGINT) AS ranked_from_catalog, TRUE AS unseen
 FROM counts"""
 
 
@@ -861,6 +883,14 @@ UNION ALL SELECT * FROM old WHERE list_key NOT IN (SELECT list_key FROM second)"
 ) + """
 SELECT CAST(list_key AS VARCHAR) AS list_key, rank, content_id, store FROM kept, (SELECT unnest([0, 1]) AS store) s"""
 
+ORACLES["district_counts_bucketed"] = _with("customer_plays", "districts") + f"""
+SELECT district, CAST(content_id AS BIGINT) AS content_id, count(*) AS plays FROM customer_plays p
+JOIN districts d ON CAST(p.user_id AS BIGINT) = d.user_id WHERE {_digits('p.user_id', 'content_id')} GROUP BY 1, 2"""
+
+ORACLES["scan_id_ranges"] = """
+SELECT * FROM (SELECT CAST(floor(pow(CAST(o_orderkey AS DOUBLE), 3) / 1000000) AS BIGINT) AS id, o_orderkey, o_custkey FROM orders) o
+WHERE id >= 10 AND id < 2000000"""
+
 ORACLES["payload_item"] = f"SELECT p_partkey, {_item_json('p_partkey', 'p_size', 'p_name')} AS payload FROM part"
 ORACLES["payload_top_list"] = (
     "SELECT p_partkey, "

@@ -11,15 +11,17 @@ from pyspark.sql import functions as F
 from viewloom.functions import predicates as is_
 from viewloom.functions import scalars as sc
 from viewloom.functions.payloads import channel_payload, item_payload, top_list_payload
-from viewloom.operators import airtime, fill, hierarchy
+from viewloom.operators import airtime, bitmaps, deltas, factors, fill, hierarchy, treeindex
+from viewloom.operators import cooccurrence as co
 from viewloom.operators import counts as cnt
 from viewloom.operators.ranking import drop_repeated_names, top_k
 from viewloom.plans import behavior, content, live, newest, popularity, reports
-from viewloom.session import ensure_checkpoint_dir
+from viewloom.plans.rolling import RollingCounts
+from viewloom.session import cut_lineage, ensure_checkpoint_dir
 from viewloom.sinks.lists import longer_than, replace_unless_shorter, to_episodes
 from viewloom.sinks.outside import publish_to, read_store
 from viewloom.sinks.versions import ListStore
-from viewloom.sources import logs
+from viewloom.sources import bucketed, logs, ranges
 from viewloom.sources.logs import in_timestamp_window
 from viewloom.sources.metadata import catalog_members, episode_map, film_names, level_rows, relate_content
 from workload import standins as st
@@ -546,6 +548,57 @@ def subtree_customer_plays(spark, sf):
     return cnt.play_counts(cnt.within(plays, members, "user_id"), "user_id")
 
 
+@query
+def deep_subtree_members(spark, sf):
+    """Members below two catalogues of a deep tree with shared children and cycles, by its index."""
+    index = treeindex.tree_index(frame(spark, sf, "deep_edges"))
+    starts = spark.createDataFrame([(5,), (19,)], "catalog_id bigint")
+    return treeindex.members_below(index, starts)
+
+
+# Kept up to date by days
+
+
+def _dated_plays(spark, sf):
+    return frame(spark, sf, "event_plays").withColumn("dt", F.col("ts").cast("date"))
+
+
+@query
+def rolling_counts(spark, sf):
+    """Plays per content of the last ten days: a first load, days one by one, a day that comes late and one that never comes."""
+    plays = reports.as_ids(_dated_plays(spark, sf), "content_id").select("dt", "content_id")
+    late, never = F.lit("2024-01-27").cast("date"), F.lit("2024-01-25").cast("date")
+    rolling = RollingCounts(spark, _new_folder(spark), ["content_id"], spans=[10])
+    rolling.load(plays.where((F.col("dt") < "2024-01-26") & (F.col("dt") != never)))
+    rolling.load(plays.where((F.col("dt") >= "2024-01-26") & (F.col("dt") < "2024-01-29") & (F.col("dt") != late)), "2024-01-29")
+    rolling.load(plays.where((F.col("dt") == late) | (F.col("dt") == "2024-01-29")), "2024-01-30")
+    rolling.load(plays.where(F.col("dt") == "2024-01-30"), EVENTS_AS_OF)
+    return rolling.counts(10)
+
+
+@query
+def series_completion_bitmaps(spark, sf):
+    """Completion of series from bits that were made day by day."""
+    episodes = bitmaps.episode_ordinals(episode_map(_event_catalog(spark, sf)))
+    plays = reports.as_ids(_dated_plays(spark, sf), "user_id", "content_id")
+    days = cut_lineage(bitmaps.seen_bits(plays, episodes, "dt", "user_id"))
+    return bitmaps.progress_of(days, episodes, "user_id").withColumn("ratio", F.round("ratio", 9))
+
+
+@query
+def itemcf_in_steps(spark, sf):
+    """Similarities from the moments of one half of the days and their changes by the other."""
+    rated = frame(spark, sf, "rated_plays")
+    early = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    stored = cut_lineage(co.unique_ratings(rated.where(early)))
+    moments = cut_lineage(co.pair_moments(stored).select("item1", "item2", *deltas.SUMS))
+    changes = cut_lineage(deltas.rating_changes(stored, rated.where(~early)))
+    ratings = cut_lineage(deltas.merged_ratings(stored, changes))
+    merged = deltas.with_raters(deltas.merged_moments(moments, deltas.moment_changes(stored, changes)), ratings)
+    measures = ["corr", "reg_corr", "cos_sim", "jaccard"]
+    return co.similarities(merged).select("item1", "item2", *[F.round(m, 6).alias(m) for m in measures])
+
+
 # Factor model
 
 
@@ -574,7 +627,7 @@ def als_list(spark, sf):
 @query
 def als_customers(spark, sf):
     counted = behavior.list_counts(frame(spark, sf, "customer_plays"), episode_map(_part_catalog(spark, sf)))
-    return behavior.rerank_lists(counted, 20, "5_10046284_0").select("list_key", "rank", "item_id", "score")
+    return behavior.rerank_lists(counted, 20, "5_10046284_0").select("list_key", "rank", "item_id", "score", "payload")
 
 
 @query
@@ -586,15 +639,23 @@ def cinema_rerank(spark, sf):
 
 
 def _list_facts(lists, k):
-    """What a list holds whatever the scores are: length, last rank, and all items of a list shorter than k."""
+    """What a list holds whatever the scores are: length, last rank, and all items of a list shorter than k with their payloads.
+
+    ``wrong`` counts payloads whose rank or item is not that of their row; payloads are shown without their rank.
+    """
+    shown = F.struct("item_id", F.regexp_replace("payload", '"rank":"[0-9]+"', '"rank":""').alias("payload"))
+    rank, item = (F.get_json_object("payload", f"$.{name}") for name in ("rank", "movieID"))
     facts = lists.groupBy("list_key").agg(
         F.count(F.lit(1)).alias("listed"),
         F.max("rank").cast("bigint").alias("last_rank"),
         F.countDistinct("item_id").alias("different"),
-        F.sort_array(F.collect_list("item_id")).alias("ids"),
+        F.count_if((rank != F.col("rank").cast("string")) | (item != F.col("item_id").cast("string"))).alias("wrong"),
+        F.sort_array(F.collect_list(shown)).alias("rows"),
     )
-    whole = F.concat_ws("#", F.transform("ids", lambda x: x.cast("string")))
-    return facts.select("list_key", "listed", "last_rank", "different", F.when(F.col("listed") < k, whole).alias("items"))
+    ids = F.concat_ws("#", F.transform("rows", lambda x: x["item_id"].cast("string")))
+    payloads = F.concat_ws("#", F.transform("rows", lambda x: x["payload"]))
+    short = F.col("listed") < k
+    return facts.select("list_key", "listed", "last_rank", "different", "wrong", F.when(short, ids).alias("items"), F.when(short, payloads).alias("payloads"))
 
 
 @query
@@ -631,11 +692,32 @@ def als_customers_facts(spark, sf):
 
 @query
 def cinema_rerank_facts(spark, sf):
-    """Every user has k ranks, no item twice, and what the user ranked never comes from the catalogue."""
-    lists = cinema_rerank(spark, sf).groupBy("list_key").agg(
-        F.count(F.lit(1)).alias("listed"), F.max("rank").cast("bigint").alias("last_rank"), F.countDistinct("item_id").alias("different")
+    """Every user has k ranks, no item twice, and what the user ranked never comes from the catalogue.
+
+    ``unseen`` is whether as many films come from the catalogue as the user has not ranked there, k at most.
+    """
+    members = frame(spark, sf, "cinema_members")
+    counted = behavior.cinema_counts(frame(spark, sf, "customer_plays"))
+    ranked = cut_lineage(factors.rerank_played(counted, 20, seed=42))
+    lists = cut_lineage(behavior.cinema_lists(ranked, members, 20, 42))
+    seen = ranked.select("user_id", "item_id", F.lit(True).alias("seen"))
+    told = lists.join(seen, ["user_id", "item_id"], "left").groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("listed"),
+        F.max("rank").cast("bigint").alias("last_rank"),
+        F.countDistinct("item_id").alias("different"),
+        F.count_if((F.col("source") == "catalog") & F.col("seen")).alias("ranked_from_catalog"),
+        F.count_if(F.col("source") == "catalog").alias("from_catalog"),
+    )
+    films = members.select("catalog_id", F.col("content_id").alias("item_id")).distinct()
+    best = ranked.where("rank = 1").select("user_id", "item_id")
+    home = best.join(films, "item_id").groupBy("user_id").agg(F.max("catalog_id").alias("catalog_id"))
+    own = home.join(films, "catalog_id").join(ranked.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
+    free = own.groupBy("user_id").agg(F.least(F.count(F.lit(1)), F.lit(20)).alias("free"))
+    checked = told.join(free, "user_id", "left")
+    return checked.select(
+        F.concat_ws("_", "user_id", F.lit("5"), F.lit(is_.CINEMA_CATALOG), F.lit("0")).alias("list_key"),
+        "listed", "last_rank", "different", "ranked_from_catalog", (F.col("from_catalog") == F.coalesce("free", F.lit(0))).alias("unseen"),
     )
-    return lists.select("list_key", "listed", "last_rank", "different")
 
 
 @query
@@ -693,6 +775,28 @@ def publish_to_stores(spark, sf):
     return kept[0].unionAll(kept[1])
 
 
+@query
+def district_counts_bucketed(spark, sf):
+    """Plays per district and content from a log and a lookup that lie in buckets of the user."""
+    folder, name = _new_folder(spark), uuid.uuid4().hex
+    plays = reports.as_ids(frame(spark, sf, "customer_plays"), "user_id", "content_id").select("user_id", "content_id")
+    log = bucketed.write_bucketed(plays, f"plays_{name}", f"{folder}/plays", ["user_id"], 8)
+    lookup = bucketed.write_bucketed(frame(spark, sf, "districts"), f"districts_{name}", f"{folder}/districts", ["user_id"], 8)
+    counted = cnt.play_counts(log, "user_id", "content_id").join(lookup, "user_id")
+    return counted.groupBy("district", "content_id").agg(F.sum("plays").alias("plays"))
+
+
+@query
+def scan_id_ranges(spark, sf):
+    """Orders of some customers from a range scan over ids that crowd at the lower end."""
+    folder = _new_folder(spark).removeprefix("file:")
+    skewed = F.floor(F.pow(F.col("o_orderkey").cast("double"), 3) / 1000000).cast("bigint")
+    orders = table(spark, sf, "orders").select(skewed.alias("id"), "o_orderkey", "o_custkey", "o_totalprice")
+    orders.repartition(6).sortWithinPartitions("id").write.option("parquet.block.size", 65536).parquet(folder)
+    rows = ranges.range_scan(spark, folder, "id", 12, ["id", "o_orderkey", "o_custkey"], low=10)
+    return rows.where("id < 2000000")
+
+
 @query
 def payload_item(spark, sf):
     parts = table(spark, sf, "part")

@@ -29,6 +29,9 @@ TEXTS = {
                CAST(CAST(floor(value) AS BIGINT) AS STRING) AS watch_seconds,
                ts
         FROM {events}""",
+    "rated_plays": """
+        SELECT CAST(user_id AS BIGINT) AS user_id, CAST(content_id AS BIGINT) AS item_id, CAST(watch_seconds AS DOUBLE) AS rating, ts
+        FROM (@event_plays@) p WHERE content_id NOT LIKE 'x%'""",
     # Contents 0 to 59 of that log are episodes, ten to a series.
     "event_members": """
         SELECT DISTINCT 1000 + CAST(floor(item / 10) AS BIGINT) AS catalog_id, item AS content_id
@@ -150,6 +153,15 @@ TEXTS = {
         SELECT 10 + CAST(r_regionkey AS BIGINT) AS catalog_id,
                CASE WHEN r_regionkey < 3 THEN 9 ELSE 8 END AS parent_id
         FROM {region}""",
+    # A tree of about eight levels; some nodes stand below a second parent, some edges lead back up.
+    "deep_edges": """
+        SELECT CAST(floor(p_partkey / 3) AS BIGINT) AS catalog_id, p_partkey AS content_id FROM {part}
+        UNION ALL
+        SELECT p_partkey + 1, p_partkey FROM {part} WHERE p_partkey % 50 = 7
+        UNION ALL
+        SELECT p_partkey, CAST(floor(p_partkey / 27) AS BIGINT) FROM {part} WHERE p_partkey % 400 = 81
+        UNION ALL
+        SELECT p_partkey, p_partkey FROM {part} WHERE p_partkey % 90 = 5""",
     # Programme schedule, audience and filler library.
     "schedule_rows": """
         SELECT 'ch' || CAST(user_id AS STRING) AS channel_id, user_id AS service_id, ts AS start_time,
