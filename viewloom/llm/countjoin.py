@@ -17,7 +17,9 @@ of a bounded size. Equal sets are one node throughout. So every linked pair ends
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
@@ -32,11 +34,22 @@ from viewloom.session import cut_lineage
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 OTHER = np.uint64(0xC2B2AE3D27D4EB4F)
-#: Coordinates of a point, and points of a leaf.
-GROUPS, LEAF, FAN = 128, 16, 8
+#: Points of a leaf and nodes of a node; shards of fewer members are compared without a tree.
+LEAF, FAN, SMALL = 16, 8, 48
+#: Counts compared at once.
+AT_ONCE = 1 << 21
+#: Bytes of points that a task looks at together.
+POINT_BYTES = 4 << 20
 #: Sizes of sets are cut into bands that grow by a half, up to this size.
 LARGEST_SET = 1 << 40
 CHUNK_TOKENS, CHUNK_MEMBERS = 2_000_000, 2048
+#: A signature ends with the level of its band: points of its shard have 2**level coordinates.
+LEVEL_BITS = 6
+#: Keys of 32 bytes that may be sent to all tasks, about 50 MB there.
+SENT_KEYS = 500_000
+#: A level above that of any point.
+FINEST = 60
+SHARD = ["sig", "low", "high"]
 
 
 def words_between_blanks(texts: Texts) -> Words:
@@ -84,15 +97,19 @@ class Threshold:
 
 
 @cache
-def bands(percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First sizes of the bands, the groups of each, and how many of its groups may be empty."""
+def bands(percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First sizes of the bands; of each its groups, how many of them may be empty, and the level of its points.
+
+    Points have about as many coordinates as sets have tokens, so that tokens in one set only seldom cancel out.
+    """
     rule, edges = Threshold(percent), [1]
     while edges[-1] < LARGEST_SET:
         edges.append(max(edges[-1] + 1, edges[-1] * 3 // 2))
     largest = [e - 1 for e in edges[1:]]
     differ = np.array([rule.differences(m + rule.largest_partner(m)) for m in largest])
     spare = differ // 24
-    return np.array(edges), differ + 1 + spare, spare
+    levels = np.array([max(6, int(m).bit_length()) for m in largest])
+    return np.array(edges), differ + 1 + spare, spare, levels
 
 
 def signatures(owners: np.ndarray, tokens: np.ndarray, texts: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -101,7 +118,7 @@ def signatures(owners: np.ndarray, tokens: np.ndarray, texts: int, percent: int)
     A set belongs to the band of its size and to those of smaller partners. If more groups are empty than the band
     allows, the tokens are dealt again by another hash, as both of two sets that have too many empty ones in common do.
     """
-    edges, groups, spare = bands(percent)
+    edges, groups, spare, levels = bands(percent)
     sizes = np.bincount(owners, minlength=texts)
     there = sizes > 0
     own = np.where(there, np.searchsorted(edges, sizes, "right") - 1, -1)
@@ -122,7 +139,9 @@ def signatures(owners: np.ndarray, tokens: np.ndarray, texts: int, percent: int)
             text = np.repeat(np.arange(texts), n)
             name = ((seed * len(edges) + band[text]) << 40) + np.arange(len(text)) - base[text]
             full = counts > 0
-            found.append((text[full], mix(sums[full] + mix(name[full].astype(np.uint64) * GOLDEN + counts[full].astype(np.uint64)))))
+            signature = mix(sums[full] + mix(name[full].astype(np.uint64) * GOLDEN + counts[full].astype(np.uint64)))
+            level = levels[band[text[full]]].astype(np.uint64)
+            found.append((text[full], signature << np.uint64(LEVEL_BITS) | level))
             empty = np.bincount(text[~full], minlength=texts)
             asked = asked & (empty > spare[band])
             seed += 1
@@ -131,10 +150,34 @@ def signatures(owners: np.ndarray, tokens: np.ndarray, texts: int, percent: int)
     return np.concatenate([t for t, _ in found]), np.concatenate([s for _, s in found])
 
 
-def points(owners: np.ndarray, tokens: np.ndarray, texts: int) -> np.ndarray:
-    """Counts of the groups, one row per text."""
-    group = (mix(tokens * OTHER + GOLDEN) % np.uint64(GROUPS)).astype(np.int64)
-    return np.bincount(owners * GROUPS + group, minlength=texts * GROUPS).reshape(texts, GROUPS)
+def points(owners: np.ndarray, tokens: np.ndarray, texts: int, percent: int) -> list[bytes]:
+    """The point of every text, a byte per coordinate, compressed; most counts are 0 or 1. Empty for a text without tokens.
+
+    A point has the level of its band at least, and the next ones where a count exceeds a byte. Halving the number of
+    coordinates adds the two halves up (``folded``).
+    """
+    edges, _, _, levels = bands(percent)
+    sizes = np.bincount(owners, minlength=texts)
+    level = levels[np.searchsorted(edges, np.maximum(sizes, 1), "right") - 1]
+    hashes, starts = mix(tokens * OTHER + GOLDEN), np.cumsum(sizes) - sizes
+    out = []
+    for text in range(texts):
+        counts, at = np.zeros(0, np.int64), int(level[text])
+        while sizes[text]:
+            own = hashes[starts[text] : starts[text] + sizes[text]] & np.uint64((1 << at) - 1)
+            counts = np.bincount(own.astype(np.int64), minlength=1 << at)
+            if counts.max() < 256:
+                break
+            at += 1
+        out.append(zlib.compress(counts.astype(np.uint8).tobytes(), 1) if len(counts) else b"")
+    return out
+
+
+def folded(point: bytes, level: int) -> np.ndarray:
+    """The point's counts at a lower level, or at its own."""
+    counts = np.frombuffer(zlib.decompress(point), np.uint8)
+    level = min(level, len(counts).bit_length() - 1)
+    return counts.reshape(-1, 1 << level).sum(axis=0, dtype=np.uint16)
 
 
 def set_prints(owners: np.ndarray, tokens: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
@@ -153,7 +196,7 @@ class CountTree:
     def __init__(self, vectors: np.ndarray):
         self.order = np.concatenate(self._leaves(vectors, np.arange(len(vectors)))) if len(vectors) else np.zeros(0, np.int64)
         self.vectors = vectors[self.order]
-        sizes = self.vectors.sum(axis=1)
+        sizes = self.vectors.sum(axis=1, dtype=np.int64)
         self.levels = [(self.vectors, sizes, sizes)]
         self.fans: list[int] = []
         while len(self.levels[-1][0]) > 1:
@@ -168,18 +211,19 @@ class CountTree:
         if len(at) <= LEAF:
             return [at]
         own = vectors[at]
-        wide = int((own.max(axis=0) - own.min(axis=0)).argmax())
+        wide = int((own.max(axis=0).astype(np.int64) - own.min(axis=0)).argmax())
         at = at[np.argsort(own[:, wide], kind="stable")]
         half = LEAF * (len(at) // (2 * LEAF) or 1)
         return self._leaves(vectors, at[:half]) + self._leaves(vectors, at[half:])
 
-    def search(self, queries: np.ndarray, rule: Threshold, rows: int = 1 << 16) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, queries: np.ndarray, rule: Threshold, at_once: int = AT_ONCE) -> tuple[np.ndarray, np.ndarray]:
         """(query, point) of all pairs whose sizes and summed coordinate minima can reach the threshold."""
-        sizes = queries.sum(axis=1)
+        sizes = queries.sum(axis=1, dtype=np.int64)
         low, high = rule.least_partner(sizes), rule.largest_partner(sizes)
         top = len(self.levels) - 1
         asked = np.arange(len(queries))
         stack = [(top, asked, np.zeros(len(asked), np.int64))] if len(self.vectors) else []
+        rows = max(1, at_once // max(1, queries.shape[1]))
         found: list[tuple[np.ndarray, np.ndarray]] = []
         while stack:
             level, q, node = stack.pop()
@@ -189,7 +233,7 @@ class CountTree:
             highest, least, most = self.levels[level]
             fits = (most[node] >= low[q]) & (least[node] <= high[q])
             q, node = q[fits], node[fits]
-            bound = np.minimum(queries[q], highest[node]).sum(axis=1)
+            bound = np.minimum(queries[q], highest[node]).sum(axis=1, dtype=np.int64)
             fits = bound >= rule.needed(sizes[q] + np.maximum(least[node], low[q]))
             q, node = q[fits], node[fits]
             if level == 0:
@@ -206,19 +250,103 @@ class CountTree:
         return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
 
 
-def across(vectors: np.ndarray, parts: np.ndarray, chunks: np.ndarray, rule: Threshold) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (i, j) of different parts that the tree leaves, ordered; of two chunks, one of each."""
-    many = len(np.unique(chunks)) > 1
-    left = np.flatnonzero(chunks == chunks.min(initial=0)) if many else np.arange(len(vectors))
-    right = np.flatnonzero(chunks != chunks.min(initial=0)) if many else left
-    q, p = CountTree(vectors[right]).search(vectors[left], rule)
-    i, j = left[q], right[p]
-    kept = (parts[i] != parts[j]) & (many | (i < j))
+@dataclass
+class Shards:
+    """Whole shards, or chunk pairs of shards, one after the other; shard s has the rows bounds[s]:bounds[s + 1]."""
+
+    bounds: np.ndarray
+    levels: np.ndarray
+    chunks: np.ndarray
+    parts: np.ndarray
+    sizes: np.ndarray
+    points: list[bytes]
+
+
+def across(shards: Shards, rule: Threshold) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i, j) of rows that the bound leaves, of one shard and of different parts; of a chunk pair, one row of each chunk."""
+    members = np.diff(shards.bounds)
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    shard = np.repeat(np.arange(len(members)), members)
+    row = np.arange(len(shard))
+    first_chunk = np.minimum.reduceat(shards.chunks, shards.bounds[:-1]) if len(row) else row
+    paired = (np.maximum.reduceat(shards.chunks, shards.bounds[:-1]) if len(row) else row) != first_chunk
+
+    def wanted(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        one_of_each = ~paired[shard[i]] | (shards.chunks[i] != shards.chunks[j])
+        low, high = np.minimum(shards.sizes[i], shards.sizes[j]), np.maximum(shards.sizes[i], shards.sizes[j])
+        return one_of_each & (shards.parts[i] != shards.parts[j]) & (low >= rule.least_partner(high))
+
+    # Small shards: all later rows of the shard, at once for all shards of a level.
+    after = np.where(members[shard] <= SMALL, shards.bounds[shard + 1] - row - 1, 0) if len(row) else row
+    i = np.repeat(row, after)
+    j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(after) - after, after)
+    kept = wanted(i, j)
     i, j = i[kept], j[kept]
+    for level in np.unique(shards.levels[shard[i]]).tolist():
+        of_level = np.flatnonzero(shards.levels[shard[i]] == level)
+        step = max(1, AT_ONCE >> level)
+        for at in np.split(of_level, range(step, len(of_level), step)):
+            used = np.unique(np.concatenate((i[at], j[at])))
+            vectors = np.empty((len(used), 1 << level), np.uint16)
+            for place, r in enumerate(used):
+                vectors[place] = folded(shards.points[r], level)
+            a, b = np.searchsorted(used, i[at]), np.searchsorted(used, j[at])
+            bound = np.minimum(vectors[a], vectors[b]).sum(axis=1, dtype=np.int64)
+            good = at[bound >= rule.needed(shards.sizes[i[at]] + shards.sizes[j[at]])]
+            found.append((i[good], j[good]))
+    for s in np.flatnonzero(members > SMALL).tolist():
+        rows = np.arange(shards.bounds[s], shards.bounds[s + 1])
+        vectors = np.array([folded(shards.points[r], int(shards.levels[s])) for r in rows], np.uint16)
+        left = np.flatnonzero(shards.chunks[rows] == first_chunk[s]) if paired[s] else np.arange(len(rows))
+        right = np.flatnonzero(shards.chunks[rows] != first_chunk[s]) if paired[s] else left
+        q, p = CountTree(vectors[right]).search(vectors[left], rule)
+        a, b = rows[left[q]], rows[right[p]]
+        good = wanted(a, b) & (paired[s] | (a < b))
+        found.append((a[good], b[good]))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    i, j = (np.concatenate([f[k] for f in found]) for k in (0, 1))
     order = np.lexsort((j, i))
     return i[order], j[order]
 
 
+def _bounded_tables(table: pa.Table, starts: np.ndarray) -> Iterator[pa.Table]:
+    """Parts of a table of whole shards, cut at ``starts`` of shards after about POINT_BYTES."""
+    reached = np.cumsum(pc.binary_length(table.column("point")).to_numpy()) if "point" in table.column_names else np.zeros(table.num_rows)
+    first = 0
+    while first < table.num_rows:
+        before = reached[first - 1] if first else 0
+        more = starts[(starts > first) & (reached[starts - 1] - before >= POINT_BYTES)] if len(starts) else starts
+        end = int(more[0]) if len(more) else table.num_rows
+        yield table.slice(first, end - first).combine_chunks()
+        first = end
+
+
+def whole_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of sorted batches in tables that end where a shard does."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([*held, batch]).combine_chunks()
+        name = np.column_stack([table.column(c).to_numpy() for c in SHARD])
+        last = np.flatnonzero((name[1:] != name[:-1]).any(axis=1))
+        cut = int(last[-1]) + 1 if len(last) else 0
+        if cut:
+            yield from _bounded_tables(table.slice(0, cut), last[:-1] + 1)
+        held = table.slice(cut).combine_chunks().to_batches()
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def shards_of(table: pa.Table) -> Shards:
+    name = np.column_stack([table.column(c).to_numpy() for c in SHARD])
+    starts = np.append(0, np.flatnonzero((name[1:] != name[:-1]).any(axis=1)) + 1)
+    levels = name[starts, 0] & ((1 << LEVEL_BITS) - 1)
+    plain = [table.column(c).to_numpy() for c in ("chunk", "part", "n")]
+    return Shards(np.append(starts, len(name)), levels, *plain, table.column("point").to_pylist())
+
+
 def joining(i: np.ndarray, j: np.ndarray, parts: np.ndarray, sets: list[np.ndarray], rule: Threshold) -> Iterator[tuple[int, int]]:
     """The verified pairs that join parts, as few as connect the same."""
     label = parts.copy()
@@ -279,14 +407,15 @@ def _with_nodes(table: DataFrame) -> DataFrame:
     return marked.withColumn("node", F.when(F.col("odd"), F.xxhash64("x", "y")).otherwise(F.col("x"))).drop("x", "y", "odd")
 
 
-def _sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """(node, counts, tokens): the point and the set of every wanted node, from one text of each."""
+def _sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
+    """(node, point, tokens) of every wanted node, from one text of each."""
     whole = F.coalesce(F.col(text), F.lit(""))
     keyed = docs.select(
         F.xxhash64(whole).alias("t"), F.xxhash64(F.lit(1), whole).alias("u"), F.xxhash64(F.lit(2), F.col(key)).alias("r"), F.col(text).alias("text")
     )
-    places = nodes.join(wanted, "node", "left_semi").select("node", "at.*")
-    texts = keyed.join(places, ["t", "u", "r"]).select("node", "text").dropDuplicates(["node"])
+    places = cut_lineage(nodes.join(wanted, "node", "left_semi").select("node", "at.*"))
+    # Texts move only if there are too many of the wanted ones to send their keys to all tasks.
+    texts = keyed.join(_sent(places), ["t", "u", "r"]).select("node", "text").dropDuplicates(["node"])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -294,62 +423,96 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, key: str, tex
             for block in text_blocks(batch.column("text")):
                 owners, tokens = token_sets(block, size)
                 offsets = np.concatenate(([0], np.cumsum(np.bincount(owners, minlength=len(block))))).astype(np.int32)
-                counts = points(owners, tokens, len(block)).astype(np.int32)
                 columns = [
                     batch.column("node").slice(at, len(block)),
-                    pa.ListArray.from_arrays(pa.array(np.arange(len(block) + 1, dtype=np.int32) * GROUPS), pa.array(counts.reshape(-1))),
+                    pa.array(points(owners, tokens, len(block), percent), pa.binary()),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens.view(np.int64))),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["node", "counts", "tokens"])
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "point", "tokens"])
                 at += len(block)
 
-    return cut_lineage(texts.mapInArrow(sets, "node bigint, counts array<int>, tokens array<bigint>"))
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, rule: Threshold) -> DataFrame:
-    """The linked ones of the pairs (left, right): first by the bound of their points, then by their sets."""
-    light = sets.select("node", "counts", F.size("tokens").cast("bigint").alias("n"))
-    both = pairs.join(light.select(F.col("node").alias("left"), F.col("counts").alias("lc"), F.col("n").alias("ln")), "left")
-    both = both.join(light.select(F.col("node").alias("right"), F.col("counts").alias("rc"), F.col("n").alias("rn")), "right")
-    bound = F.aggregate(F.zip_with("lc", "rc", lambda a, b: F.least(a, b)), F.lit(0), lambda s, c: s + c)
-    total = F.col("ln") + F.col("rn")
-    left_over = both.where((100 + rule.percent) * bound >= rule.percent * total).select("left", "right")
-    left_over = cut_lineage(left_over)
-    full = left_over.join(sets.select(F.col("node").alias("left"), F.col("tokens").alias("lt")), "left")
-    full = full.join(sets.select(F.col("node").alias("right"), F.col("tokens").alias("rt")), "right")
-    overlap = F.size(F.array_intersect("lt", "rt"))
-    total = F.size("lt") + F.size("rt")
+    return cut_lineage(texts.mapInArrow(sets, "node bigint, point binary, tokens array<bigint>"))
+
+
+def _bounded(rule: Threshold):
+    """Whether two points leave the threshold in reach; the finer one is folded."""
+
+    def bound(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for left, right in batches:
+            out = []
+            for a, b in zip(left.to_pylist(), right.to_pylist(), strict=True):
+                x, y = folded(a, FINEST), folded(b, FINEST)
+                level = min(len(x), len(y)).bit_length() - 1
+                x, y = folded(a, level), folded(b, level)
+                out.append(int(np.minimum(x, y).sum()) >= rule.needed(int(x.sum() + y.sum())))
+            yield pa.array(out, pa.bool_())
+
+    return F.arrow_udf(bound, "boolean")
+
+
+def _sent(keys: DataFrame) -> DataFrame:
+    """Written keys, sent to all tasks if they are few enough; else Spark shuffles both sides of their joins."""
+    return F.broadcast(keys) if keys.count() <= SENT_KEYS else keys
+
+
+def _both_sides(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    """(left, right, l, r): the pairs with both nodes' ``column``. What moves is two rows per pair, not all sets."""
+    ends = pairs.select(F.explode(F.array(F.struct(F.col("left").alias("node"), F.lit(0).alias("end")), F.struct(F.col("right").alias("node"), F.lit(1).alias("end")))).alias("e"), "left", "right")
+    met = sets.select("node", column).join(_sent(cut_lineage(ends.select("e.*", "left", "right"))), "node")
+    own = F.array_sort(F.collect_list(F.struct("end", column)))
+    both = met.groupBy("left", "right").agg(own.alias("both"))
+    return both.select("left", "right", F.element_at("both", 1)[column].alias("l"), F.element_at("both", 2)[column].alias("r"))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, nodes: DataFrame, rule: Threshold) -> DataFrame:
+    """The linked ones of the pairs (left, right): first by sizes, then by points, then by their sets."""
+    sizes = nodes.select("node", "n")
+    sized = pairs.join(sizes.select(F.col("node").alias("left"), F.col("n").alias("ln")), "left")
+    sized = sized.join(sizes.select(F.col("node").alias("right"), F.col("n").alias("rn")), "right")
+    sized = cut_lineage(sized.where(100 * F.least("ln", "rn") >= rule.percent * F.greatest("ln", "rn")).select("left", "right"))
+    bounded = _both_sides(sized, sets, "point").where(_bounded(rule)("l", "r"))
+    full = _both_sides(cut_lineage(bounded.select("left", "right")), sets, "tokens")
+    overlap = F.size(F.array_intersect("l", "r"))
+    total = F.size("l") + F.size("r")
     return full.where((100 + rule.percent) * overlap.cast("bigint") >= rule.percent * total.cast("bigint")).select("left", "right")
 
 
 def _candidates(rule: Threshold):
-    """For a chunk pair of a shard: the members that the tree leaves with a partner of another part."""
+    """Of whole shards: the members that the bound leaves with a partner of another part."""
 
-    def find(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks().sort_by("node")
-        vectors = np.asarray(table.column("counts").combine_chunks().flatten(), np.int64).reshape(-1, GROUPS)
-        i, j = across(vectors, table.column("part").to_numpy(), table.column("chunk").to_numpy(), rule)
-        return table.select(["sig", "low", "high", "chunk", "node", "part"]).take(pa.array(np.unique(np.concatenate((i, j)))))
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_shards(batches):
+            i, j = across(shards_of(table), rule)
+            kept = table.select([*SHARD, "chunk", "node", "part", "n"]).take(pa.array(np.unique(np.concatenate((i, j)))))
+            yield from kept.to_batches()
 
     return find
 
 
 def _linker(rule: Threshold):
-    def link(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks().sort_by("node")
-        nodes, parts = table.column("node").to_numpy(), table.column("part").to_numpy()
-        vectors = np.asarray(table.column("counts").combine_chunks().flatten(), np.int64).reshape(-1, GROUPS)
-        lists = table.column("tokens").combine_chunks()
-        offsets = np.concatenate(([0], np.cumsum(np.asarray(pc.list_value_length(lists), np.int64))))
-        values = np.asarray(lists.flatten())
-        sets = [values[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-        i, j = across(vectors, parts, table.column("chunk").to_numpy(), rule)
-        found = [(nodes[a], nodes[b]) for a, b in joining(i, j, parts, sets, rule)]
-        return pa.table({"left": pa.array([a for a, _ in found], pa.int64()), "right": pa.array([b for _, b in found], pa.int64())})
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_shards(batches):
+            nodes, shards = table.column("node").to_numpy(), shards_of(table)
+            lists = table.column("tokens").combine_chunks()
+            offsets = np.concatenate(([0], np.cumsum(np.asarray(pc.list_value_length(lists), np.int64))))
+            values = np.asarray(lists.flatten())
+            sets = [values[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            i, j = across(shards, rule)
+            found = [(nodes[a], nodes[b]) for a, b in joining(i, j, shards.parts, sets, rule)]
+            columns = [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, names=["left", "right"])
 
     return link
 
 
+def _different(shared: DataFrame) -> DataFrame:
+    """(sig, node, members) of one of all shards that have the same members, for the shards of several."""
+    prints = [F.bit_xor(F.xxhash64(F.lit(i), "node")).alias(f"p{i}") for i in (0, 1)]
+    shards = shared.groupBy("sig").agg(F.count(F.lit(1)).alias("members"), *prints).where("members > 1")
+    once = shards.groupBy("members", "p0", "p1").agg(F.min("sig").alias("sig")).select("sig", "members")
+    return shared.join(once, "sig")
+
+
 def _across_parts(known: DataFrame, sets: DataFrame, rule: Threshold) -> DataFrame:
     """Links (left, right) that join the parts of a shard; ``known``: sig, node, n, part."""
     spread = known.groupBy("sig").agg(
@@ -359,15 +522,15 @@ def _across_parts(known: DataFrame, sets: DataFrame, rule: Threshold) -> DataFra
     )
     rest = known.join(spread.where("first < last").drop("first", "last"), "sig")
     chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
-    # Every pair of chunks is a task; a shard of one chunk is one.
+    # Every pair of chunks is compared by one task; a shard of one chunk is one.
     dealt = rest.withColumn("chunk", chunk).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     dealt = dealt.withColumn("low", F.least("chunk", "with")).withColumn("high", F.greatest("chunk", "with"))
-    dealt = cut_lineage(dealt.select("sig", "low", "high", "chunk", "node", "part"))
-    shard = ["sig", "low", "high"]
-    light = dealt.join(sets.select("node", "counts"), "node")
-    names = "sig bigint, low int, high int, chunk int, node bigint, part bigint"
-    left = cut_lineage(light.groupBy(*shard).applyInArrow(_candidates(rule), names))
-    return left.join(sets, "node").groupBy(*shard).applyInArrow(_linker(rule), "left bigint, right bigint")
+    dealt = dealt.select(*SHARD, "chunk", "node", "part", "n")
+    light = dealt.join(sets.select("node", "point"), "node").repartition(*SHARD).sortWithinPartitions(*SHARD, "node")
+    names = "sig bigint, low int, high int, chunk int, node bigint, part bigint, n bigint"
+    left = cut_lineage(light.mapInArrow(_candidates(rule), names))
+    full = _sent(left).join(sets, "node").repartition(*SHARD).sortWithinPartitions(*SHARD, "node")
+    return full.mapInArrow(_linker(rule), "left bigint, right bigint")
 
 
 def linked_components(
@@ -390,14 +553,13 @@ def linked_components(
     met = posts.groupBy("sig").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("sig")
     shared = cut_lineage(posts.join(met, "sig").distinct())
     # The node that shares most shards with others stands for its shards.
-    members = shared.groupBy("sig").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    shared = cut_lineage(shared.join(members, "sig"))
+    shared = cut_lineage(_different(shared))
     shares = shared.groupBy("node").agg(F.sum("members").alias("shares"))
     heads = shared.join(shares, "node").groupBy("sig").agg(F.max(F.struct("shares", "node")).alias("head"))
     stars = shared.join(heads, "sig").select(F.col("node").alias("left"), F.col("head.node").alias("right")).where("left != right")
     stars = cut_lineage(stars.distinct())
-    sets = _sets_of(docs, nodes, shared.select("node").distinct(), key, text, size)
-    links = cut_lineage(_verified(stars, sets, rule))
+    sets = _sets_of(docs, nodes, shared.select("node").distinct(), key, text, size, percent)
+    links = cut_lineage(_verified(stars, sets, nodes, rule))
     labels = components(links)
 
     # Shards that hold several components after the first step.
