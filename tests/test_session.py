@@ -34,3 +34,19 @@ def test_named_folder_is_used(tmp_path):
         [sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=180, check=True
     )
     assert str(tmp_path) in done.stdout
+
+
+def test_written_tables_are_removed_but_the_kept_ones(spark):
+    import os
+
+    from viewloom.session import cut_lineage, remove_written, written_tables
+
+    before = cut_lineage(spark.range(3))
+    mark = written_tables()
+    gone, kept = cut_lineage(spark.range(5)), cut_lineage(spark.range(7))
+    paths = [df.inputFiles()[0].split(":", 1)[1] for df in (before, gone, kept)]
+    remove_written(spark, mark, kept)
+    assert written_tables() == mark + 1 and before.count() == 3 and kept.count() == 7
+    assert [os.path.exists(p.replace("///", "/")) for p in paths] == [True, False, True]
+    remove_written(spark, mark)
+    assert written_tables() == mark

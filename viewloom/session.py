@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -66,13 +67,43 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+#: Folders of the tables that this process has written and not yet removed, in order.
+_written: list[str] = []
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
     Later steps read the columns they need from the written table instead of running the plan
-    again, and lost executors cost no recomputation.
+    again, and lost executors cost no recomputation. ``remove_written`` removes such tables.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/viewloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def written_tables() -> int:
+    """How many written tables there are; a mark for ``remove_written``."""
+    return len(_written)
+
+
+def remove_written(spark: SparkSession, since: int = 0, *keep: DataFrame) -> None:
+    """Remove the tables written after the mark ``since``, but those that ``keep`` reads.
+
+    For the end of a step whose result is written itself: what is removed can't be read any more.
+    """
+
+    def plain(path: str) -> str:
+        return re.sub("^file:/+", "/", path)
+
+    kept = {plain(f.rsplit("/", 1)[0]) for df in keep for f in df.inputFiles()}
+    left = []
+    for path in _written[since:]:
+        if plain(path) in kept:
+            left.append(path)
+            continue
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    _written[since:] = left

@@ -107,6 +107,12 @@ def recover(roots: Sequence[str]) -> None:
         first.forget(run)
 
 
+def clean(roots: Sequence[str]) -> None:
+    """Remove what failed runs have staged, also after they were given up. Not while a run is written."""
+    for root in roots:
+        shutil.rmtree(os.path.join(root, "staged"), ignore_errors=True)
+
+
 @dataclass
 class Staged(WriterCommitMessage):
     names: list[str]
@@ -139,6 +145,7 @@ class _StoresWriter(DataSourceWriter):
         recover(self.roots)
 
     def abort(self, messages: list[Staged | None]) -> None:
+        # Tasks that are still running may stage more; nobody reads it, and ``clean`` removes it.
         for root in self.roots:
             FolderStore(root).drop(self.run)
 

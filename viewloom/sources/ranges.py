@@ -84,7 +84,7 @@ class _RangeReader(DataSourceReader):
                 if told is not None and told.has_min_max and group.num_rows:
                     groups.append((int(told.min), int(told.max), group.num_rows))
         if self.low > self.high:
-            return []
+            return [IdRange(self.low, self.high)]  # holds nothing; without any partition Spark reads the whole
         ranges = equal_ranges(groups, self.parts, self.low, self.high)
         return [IdRange(a, b, self.nulls and i == 0) for i, (a, b) in enumerate(ranges)]
 
