@@ -35,8 +35,18 @@ def box_top(
 
     Repeated names lose the lower rank, and the gap stays.
     """
-    users_known = plays.where(is_.valid_ids(F.col("user_id")))
-    views = counts.views_by_item(_counted(users_known, product), episodes, films=films)
+    return box_top_of(_counted(known_users(plays, product)), episodes, films, k)
+
+
+def known_users(plays: DataFrame, product: str | None = is_.FREE_VOD_PRODUCT) -> DataFrame:
+    """Plays of one product by users with an id."""
+    known = plays.where(is_.valid_ids(F.col("user_id")))
+    return known if product is None else known.where(is_.product_is(F.col("product_key"), product))
+
+
+def box_top_of(counted: DataFrame, episodes: DataFrame, films: DataFrame, k: int = 20) -> DataFrame:
+    """``box_top`` of plays that are counted already: (content_id, plays), for instance over a rolling window."""
+    views = counts.views_by_item(counted, episodes, films=films)
     ranked = top_k_if_more(views, ["series_type"], _by_views("item_id"), k, k)
     lists = drop_repeated_names(ranked, ["series_type"], "item_name")
     root = is_.FREE_VOD_ROOT
@@ -142,6 +152,13 @@ def district_top(
     districts, so a heavy user brings one row per content at most.
     """
     counted = counts.play_counts(as_ids(plays, "user_id", "content_id"), "user_id", "content_id")
+    return district_top_of(counted, districts, episodes, levels, k, truncate)
+
+
+def district_top_of(
+    counted: DataFrame, districts: DataFrame, episodes: DataFrame, levels: DataFrame, k: int = 15, truncate: bool = False
+) -> DataFrame:
+    """``district_top`` of plays that are counted already: (user_id, content_id, plays)."""
     placed = (
         counted.join(districts.select("user_id", "district").distinct(), "user_id")
         .groupBy("district", "content_id")

@@ -170,14 +170,14 @@ _FILM_NAMES = """SELECT content_id, max(content_name) AS content_name FROM part_
 WHERE genre NOT LIKE '%11%' AND genre NOT LIKE '%20%' AND genre NOT LIKE '%41%' GROUP BY 1"""
 
 
-def _box_top(series_type: int, key: str) -> str:
+def _box_top(series_type: int, key: str, kind: str = "part", films: str = _FILM_NAMES, episodes: str = PART_EPISODES, where: str = "TRUE") -> str:
     return _with(
-        "part_plays",
-        "part_films",
-        "part_members",
-        films=_FILM_NAMES,
-        episodes=PART_EPISODES,
-        counts=f"SELECT CAST(content_id AS BIGINT) AS content_id, count(*) AS plays FROM part_plays WHERE {_FREE} GROUP BY 1",
+        f"{kind}_plays",
+        f"{kind}_films",
+        f"{kind}_members",
+        films=films,
+        episodes=episodes,
+        counts=f"SELECT CAST(content_id AS BIGINT) AS content_id, count(*) AS plays FROM {kind}_plays WHERE {_FREE} AND {where} GROUP BY 1",
         views="""SELECT coalesce(series_id, c.content_id) AS item_id, CASE WHEN series_id IS NULL THEN 0 ELSE 1 END AS series_type,
        coalesce(series_name, content_name) AS item_name,
        CAST(sum(plays) AS DOUBLE) / coalesce(n_episodes, 1) AS views
@@ -774,6 +774,15 @@ ORACLES["rolling_counts"] = _with("event_plays") + f"""
 SELECT CAST(content_id AS BIGINT) AS content_id, count(*) AS plays FROM event_plays
 WHERE {_digits('content_id')} AND {_window(10)} AND CAST(ts AS DATE) <> DATE '2024-01-25' GROUP BY 1"""
 
+ORACLES["topn_films_rolling"] = _box_top(
+    0,
+    "Topcontentlist_5_10046284",
+    "event",
+    "SELECT content_id, max(content_name) AS content_name FROM event_films GROUP BY 1",
+    EVENT_EPISODES,
+    f"{_digits('content_id')} AND {_window(30)}",
+)
+
 ORACLES["series_completion_bitmaps"] = _with("event_plays", "event_members", episodes=EVENT_EPISODES) + f"""
 SELECT CAST(user_id AS BIGINT) AS user_id, series_id, CAST(max(n_episodes) AS BIGINT) AS total,
        count(DISTINCT e.content_id) AS watched, round(count(DISTINCT e.content_id) / CAST(max(n_episodes) AS DOUBLE), 9) AS ratio
@@ -874,6 +883,20 @@ ORACLES["publish_lists"] = _with(
 SELECT list_key, rank, content_id FROM second WHERE list_key IN (SELECT list_key FROM taken)
 UNION ALL SELECT list_key, rank, content_id FROM first WHERE list_key NOT IN (SELECT list_key FROM taken)"""
 
+
+
+def _newest_run(where: str) -> str:
+    lists = ORACLES["newest_per_level"]
+    return "SELECT *, count(*) OVER (PARTITION BY list_key) AS n FROM (" + lists.replace(
+        f"relation AS ({duck('relation')})", f"relation AS (SELECT * FROM ({duck('relation')}) r WHERE {where})"
+    ) + ") l QUALIFY n > 9"
+
+
+ORACLES["publish_newest_lists"] = f"""WITH early AS ({_newest_run("resource_time < '2014-01-01'")}), late AS ({_newest_run('TRUE')}),
+taken AS (SELECT DISTINCT l.list_key FROM late l LEFT JOIN early e ON l.list_key = e.list_key WHERE l.n >= coalesce(e.n, 0))
+SELECT list_key, rank, payload FROM late WHERE list_key IN (SELECT list_key FROM taken)
+UNION ALL SELECT list_key, rank, payload FROM early WHERE list_key NOT IN (SELECT list_key FROM taken)"""
+
 ORACLES["publish_to_stores"] = _with(
     "event_plays",
     **_TWO_WINDOWS,

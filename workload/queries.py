@@ -16,6 +16,7 @@ from viewloom.operators import cooccurrence as co
 from viewloom.operators import counts as cnt
 from viewloom.operators.ranking import drop_repeated_names, top_k
 from viewloom.plans import behavior, content, live, newest, popularity, reports
+from viewloom.plans.publish import publish_job
 from viewloom.plans.rolling import RollingCounts
 from viewloom.session import cut_lineage, ensure_checkpoint_dir
 from viewloom.sinks.lists import longer_than, replace_unless_shorter, to_episodes
@@ -576,6 +577,18 @@ def rolling_counts(spark, sf):
     return rolling.counts(10)
 
 
+@query
+def topn_films_rolling(spark, sf):
+    """The film list of the free catalogue over the last 30 days, from counts that were kept by days."""
+    plays = popularity.known_users(_dated_plays(spark, sf))
+    plays = reports.as_ids(plays, "content_id").select("dt", "content_id")
+    rolling = RollingCounts(spark, _new_folder(spark), ["content_id"], spans=[30])
+    rolling.load(plays.where("dt < DATE '2024-01-20'"))
+    rolling.load(plays.where("dt >= DATE '2024-01-20' AND dt < DATE '2024-01-31'"), EVENTS_AS_OF)
+    names = film_names(frame(spark, sf, "event_films"))
+    return _top_columns(popularity.box_top_of(rolling.counts(30), episode_map(_event_catalog(spark, sf)), names))
+
+
 @query
 def series_completion_bitmaps(spark, sf):
     """Completion of series from bits that were made day by day."""
@@ -764,6 +777,17 @@ def publish_lists(spark, sf):
     return store.read()
 
 
+@query
+def publish_newest_lists(spark, sf):
+    """The newest lists of an earlier and of all contents, published by their job; what an outside store holds then."""
+    relation = frame(spark, sf, "relation")
+    folder = _new_folder(spark)
+    store, roots = ListStore(spark, f"{folder}/lists", ranges=8), [f"{folder}/{name}".removeprefix("file:") for name in ("one", "two")]
+    publish_job(newest.box_newest(relation.where("resource_time < '2014-01-01'")), store, "early", roots, more_than=9)
+    publish_job(newest.box_newest(relation), store, "late", roots, more_than=9, keep_longer=True)
+    return read_store(spark, roots[1], "rank int, payload string", roots)
+
+
 @query
 def publish_to_stores(spark, sf):
     """Two windows written to two stores; the second replaces the lists of its keys."""
