@@ -33,14 +33,16 @@ def _without_cycles(parents: DataFrame) -> DataFrame:
     """(id, parent) with the parent of each cycle's smallest node taken off; a node is its own parent at the top."""
     # A pointer and the least node on the way to it, the start left out.
     walk = cut_lineage(parents.select("id", F.col("parent").alias("far"), F.col("parent").alias("least")))
-    rounds = max(1, (parents.count() + 1).bit_length())
-    for _ in range(rounds):
+    left, steps = 1, 1
+    # Walks that have taken more steps than there are walks left go round in circles, and have seen all of them.
+    while steps <= left:
         ahead = walk.select(F.col("id").alias("far"), F.col("far").alias("next"), F.col("least").alias("more"))
         joined = walk.join(ahead, "far", "left")
         walk = cut_lineage(joined.select("id", F.col("next").alias("far"), F.least("least", "more").alias("least")).where("far IS NOT NULL"))
-        if walk.isEmpty():
+        left, steps = walk.count(), 2 * steps
+        if not left:
             return parents
-    # Only walks that never end are left. The least node of a cycle meets itself.
+    # The least node of a cycle meets itself.
     tops = walk.where("least = id").select("id")
     return cut_lineage(parents.join(tops, "id", "left_anti"))
 

@@ -759,6 +759,8 @@ ORACLES["plays_in_subtree"] = _with(
     counts=_counts(f"{_FREE} AND {_window(30)} AND content_id IN (SELECT CAST(content_id AS VARCHAR) FROM event_members)"),
 ) + _ROLLED
 
+ORACLES["plays_in_subtree_indexed"] = ORACLES["plays_in_subtree"]
+
 ORACLES["subtree_customer_plays"] = _REACHED + f""", customer_plays AS ({duck('customer_plays')})
 SELECT CAST(user_id AS BIGINT) AS user_id, count(*) AS plays FROM customer_plays
 WHERE CAST(user_id AS BIGINT) IN (SELECT content_id - 100000 FROM reached) GROUP BY 1"""
@@ -910,6 +912,8 @@ ORACLES["district_counts_bucketed"] = _with("customer_plays", "districts") + f""
 SELECT district, CAST(content_id AS BIGINT) AS content_id, count(*) AS plays FROM customer_plays p
 JOIN districts d ON CAST(p.user_id AS BIGINT) = d.user_id WHERE {_digits('p.user_id', 'content_id')} GROUP BY 1, 2"""
 
+ORACLES["topn_by_district_bucketed"] = ORACLES["topn_by_district"]
+
 ORACLES["scan_id_ranges"] = """
 SELECT * FROM (SELECT CAST(floor(pow(CAST(o_orderkey AS DOUBLE), 3) / 1000000) AS BIGINT) AS id, o_orderkey, o_custkey FROM orders) o
 WHERE id >= 10 AND id < 2000000"""

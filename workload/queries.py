@@ -557,6 +557,15 @@ def deep_subtree_members(spark, sf):
     return treeindex.members_below(index, starts)
 
 
+@query
+def plays_in_subtree_indexed(spark, sf):
+    """Plays below a root, with the members from the catalogue's index."""
+    catalog = _event_catalog(spark, sf)
+    index = treeindex.tree_index(catalog_members(catalog))
+    members = treeindex.members_below(index, catalog.where("parent_id = 10046284").select("catalog_id"))
+    return behavior.box_counts(_event_plays(spark, sf), episode_map(catalog), members)
+
+
 # Kept up to date by days
 
 
@@ -810,6 +819,18 @@ def district_counts_bucketed(spark, sf):
     return counted.groupBy("district", "content_id").agg(F.sum("plays").alias("plays"))
 
 
+@query
+def topn_by_district_bucketed(spark, sf):
+    """District lists from a log and a lookup in buckets of the user: counting and placing the plays moves neither."""
+    folder, name = _new_folder(spark), uuid.uuid4().hex
+    plays = reports.as_ids(frame(spark, sf, "customer_plays"), "user_id", "content_id").select("user_id", "content_id")
+    log = bucketed.write_bucketed(plays, f"plays_{name}", f"{folder}/plays", ["user_id"], 8)
+    lookup = bucketed.write_bucketed(frame(spark, sf, "districts"), f"districts_{name}", f"{folder}/districts", ["user_id"], 8)
+    counted = cnt.play_counts(log, "user_id", "content_id")
+    lists = popularity.district_top_of(counted, lookup, episode_map(_part_catalog(spark, sf)), frame(spark, sf, "relation"))
+    return lists.select("list_key", "rank", "item_id", "content_name", F.round("views", 9).alias("views"))
+
+
 @query
 def scan_id_ranges(spark, sf):
     """Orders of some customers from a range scan over ids that crowd at the lower end."""
