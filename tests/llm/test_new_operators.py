@@ -103,9 +103,13 @@ def test_alignment_of_edges_and_clashing_names(spark, clashing):
 def test_a_long_text_is_the_same_in_parts(monkeypatch):
     encode = tokenalign.encoder(open(vocabulary("byte_bpe_50k.json")[0], "rb").read(), vocabulary()[1], open(vocabulary("piece_bpe_32k.model")[0], "rb").read()).encode
     text = " ".join(random.Random(3).choice(["some", "words", "1 2", "it's", "a\nb", "  two  blanks ", "é è", "."]) for _ in range(5000))
+    monkeypatch.setattr(tokenalign, "PIECES_PART", 10**9)
     whole = encode(text)
     monkeypatch.setattr(tokenalign, "PART", 50)
-    assert all((x == y).all() for x, y in zip(whole, encode(text), strict=True))
+    for size in (1, 50, 1000):
+        monkeypatch.setattr(tokenalign, "PIECES_PART", size)
+        assert all(len(x) == len(y) and (x == y).all() for x, y in zip(whole, encode(text), strict=True))
+    assert "".join(tokenalign.parts_of(" " + text, 30)) == " " + text and tokenalign.parts_of(" x", 30) == [" x"]
 
 
 def test_every_token_and_character_is_encoded_as_by_the_vocabulary_file():

@@ -84,6 +84,15 @@ def test_ngrams_are_counted_with_the_borders_of_words():
     assert counts.sum() == 17 and list(at) == list(again) and not len(none)
 
 
+def test_every_language_is_learnt_or_training_fails(spark):
+    rows = [(i, f"word{i % 60} of{i % 60} lang{i % 60} number{i}", f"l{i % 60:02d}") for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(df, "text", "lang", F.col("doc_id").cast("string"), size=1 << 12, sample_rows=50)
+    assert model.labels == [f"l{i:02d}" for i in range(60)]
+    with pytest.raises(ValueError, match="languages"):
+        langid.train(df, "text", "lang", F.col("doc_id").cast("string"), size=1 << 12, max_weights=59 << 12)
+
+
 # 2 tokens
 
 
@@ -155,6 +164,17 @@ def test_unusable_vectors_ties_and_few_rows(spark):
     assert {r[0] for r in got} == {0, 50} and len(got) == 8
 
 
+def test_vectors_of_every_dimension_are_answered_among_themselves(spark):
+    rows = [(i, [float(i % 5 + 1), 1.0]) for i in range(30)] + [(100 + i, [1.0, float(i), 2.0]) for i in range(4)] + [(200, [3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = permindex.nearest(df, F.col("vec_id").isin(0, 100, 200)).collect()
+    vectors = dict(rows)
+    assert {r.query_id for r in got} == {0, 100}
+    for q in (0, 100):
+        own = {i: v for i, v in vectors.items() if len(v) == len(vectors[q])}
+        assert [(r.vec_id, pytest.approx(r.score)) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] == exact(own, q, 5)
+
+
 def test_many_equal_vectors_go_to_the_smaller_ids(spark):
     df = spark.range(3000).select(F.col("id").alias("vec_id"), F.array(F.lit(0.6), F.lit(0.8), F.lit(0.1)).alias("embedding"))
     rows = permindex.nearest(df, F.col("vec_id") == 100).orderBy("rank").collect()
@@ -263,7 +283,7 @@ def test_small_domains_are_permuted(spark):
 # 6 lines
 
 
-@pytest.mark.parametrize("bits", [1 << 26, 1 << 12])
+@pytest.mark.parametrize("bits", [None, 1 << 26, 1 << 12])
 def test_repeated_lines_go_whatever_the_filter_holds(spark, clashing, bits):
     rows = [(i, "Shared line\nown " + str(i) + "\n  sHARED LINE\t") for i in range(10)] + [(10, "twice\ntwice"), (11, None), (12, "")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
@@ -281,6 +301,13 @@ def test_first_occurrence_stays(spark):
     assert got == {3: "a", 1: "B\nc", 2: "", 4: ""}
 
 
+def test_filters_grow_with_the_lines(spark):
+    few = spark.createDataFrame([(None,), ("",), ("a\nb",)], "text string")
+    assert linededup.filter_bits_of(few, "text") == linededup.filter_bits_of(few.limit(0), "text") == 1 << 20
+    many = spark.range(40).select(F.repeat(F.lit("x\n"), 10_000).alias("text"))
+    assert linededup.filter_bits_of(many, "text") == 1 << (12 * 400_040).bit_length()
+
+
 # 7 mixture
 
 
@@ -309,6 +336,51 @@ def test_order_sampling_follows_the_propensities(spark):
     assert n[True] + n[False] == 1000 and n[True] > 1.6 * n[False]
 
 
+def test_inclusion_frequencies_are_the_probabilities(spark):
+    """The same documents in 2,000 sources are 2,000 draws; one of them is certain, and the others go by size."""
+    sizes = [400] + [5 + i % 12 for i in range(60)]
+    docs = spark.createDataFrame([(i, "w " * n) for i, n in enumerate(sizes)], "i int, text string")
+    draws = spark.range(2000).select(F.concat(F.lit("s"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("source"))
+    # Every target is three quarters of its source.
+    df = draws.crossJoin(docs).withColumn("doc_id", F.concat_ws("-", "source", "i"))
+    got = mixing.mixture(df, weights=(1,), budget=0.75).groupBy("i").agg(F.avg("copies").alias("p"), F.max("target").alias("t")).collect()
+    factor = (0.75 * sum(sizes) - 400) / sum(n * n for n in sizes[1:])
+    assert factor * 16 < 1
+    by_size = collections.defaultdict(list)
+    for r in got:
+        assert r.t == pytest.approx(0.75 * sum(sizes))
+        by_size[sizes[r.i]].append(r.p)
+    assert by_size.pop(400) == [1.0]
+    # What is left at the end is filled by short documents, so those are drawn a little more often.
+    for size, found in by_size.items():
+        assert abs(np.mean(found) - factor * size) < 0.05, (size, np.mean(found), factor * size)
+    assert [size for size, _ in sorted(by_size.items(), key=lambda x: np.mean(x[1]))] == sorted(by_size)
+
+
+def test_rows_of_one_key_agree_with_the_sql(spark, tmp_path):
+    import duckdb
+
+    from tests.check_oracles import compare
+    from viewloom.llm.queries import ORACLES
+
+    rows = [(None if i % 3 == 0 else i % 40, ["a", "b", None][i % 3] if i % 7 else "a", "w " * (i * 37 % 23) + ("x" if i % 5 else "y")) for i in range(400)]
+    spark.createDataFrame(rows + rows[:60], "doc_id long, source string, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    _, _, _, problems = compare(spark, con, "op7_source_mix", QUERIES["op7_source_mix"], ORACLES["op7_source_mix"], str(tmp_path))
+    assert problems == []
+
+
+def test_draws_go_on_until_nothing_fits(spark):
+    rows = [(i, s, "w " * n) for s in ("a", "b") for i, n in enumerate([1, 2, 4, 8, 16, 32, 64, 128, 256, 500])]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = mixing.mixture(df, weights=(1, 2)).collect()
+    for s in ("a", "b"):
+        own = [r for r in got if r.source == s]
+        left = own[0].target - sum(r.taken for r in own)
+        assert left >= 0 and all(r.size > left for r in own if r.copies == min(x.copies for x in own))
+
+
 @pytest.mark.parametrize("key", [7, None])
 @pytest.mark.parametrize("equal", [True, False])
 def test_rows_of_one_key_are_drawn_one_by_one(spark, key, equal):
@@ -410,15 +482,27 @@ def test_forward_backward_equals_all_paths():
 # 10 decontamination
 
 
-def test_slices_of_the_benchmark_change_nothing(spark, documents):
+def test_the_joined_way_gives_the_same_as_the_set(spark, documents, edges):
     benchmark = spark.read.parquet(f"{FOLDER}/benchmark.parquet")
     short = spark.createDataFrame([(900, "The"), (901, None), (902, "?!"), (None, "of the"), (903, "the"), (903, "the")], benchmark.schema)
     columns = ["doc_id", "n_words", "n_hit", "items", "contaminated", "hit_spans"]
+    both = documents.union(edges.select(*documents.columns))
     whole, sliced = [
-        {tuple(map(str, r)) for r in decontaminate.contamination(documents, benchmark.union(short), slice_windows=n).select(*columns).collect()}
+        sorted(str(tuple(r)) for r in decontaminate.contamination(both, benchmark.union(short), set_windows=n).select(*columns).collect())
         for n in (200_000, 150)
     ]
-    assert whole == sliced and len(whole) == documents.count()
+    assert whole == sliced and len(whole) == both.count()
+
+
+@pytest.mark.parametrize("set_windows", [200_000, 1])
+def test_items_without_an_id_hit_and_are_no_items(spark, set_windows):
+    benchmark = spark.createDataFrame([(None, "one two three"), (7, "four five"), (None, "four five"), (8, "nine ten")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "zero one two three"), (2, "four five and one two three"), (3, "one two four"), (4, None)], "doc_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.contamination(docs, benchmark, set_windows=set_windows).collect()}
+    assert {i: (r.n_words, r.n_hit, r.n_items, r["items"], r.contaminated) for i, r in got.items()} == {
+        1: (4, 3, 0, [], True), 2: (6, 5, 1, ["7"], True), 3: (3, 0, 0, [], False), 4: (0, 0, 0, [], False)
+    }
+    assert got[1].items_sha256 == hashlib.sha256(b"").hexdigest() and got[2].items_sha256 == hashlib.sha256(b"7").hexdigest()
 
 
 def test_contaminated_documents_or_spans_go(spark, clashing):

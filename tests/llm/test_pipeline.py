@@ -64,6 +64,25 @@ def test_a_group_of_copies_keeps_one_whole_text(spark, documents):
     assert [r.doc_id for r in one if r.text == whole] == [100]
 
 
+def test_groups_that_share_lines_keep_a_whole_text_each(spark, documents):
+    licence = "licensed under the same terms as everything else"
+    one = f"{licence}\nthe only line of the first group of copies"
+    two = f"{licence}\nthe only line of the second group of copies\nand one more"
+    three = "the only line of the first group of copies\nthe only line of the second group of copies\nand one more"
+    rows = [(100 + i, one) for i in range(12)] + [(200 + i, two) for i in range(12)] + [(300 + i, three) for i in range(2)]
+    # Near copies: an edited line each, which is no line of others.
+    rows += [(400 + i, f"{licence}\na line of all near copies that is long\nedited {i} times") for i in range(15)]
+    rows += [(i, f"{licence}\nthis long text is of document {i} only, so that its licence is less than half of it") for i in range(30)]
+    rows += [(500, f"{licence}\nand one more")]  # a copy without a group
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("a"), "n_chars": F.length("text").cast("long")})
+    lined = dict(corpus_pipeline.STAGES)["line_dedup"](spark, df.select(*documents.columns).repartition(5), FOLDER)
+    got = {r.doc_id: r.text for r in lined.collect()}
+    assert got[100] == one and got[200] == two and got[300] == three
+    assert {got[i] for i in (*range(101, 112), *range(201, 212), 301, 500)} == {""}
+    assert got[400] == f"{licence}\na line of all near copies that is long\nedited 0 times" and got[401] == "edited 1 times"
+    assert all(got[i] == f"this long text is of document {i} only, so that its licence is less than half of it" for i in range(30))
+
+
 def test_run_on_edge_cases_and_nothing(spark, edges, tmp_path):
     folder = write_tables(spark, str(tmp_path / "edges"), edges.select("doc_id", "text", "lang", "source", "n_chars"))
     assert set(corpus_pipeline.run(spark, folder).columns) == {"doc_id", "text", "lang", "source", "n_chars", "copy"}

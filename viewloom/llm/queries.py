@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,8 +65,11 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A keyed permutation; tests undo it and hold its rules against a plain version. The key is a setting."""
-    key = spark.conf.get("spark.viewloom.pseudonyms.key", "a key for tests only")
+    """A keyed permutation; tests undo it and hold its rules against a plain version.
+
+    The key is a setting; without it a run has a random key of its own, which nobody knows.
+    """
+    key = spark.conf.get("spark.viewloom.pseudonyms.key", None) or secrets.token_hex(32)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     done = pseudonyms.pseudonymise(docs, key)
     return done.select("doc_id", "text", *[f"n_{kind}" for kind in pseudonyms.KINDS])
@@ -106,7 +110,7 @@ ORACLES["op7_source_mix"] = (
     + mixing.mixture_sql("documents").strip()
     + f"""
 SELECT doc_id, size, source_size, target, size * (certain + CASE WHEN drawn THEN 1 ELSE 0 END) AS taken
-FROM round_{mixing.ROUNDS - 1}
+FROM round_{mixing.SQL_ROUNDS - 1}
 """
 )
 
@@ -147,7 +151,7 @@ items AS (
   SELECT item_id, regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
-  FROM benchmark WHERE item_id IS NOT NULL
+  FROM benchmark
 ),
 windows AS (
   SELECT DISTINCT item_id, n, array_to_string(words[i:i + n - 1], ' ') AS win
@@ -165,7 +169,7 @@ hits AS (
   FROM (SELECT r, unnest(range(i, i + n)) AS w FROM (SELECT DISTINCT r, n, i FROM found)) GROUP BY r
 ),
 held AS (
-  SELECT r, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+  SELECT r, count(name) AS n_items, string_agg(name, ',' ORDER BY name) AS names
   FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS name FROM found) GROUP BY r
 )
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
