@@ -206,10 +206,18 @@ def fit_chain(
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality", sample_rows: int = 6000
+    docs: DataFrame,
+    labels: DataFrame,
+    text: str = "text",
+    key: str = "doc_id",
+    label: str = "quality",
+    sample_rows: int = 6000,
+    sample_lines: int = 2000,
 ) -> Chain | float | None:
     """A chain from the labelled documents; a constant score if one label is missing; None without labels.
 
+    The weights are learnt from at most ``sample_rows`` documents of at most ``sample_lines`` lines, which bounds the one task
+    that fits them; longer documents are scored like all others.
     Labels other than 0 and 1 and rows without a key are not learnt from. Of several labels of a
     key the smallest counts, of several texts the smallest.
     """
@@ -249,7 +257,7 @@ def train(
         flat = [] if chain is None else [*chain.mean, *chain.scale, *chain.theta, *chain.pair.reshape(-1), chain.slope, chain.offset]
         yield pa.RecordBatch.from_arrays([pa.array([flat], pa.list_(pa.float64()))], ["p"])
 
-    described = sample.mapInArrow(describe, "at bigint, label int, lines binary")
+    described = sample.mapInArrow(describe, "at bigint, label int, lines binary").where(F.length("lines") <= sample_lines * OWN * 4)
     fitted = described.groupBy(F.lit(0).alias("one")).applyInArrow(fit, "p array<double>").collect()
     p = np.array(fitted[0].p if fitted else [])
     if not len(p):

@@ -7,8 +7,8 @@
    once per document, and counted exactly.
 3. What the counts confirm goes back to the documents that hold it.
 
-The filters have a fixed size (``filter_bits``, 8 MB each by default), which bounds the broadcast.
-A corpus with more lines fills them up: more lines are then suspected and shuffled, up to
+The filters are sized by the number of lines (BITS_PER_LINE, a power of two), up to MAX_BITS, 128 MB each, which bounds the
+broadcast. A corpus with more lines fills them up: more lines are then suspected and shuffled, up to
 all of them, and the result stays the same.
 """
 
@@ -30,6 +30,7 @@ from viewloom.session import cut_lineage
 PIECES = 64
 PROBES = 3
 SALTS = 32
+BITS_PER_LINE, MIN_BITS, MAX_BITS = 12, 1 << 20, 1 << 30
 STRIPPED = b" \t\n\x0b\x0c\r"
 
 
@@ -195,8 +196,17 @@ def _row_key() -> list:
     return [F.xxhash64(F.to_json(F.col(OWN)), whole).alias("_doc"), F.xxhash64(F.lit(1), whole).alias("_text")]
 
 
-def _suspect_rows(rows: DataFrame, min_length: int, bits: int, *more) -> DataFrame:
+def filter_bits_of(docs: DataFrame, text: str) -> int:
+    """The size of filters for the lines of a table."""
+    whole = F.col(text)
+    lines = F.length(whole) - F.length(F.replace(whole, F.lit("\n"), F.lit(""))) + 1
+    n = docs.agg(F.sum(lines.cast("bigint"))).first()[0] or 0
+    return min(MAX_BITS, max(MIN_BITS, 1 << (BITS_PER_LINE * n).bit_length()))
+
+
+def _suspect_rows(rows: DataFrame, min_length: int, bits: int | None, *more) -> DataFrame:
     """(_doc, _text, print, more...): the suspected lines of every row, written once."""
+    bits = bits or filter_bits_of(rows, TEXT)
     packed_filter = twice_filter(rows, TEXT, min_length, bits)
     suspects = _suspects(rows.sparkSession, packed_filter, min_length, bits)
     return cut_lineage(rows.select(*_row_key(), *more, F.explode(suspects(F.col(TEXT))).alias("print")))
@@ -223,7 +233,7 @@ def drop_repeated_lines(
     text: str = "text",
     min_docs: int = 10,
     min_length: int = 1,
-    filter_bits: int = 1 << 26,
+    filter_bits: int | None = None,
 ) -> DataFrame:
     """``docs`` with n_lines, n_dropped and kept_text.
 
@@ -244,7 +254,7 @@ def drop_repeated_lines(
     return _without(docs, rows, text, drops)
 
 
-def keep_first_lines(docs: DataFrame, order: str, text: str = "text", min_length: int = 1, filter_bits: int = 1 << 26) -> DataFrame:
+def keep_first_lines(docs: DataFrame, order: str, text: str = "text", min_length: int = 1, filter_bits: int | None = None) -> DataFrame:
     """``docs`` with n_lines, n_dropped and kept_text: a line of several documents stays in the first by ``order``.
 
     Within a document its occurrences stay together. Nulls of ``order`` come first, ties go to the smaller row
@@ -266,18 +276,20 @@ def drop_common_lines(
     min_docs: int = 10,
     min_length: int = 1,
     copied: float = 0.5,
-    filter_bits: int = 1 << 26,
+    filter_bits: int | None = None,
 ) -> DataFrame:
     """Like ``drop_repeated_lines``, but what copied documents are made of stays once.
 
     A document is a copy if lines of at least ``min_docs`` documents hold the share ``copied`` of its characters or
-    more. A line that stands in copies stays in the first of them by ``order`` (nulls first, ties go to the smaller
-    row fingerprint; equal rows all keep it) and goes from all other documents. A line that stands in no copy loses
-    all its occurrences.
+    more. Copies with the same set of such lines are a group, whatever other lines they have; the first of a group of
+    several by ``order`` (nulls first, ties go to the smaller row fingerprint; equal rows are one) keeps all its lines,
+    also those that other groups have as well. So every group keeps one whole document. A line that stands in copies, but in no
+    document that is kept whole, stays in the first copy. All other occurrences of such lines go.
     """
     if min_docs < 2:
         raise ValueError("a repeated line stands in two documents at least")
     rows = packed(docs, text)
+    filter_bits = filter_bits or filter_bits_of(rows, TEXT)
     packed_filter = twice_filter(rows, TEXT, min_length, filter_bits)
     suspects = _suspects(rows.sparkSession, packed_filter, min_length, filter_bits, shares=True)
     lines = rows.select(*_row_key(), own(order, text).alias("at"), F.explode(suspects(F.col(TEXT))).alias("line"))
@@ -287,6 +299,14 @@ def drop_common_lines(
     of_row = met.groupBy("_doc", "_text").agg(F.min("at").alias("at"), F.collect_set(F.struct("print", "share")).alias("lines"))
     held = F.aggregate(F.col("lines.share"), F.lit(0.0), lambda total, x: total + x)
     place = F.struct("at", "_doc", "_text")
-    copies = of_row.where(held >= copied).select(place.alias("place"), F.explode("lines.print").alias("print"))
-    first = copies.groupBy("print").agg(F.min("place").alias("first"))
-    return _without(docs, rows, text, _met(met, first, "left").where(~place.eqNullSafe(F.col("first"))))
+    prints = F.array_sort("lines.print")
+    group = [F.xxhash64(F.lit(i), prints.cast("string")).alias(f"g{i}") for i in (0, 1)]
+    copies = cut_lineage(of_row.where(held >= copied).select(place.alias("place"), *group, prints.alias("prints")))
+    groups = copies.groupBy("g0", "g1").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    kept = copies.join(groups.select(F.col("first").alias("place")), "place", "left_semi")
+    whole = cut_lineage(kept.select("place.*", F.explode("prints").alias("print")))
+    rest = copies.select("place", F.explode("prints").alias("print")).join(whole.select("print").distinct(), "print", "left_anti")
+    first = rest.groupBy("print").agg(F.min("place").alias("first"))
+    drops = _met(met, first, "left").where(~place.eqNullSafe(F.col("first")))
+    same = [drops[c].eqNullSafe(whole[c]) for c in ("_doc", "_text", "print")]
+    return _without(docs, rows, text, drops.join(whole, same, "left_anti"))
