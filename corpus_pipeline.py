@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from viewloom.llm import bagminhash, decontaminate, langid, linecrf, linededup, mixing
 from viewloom.llm.frames import TEXT, own, packed
-from viewloom.session import cut_lineage
+from viewloom.session import cut_lineage, remove_written, written_tables
 
 ORDER = "_order"
 
@@ -30,8 +30,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that stand in ten documents or more. A null text stays null.
 
-    Lines that make up half of a document or more stay in the first such document by doc_id, so that one member
-    of each group of copies keeps its text for near_dedup.
+    Documents of which such lines are half or more are copies. Of every group of copies with the same such lines, the first by
+    doc_id keeps its whole text, so that near_dedup has it to choose from.
     """
     rows = packed(docs, "text").withColumn(ORDER, own("doc_id", "text"))
     kept = linededup.drop_common_lines(rows, ORDER, text=TEXT, min_docs=10, min_length=1)
@@ -70,8 +70,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, one after the other, each on the written result of the one before."""
+    """All stages, one after the other, each on the written result of the one before; what a stage wrote on its way goes."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
+        mark = written_tables()
         docs = cut_lineage(stage(spark, docs, sf_dir))
+        remove_written(spark, mark, docs)
     return STAGES[-1][1](spark, docs, sf_dir)
