@@ -2,9 +2,9 @@
 
 The windows of all benchmark items are hashed and broadcast; every document is scanned once, hash
 matches are verified on the words themselves, and every word inside a verified window counts as
-hit. Broadcast sets hold at most ``slice_windows`` windows: a larger benchmark is dealt into slices
-by hash, each scanned in a pass of its own, and the hits of all passes are put together per
-document, so that the result does not depend on the number of slices.
+hit. The broadcast set holds at most ``set_windows`` windows. Of a larger benchmark only a bitmap of hashes is broadcast, of a
+bounded size; the few document windows that the bitmap lets through are joined with the benchmark's by their words, so that no
+window passes the driver, and the result is the same.
 """
 
 from __future__ import annotations
@@ -18,17 +18,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewloom.llm.frames import TEXT, own, packed, unpacked
-from viewloom.llm.textbytes import Texts, text_blocks, window_hashes, words_of
+from viewloom.llm.textbytes import BASE, Texts, mix, spans_hash, text_blocks, window_hashes, words_of
 from viewloom.session import cut_lineage
 
 #: Verified matches of one text: word count, first words and lengths of the hit stretches, items.
+#: Of the bitmap that stands for a benchmark of more windows than a set may hold: 256 MB at most.
+PIECES, PROBES, BITS_PER_WINDOW, MIN_BITS, MAX_BITS = 64, 3, 24, 1 << 16, 1 << 31
+#: Words as runs of anything but what isn't part of one.
+WORD_PATTERN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SCAN = "struct<n_words: bigint, at: array<int>, length: array<int>, items: array<string>>"
 
 
 def benchmark_windows(benchmark: DataFrame, text: str, item: str, size: int) -> DataFrame:
     """(hash, length, words, items): every different window once, with the items that hold it.
 
-    Items without an id or without words have no windows.
+    Items without words have no windows; the windows of an item without an id are there, with no item.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -48,14 +52,13 @@ def benchmark_windows(benchmark: DataFrame, text: str, item: str, size: int) ->
                     ["length", "words", "item"],
                 )
 
-    items = benchmark.where(F.col(item).isNotNull()).select(F.col(text).alias("text"), F.col(item).cast("string").alias("item"))
+    items = benchmark.select(F.col(text).alias("text"), F.col(item).cast("string").alias("item"))
     windows = items.mapInArrow(cut, "length int, words binary, item string")
-    grouped = windows.groupBy("length", "words").agg(F.sort_array(F.collect_set("item")).alias("items"))
-    return grouped.withColumn("slice_hash", F.xxhash64("words"))
+    return windows.groupBy("length", "words").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
 class _Windows:
-    """A slice of the windows, ready for scanning."""
+    """All windows, ready for scanning."""
 
     def __init__(self, rows: list):
         self.items: dict[bytes, list[str]] = {bytes(r.words): list(r["items"]) for r in rows}
@@ -114,6 +117,90 @@ def _scanner(spark, rows: list):
     return scan.asNondeterministic()  # so that it is evaluated once, whatever uses its result
 
 
+def _probes(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """PROBES places of every hash, one row each, all in one piece of the bitmap."""
+    piece = np.uint64(bits // PIECES)
+    base, x, out = (hashes >> np.uint64(58)) * piece, hashes, []
+    for _ in range(PROBES):
+        x = mix(x + BASE)
+        out.append(base + x % piece)
+    return np.array(out).reshape(PROBES, -1)
+
+
+def _bitmap(windows: DataFrame, bits: int) -> np.ndarray:
+    """The packed bitmap of the windows' hashes; its pieces are made by tasks, so only PIECES rows reach the driver."""
+    piece = bits // PIECES
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in text_blocks(batch.column(0).cast(pa.string())):
+                words = words_of(block)
+                at = np.unique(_probes(spans_hash(words.hashes, words.bounds[:-1], words.bounds[1:]), bits)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array((at // piece).astype(np.int32)), pa.array(at)], ["piece", "at"])
+
+    def pack(table: pa.Table) -> pa.Table:
+        held = np.zeros(piece, bool)
+        number = table.column("piece")[0].as_py()
+        held[table.column("at").to_numpy() - number * piece] = True
+        return pa.table({"piece": pa.array([number], pa.int32()), "bits": pa.array([np.packbits(held).tobytes()], pa.binary())})
+
+    # A piece's places are distinct, so a task holds no more of them than its piece has bits.
+    distinct = windows.select("words").mapInArrow(places, "piece int, at bigint").distinct()
+    out = np.zeros((PIECES, piece // 8), np.uint8)
+    for row in distinct.groupBy("piece").applyInArrow(pack, "piece int, bits binary").collect():
+        out[row.piece] = np.frombuffer(row.bits, np.uint8)
+    return out.reshape(-1)
+
+
+def _near(spark, packed_bits: np.ndarray, bits: int, lengths: list[int]):
+    """Of a text: (at, length, words) of the windows that the bitmap lets through."""
+    shared = spark.sparkContext.broadcast(packed_bits)
+    kind = pa.list_(pa.struct([("at", pa.int32()), ("length", pa.int32()), ("words", pa.binary())]))
+
+    @F.arrow_udf("array<struct<at: int, length: int, words: binary>>")
+    def near(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        held = shared.value
+        for column in batches:
+            out: list[list[dict]] = [[] for _ in range(len(column))]
+            for block in text_blocks(column):
+                words = words_of(block)
+                for length in lengths:
+                    hashes, at = window_hashes(words, length)
+                    where = _probes(hashes, bits).astype(np.int64)
+                    kept = at[((held[where >> 3] >> (7 - (where & 7)).astype(np.uint8)) & 1).astype(bool).all(axis=0)]
+                    owners = np.searchsorted(words.bounds, kept, "right") - 1
+                    for w, i in zip(kept.tolist(), owners.tolist(), strict=True):
+                        out[block.first + i].append({"at": w - int(words.bounds[i]), "length": length, "words": words.text(w, w + length)})
+            yield pa.array(out, kind)
+
+    return near.asNondeterministic()
+
+
+def _joined_hits(rows: DataFrame, windows: DataFrame, n: int) -> DataFrame:
+    """``rows`` with _scan as a scan gives it, by a join of the windows that the bitmap lets through."""
+    bits = min(MAX_BITS, max(MIN_BITS, 1 << (BITS_PER_WINDOW * n).bit_length()))
+    lengths = sorted(r.length for r in windows.select("length").distinct().collect())  # as many as words of a window
+    near = _near(rows.sparkSession, _bitmap(windows, bits), bits, lengths)
+    # The rows of one text agree, so hits go by the text's fingerprint and not by the row.
+    prints = [F.xxhash64(F.col(TEXT)).alias("_a"), F.xxhash64(F.lit(1), F.col(TEXT)).alias("_b")]
+    met = cut_lineage(rows.select(*prints, F.explode(near(F.col(TEXT))).alias("w")).select("_a", "_b", "w.*").distinct())
+    found = met.join(windows, ["length", "words"])
+    hits = found.groupBy("_a", "_b").agg(F.collect_set(F.struct("at", "length")).alias("_pairs"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("_items"))
+    merged = hits.select("_a", "_b", "_items", F.explode(F.array(_merged(F.col("_pairs")))).alias("_spans"))
+    joined = rows.select("*", *prints).join(merged, ["_a", "_b"], "left")
+    none = F.array().cast("array<int>")
+    words = F.coalesce(F.regexp_count(F.col(TEXT), F.lit(WORD_PATTERN)), F.lit(0)).cast("bigint")
+    return joined.withColumn(
+        "_scan",
+        F.struct(
+            words.alias("n_words"),
+            F.coalesce(F.col("_spans.at"), none).alias("at"),
+            F.coalesce(F.col("_spans.length"), none).alias("length"),
+            F.array_sort(F.coalesce("_items", F.array().cast("array<string>"))).alias("items"),
+        ),
+    )
+
+
 def _joined(items: Column) -> Column:
     return F.sha2(F.concat_ws(",", items), 256)
 
@@ -141,48 +228,20 @@ def contamination(
     item: str = "item_id",
     item_text: str = "text",
     size: int = 13,
-    slice_windows: int = 200_000,
+    set_windows: int = 200_000,
 ) -> DataFrame:
     """``docs`` with n_words, n_hit, n_items, items, items_sha256, contaminated and hit_spans.
 
     hit_spans are (at, length) in words. A null or empty text has no words and is clean; an empty
-    benchmark hits nothing; an item that stands more than once counts once; repeated documents are
-    judged one by one. Columns of ``docs`` with the names of results are replaced.
+    benchmark hits nothing; an item that stands more than once counts once, one without an id hits and is no item; repeated
+    documents are judged one by one. Columns of ``docs`` with the names of results are replaced.
     """
-    spark = docs.sparkSession
     windows = cut_lineage(benchmark_windows(benchmark, item_text, item, size))
-    slices = max(1, -(-windows.count() // slice_windows))
-    # Twice as many, for hashes are not dealt out evenly; each is collected alone, by its own bound.
-    slices = 1 if slices == 1 else 2 * slices
-    scans = [
-        _scanner(spark, windows.where(F.pmod("slice_hash", F.lit(slices)) == s).collect()) for s in range(slices)
-    ]
-    rows = packed(docs, text)
-    if slices == 1:
-        scanned = rows.withColumn("_scan", scans[0](F.col(TEXT)))
+    rows, n = packed(docs, text), windows.count()
+    if n <= set_windows:
+        scanned = rows.withColumn("_scan", _scanner(docs.sparkSession, windows.collect())(F.col(TEXT)))
     else:
-        # The rows of one text agree, so hits go by the text's fingerprint and not by the row.
-        prints = [F.xxhash64(F.col(TEXT)).alias("_a"), F.xxhash64(F.lit(1), F.col(TEXT)).alias("_b")]
-        passes = None
-        for scan in scans:
-            part = rows.select(*prints, scan(F.col(TEXT)).alias("_scan")).where(F.size("_scan.items") > 0)
-            passes = part if passes is None else passes.unionByName(part)
-        pairs = F.arrays_zip(F.col("_scan.at").alias("at"), F.col("_scan.length").alias("length"))
-        hits = passes.groupBy("_a", "_b").agg(
-            F.collect_set(pairs).alias("_pairs"), F.array_distinct(F.flatten(F.collect_set("_scan.items"))).alias("_items")
-        )
-        merged = hits.select("_a", "_b", "_items", F.explode(F.array(_merged(F.flatten("_pairs")))).alias("_spans"))
-        joined = rows.select("*", *prints, scans[0](F.col(TEXT))["n_words"].alias("_n")).join(merged, ["_a", "_b"], "left")
-        none = F.array().cast("array<int>")
-        scanned = joined.withColumn(
-            "_scan",
-            F.struct(
-                F.col("_n").alias("n_words"),
-                F.coalesce(F.col("_spans.at"), none).alias("at"),
-                F.coalesce(F.col("_spans.length"), none).alias("length"),
-                F.array_sort(F.coalesce("_items", F.array().cast("array<string>"))).alias("items"),
-            ),
-        )
+        scanned = _joined_hits(rows, windows, n)
     hit = F.aggregate("_scan.length", F.lit(0).cast("bigint"), lambda total, x: total + x)
     scanned = scanned.withColumn("_hit", hit)
     results = {

@@ -170,27 +170,31 @@ def train(
     key: Column,
     size: int = 1 << 15,
     sample_rows: int = 6000,
-    max_labels: int = 500,
+    max_weights: int = 64_000_000,
 ) -> Model | None:
     """A model from rows with a language, or None without any.
 
-    ``key`` deals rows to the sample; rows whose key is null are not sampled. Of more than ``max_labels``
-    languages, the most frequent ones are learnt.
+    ``key`` deals rows to the sample; rows whose key is null are not sampled. Every language is learnt, from one row at
+    least. A model has ``size`` weights per language; one of more than ``max_weights`` (of 24 bytes each in the one task that
+    fits it) is an error.
     """
+    most = max_weights // size
     spark = rows.sparkSession
     rows = rows.where(F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"), key.alias("key"))
-    by_lang = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_labels).collect()
+    by_lang = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(most + 1).collect()
+    if len(by_lang) > most:
+        raise ValueError(f"more than {most} languages: the model would have more than {max_weights} weights")
     if not by_lang:
         return None
     labels = sorted(r.lang for r in by_lang)
     share = max(1, sample_rows // len(labels))
     number = {name: i for i, name in enumerate(labels)}
-    # Fewer than ``max_labels`` rows, whatever the data holds.
+    # At most ``most`` rows, by the check above.
     rates = spark.createDataFrame([(r.lang, min(1.0, 2.0 * share / r.n)) for r in by_lang], "lang string, rate double")
     dealt = rows.where(F.col("key").isNotNull()).select("lang", "key", F.xxhash64(F.lit(17), "key").alias("hash"))
     near = dealt.join(F.broadcast(rates), "lang").where(F.pmod("hash", F.lit(1 << 30)) < F.col("rate") * (1 << 30))
     chosen = top_k(near.distinct(), ["lang"], [F.asc("hash"), F.asc("key")], share, "_nth").select("lang", "key")
-    # At most ``sample_rows`` rows, by the cut above.
+    # At most ``sample_rows`` rows, or one per language, by the cut above.
     sample = rows.join(F.broadcast(chosen), ["lang", "key"]).groupBy("lang", "key").agg(F.min("text").alias("text"))
     found, total = document_frequencies(rows, "text", size)
     idf = np.log((1.0 + total) / (1.0 + found)) + 1.0
