@@ -41,6 +41,8 @@ ROUNDS = 10
 WALKS = 12
 #: Steps of a walk that leaves a domain two times out of three.
 LONG_WALKS = 120
+#: Cards of a run that are listed together.
+CHUNK = 128
 
 # The length of an account number by country.
 IBAN_LENGTHS = {
@@ -402,14 +404,26 @@ def _cards_of(run: Column, key: str, inverse: bool) -> Column:
         starts = F.filter(
             F.transform(groups, lambda _, i: F.struct(i.alias("at"), valid(groups, i).alias("n"))), lambda x: x["n"] > 0
         )
-        none = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<at:int,n:int,before:int>>").alias("cards"))
+        kind = "array<struct<at:int,n:int,before:int>>"
 
         def take(state: Column, x: Column) -> Column:
             card = F.struct(x["at"].alias("at"), x["n"].alias("n"), state["end"].alias("before"))
             more = F.struct((x["at"] + x["n"]).alias("end"), F.concat(state["cards"], F.array(card)).alias("cards"))
             return F.when(x["at"] >= state["end"], more).otherwise(state)
 
-        return F.aggregate(starts, none, take)
+        def chunk(state: Column, some: Column) -> Column:
+            own = F.aggregate(some, F.struct(state["end"].alias("end"), F.array().cast(kind).alias("cards")), take)
+            joined_ = F.transform(F.array(own), lambda x: F.struct(x["end"].alias("end"), F.concat(state["cards"], F.array(x["cards"])).alias("cards")))
+            return F.element_at(joined_, 1)
+
+        # Lists grow within chunks and chunk by chunk, so that a long run is not copied for every card.
+        def chunked(every: Column) -> Column:
+            last = F.ceil(F.size(every) / CHUNK).cast("int")
+            return F.transform(F.sequence(F.lit(0), last), lambda c: F.slice(every, c * CHUNK + 1, F.lit(CHUNK)))
+
+        chunks = F.flatten(F.transform(F.array(starts), chunked))
+        none = F.struct(F.lit(0).alias("end"), F.array().cast(f"array<{kind}>").alias("cards"))
+        return F.aggregate(chunks, none, chunk, lambda state: F.struct(state["end"].alias("end"), F.flatten(state["cards"]).alias("cards")))
 
     def pieces(groups: Column, state: Column) -> Column:
         def around(x: Column) -> Column:

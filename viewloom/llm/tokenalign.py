@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 from viewloom.session import cut_lineage
 
 BLOCK_BYTES = 2 << 20
-#: Longer texts are encoded in parts, cut at single blanks between letters, which no token of either kind spans.
-PART = 200_000
+#: Longer texts are encoded in parts, cut at single blanks between letters, which no token of either kind spans. The pieces' encoder
+#: merges over a whole text, in time that grows faster than the text, hence its shorter parts.
+PART, PIECES_PART = 200_000, 1000
 CUT = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
 MAX_VOCABULARY_BYTES = 64 << 20
 META = "▁"
@@ -70,9 +71,11 @@ class Encoder:
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else b"" if self.b.is_control(i) or self.b.is_unknown(i) else p.replace(META, " ").encode()
             for i, p in enumerate(names)
         ]
+        if any(bytes([i]) not in ranks for i in range(256)):
+            raise ValueError("the byte-level vocabulary lacks bytes, so its tokens may not give a text back")
         if any(META in p.lstrip(META) for p in names):
             raise ValueError("pieces hold blanks after other characters, so long texts can't be encoded in parts")
-        self.bytes = [np.array(x, object) for x in (a_bytes, b_bytes)]
+        self.b_bytes = np.array(b_bytes, object)
         self.lengths = [np.array([len(t) for t in x], np.int64) for x in (a_bytes, b_bytes)]
         most = max(len(a_bytes), len(b_bytes))
         width = len(str(most - 1))
@@ -83,25 +86,24 @@ class Encoder:
         self.size = np.array([len(str(i)) for i in range(most)], np.int64)
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of A and B; both empty if the bytes of either aren't those of the blank and the text."""
+        """Ids of A and B; both empty if B's bytes aren't those of the blank and the text. A has all bytes, so its tokens are."""
         whole = " " + text
-        if len(whole) <= PART:
-            parts = [whole]
-        else:
-            parts, at = [], 0
-            while at < len(whole):
-                cut = CUT.search(whole, at + PART)
-                to = cut.start() if cut else len(whole)
-                parts.append(whole[at:to])
-                at = to
-        a = np.concatenate([self.a.encode_to_numpy(p, disallowed_special=()) for p in parts]).astype(np.int64)
-        b = np.concatenate([np.array(x, np.int64) for x in self.b.encode([p[1:] for p in parts], num_threads=1)])
-        want = whole.encode()
-        if any(b"".join(table[ids].tolist()) != want for table, ids in zip(self.bytes, (a, b), strict=True)):
+        b = np.concatenate([np.array(x, np.int64) for x in self.b.encode([p[1:] for p in parts_of(whole, PIECES_PART)], num_threads=1)])
+        if b"".join(self.b_bytes[b].tolist()) != whole.encode():
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        a = np.concatenate([self.a.encode_to_numpy(p, disallowed_special=()) for p in parts_of(whole, PART)]).astype(np.int64)
         return a, b
 
 
+def parts_of(whole: str, size: int) -> list[str]:
+    """Parts of a text that begins with a blank, each of ``size`` characters and on to the next cut; each begins with a blank."""
+    parts, at = [], 0
+    while len(whole) - at > size and (cut := CUT.search(whole, at + size)):
+        parts.append(whole[at : cut.start()])
+        at = cut.start()
+    return [*parts, whole[at:]]
+
+
 def encoder(vocabulary: bytes, pattern: str, pieces: bytes) -> Encoder:
     """The encoder of two vocabulary files, made once per process."""
     key = (hashlib.sha256(vocabulary).digest(), pattern, hashlib.sha256(pieces).digest())
@@ -132,17 +134,18 @@ def overlapping(starts_a: np.ndarray, ends_a: np.ndarray, starts_b: np.ndarray,
 
 def printed(encoders: Encoder, a: np.ndarray, b: np.ndarray, ga: np.ndarray, gb: np.ndarray, docs: np.ndarray) -> list[str]:
     """``a1,a2|b1;a3|b2,b3`` for each of ``docs`` documents; docs[g] is the document of group g."""
-    ids, groups = np.concatenate((a, b)), np.concatenate((ga, gb))
-    side = np.repeat([0, 1], [len(a), len(b)])
-    order = np.lexsort((side, groups))
-    ids, groups, side = ids[order], groups[order], side[order]
-    marks = np.full(len(ids), ord(","), np.uint8)
-    last = np.append(groups[1:] != groups[:-1], True)
-    turn = np.append(side[1:] != side[:-1], False) & ~last
-    owner = docs[groups]
-    marks[turn] = ord("|")
-    marks[last] = ord(";")
-    final = np.append(owner[1:] != owner[:-1], True)
+    n = len(docs)
+    of_a, of_b = np.bincount(ga, minlength=n), np.bincount(gb, minlength=n)
+    # A group's A tokens follow all tokens of the groups before it, and its B tokens follow those.
+    at_a = np.arange(len(a)) + (np.cumsum(of_b) - of_b)[ga]
+    at_b = np.arange(len(b)) + np.cumsum(of_a)[gb]
+    ids, marks = np.empty(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
+    ids[at_a], ids[at_b] = a, b
+    ends = np.cumsum(of_a + of_b) - 1
+    marks[ends - of_b] = ord("|")
+    marks[ends] = ord(";")
+    final = np.zeros(len(ids), bool)
+    final[ends[np.append(docs[1:] != docs[:-1], True)]] = True
     rows = encoders.digits[ids]
     size = encoders.size[ids]
     rows[np.arange(len(ids)), size] = marks
