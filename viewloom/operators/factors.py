@@ -80,6 +80,15 @@ def fit(
     return solver.fit(rated.select("_user", "_item", F.col("plays").cast("float").alias("_rating")))
 
 
+def factor_products(model: ALSModel, rated: DataFrame) -> DataFrame:
+    """``rated`` with ``product``: the scalar product of the user's and the item's factors, which a prediction is."""
+    users = model.userFactors.select(F.col("id").alias("_user"), F.col("features").alias("_u"))
+    items = model.itemFactors.select(F.col("id").alias("_item"), F.col("features").alias("_i"))
+    terms = F.zip_with("_u", "_i", lambda a, b: a.cast("double") * b.cast("double"))
+    product = F.aggregate(terms, F.lit(0.0), lambda total, x: total + x)
+    return rated.join(users, "_user").join(items, "_item").withColumn("product", product).drop("_u", "_i")
+
+
 def rerank_played(counts: DataFrame, k: int, **settings) -> DataFrame:
     """(user_id, item_id, score, rank): the user's own items by predicted score, best k.
 

@@ -802,7 +802,7 @@ def _list_facts(counts: str, k: int, suffix: str, more_than: int = 0, names: str
 sizes AS (SELECT user_id, count(*) AS n, string_agg(item_id, '#' ORDER BY item_id) AS ids,
                  string_agg(payload, '#' ORDER BY item_id) AS payloads FROM named GROUP BY 1)
 SELECT user_id || '_{suffix}' AS list_key, least(n, {k}) AS listed, least(n, {k}) AS last_rank, least(n, {k}) AS different,
-  CAST(0 AS BIGINT) AS wrong, CASE WHEN n < {k} THEN ids END AS items, CASE WHEN n < {k} THEN payloads END AS payloads
+  CAST(0 AS BIGINT) AS wrong, CAST(0 AS BIGINT) AS rises, CASE WHEN n < {k} THEN ids END AS items, CASE WHEN n < {k} THEN payloads END AS payloads
 FROM sizes WHERE least(n, {k}) > {more_than}"""
 
 
@@ -824,6 +824,11 @@ FROM (SELECT user_id, count(*) AS n, string_agg(item_id, '#' ORDER BY item_id) A
 ORACLES["als_customers_facts"] = _with(
     "customer_plays", "part_members", episodes=PART_EPISODES, counts=_counts("TRUE", "customer_plays")
 ) + _list_facts(_ROLLED, 20, "5_10046284_0")
+ORACLES["als_fit_facts"] = _with(
+    "customer_plays", "part_members", episodes=PART_EPISODES, counts=_counts("TRUE", "customer_plays")
+) + f"""
+SELECT count(*) AS ratings, count(DISTINCT user_id) AS users, count(DISTINCT item_id) AS items, CAST(sum(plays) AS BIGINT) AS plays,
+  CAST(0 AS BIGINT) AS other_products, CAST(0 AS BIGINT) AS no_numbers, TRUE AS follows_plays FROM ({_ROLLED}) x"""
 ORACLES["cinema_rerank_facts"] = _with("customer_plays", counts=_counts(_CINEMA, "customer_plays")) + """
 SELECT DISTINCT user_id || '_5_10001719_0' AS list_key, CAST(20 AS BIGINT) AS listed, CAST(20 AS BIGINT) AS last_rank, CAST(20 AS BIGINT) AS different,
   CAST(0 AS BIGINT) AS ranked_from_catalog, TRUE AS unseen

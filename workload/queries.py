@@ -663,7 +663,8 @@ def cinema_rerank(spark, sf):
 def _list_facts(lists, k):
     """What a list holds whatever the scores are: length, last rank, and all items of a list shorter than k with their payloads.
 
-    ``wrong`` counts payloads whose rank or item is not that of their row; payloads are shown without their rank.
+    ``wrong`` counts payloads whose rank or item is not that of their row, ``rises`` places where the score rises along the list; payloads
+    are shown without their rank.
     """
     shown = F.struct("item_id", F.regexp_replace("payload", '"rank":"[0-9]+"', '"rank":""').alias("payload"))
     rank, item = (F.get_json_object("payload", f"$.{name}") for name in ("rank", "movieID"))
@@ -673,11 +674,23 @@ def _list_facts(lists, k):
         F.countDistinct("item_id").alias("different"),
         F.count_if((rank != F.col("rank").cast("string")) | (item != F.col("item_id").cast("string"))).alias("wrong"),
         F.sort_array(F.collect_list(shown)).alias("rows"),
+        F.array_sort(F.collect_list(F.struct("rank", "score", "item_id"))).alias("ranked"),
     )
     ids = F.concat_ws("#", F.transform("rows", lambda x: x["item_id"].cast("string")))
     payloads = F.concat_ws("#", F.transform("rows", lambda x: x["payload"]))
     short = F.col("listed") < k
-    return facts.select("list_key", "listed", "last_rank", "different", "wrong", F.when(short, ids).alias("items"), F.when(short, payloads).alias("payloads"))
+    # Neighbours in a list of which the later one has the better score, or the same score and the smaller id.
+    later = F.slice("ranked", 2, F.size("ranked"))
+    rises = F.zip_with(
+        F.slice("ranked", 1, F.size("ranked") - 1),
+        later,
+        lambda a, b: (b["score"] > a["score"]) | ((b["score"] == a["score"]) & (b["item_id"] < a["item_id"])),
+    )
+    return facts.select(
+        "list_key", "listed", "last_rank", "different", "wrong",
+        F.size(F.filter(rises, lambda x: x)).cast("bigint").alias("rises"),
+        F.when(short, ids).alias("items"), F.when(short, payloads).alias("payloads"),
+    )
 
 
 @query
@@ -707,6 +720,25 @@ def als_list_facts(spark, sf):
     return listed.select("user_id", "listed", F.when(F.col("listed") < 15, whole).alias("items"))
 
 
+@query
+def als_fit_facts(spark, sf):
+    """What the model was trained on, and what holds of its scores: they are products of factors, finite, and rise with the plays."""
+    counted = behavior.list_counts(frame(spark, sf, "customer_plays"), episode_map(_part_catalog(spark, sf)))
+    rated = factors.with_int_ids(cut_lineage(counted))
+    model = factors.fit(rated)
+    scored = factors.factor_products(model, model.transform(rated))
+    off = F.abs(F.col("product") - F.col("prediction")) > 1e-4 * (1 + F.abs("prediction"))
+    return scored.agg(
+        F.count(F.lit(1)).alias("ratings"),
+        F.countDistinct("user_id").alias("users"),
+        F.countDistinct("item_id").alias("items"),
+        F.sum("plays").alias("plays"),
+        F.count_if(off).alias("other_products"),
+        F.count_if(F.isnan("prediction") | F.col("prediction").isNull()).alias("no_numbers"),
+        (F.corr("prediction", F.col("plays").cast("double")) > 0.2).alias("follows_plays"),
+    )
+
+
 @query
 def als_customers_facts(spark, sf):
     return _list_facts(als_customers(spark, sf), 20)
