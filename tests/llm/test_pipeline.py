@@ -83,6 +83,18 @@ def test_groups_that_share_lines_keep_a_whole_text_each(spark, documents):
     assert all(got[i] == f"this long text is of document {i} only, so that its licence is less than half of it" for i in range(30))
 
 
+def test_other_columns_pass_all_stages(spark, clashing, documents, tmp_path):
+    """Columns with the names of results and helpers stay with their documents; only ``copy`` is the mix's own."""
+    names = [c for c in clashing.columns if c not in documents.columns]
+    rows = documents.select("*", *[F.concat(F.lit(f"{name} "), "doc_id").alias(name) for name in names])
+    both = rows.unionByName(clashing.select(*rows.columns))
+    folder = write_tables(spark, str(tmp_path), both)
+    got = corpus_pipeline.run(spark, folder)
+    assert set(got.columns) == {*rows.columns, "copy"}
+    plain = [r for r in got.collect() if r.doc_id in {d.doc_id for d in documents.select("doc_id").collect()} and not str(r.size).startswith("own")]
+    assert len(plain) > 50 and all(r[name] == f"{name} {r.doc_id}" for r in plain for name in names if name != "copy")
+
+
 def test_run_on_edge_cases_and_nothing(spark, edges, tmp_path):
     folder = write_tables(spark, str(tmp_path / "edges"), edges.select("doc_id", "text", "lang", "source", "n_chars"))
     assert set(corpus_pipeline.run(spark, folder).columns) == {"doc_id", "text", "lang", "source", "n_chars", "copy"}

@@ -251,11 +251,13 @@ def mixture(
     return placed.select(*own, "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
-    """Every document as often as the mix takes it, with its own columns and ``copy`` from 1."""
-    taken = mixture(docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), *docs.columns), **options)
-    each = taken.where(F.col("copies") > 0).select("_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy"))
-    return each.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns if c != "copy"], F.col("_copy").alias("copy"))
+def mixed(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", **options) -> DataFrame:
+    """Every document as often as the mix takes it, with its own columns and ``copy`` from 1, which replaces one of that name."""
+    own = F.struct(*[F.col(c) for c in docs.columns]).alias("_mixed")
+    rows = docs.select(own, F.col(text).alias("_words"), F.col(source).alias("_from"), F.col(key).alias("_name"))
+    taken = mixture(rows, "_words", "_from", "_name", **options).where(F.col("copies") > 0)
+    each = taken.select("_mixed", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy"))
+    return each.select(*[F.col("_mixed").getField(c).alias(c) for c in docs.columns if c != "copy"], F.col("_copy").alias("copy"))
 
 
 def mixture_sql(documents: str, extra: str = "") -> str:
