@@ -76,7 +76,7 @@ class Texts:
         return len(self.starts)
 
 
-def text_blocks(column: pa.Array, limit: int = 2 << 20) -> Iterator[Texts]:
+def text_blocks(column: pa.Array, limit: int = 1 << 19) -> Iterator[Texts]:
     """The texts of an Arrow column in blocks of about ``limit`` bytes; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
