@@ -7,6 +7,9 @@ import re
 from pyspark.sql import functions as F
 
 from viewloom.operators import cooccurrence
+from workload.queries import QUERIES
+
+SMALL = "/root/testdata/sf0.001"
 
 
 def _plan(df) -> str:
@@ -30,3 +33,8 @@ def test_similarity_deals_ratings_and_not_pairs(spark):
     names = ["item1", "item2", "n", "xy", "x", "y", "xx", "yy", "n1", "n2"]
     want = want.toDF("item2", "item1", *names[2:]).select(*names)
     assert sorted(map(tuple, got.select(*names).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_cinema_facts_do_not_pair_users_with_their_catalogue(spark):
+    plan = QUERIES["cinema_rerank_facts"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan

@@ -763,10 +763,12 @@ def cinema_rerank_facts(spark, sf):
         F.count_if(F.col("source") == "catalog").alias("from_catalog"),
     )
     films = members.select("catalog_id", F.col("content_id").alias("item_id")).distinct()
-    best = ranked.where("rank = 1").select("user_id", "item_id")
-    home = best.join(films, "item_id").groupBy("user_id").agg(F.max("catalog_id").alias("catalog_id"))
-    own = home.join(films, "catalog_id").join(ranked.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
-    free = own.groupBy("user_id").agg(F.least(F.count(F.lit(1)), F.lit(20)).alias("free"))
+    # Users are not paired with the films of their catalogue: it has as many free ones as its films less the ranked ones in it.
+    own = ranked.select("user_id", "item_id", "rank").join(films, "item_id")
+    best = own.where("rank = 1").groupBy("user_id").agg(F.max("catalog_id").alias("catalog_id"))
+    met = own.join(best, ["user_id", "catalog_id"]).groupBy("user_id", "catalog_id").agg(F.countDistinct("item_id").alias("met"))
+    sizes = films.groupBy("catalog_id").agg(F.count(F.lit(1)).alias("films"))
+    free = met.join(sizes, "catalog_id").select("user_id", F.least(F.col("films") - F.col("met"), F.lit(20)).alias("free"))
     checked = told.join(free, "user_id", "left")
     return checked.select(
         F.concat_ws("_", "user_id", F.lit("5"), F.lit(is_.CINEMA_CATALOG), F.lit("0")).alias("list_key"),
