@@ -7,6 +7,7 @@ import re
 from pyspark.sql import functions as F
 
 from viewloom.operators import cooccurrence
+from viewloom.sources import bucketed
 from workload.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -38,3 +39,11 @@ def test_similarity_deals_ratings_and_not_pairs(spark):
 def test_cinema_facts_do_not_pair_users_with_their_catalogue(spark):
     plan = QUERIES["cinema_rerank_facts"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftAnti" not in plan
+
+
+def test_buckets_follow_the_rows(spark, monkeypatch):
+    assert [bucketed.buckets_for(n) for n in (0, 4_000_000, 4_000_001, 36_000_000)] == [8, 8, 16, 128]
+    monkeypatch.setattr(bucketed, "buckets_for", lambda rows: 8 * (1 + (rows > 1000)))
+    for name in ("district_counts_bucketed", "topn_by_district_bucketed"):
+        plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().toString()
+        assert "Bucketed: true" in plan and "out of 16" in plan

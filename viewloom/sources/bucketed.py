@@ -12,6 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows of a bucket: one task sorts them when they are written and counts them when they are read.
+BUCKET_ROWS = 500_000
+
+
+def buckets_for(rows: int, least: int = 8, bucket_rows: int = BUCKET_ROWS) -> int:
+    """How many buckets ``rows`` rows need: ``least``, doubled until none has more than ``bucket_rows`` on average.
+
+    So tables of different sizes have bucket counts that are multiples of each other.
+    """
+    buckets = least
+    while buckets * bucket_rows < rows:
+        buckets *= 2
+    return buckets
+
+
 def write_bucketed(df: DataFrame, table: str, path: str, by: Sequence[str], buckets: int, sort: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` as the table ``table`` in ``path``, in ``buckets`` buckets of the columns ``by``, and return the table.
 

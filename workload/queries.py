@@ -842,13 +842,20 @@ def publish_to_stores(spark, sf):
     return kept[0].unionAll(kept[1])
 
 
+def _bucketed_plays(spark, sf):
+    """A log of plays and the users' districts in as many buckets as the log's rows need."""
+    folder, name = _new_folder(spark), uuid.uuid4().hex
+    plays = reports.as_ids(frame(spark, sf, "customer_plays"), "user_id", "content_id").select("user_id", "content_id")
+    buckets = bucketed.buckets_for(table(spark, sf, "lineitem").count())
+    log = bucketed.write_bucketed(plays, f"plays_{name}", f"{folder}/plays", ["user_id"], buckets)
+    lookup = bucketed.write_bucketed(frame(spark, sf, "districts"), f"districts_{name}", f"{folder}/districts", ["user_id"], buckets)
+    return log, lookup
+
+
 @query
 def district_counts_bucketed(spark, sf):
     """Plays per district and content from a log and a lookup that lie in buckets of the user."""
-    folder, name = _new_folder(spark), uuid.uuid4().hex
-    plays = reports.as_ids(frame(spark, sf, "customer_plays"), "user_id", "content_id").select("user_id", "content_id")
-    log = bucketed.write_bucketed(plays, f"plays_{name}", f"{folder}/plays", ["user_id"], 8)
-    lookup = bucketed.write_bucketed(frame(spark, sf, "districts"), f"districts_{name}", f"{folder}/districts", ["user_id"], 8)
+    log, lookup = _bucketed_plays(spark, sf)
     counted = cnt.play_counts(log, "user_id", "content_id").join(lookup, "user_id")
     return counted.groupBy("district", "content_id").agg(F.sum("plays").alias("plays"))
 
@@ -856,10 +863,7 @@ def district_counts_bucketed(spark, sf):
 @query
 def topn_by_district_bucketed(spark, sf):
     """District lists from a log and a lookup in buckets of the user: counting and placing the plays moves neither."""
-    folder, name = _new_folder(spark), uuid.uuid4().hex
-    plays = reports.as_ids(frame(spark, sf, "customer_plays"), "user_id", "content_id").select("user_id", "content_id")
-    log = bucketed.write_bucketed(plays, f"plays_{name}", f"{folder}/plays", ["user_id"], 8)
-    lookup = bucketed.write_bucketed(frame(spark, sf, "districts"), f"districts_{name}", f"{folder}/districts", ["user_id"], 8)
+    log, lookup = _bucketed_plays(spark, sf)
     counted = cnt.play_counts(log, "user_id", "content_id")
     lists = popularity.district_top_of(counted, lookup, episode_map(_part_catalog(spark, sf)), frame(spark, sf, "relation"))
     return lists.select("list_key", "rank", "item_id", "content_name", F.round("views", 9).alias("views"))
