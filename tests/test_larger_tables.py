@@ -6,8 +6,9 @@ import re
 
 from pyspark.sql import functions as F
 
-from viewloom.operators import cooccurrence
+from viewloom.operators import airtime, cooccurrence, spans
 from viewloom.sources import bucketed
+from workload import standins
 from workload.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -47,3 +48,28 @@ def test_buckets_follow_the_rows(spark, monkeypatch):
     for name in ("district_counts_bucketed", "topn_by_district_bucketed"):
         plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().toString()
         assert "Bucketed: true" in plan and "out of 16" in plan
+
+
+def test_minute_rows_are_dealt_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(airtime, "TASK_ROWS", 100)
+    schedule, audience = standins.schedule(spark, SMALL), standins.frame(spark, SMALL, "audience")
+    plan = _plan(airtime.live_lists(schedule, audience, standins.LIVE_DAY))
+    dealt = [int(n) for n in re.findall(r"hashpartitioning\(channel_id#\d+, start_time#\d+, (\d+)\)", plan)]
+    assert dealt and min(dealt) > 8
+    groups = re.findall(r"hashpartitioning\(minute#\d+, category#\d+[^,]*, (\d+)\)", plan)
+    assert groups and int(groups[0]) == 2 * dealt[0] and "channel_id#" not in "".join(re.findall(r"hashpartitioning\(minute[^)]*", plan))
+
+
+def test_moments_meet_counts_and_not_programmes(spark):
+    programmes = [("a", i % 60, 60 + i % 60, "x" if i % 3 else "y") for i in range(600)] + [("b", 5, 5, "x"), (None, 0, 100, "z")]
+    spans_ = spark.createDataFrame(programmes, "name string, _f bigint, _t bigint, kind string")
+    moments = spark.createDataFrame([(i, i % 130) for i in range(400)] + [(1000, None)], "id bigint, second bigint")
+    got = spans.count_points(spans_, moments, "_f", "_t", "second", ["kind"], F.count("name"), "n")
+    each = spans.join_points(spans_, moments, "_f", "_t", "second")
+    want = each.groupBy("id", "second", "kind").agg(F.count("name").alias("n"))
+    columns = ["id", "second", "kind", "n"]
+    assert sorted(map(tuple, got.select(columns).collect())) == sorted(map(tuple, want.select(columns).collect()))
+    plan = QUERIES["channels_on_air_at_events"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    last = max(i for i, line in enumerate(lines) if "_segment" in line and "Join" in line)
+    assert "Aggregate" in lines[last + 1]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from viewloom.operators.columns import computed
 from viewloom.operators.fill import Pool, fill_lists
-from viewloom.operators.spans import join_points
+from viewloom.operators.spans import count_points, join_points
 from viewloom.sources.logs import as_date
 
 MINUTES = 1440
@@ -67,16 +67,42 @@ def second_of(ts: Column, day: dt.date | str) -> Column:
     return F.ceil(F.timestamp_diff("MICROSECOND", midnight, ts.cast("timestamp_ntz")) / 1000000).cast("bigint")
 
 
-def on_air(schedule: DataFrame, moments: DataFrame, day: dt.date | str, keep: Sequence[str], at: str = "second") -> DataFrame:
+def _shown_on(schedule: DataFrame, day: dt.date | str) -> DataFrame:
+    """Programmes that are on air on ``day``."""
+    end_of_day = F.expr(f"TIMESTAMP_NTZ '{as_date(day) + dt.timedelta(days=1)} 00:00:00'")
+    midnight = F.expr(f"TIMESTAMP_NTZ '{as_date(day)} 00:00:00'")
+    return schedule.where((F.col("start_time") < end_of_day) & (F.col("end_time") > midnight))
+
+
+def _spans(schedule: DataFrame, day: dt.date | str, *keep: str) -> DataFrame:
+    from_, to = (second_of(F.col(c), day) for c in ("start_time", "end_time"))
+    return _shown_on(schedule, day).select(*keep, from_.alias("_from"), to.alias("_to"))
+
+
+def on_air(
+    schedule: DataFrame, moments: DataFrame, day: dt.date | str, keep: Sequence[str], at: str = "second", counted: str | None = None
+) -> DataFrame:
     """Every row of ``moments`` with every programme on air then: start <= moment < end.
 
-    ``moments`` has the second of ``day`` in the column ``at``; ``keep`` are the columns kept of a programme.
+    ``moments`` has the second of ``day`` in the column ``at``; ``keep`` are the columns kept of a programme. With ``counted``,
+    programmes that are equal in ``keep`` are one row, in which the column ``counted`` is how many of them have a value there;
+    they are counted by segment, so no moment meets single programmes.
     """
-    end_of_day = F.expr(f"TIMESTAMP_NTZ '{as_date(day) + dt.timedelta(days=1)} 00:00:00'")
-    midnight = F.expr(f"TIMESTAMP_NTZ '{as_date(day)} 00:00:00'")
-    shown = schedule.where((F.col("start_time") < end_of_day) & (F.col("end_time") > midnight))
-    spans = shown.select(*keep, second_of(F.col("start_time"), day).alias("_from"), second_of(F.col("end_time"), day).alias("_to"))
-    return join_points(spans, moments, "_from", "_to", at).drop("_from", "_to")
+    if counted is None:
+        return join_points(_spans(schedule, day, *keep), moments, "_from", "_to", at).drop("_from", "_to")
+    return count_points(_spans(schedule, day, *keep, counted), moments, "_from", "_to", at, keep, F.count(counted), counted)
+
+
+#: On-air rows of a task: the programmes that make them and the groups that they come into are dealt by this number.
+TASK_ROWS = 500_000
+
+
+def _tasks(schedule: DataFrame, day: dt.date | str) -> int:
+    """As many tasks as the rows of ``on_air_minutes`` need."""
+    spans = _spans(schedule, day)
+    minute = [F.ceil(F.least(F.greatest(F.col(c), F.lit(0)), F.lit(MINUTES * 60)) / 60) for c in ("_from", "_to")]
+    rows = spans.agg(F.sum(F.greatest(minute[1] - minute[0], F.lit(0)))).first()[0] or 0
+    return max(8, -(-rows // TASK_ROWS))
 
 
 def on_air_minutes(schedule: DataFrame, day: dt.date | str, keep: Sequence[str]) -> DataFrame:

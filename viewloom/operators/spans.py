@@ -7,6 +7,8 @@ grow with the intervals times the levels, and never with their lengths; pairs ap
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,10 +50,31 @@ def join_points(intervals: DataFrame, points: DataFrame, start: str, end: str, a
     All three are whole numbers from 0 to 2**levels, ``at`` below it; rows with a null or an empty interval have no partner. Parts
     of an interval outside of that range meet no point.
     """
-    size = 1 << levels
+    cut, probes = _cut(intervals, start, end, levels), _probes(points, at, levels)
+    return cut.join(probes, "_segment").drop("_segment")
+
+
+def count_points(
+    intervals: DataFrame, points: DataFrame, start: str, end: str, at: str, by: Sequence[str], value: Column, name: str, levels: int = LEVELS
+) -> DataFrame:
+    """``join_points`` grouped by the point's row and the intervals' columns ``by``: ``value``, a count over intervals, as ``name``.
+
+    A point meets an interval in exactly one segment, so counts of segments add up. Intervals are counted by segment and
+    different points met once, however many intervals or points are equal.
+    """
+    counted = _cut(intervals, start, end, levels).groupBy("_segment", *by).agg(value.alias("_value"))
+    probes = _probes(points.select(at).distinct(), at, levels)
+    met = counted.join(probes, "_segment").groupBy(at, *by).agg(F.sum("_value").alias(name))
+    return points.join(met, at)
+
+
+def _cut(intervals: DataFrame, start: str, end: str, levels: int) -> DataFrame:
     inside = intervals.where(F.col(start) < F.col(end)).withColumns(
-        {"_start": F.greatest(F.col(start), F.lit(0)).cast("bigint"), "_end": F.least(F.col(end), F.lit(size)).cast("bigint")}
+        {"_start": F.greatest(F.col(start), F.lit(0)).cast("bigint"), "_end": F.least(F.col(end), F.lit(1 << levels)).cast("bigint")}
     )
-    cut = inside.withColumn("_segment", F.explode(segments(F.col("_start"), F.col("_end"), levels))).drop("_start", "_end")
-    probes = points.where(F.col(at).between(0, size - 1)).withColumn("_segment", F.explode(ancestors(F.col(at).cast("bigint"), levels)))
-    return cut.join(probes, "_segment").drop("_segment")
+    return inside.withColumn("_segment", F.explode(segments(F.col("_start"), F.col("_end"), levels))).drop("_start", "_end")
+
+
+def _probes(points: DataFrame, at: str, levels: int) -> DataFrame:
+    inside = points.where(F.col(at).between(0, (1 << levels) - 1))
+    return inside.withColumn("_segment", F.explode(ancestors(F.col(at).cast("bigint"), levels)))

@@ -518,9 +518,9 @@ def channels_on_air_at_events(spark, sf):
     day = table(spark, sf, "events").where(F.col("ts").cast("date") == F.lit(LIVE_DAY).cast("date"))
     moments = day.select("event_id", airtime.second_of(F.date_trunc("second", "ts"), LIVE_DAY).alias("second"))
     shown = airtime.listable(st.schedule(spark, sf), EXCLUDED)
-    found = airtime.on_air(shown, moments, LIVE_DAY, ["channel_id", "program_type"])
+    found = airtime.on_air(shown, moments, LIVE_DAY, ["program_type"], counted="channel_id")
     return found.groupBy("event_id").agg(
-        F.count("channel_id").alias("channels"), F.countDistinct("program_type").alias("types")
+        F.sum("channel_id").alias("channels"), F.countDistinct("program_type").alias("types")
     )
 
 
