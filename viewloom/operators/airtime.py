@@ -136,7 +136,10 @@ def rated_channels(
 ) -> DataFrame:
     """(minute, category, channel_id, tv_rating): channels on air and their audience of a week ago."""
     day = as_date(as_of)
-    shown = listable(schedule, excluded)
+    shown = _shown_on(listable(schedule, excluded), day)
+    tasks = _tasks(shown, day)
+    # A day's programmes may lie in one file; they are few until they meet their minutes.
+    shown = shown.repartition(tasks, "channel_id", "start_time")
     minutes = on_air_minutes(shown, day, ["channel_id", "service_id", "program_type"])
     rated = ratings_of(audience, day - dt.timedelta(days=7))
     joined = minutes.withColumn("minute_time", minute_label(F.col("minute"))).join(
@@ -149,6 +152,8 @@ def rated_channels(
         "tv_rating",
         F.explode(F.array_compact(F.array(F.lit(ALL), own))).alias("category"),
     )
+    # All that follows goes by minute and category, so the rows move once and the tasks follow their number.
+    by_category = by_category.repartition(2 * tasks, "minute", "category")
     if not distinct:
         return by_category.select("minute", "category", "channel_id", "tv_rating")
     return by_category.groupBy("minute", "category", "channel_id").agg(F.max("tv_rating").alias("tv_rating"))
