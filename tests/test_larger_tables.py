@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from viewloom.operators import airtime, cooccurrence, spans
+from viewloom.operators import airtime, cooccurrence, shortlist, spans
 from viewloom.sources import bucketed
 from workload import standins
 from workload.queries import QUERIES
@@ -73,3 +73,12 @@ def test_moments_meet_counts_and_not_programmes(spark):
     lines = plan.splitlines()
     last = max(i for i, line in enumerate(lines) if "_segment" in line and "Join" in line)
     assert "Aggregate" in lines[last + 1]
+
+
+def test_draws_are_dealt_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(shortlist, "TASK_DRAWS", 100)
+    rows = spark.range(300).selectExpr("id AS content_id", "id % 3 AS place", "concat('t', id % 50) AS title")
+    lists = shortlist.recommend_by_draw(rows, rows, ["place"], [F.col("content_id")], 6, 1, fields=["title"])
+    dealt = re.findall(r"hashpartitioning\(content_id#\d+L, (\d+)\), REPARTITION_BY_NUM", _plan(lists))
+    assert "18" in dealt
+    assert lists.groupBy("content_id").count().agg(F.count("*"), F.max("count")).first() == (300, 6)

@@ -28,6 +28,9 @@ from viewloom.operators.ranking import top_k
 _TITLE = "_title"
 _ORDER = "_order"
 
+#: Drawn rows of a task, which sorts them by target.
+TASK_DRAWS = 250_000
+
 
 def newest_first(day: Column) -> Column:
     """Ascending sort key that puts the latest date first and unknown dates last."""
@@ -140,7 +143,9 @@ def recommend_by_draw(
     titled = _with_title(items, item, title).withColumn(_ORDER, F.struct(*order)).withColumn("_print", F.md5(_TITLE))
     placed = numbered(titled.select(*keys, "_print", _TITLE, _ORDER, *carried), [*keys, "_print", _TITLE, item])
 
-    found = _with_title(targets, item, title)
+    # Targets are small until they have drawn, so their bytes tell little of the work.
+    tasks = max(8, -(-targets.count() * k // TASK_DRAWS))
+    found = _with_title(targets, item, title).repartition(tasks, item)
     found = _attach(found, intervals(placed, keys, "_first", "_size"), keys, "_first", "_size")
     found = _attach(found, intervals(placed, [*keys, _TITLE], "_own_first", "_own"), [*keys, _TITLE], "_own_first", "_own")
     # An id has a title or a few.
@@ -156,7 +161,7 @@ def recommend_by_draw(
     each = each.select(*targets.columns, _TITLE, "_full", at.alias(AT))
 
     told = placed.select(AT, F.col(_TITLE).alias("_rec_title"), _ORDER, *[F.col(c).alias(f"rec_{c}") for c in carried])
-    listed = each.join(told, AT).where(F.col(f"rec_{item}") != F.col(item))
+    listed = each.join(told, AT).where(F.col(f"rec_{item}") != F.col(item)).repartition(tasks, item)
     turn = F.when(F.col("_full"), draw_order(seed, F.col(item), F.col(f"rec_{item}")))
     one = Window.partitionBy(*keys, item, _TITLE)
     listed = listed.withColumn("rank", F.row_number().over(one.orderBy(turn, _ORDER))).where(F.col("rank") <= k)
