@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from viewloom.operators import airtime, cooccurrence, shortlist, spans
+from viewloom.operators import airtime, cooccurrence, factors, shortlist, spans
 from viewloom.sources import bucketed
 from workload import standins
 from workload.queries import QUERIES
@@ -82,3 +82,33 @@ def test_draws_are_dealt_by_their_number(spark, monkeypatch):
     dealt = re.findall(r"hashpartitioning\(content_id#\d+L, (\d+)\), REPARTITION_BY_NUM", _plan(lists))
     assert "18" in dealt
     assert lists.groupBy("content_id").count().agg(F.count("*"), F.max("count")).first() == (300, 6)
+
+
+def _rated(spark):
+    rows = [(u, i, 1 + u * i % 5) for u in range(40) for i in range(u % 4, 30, 1 + u % 3)]
+    return factors.with_int_ids(spark.createDataFrame(rows, "user_id bigint, item_id bigint, plays bigint"))
+
+
+def test_blocks_follow_the_ratings(spark, monkeypatch):
+    sizes = (0, 600_000, 2_000_000, 2_000_001, 300_000_000, 300_000_001, 5_000_000_000)
+    assert [factors.blocks_for(n) for n in sizes] == [5, 5, 5, 12, 12, 24, 384]
+    rated = _rated(spark)
+    parts = [factors.fit(rated, rank=2, iterations=1).itemFactors.rdd.getNumPartitions()]
+    monkeypatch.setattr(factors, "FEW_RATINGS", 100)
+    parts += [factors.fit(rated, rank=2, iterations=1, blocks=b).itemFactors.rdd.getNumPartitions() for b in (None, 5)]
+    assert parts == [5, 12, 5]
+
+
+def test_scores_of_a_user_move_once(spark):
+    rated = _rated(spark)
+    model = factors.fit(rated, rank=4, iterations=5)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ranked = factors.rerank_played(rated.select("user_id", "item_id", "plays"), 5, rank=4, iterations=5)
+        dealt = re.findall(r"hashpartitioning\((\w+)#", _plan(ranked))
+        assert sorted(dealt) == ["_item", "_item", "_user", "_user"]
+        got = {(r["user_id"], r["item_id"]): r["score"] for r in factors.played_scores(model, rated).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = {(r["user_id"], r["item_id"]): r["prediction"] for r in model.transform(rated).collect()}
+    assert got.keys() == want.keys() and all(abs(got[p] - want[p]) < 1e-6 for p in want)

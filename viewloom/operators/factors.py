@@ -2,21 +2,43 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from viewloom.operators.ranking import top_k
 from viewloom.session import cut_lineage
 
+# Ratings up to which 5 blocks do, and the most that a block holds on average beyond that.
+FEW_RATINGS = 2_000_000
+BLOCK_RATINGS = 25_000_000
+#: Half iterations shuffle the factors anew; after so many iterations what they shuffled is removed.
+KEPT_ITERATIONS = 3
+
+
+def blocks_for(ratings: int) -> int:
+    """Blocks of the solver for so many ratings; they follow the data and never the cluster, for scores depend on them.
+
+    A half iteration has as many tasks as blocks, and sends a factor to every block that needs it, so blocks are no more than
+    tasks need. Beyond 5 they are 12 or its doubles, which deal evenly over most numbers of cores.
+    """
+    blocks = 5 if ratings <= FEW_RATINGS else 12
+    while ratings > blocks * BLOCK_RATINGS:
+        blocks *= 2
+    return blocks
+
+
 def dense_index(ids: DataFrame, column: str, index: str, buckets: int = 1024) -> DataFrame:
     """(column, index): consecutive numbers from 0 for the distinct ids.
 
     Ids are numbered within hash buckets and shifted by the sizes of the buckets before, so no
-    task sees more than one bucket, and a recomputed task gives the same numbers.
+    task sees more than one bucket, and a recomputed task gives the same numbers. The ids are written once.
     """
     distinct = ids.select(column).distinct()
-    bucketed = distinct.withColumn("_bucket", F.pmod(F.xxhash64(column), F.lit(buckets)).cast("int"))
+    bucketed = cut_lineage(distinct.withColumn("_bucket", F.pmod(F.xxhash64(column), F.lit(buckets)).cast("int")))
     sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
@@ -54,15 +76,18 @@ def fit(
     rank: int = 15,
     iterations: int = 10,
     regularization: float = 1.0,
-    blocks: int = 5,
+    blocks: int | None = None,
     seed: int = 42,
     block_ratings: int = 100_000_000,
 ) -> ALSModel:
-    """Train on user and item numbers. ``blocks`` is fixed, for the scores depend on it: raise it with the data.
+    """Train on user and item numbers, in ``blocks_for`` blocks unless ``blocks`` says how many.
 
     A task holds all ratings of its block, about 16 bytes each, and the factors they meet. ``block_ratings`` bounds
-    them: 100 million take about 1.6 GB. Beyond it training is an error.
+    them: 100 million take about 1.6 GB. Beyond it training is an error. Every third iteration writes the factors of the items to the
+    checkpoint folder, after which Spark removes the factors that were shuffled before.
     """
+    if blocks is None:
+        blocks = blocks_for(rated.count())
     check_blocks(rated, blocks, block_ratings)
     solver = ALS(
         rank=rank,
@@ -75,6 +100,7 @@ def fit(
         itemCol="_item",
         ratingCol="_rating",
         coldStartStrategy="drop",
+        checkpointInterval=KEPT_ITERATIONS,
         seed=seed,
     )
     return solver.fit(rated.select("_user", "_item", F.col("plays").cast("float").alias("_rating")))
@@ -89,6 +115,20 @@ def factor_products(model: ALSModel, rated: DataFrame) -> DataFrame:
     return rated.join(users, "_user").join(items, "_item").withColumn("product", product).drop("_u", "_i")
 
 
+def played_scores(model: ALSModel, rated: DataFrame) -> DataFrame:
+    """(_user, user_id, item_id, score): what the model predicts for the pairs of ``rated``, dealt by user.
+
+    As ``model.transform`` on pairs that were trained on, but pairs meet the factors of their item first, so that what a user's
+    list is made of lies together after the second join and moves no further.
+    """
+    users = model.userFactors.select(F.col("id").alias("_user"), F.col("features").alias("_u"))
+    items = model.itemFactors.select(F.col("id").alias("_item"), F.col("features").alias("_i"))
+    terms: list[Column] = [F.col("_u")[n] * F.col("_i")[n] for n in range(model.rank)]
+    joined = rated.select("_user", "_item", "user_id", "item_id").join(items, "_item").join(users, "_user")
+    scored = joined.select("_user", "user_id", "item_id", reduce(add, terms).alias("score"))
+    return scored.where(~F.isnan("score"))
+
+
 def rerank_played(counts: DataFrame, k: int, **settings) -> DataFrame:
     """(user_id, item_id, score, rank): the user's own items by predicted score, best k.
 
@@ -96,5 +136,4 @@ def rerank_played(counts: DataFrame, k: int, **settings) -> DataFrame:
     """
     rated = with_int_ids(cut_lineage(counts.select("user_id", "item_id", "plays")))
     model = fit(rated, **settings)
-    scored = model.transform(rated).select("user_id", "item_id", F.col("prediction").alias("score"))
-    return top_k(scored, ["user_id"], [F.desc("score"), F.asc("item_id")], k)
+    return top_k(played_scores(model, rated), ["_user"], [F.desc("score"), F.asc("item_id")], k).drop("_user")
