@@ -112,3 +112,9 @@ def test_scores_of_a_user_move_once(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     want = {(r["user_id"], r["item_id"]): r["prediction"] for r in model.transform(rated).collect()}
     assert got.keys() == want.keys() and all(abs(got[p] - want[p]) < 1e-6 for p in want)
+
+
+def test_facts_of_lists_deal_lists_once(spark):
+    plan = QUERIES["als_customers_facts"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"hashpartitioning\((list_key#[^)]*)\)", plan)
+    assert len(dealt) == 1 and "item_id" not in dealt[0]
