@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from viewloom import session
 from viewloom.operators import airtime, cooccurrence, factors, shortlist, spans
 from viewloom.sources import bucketed
 from workload import standins
@@ -118,3 +119,52 @@ def test_facts_of_lists_deal_lists_once(spark):
     plan = QUERIES["als_customers_facts"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     dealt = re.findall(r"hashpartitioning\((list_key#[^)]*)\)", plan)
     assert len(dealt) == 1 and "item_id" not in dealt[0]
+
+
+def _pair_sums(rows):
+    """Moments of every pair of items that a user rated, item by item."""
+    raters, by_user, sums = {}, {}, {}
+    for user, item, rating in rows:
+        raters[item] = raters.get(item, 0) + 1
+        if user is not None:
+            by_user.setdefault(user, []).append((item, rating))
+    for rated in by_user.values():
+        for i, a in rated:
+            for j, b in rated:
+                if i < j:
+                    had = sums.setdefault((i, j), [0.0] + [None] * 5)
+                    had[0] += 1
+                    for at, x in enumerate((None if a is None or b is None else a * b, a, b, a and a * a, b and b * b), 1):
+                        had[at] = had[at] if x is None else x + (had[at] or 0)
+    return sorted((*pair, *had, raters[pair[0]], raters[pair[1]]) for pair, had in sums.items())
+
+
+def test_pairs_travel_as_one_number_each(spark):
+    few = [(u, 9_000_000_000 + i * i, None if u == i else float((u * i) % 7)) for u in range(20) for i in range(u % 3, 25)]
+    few += [(None, 9_000_000_001, 3.0), (None, 9_000_000_004, 3.0)]
+    many = [(u, i, u + i / 1000) for u in range(20) for i in range(u % 3, 25)]
+    wide = [(u, i * (1 << 58), float(i)) for u in range(5) for i in range(-20, 20, 3)]
+    names = ["item1", "item2", "n", "xy", "x", "y", "xx", "yy", "n1", "n2"]
+    for rows, kind in ((few, "int"), ([(u, i * 10_000_000, r) for u, i, r in many[:40]] + few, "bigint"), (many, None), (wide, None)):
+        rows = [r for r in rows if r[2] != 0.0]
+        df = spark.createDataFrame(rows, "user_id bigint, item_id bigint, rating double")
+        made = cooccurrence._entry(df).made
+        assert list(made) == (["code"] if kind else ["item_id", "rating"])
+        assert kind is None or df.select(made["code"]).dtypes[0][1] == kind
+        for slice_items in (1000, 4):
+            got = sorted(map(tuple, cooccurrence.pair_moments(df, slice_items).select(names).collect()))
+            want = _pair_sums(rows)
+            assert [g[:3] + g[8:] for g in got] == [w[:3] + w[8:] for w in want]
+            assert all(a == b or abs(a - b) < 1e-6 for g, w in zip(got, want) for a, b in zip(g[3:8], w[3:8]))
+
+
+def test_written_tables_leave_no_shuffles(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = files.getAllFiles().size()
+        written = session.cut_lineage(spark.range(1000).selectExpr("id % 10 AS k", "id").groupBy("k").agg(F.max("id").alias("m")))
+        assert files.getAllFiles().size() <= before and written.count() == 10
+        assert spark.conf.get(session.REMOVE_SHUFFLES) == "false"
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
