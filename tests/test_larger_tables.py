@@ -168,3 +168,27 @@ def test_written_tables_leave_no_shuffles(spark):
         assert spark.conf.get(session.REMOVE_SHUFFLES) == "false"
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_blocks_follow_the_memory_of_a_task(spark, monkeypatch):
+    sizes = (0, 2_000_000, 36_000_000, 120_000_000, 120_000_001, 216_000_000, 240_000_001)
+    assert [factors.training_blocks(n) for n in sizes] == [5, 5, 12, 12, 24, 24, 48]
+    monkeypatch.setattr(factors, "TASK_RATINGS", 100)
+    rated = _rated(spark)
+    assert 500 < rated.count() <= 1000
+    assert factors.fit(rated, rank=2, iterations=1).itemFactors.rdd.getNumPartitions() == 10
+
+
+def test_training_leaves_the_memory_to_its_tasks(spark):
+    context = spark.sparkContext._jsc.sc()
+    before = {info.id() for info in context.getRDDStorageInfo()}
+    factors.fit(_rated(spark), rank=2, iterations=4)
+    kept = [info for info in context.getRDDStorageInfo() if info.id() not in before]
+    assert kept and all(info.memSize() == 0 and info.diskSize() > 0 for info in kept)
+
+
+def test_reranking_keeps_one_table(spark):
+    counts = _rated(spark).select("user_id", "item_id", "plays")
+    before = session.written_tables()
+    ranked = factors.rerank_played(counts, 3, rank=2, iterations=1)
+    assert session.written_tables() == before + 1 and ranked.groupBy("user_id").count().agg(F.max("count")).first()[0] == 3

@@ -10,13 +10,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from viewloom.operators.ranking import top_k
-from viewloom.session import cut_lineage
+from viewloom.session import cut_lineage, remove_written, shuffles_removed, written_tables
 
 # Ratings up to which 5 blocks do, and the most that a block holds on average beyond that.
 FEW_RATINGS = 2_000_000
 BLOCK_RATINGS = 25_000_000
+#: The most that a task of training holds on average: some 40 bytes each while a block is built, and a factor of 84 bytes for each at worst.
+TASK_RATINGS = 10_000_000
 #: Half iterations shuffle the factors anew; after so many iterations what they shuffled is removed.
-KEPT_ITERATIONS = 3
+KEPT_ITERATIONS = 1
 
 
 def blocks_for(ratings: int) -> int:
@@ -31,6 +33,17 @@ def blocks_for(ratings: int) -> int:
     return blocks
 
 
+def training_blocks(ratings: int) -> int:
+    """``blocks_for`` as long as a task holds no more than ``TASK_RATINGS``, else its doubles.
+
+    An executor builds as many blocks at a time as it has cores, so blocks have to fit its memory by that number.
+    """
+    blocks = blocks_for(ratings)
+    while ratings > blocks * TASK_RATINGS:
+        blocks *= 2
+    return blocks
+
+
 def dense_index(ids: DataFrame, column: str, index: str, buckets: int = 1024) -> DataFrame:
     """(column, index): consecutive numbers from 0 for the distinct ids.
 
@@ -63,7 +76,8 @@ def check_blocks(rated: DataFrame, blocks: int, most: int) -> None:
     """
     total = rated.count()
     for column in ("_user", "_item"):
-        row = rated.groupBy(column).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()
+        with shuffles_removed(rated.sparkSession):
+            row = rated.groupBy(column).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()
         largest = max(row[0] or 0, -(-total // blocks))
         if (row[0] or 0) > most:
             raise ValueError(f"one {column[1:]} has {row[0]} ratings, more than the {most} that a task may hold")
@@ -80,14 +94,15 @@ def fit(
     seed: int = 42,
     block_ratings: int = 100_000_000,
 ) -> ALSModel:
-    """Train on user and item numbers, in ``blocks_for`` blocks unless ``blocks`` says how many.
+    """Train on user and item numbers, in ``training_blocks`` blocks unless ``blocks`` says how many.
 
     A task holds all ratings of its block, about 16 bytes each, and the factors they meet. ``block_ratings`` bounds
-    them: 100 million take about 1.6 GB. Beyond it training is an error. Every third iteration writes the factors of the items to the
+    them: 100 million take about 1.6 GB. Beyond it training is an error. Blocks lie on disk between their uses, so that an executor's
+    memory is left to the tasks, whose arrays Spark doesn't count. Every iteration writes the factors of the items to the
     checkpoint folder, after which Spark removes the factors that were shuffled before.
     """
     if blocks is None:
-        blocks = blocks_for(rated.count())
+        blocks = training_blocks(rated.count())
     check_blocks(rated, blocks, block_ratings)
     solver = ALS(
         rank=rank,
@@ -102,6 +117,8 @@ def fit(
         coldStartStrategy="drop",
         checkpointInterval=KEPT_ITERATIONS,
         seed=seed,
+        intermediateStorageLevel="DISK_ONLY",
+        finalStorageLevel="DISK_ONLY",
     )
     return solver.fit(rated.select("_user", "_item", F.col("plays").cast("float").alias("_rating")))
 
@@ -134,6 +151,9 @@ def rerank_played(counts: DataFrame, k: int, **settings) -> DataFrame:
 
     ``counts`` has user_id, item_id, plays. Only observed pairs are scored.
     """
+    before = written_tables()
     rated = with_int_ids(cut_lineage(counts.select("user_id", "item_id", "plays")))
+    # The counts without numbers and the numbers alone are in it.
+    remove_written(counts.sparkSession, before, rated)
     model = fit(rated, **settings)
     return top_k(played_scores(model, rated), ["_user"], [F.desc("score"), F.asc("item_id")], k).drop("_user")
