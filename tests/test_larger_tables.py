@@ -192,3 +192,15 @@ def test_reranking_keeps_one_table(spark):
     before = session.written_tables()
     ranked = factors.rerank_played(counts, 3, rank=2, iterations=1)
     assert session.written_tables() == before + 1 and ranked.groupBy("user_id").count().agg(F.max("count")).first()[0] == 3
+
+
+def test_products_find_predicted_rows_by_item(spark):
+    rated = _rated(spark)
+    model = factors.fit(rated, rank=2, iterations=1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(factors.factor_products(model, model.transform(rated)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    dealt = [c for c in re.findall(r"hashpartitioning\((\w+)#", plan) if c.startswith("_")]
+    assert sorted(dealt) == ["_item", "_item", "_user", "_user", "_user"]

@@ -124,12 +124,15 @@ def fit(
 
 
 def factor_products(model: ALSModel, rated: DataFrame) -> DataFrame:
-    """``rated`` with ``product``: the scalar product of the user's and the item's factors, which a prediction is."""
+    """``rated`` with ``product``: the scalar product of the user's and the item's factors, which a prediction is.
+
+    Factors of the items come first: rows that ``model.transform`` made lie by item already.
+    """
     users = model.userFactors.select(F.col("id").alias("_user"), F.col("features").alias("_u"))
     items = model.itemFactors.select(F.col("id").alias("_item"), F.col("features").alias("_i"))
     terms = F.zip_with("_u", "_i", lambda a, b: a.cast("double") * b.cast("double"))
     product = F.aggregate(terms, F.lit(0.0), lambda total, x: total + x)
-    return rated.join(users, "_user").join(items, "_item").withColumn("product", product).drop("_u", "_i")
+    return rated.join(items, "_item").join(users, "_user").withColumn("product", product).drop("_u", "_i")
 
 
 def played_scores(model: ALSModel, rated: DataFrame) -> DataFrame:
