@@ -204,3 +204,11 @@ def test_products_find_predicted_rows_by_item(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     dealt = [c for c in re.findall(r"hashpartitioning\((\w+)#", plan) if c.startswith("_")]
     assert sorted(dealt) == ["_item", "_item", "_user", "_user", "_user"]
+
+
+def test_queries_of_the_factor_model_keep_nothing_in_memory(spark):
+    context = spark.sparkContext._jsc.sc()
+    before = {info.id() for info in context.getRDDStorageInfo()}
+    for name in ("als_customers_facts", "als_fit_facts"):
+        assert QUERIES[name](spark, SMALL).count() > 0
+    assert all(info.memSize() == 0 for info in context.getRDDStorageInfo() if info.id() not in before)
